@@ -92,3 +92,196 @@ def q_monthly_rollup(spark, sf):
 @register("fund_features")
 def q_fund_features(spark, sf):
     return as_doubles(agg.fund_features(_monthly(spark, sf), b.fund_dimension(spark, sf)))
+
+
+# --- windows (E1-E7) --------------------------------------------------------
+
+from fundlens.operators import windows as win  # noqa: E402
+
+
+@register("anomaly_features")
+def q_anomaly_features(spark, sf):
+    return win.anomaly_features(b.nav_daily(spark, sf))
+
+
+@register("anomaly_features_dense")
+def q_anomaly_features_dense(spark, sf):
+    return win.anomaly_features(b.nav_daily_dense(spark, sf))
+
+
+@register("return_index")
+def q_return_index(spark, sf):
+    nav = b.nav_daily(spark, sf).select("fund_id", "nav_date", "daily_return")
+    return win.return_index(nav, "fund_id", "nav_date", "daily_return").select(
+        "fund_id", "nav_date", "return_index")
+
+
+# --- ordering, ranks, quantiles (D11-D15, E6, F1-F6) -----------------------
+
+from fundlens.functions import calendar as cal  # noqa: E402
+from fundlens.functions import scalars as sc  # noqa: E402
+from fundlens.operators import ordering as ordr  # noqa: E402
+from fundlens.plans import evaluate as ev  # noqa: E402
+
+
+def _perf(spark, sf):
+    return views.fund_performance(b.fund_dimension(spark, sf), _monthly(spark, sf))
+
+
+@register("active_return_ranking")
+def q_active_return_ranking(spark, sf):
+    p = _perf(spark, sf).select("fund_id", "fund_name", "total_active_return_pct")
+    return ordr.global_rank(p, "total_active_return_pct", descending=True, out="active_rank")
+
+
+@register("top_sharpe_funds")
+def q_top_sharpe_funds(spark, sf):
+    p = _perf(spark, sf).select("fund_id", "fund_name", "avg_sharpe_ratio")
+    return ordr.top_k(p, "avg_sharpe_ratio", 5, tie_break="fund_id")
+
+
+@register("aum_last_90_days")
+def q_aum_last_90_days(spark, sf):
+    return ordr.tail_by(views.daily_total(b.nav_daily(spark, sf)), "ds", 90)
+
+
+@register("nav_first_last")
+def q_nav_first_last(spark, sf):
+    nav = b.nav_daily(spark, sf)
+    return ordr.first_last(nav, "nav_date", "aum", group="fund_id").select(
+        "fund_id", F.col("first_value").cast("double").alias("first_aum"),
+        F.col("last_value").cast("double").alias("last_aum"), "first_at", "last_at",
+        sc.fround(F.abs(F.col("last_value") - F.col("first_value")).cast("double")
+                  / F.col("first_value").cast("double"), 8).alias("abs_change"))
+
+
+@register("largest_fund")
+def q_largest_fund(spark, sf):
+    f = agg.fund_features(_monthly(spark, sf)).select("fund_id", "avg_aum")
+    return ordr.arg_extreme(f, "avg_aum", "fund_id", largest=True)
+
+
+@register("best_class_by_active_return")
+def q_best_class(spark, sf):
+    m = _monthly(spark, sf).withColumn("active_return", F.col("active_return").cast("double"))
+    g = agg.group_argmax(m, "asset_class", "active_return")
+    return g.select("asset_class", sc.fround("mean_value", 10).alias("mean_value"))
+
+
+@register("fund_master_stats")
+def q_fund_master_stats(spark, sf):
+    d = b.fund_dimension(spark, sf)
+    return d.agg(
+        F.count(F.lit(1)).alias("funds"),
+        F.count_distinct("asset_class").alias("asset_classes"),
+        F.sum("initial_aum").cast("double").alias("total_initial_aum"),
+        F.min("initial_aum").cast("double").alias("min_initial_aum"),
+        F.max("initial_aum").cast("double").alias("max_initial_aum"),
+        agg.exact_mean("initial_aum").alias("mean_initial_aum"),
+        F.min("management_fee").cast("double").alias("min_fee"),
+        F.max("management_fee").cast("double").alias("max_fee"))
+
+
+@register("return_quantiles")
+def q_return_quantiles(spark, sf):
+    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    qs = {f"q{int(p * 100)}": ordr.exact_quantile(feats, "return_z_score", p)
+          for p in (0.5, 0.9, 0.99)}
+    row = spark.createDataFrame([tuple(qs.values())], ", ".join(f"{k} double" for k in qs))
+    return row.select(*[sc.fround(k, 8).alias(k) for k in qs])
+
+
+@register("zscore_above_q99")
+def q_zscore_above_q99(spark, sf):
+    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    q = ordr.exact_quantile(feats, "return_z_score", 0.99)
+    return feats.filter(F.col("return_z_score") > F.lit(q)).select(
+        "fund_id", "nav_date", "return_z_score")
+
+
+@register("zscore_auc")
+def q_zscore_auc(spark, sf):
+    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    a = ev.auc(feats, "is_anomaly", "return_z_score")
+    return a.select(sc.fround("auc", 10).alias("auc"), "positives", "negatives")
+
+
+@register("zscore_classification")
+def q_zscore_classification(spark, sf):
+    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    pred = feats.withColumn("pred", sc.threshold("return_z_score", 1.0, strict=True))
+    m = ev.classification_metrics(pred, "is_anomaly", "pred")
+    return m.select("tp", "fp", "fn", "tn", *[sc.fround(c, 10).alias(c)
+                                              for c in ("precision", "recall", "f1")])
+
+
+# --- scalar functions and calendars (B3, B4, B16, H1-H19) ------------------
+
+@register("fund_scalars")
+def q_fund_scalars(spark, sf):
+    d = b.fund_dimension(spark, sf)
+    return d.select(
+        "fund_id",
+        sc.padded_id("FND", "fund_id", 6).alias("fund_code"),
+        sc.fee_accrual("management_fee", "initial_aum").cast("double").alias("monthly_fee"),
+        F.year("inception_date").alias("inception_year"),
+        F.month("inception_date").alias("inception_month"),
+        sc.month_bucket("inception_date").alias("inception_bucket"),
+        F.date_add("inception_date", 90).alias("first_review"),
+        F.date_sub("inception_date", 30).alias("onboarding"),
+        sc.period_flag("inception_date", "2016-01-01", "2016-12-31").alias("launched_2016"),
+        sc.threshold("initial_aum", 5000, strict=True).alias("large_fund"),
+        sc.floor_at(F.col("initial_aum").cast("double"), 0.0).alias("aum_floor"),
+        F.abs(F.col("initial_aum")).cast("double").alias("abs_aum"),
+        sc.fround(sc.annualised_vol(F.col("target_volatility").cast("double")), 6).alias("annual_vol"),
+        F.lit(0).alias("covid_period"),
+        F.date_format(F.col("inception_date"), "yyyy-MM-dd").alias("inception_text"))
+
+
+@register("trade_notional")
+def q_trade_notional(spark, sf):
+    li = b.read(spark, sf, "lineitem")
+    price = sc.to_decimal(F.col("l_extendedprice") / F.col("l_quantity"), 18, 4)
+    return li.select(
+        "l_orderkey", "l_linenumber", price.cast("double").alias("price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+        sc.notional(price, F.col("l_quantity").cast("int")).cast("double").alias("notional"),
+        sc.fround(F.col("l_extendedprice") * F.col("l_tax"), 2).alias("commission"))
+
+
+@register("market_regime")
+def q_market_regime(spark, sf):
+    ev_ = b.read(spark, sf, "events").select("event_id", F.to_date("ts").alias("d"))
+    nav = b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("d"))
+    dim = b.fund_dimension(spark, sf).select("fund_id", "asset_class")
+    rows = nav.join(dim, "fund_id")
+    classes = ["Equity", "Fixed Income", "Money Market", "Alternative"]
+    cls = F.element_at(F.array(*[F.lit(c) for c in classes]), (F.col("event_id") % 4 + 1).cast("int"))
+    ev_rows = ev_.select(F.col("event_id").alias("fund_id"), "d", cls.alias("asset_class"))
+    both = rows.unionByName(ev_rows)
+    return both.groupBy("asset_class", F.year("d").alias("year"), F.month("d").alias("month")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.max(sc.market_regime("d", "asset_class")).cast("double").alias("factor"))
+
+
+@register("business_days")
+def q_business_days(spark, sf):
+    nav = b.nav_daily(spark, sf)
+    lo, hi = cal.date_range_of(nav, "nav_date")
+    days = cal.business_days(spark, lo, hi)
+    return days.groupBy(F.year("ds").alias("year")).agg(
+        F.count(F.lit(1)).alias("business_days"), F.min("ds").alias("first_day"),
+        F.max("ds").alias("last_day"))
+
+
+@register("month_ends")
+def q_month_ends(spark, sf):
+    cf = b.cash_flows(spark, sf)
+    lo, hi = cal.date_range_of(cf, "transaction_date")
+    return cal.month_ends(spark, lo, hi)
+
+
+@register("forecast_horizon_days")
+def q_forecast_horizon_days(spark, sf):
+    nav = b.nav_daily(spark, sf)
+    return cal.next_business_days(spark, nav.select(F.max("nav_date")).scalar(), 90)

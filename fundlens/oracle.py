@@ -211,3 +211,181 @@ SELECT fund_id, month, CAST(monthly_return AS DOUBLE) AS monthly_return,
        CAST(sharpe_ratio AS DOUBLE) AS sharpe_ratio, asset_class FROM monthly""")
 
 register("fund_features", FEATURE_BASE + "SELECT * FROM features")
+
+
+def feature_sql(src: str) -> str:
+    w = "PARTITION BY fund_id ORDER BY nav_date"
+    w5 = f"({w} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)"
+    w20 = f"({w} ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)"
+
+    def wmean(x, f):
+        return f"(CAST(SUM({x}) OVER {f} AS DOUBLE) / COUNT({x}) OVER {f})"
+
+    def wstd(x, f):
+        xd = f"CAST({x} AS DECIMAL(12,6))"
+        n = f"COUNT({xd}) OVER {f}"
+        s1 = f"CAST(SUM({xd}) OVER {f} AS DECIMAL(18,6))"
+        s2 = f"CAST(SUM({xd} * {xd}) OVER {f} AS DECIMAL(26,12))"
+        num = f"(CAST({n} AS DECIMAL(10,0)) * {s2} - {s1} * {s1})"
+        return f"SQRT(CASE WHEN {n} > 1 THEN CAST({num} AS DOUBLE) / CAST(({n}) * (({n}) - 1) AS DOUBLE) END)"
+
+    lag = f"LAG(aum, 1) OVER ({w})"
+    return f"""
+SELECT * FROM (
+  SELECT fund_id, nav_date, is_anomaly,
+         CAST(daily_return AS DOUBLE) AS daily_return,
+         CAST(benchmark_return AS DOUBLE) AS benchmark_return,
+         CAST(active_return AS DOUBLE) AS active_return,
+         {wmean('daily_return', w5)} AS return_5d_avg,
+         {wmean('daily_return', w20)} AS return_20d_avg,
+         COALESCE({wstd('daily_return', w5)}, 0.0) AS return_5d_std,
+         COALESCE({wstd('daily_return', w20)}, 0.0) AS return_20d_std,
+         {wmean('aum', w5)} AS aum_5d_avg,
+         CASE WHEN {lag} IS NULL THEN 0.0
+              ELSE CAST(aum - {lag} AS DOUBLE) / NULLIF(CAST({lag} AS DOUBLE), 0) END AS aum_change_pct,
+         CAST(daily_return - benchmark_return AS DOUBLE) AS return_vs_bench,
+         CASE WHEN COUNT(daily_return) OVER {w20} >= 5 THEN
+              (CAST(daily_return AS DOUBLE) - {wmean('daily_return', w20)}) / ({wstd('daily_return', w20)} + 1e-8)
+         END AS return_z_score
+  FROM {src}) t
+WHERE return_z_score IS NOT NULL"""
+
+
+register("anomaly_features", with_ctes(NAV) + feature_sql("nav_daily"))
+register("anomaly_features_dense", with_ctes(NAV_DENSE) + feature_sql("nav_dense"))
+register("return_index", with_ctes(NAV) + f"""
+SELECT fund_id, nav_date,
+       {fround('EXP(SUM(LN(1 + CAST(daily_return AS DOUBLE))) OVER (PARTITION BY fund_id ORDER BY nav_date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) * 1.0', 8)} AS return_index
+FROM nav_daily""")
+
+
+FEATS = f"feats AS ({feature_sql('nav_daily')})"
+FEATURE_ROWS = with_ctes(NAV, FEATS)
+
+PERF = f"""perf AS (
+SELECT f.fund_id, f.fund_name,
+       {fround('CAST(SUM(m.active_return) AS DOUBLE) * 100', 2)} AS total_active_return_pct,
+       {fround(mean_of('m.sharpe_ratio'), 4)} AS avg_sharpe_ratio
+FROM fund_dim f JOIN monthly m ON f.fund_id = m.fund_id GROUP BY f.fund_id, f.fund_name)"""
+
+register("active_return_ranking", with_ctes(GEO, FUND_DIM, NAV, MONTHLY, PERF) + """
+SELECT fund_id, fund_name, total_active_return_pct,
+       RANK() OVER (ORDER BY total_active_return_pct DESC) AS active_rank FROM perf""")
+
+register("top_sharpe_funds", with_ctes(GEO, FUND_DIM, NAV, MONTHLY, PERF) + """
+SELECT fund_id, fund_name, avg_sharpe_ratio FROM perf
+ORDER BY avg_sharpe_ratio DESC, fund_id LIMIT 5""")
+
+register("aum_last_90_days", with_ctes(NAV) + """
+SELECT * FROM (SELECT nav_date AS ds, CAST(SUM(aum) AS DOUBLE) AS y FROM nav_daily GROUP BY nav_date)
+ORDER BY ds DESC LIMIT 90""")
+
+register("nav_first_last", with_ctes(NAV) + f"""
+SELECT fund_id, CAST(arg_min(aum, nav_date) AS DOUBLE) AS first_aum,
+       CAST(arg_max(aum, nav_date) AS DOUBLE) AS last_aum,
+       MIN(nav_date) AS first_at, MAX(nav_date) AS last_at,
+       {fround('CAST(ABS(arg_max(aum, nav_date) - arg_min(aum, nav_date)) AS DOUBLE) / CAST(arg_min(aum, nav_date) AS DOUBLE)', 8)} AS abs_change
+FROM nav_daily GROUP BY fund_id""")
+
+register("largest_fund", MONTHLY_BASE + """
+SELECT fund_id, COALESCE(CAST(SUM(avg_aum) AS DOUBLE) / COUNT(avg_aum), 0) AS avg_aum
+FROM monthly GROUP BY fund_id ORDER BY avg_aum DESC, fund_id LIMIT 1""")
+
+register("best_class_by_active_return", MONTHLY_BASE + f"""
+SELECT asset_class, {fround('AVG(CAST(active_return AS DOUBLE))', 10)} AS mean_value
+FROM monthly GROUP BY asset_class ORDER BY AVG(CAST(active_return AS DOUBLE)) DESC, asset_class LIMIT 1""")
+
+register("fund_master_stats", with_ctes(GEO, FUND_DIM) + f"""
+SELECT COUNT(*) AS funds, COUNT(DISTINCT asset_class) AS asset_classes,
+       CAST(SUM(initial_aum) AS DOUBLE) AS total_initial_aum,
+       CAST(MIN(initial_aum) AS DOUBLE) AS min_initial_aum,
+       CAST(MAX(initial_aum) AS DOUBLE) AS max_initial_aum,
+       {mean_of('initial_aum')} AS mean_initial_aum,
+       CAST(MIN(management_fee) AS DOUBLE) AS min_fee, CAST(MAX(management_fee) AS DOUBLE) AS max_fee
+FROM fund_dim""")
+
+register("return_quantiles", FEATURE_ROWS + f"""
+SELECT {fround('quantile_cont(return_z_score, 0.5)', 8)} AS q50,
+       {fround('quantile_cont(return_z_score, 0.9)', 8)} AS q90,
+       {fround('quantile_cont(return_z_score, 0.99)', 8)} AS q99 FROM feats""")
+
+register("zscore_above_q99", FEATURE_ROWS + """
+SELECT fund_id, nav_date, return_z_score FROM feats
+WHERE return_z_score > (SELECT quantile_cont(return_z_score, 0.99) FROM feats)""")
+
+register("zscore_auc", FEATURE_ROWS + f""",
+v AS (SELECT return_z_score AS s, SUM(is_anomaly) AS p, SUM(1 - is_anomaly) AS q FROM feats GROUP BY 1),
+c AS (SELECT p, q, COALESCE(SUM(q) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS qb FROM v)
+SELECT {fround('SUM(CAST(p AS DOUBLE) * (CAST(qb AS DOUBLE) + q * 0.5)) / (CAST(SUM(p) AS DOUBLE) * CAST(SUM(q) AS DOUBLE))', 10)} AS auc,
+       CAST(SUM(p) AS BIGINT) AS positives, CAST(SUM(q) AS BIGINT) AS negatives FROM c""")
+
+register("zscore_classification", FEATURE_ROWS + f""",
+m AS (SELECT COUNT(*) FILTER (WHERE is_anomaly = 1 AND return_z_score > 1.0) AS tp,
+             COUNT(*) FILTER (WHERE is_anomaly <> 1 AND return_z_score > 1.0) AS fp,
+             COUNT(*) FILTER (WHERE is_anomaly = 1 AND NOT return_z_score > 1.0) AS fn,
+             COUNT(*) FILTER (WHERE is_anomaly <> 1 AND NOT return_z_score > 1.0) AS tn FROM feats),
+r AS (SELECT *, COALESCE(CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fp AS DOUBLE), 0), 0.0) AS precision,
+             COALESCE(CAST(tp AS DOUBLE) / NULLIF(CAST(tp + fn AS DOUBLE), 0), 0.0) AS recall FROM m)
+SELECT tp, fp, fn, tn, {fround('precision', 10)} AS precision, {fround('recall', 10)} AS recall,
+       {fround('COALESCE(2 * precision * recall / NULLIF(precision + recall, 0), 0.0)', 10)} AS f1 FROM r""")
+
+register("fund_scalars", with_ctes(GEO, FUND_DIM) + f"""
+SELECT fund_id, 'FND' || lpad(CAST(fund_id AS VARCHAR), 6, '0') AS fund_code,
+       CAST(ROUND(CAST(management_fee AS DECIMAL(10,4)) * CAST(initial_aum AS DECIMAL(20,2)) / 1200, 2) AS DOUBLE) AS monthly_fee,
+       year(inception_date) AS inception_year, month(inception_date) AS inception_month,
+       strftime(inception_date, '%Y-%m') AS inception_bucket,
+       CAST(inception_date + INTERVAL 90 DAY AS DATE) AS first_review,
+       CAST(inception_date - INTERVAL 30 DAY AS DATE) AS onboarding,
+       CASE WHEN inception_date BETWEEN DATE '2016-01-01' AND DATE '2016-12-31' THEN 1 ELSE 0 END AS launched_2016,
+       CASE WHEN initial_aum > 5000 THEN 1 ELSE 0 END AS large_fund,
+       GREATEST(CAST(initial_aum AS DOUBLE), 0.0) AS aum_floor,
+       CAST(ABS(initial_aum) AS DOUBLE) AS abs_aum,
+       {fround('CAST(target_volatility AS DOUBLE) * SQRT(252.0)', 6)} AS annual_vol,
+       0 AS covid_period, strftime(inception_date, '%Y-%m-%d') AS inception_text
+FROM fund_dim""")
+
+register("trade_notional", f"""
+SELECT l_orderkey, l_linenumber, CAST(price AS DOUBLE) AS price, quantity,
+       CAST(ROUND(CAST(price AS DECIMAL(18,4)) * CAST(quantity AS DECIMAL(12,0)), 2) AS DOUBLE) AS notional,
+       commission
+FROM (SELECT l_orderkey, l_linenumber, {to_decimal('l_extendedprice / l_quantity', 18, 4)} AS price,
+             CAST(l_quantity AS INTEGER) AS quantity,
+             {fround('l_extendedprice * l_tax', 2)} AS commission FROM lineitem)""")
+
+REGIME = """CAST(CASE
+  WHEN year(d) = 2020 AND month(d) IN (3, 4) THEN CASE WHEN asset_class <> 'Money Market' THEN -0.0025 ELSE 0.0001 END
+  WHEN year(d) IN (2020, 2021) AND month(d) > 4 THEN 0.0008
+  WHEN year(d) = 2022 THEN CASE WHEN asset_class IN ('Equity', 'Fixed Income') THEN -0.0004 ELSE 0.0002 END
+  WHEN year(d) IN (2023, 2024) THEN 0.0005
+  ELSE 0.0003 END AS DECIMAL(6,4))"""
+
+register("market_regime", with_ctes(GEO, FUND_DIM, NAV) + f"""
+, rows_ AS (
+  SELECT n.nav_date AS d, f.asset_class FROM nav_daily n JOIN fund_dim f USING (fund_id)
+  UNION ALL
+  SELECT CAST(ts AS DATE) AS d,
+         ['Equity', 'Fixed Income', 'Money Market', 'Alternative'][CAST(event_id % 4 + 1 AS INTEGER)] AS asset_class
+  FROM events)
+SELECT asset_class, year(d) AS year, month(d) AS month, COUNT(*) AS rows,
+       CAST(MAX({REGIME}) AS DOUBLE) AS factor
+FROM rows_ GROUP BY 1, 2, 3""")
+
+register("business_days", with_ctes(NAV) + """
+, days AS (SELECT CAST(generate_series AS DATE) AS ds
+           FROM generate_series((SELECT MIN(nav_date) FROM nav_daily)::TIMESTAMP,
+                                (SELECT MAX(nav_date) FROM nav_daily)::TIMESTAMP, INTERVAL 1 DAY))
+SELECT year(ds) AS year, COUNT(*) AS business_days, MIN(ds) AS first_day, MAX(ds) AS last_day
+FROM days WHERE isodow(ds) <= 5 GROUP BY 1""")
+
+register("month_ends", with_ctes(CASH) + """
+SELECT CAST(last_day(generate_series) AS DATE) AS month_end
+FROM generate_series(date_trunc('month', (SELECT MIN(transaction_date) FROM cash_flows))::TIMESTAMP,
+                     date_trunc('month', (SELECT MAX(transaction_date) FROM cash_flows))::TIMESTAMP,
+                     INTERVAL 1 MONTH)""")
+
+register("forecast_horizon_days", with_ctes(NAV) + """
+SELECT CAST(generate_series AS DATE) AS ds
+FROM generate_series(((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 1 DAY)::TIMESTAMP,
+                     ((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 200 DAY)::TIMESTAMP, INTERVAL 1 DAY)
+WHERE isodow(CAST(generate_series AS DATE)) <= 5
+ORDER BY ds LIMIT 90""")

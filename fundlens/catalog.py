@@ -285,3 +285,154 @@ def q_month_ends(spark, sf):
 def q_forecast_horizon_days(spark, sf):
     nav = b.nav_daily(spark, sf)
     return cal.next_business_days(spark, nav.select(F.max("nav_date")).scalar(), 90)
+
+
+# --- data quality and constraints (L1-L17, N1-N6, C3, C6, C7, G1, G2) -------
+
+from fundlens import schemas  # noqa: E402
+from fundlens.operators import joins as jn  # noqa: E402
+from fundlens.operators import quality as qa  # noqa: E402
+from fundlens.plans import reports as rp  # noqa: E402
+
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@register("quality_fund_master")
+def q_quality_fund_master(spark, sf):
+    d = b.fund_dimension(spark, sf)
+    return qa.expect(d, [
+        qa.row_count(at_least=1), qa.unique(["fund_id"]), qa.in_set("asset_class", REGIONS),
+        qa.in_range("management_fee", 0, 3, lo_strict=True),
+        qa.in_range("initial_aum", 0, None, lo_strict=True),
+        qa.not_null(["fund_id", "fund_name"])])
+
+
+@register("quality_nav_daily")
+def q_quality_nav_daily(spark, sf):
+    n = b.nav_daily(spark, sf)
+    return qa.expect(n, [
+        qa.row_count(at_least=1), qa.unique(["fund_id", "nav_date"]),
+        qa.in_range("nav", 0, None, lo_strict=True), qa.in_set("is_anomaly", [0, 1]),
+        qa.rate_between("is_anomaly", F.col("is_anomaly") == 1, 0.005, 0.02),
+        qa.date_range("nav_date", "1992-01-01", "2001-12-31")])
+
+
+@register("quality_cash_flows")
+def q_quality_cash_flows(spark, sf):
+    c = b.cash_flows(spark, sf)
+    t, amt = F.col("transaction_type"), F.col("amount")
+    return qa.expect(c, [
+        qa.in_set("transaction_type", PRIORITIES), qa.in_set("status", list(rp.STATUSES)),
+        qa.share_above("amount_nonzero", amt != 0, 0.95),
+        qa.implies("urgent_positive", t == "1-URGENT", amt > 0),
+        qa.implies("low_negative", t == "5-LOW", amt < 0)])
+
+
+@register("quality_monthly")
+def q_quality_monthly(spark, sf):
+    m = _monthly(spark, sf)
+    return qa.expect(m, [
+        qa.row_count(at_least=1),
+        qa.share_above("sharpe_within_5", F.col("sharpe_ratio").between(-5, 5), 0.95),
+        qa.distinct_count("month"), qa.not_null(["fund_id", "month"])])
+
+
+@register("duplicate_trade_keys")
+def q_duplicate_trade_keys(spark, sf):
+    return qa.duplicate_keys(b.trades(spark, sf), ["trade_id"])
+
+
+@register("duplicate_nav_keys")
+def q_duplicate_nav_keys(spark, sf):
+    return qa.duplicate_keys(b.nav_daily(spark, sf), ["fund_id", "nav_date"])
+
+
+@register("orphan_counts")
+def q_orphan_counts(spark, sf):
+    li = b.read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("fund_id"))
+    sup = b.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("fund_id"))
+    cash = b.cash_flows(spark, sf)
+    cust = b.read(spark, sf, "customer").select(F.col("c_custkey").alias("fund_id"))
+    nav_or = jn.orphans(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
+    return jn.orphans(li, sup, "fund_id").agg(F.count(F.lit(1)).alias("lineitem_orphans")).select(
+        "lineitem_orphans",
+        jn.orphans(cash, cust, "fund_id").select(F.count(F.lit(1))).scalar().alias("cash_orphans"),
+        nav_or.select(F.count(F.lit(1))).scalar().alias("nav_orphans"))
+
+
+@register("null_counts")
+def q_null_counts(spark, sf):
+    return qa.null_counts(b.cash_flows(spark, sf), schemas.NOT_NULL["cash_flows"] + ["amount", "status"])
+
+
+@register("schema_violations")
+def q_schema_violations(spark, sf):
+    t = b.trades(spark, sf).withColumn("commission", F.col("notional") * F.col("tax_rate"))
+    return qa.schema_violations(t, schemas.TRADES, {"trade_id": 15, "direction": 4})
+
+
+@register("key_sets")
+def q_key_sets(spark, sf):
+    return jn.key_set_diff(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
+
+
+@register("cash_on_nav_dates")
+def q_cash_on_nav_dates(spark, sf):
+    cash = b.cash_flows(spark, sf).groupBy(F.col("transaction_date").alias("ds")).agg(
+        F.sum("amount").cast("double").alias("amount"))
+    navd = views.daily_total(b.nav_daily(spark, sf))
+    return jn.present_in(cash, navd, "ds")
+
+
+# --- reports (M1-M9, B17) ---------------------------------------------------
+
+@register("kpis")
+def q_kpis(spark, sf):
+    return rp.kpis(b.fund_dimension(spark, sf), b.nav_daily(spark, sf), _monthly(spark, sf))
+
+
+@register("aum_share")
+def q_aum_share(spark, sf):
+    return rp.aum_share(b.fund_dimension(spark, sf), b.nav_daily(spark, sf))
+
+
+@register("return_trend")
+def q_return_trend(spark, sf):
+    return rp.return_trend(_monthly(spark, sf))
+
+
+@register("asia_return_trend")
+def q_asia_return_trend(spark, sf):
+    return rp.return_trend(rp.slice_by(_monthly(spark, sf), "asset_class", "ASIA"))
+
+
+@register("risk_return_by_class")
+def q_risk_return_by_class(spark, sf):
+    f = agg.fund_features(_monthly(spark, sf), b.fund_dimension(spark, sf))
+    return rp.risk_return(f, "asset_class")
+
+
+@register("leaderboard")
+def q_leaderboard(spark, sf):
+    seg = b.fund_dimension(spark, sf).select("fund_id", F.col("region").alias("segment"))
+    return rp.leaderboard(_perf_full(spark, sf), seg)
+
+
+def _perf_full(spark, sf):
+    return views.fund_performance(b.fund_dimension(spark, sf), _monthly(spark, sf))
+
+
+@register("anomalies_over_time")
+def q_anomalies_over_time(spark, sf):
+    return rp.anomalies_over_time(b.nav_daily(spark, sf))
+
+
+@register("cashflow_by_status")
+def q_cashflow_by_status(spark, sf):
+    return rp.cashflow_by_status(b.cash_flows(spark, sf))
+
+
+@register("status_breakdown")
+def q_status_breakdown(spark, sf):
+    return rp.status_breakdown(b.cash_flows(spark, sf))

@@ -389,3 +389,149 @@ FROM generate_series(((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 1 DAY)::T
                      ((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 200 DAY)::TIMESTAMP, INTERVAL 1 DAY)
 WHERE isodow(CAST(generate_series AS DATE)) <= 5
 ORDER BY ds LIMIT 90""")
+
+
+def checks_sql(src_cte: str, table: str, checks: list[tuple[str, str, str, str]]) -> str:
+    parts = [f"SELECT '{name}' AS \"check\", CAST({ok} AS BOOLEAN) AS passed, CAST({fail} AS BIGINT) AS failing_rows, "
+             f"CAST({obs} AS DOUBLE) AS observed FROM {table}" for name, ok, fail, obs in checks]
+    return src_cte + "\nUNION ALL\n".join(parts)
+
+
+def _bad(pred):
+    return f"COUNT(*) FILTER (WHERE NOT COALESCE({pred}, FALSE))"
+
+
+REG = "('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"
+PRI = "('1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"
+
+register("quality_fund_master", checks_sql(with_ctes(GEO, FUND_DIM), "fund_dim", [
+    ("row_count(eq=None,min=1)", "COUNT(*) >= 1", "CASE WHEN COUNT(*) >= 1 THEN 0 ELSE 1 END", "COUNT(*)"),
+    ("unique(fund_id)", "COUNT(*) = COUNT(DISTINCT fund_id)", "COUNT(*) - COUNT(DISTINCT fund_id)", "COUNT(DISTINCT fund_id)"),
+    ("in_set(asset_class)", f"{_bad('asset_class IN ' + REG)} = 0", _bad('asset_class IN ' + REG), _bad('asset_class IN ' + REG)),
+    ("in_range(management_fee,0,3)", f"{_bad('management_fee > 0 AND management_fee <= 3')} = 0", _bad('management_fee > 0 AND management_fee <= 3'), _bad('management_fee > 0 AND management_fee <= 3')),
+    ("in_range(initial_aum,0,None)", f"{_bad('initial_aum > 0')} = 0", _bad('initial_aum > 0'), _bad('initial_aum > 0')),
+    ("not_null(fund_id,fund_name)", "COUNT(*) FILTER (WHERE fund_id IS NULL OR fund_name IS NULL) = 0",
+     "COUNT(*) FILTER (WHERE fund_id IS NULL OR fund_name IS NULL)", "COUNT(*) FILTER (WHERE fund_id IS NULL OR fund_name IS NULL)"),
+]))
+
+_rate = "CAST(COUNT(*) FILTER (WHERE is_anomaly = 1) AS DOUBLE) / COUNT(*)"
+_out = "COUNT(*) FILTER (WHERE nav_date < DATE '1992-01-01' OR nav_date > DATE '2001-12-31')"
+register("quality_nav_daily", checks_sql(with_ctes(NAV), "nav_daily", [
+    ("row_count(eq=None,min=1)", "COUNT(*) >= 1", "CASE WHEN COUNT(*) >= 1 THEN 0 ELSE 1 END", "COUNT(*)"),
+    ("unique(fund_id,nav_date)", "COUNT(*) = COUNT(DISTINCT (fund_id, nav_date))", "COUNT(*) - COUNT(DISTINCT (fund_id, nav_date))", "COUNT(DISTINCT (fund_id, nav_date))"),
+    ("in_range(nav,0,None)", f"{_bad('nav > 0')} = 0", _bad('nav > 0'), _bad('nav > 0')),
+    ("in_set(is_anomaly)", f"{_bad('is_anomaly IN (0, 1)')} = 0", _bad('is_anomaly IN (0, 1)'), _bad('is_anomaly IN (0, 1)')),
+    ("rate_between(is_anomaly,0.005,0.02)", f"{_rate} BETWEEN 0.005 AND 0.02", "NULL", _rate),
+    ("date_range(nav_date,1992-01-01,2001-12-31)", f"MIN(nav_date) >= DATE '1992-01-01' AND MAX(nav_date) <= DATE '2001-12-31'", _out, _out),
+]))
+
+_nz = "CAST(COUNT(*) FILTER (WHERE amount <> 0) AS DOUBLE) / COUNT(*)"
+_urg = "COUNT(*) FILTER (WHERE transaction_type = '1-URGENT' AND NOT COALESCE(amount > 0, FALSE))"
+_low = "COUNT(*) FILTER (WHERE transaction_type = '5-LOW' AND NOT COALESCE(amount < 0, FALSE))"
+register("quality_cash_flows", checks_sql(with_ctes(CASH), "cash_flows", [
+    ("in_set(transaction_type)", f"{_bad('transaction_type IN ' + PRI)} = 0", _bad('transaction_type IN ' + PRI), _bad('transaction_type IN ' + PRI)),
+    ("in_set(status)", f"{_bad(chr(32) + 'status IN (' + repr('Settled') + ', ' + repr('Pending') + ', ' + repr('Failed') + ')')} = 0",
+     _bad("status IN ('Settled', 'Pending', 'Failed')"), _bad("status IN ('Settled', 'Pending', 'Failed')")),
+    ("share_above(amount_nonzero,0.95)", f"{_nz} > 0.95", "COUNT(*) - COUNT(*) FILTER (WHERE amount <> 0)", _nz),
+    ("implies(urgent_positive)", f"{_urg} = 0", _urg, _urg),
+    ("implies(low_negative)", f"{_low} = 0", _low, _low),
+]))
+
+_sh = "CAST(COUNT(*) FILTER (WHERE sharpe_ratio BETWEEN -5 AND 5) AS DOUBLE) / COUNT(*)"
+register("quality_monthly", checks_sql(MONTHLY_BASE, "monthly", [
+    ("row_count(eq=None,min=1)", "COUNT(*) >= 1", "CASE WHEN COUNT(*) >= 1 THEN 0 ELSE 1 END", "COUNT(*)"),
+    ("share_above(sharpe_within_5,0.95)", f"{_sh} > 0.95", "COUNT(*) - COUNT(*) FILTER (WHERE sharpe_ratio BETWEEN -5 AND 5)", _sh),
+    ("distinct_count(month,None)", "TRUE", "0", "COUNT(DISTINCT month)"),
+    ("not_null(fund_id,month)", "COUNT(*) FILTER (WHERE fund_id IS NULL OR month IS NULL) = 0",
+     "COUNT(*) FILTER (WHERE fund_id IS NULL OR month IS NULL)", "COUNT(*) FILTER (WHERE fund_id IS NULL OR month IS NULL)"),
+]))
+
+register("duplicate_trade_keys", """
+SELECT trade_id, COUNT(*) AS occurrences
+FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS trade_id FROM lineitem)
+GROUP BY trade_id HAVING COUNT(*) > 1""")
+
+register("duplicate_nav_keys", with_ctes(NAV) + """
+SELECT fund_id, nav_date, COUNT(*) AS occurrences FROM nav_daily GROUP BY 1, 2 HAVING COUNT(*) > 1""")
+
+register("orphan_counts", with_ctes(GEO, FUND_DIM, NAV, CASH) + """
+SELECT (SELECT COUNT(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_suppkey IS NOT NULL)) AS lineitem_orphans,
+       (SELECT COUNT(*) FROM cash_flows c WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = c.fund_id)) AS cash_orphans,
+       (SELECT COUNT(*) FROM nav_daily n WHERE NOT EXISTS (SELECT 1 FROM fund_dim f WHERE f.fund_id = n.fund_id)) AS nav_orphans""")
+
+register("null_counts", with_ctes(CASH) + """
+SELECT COUNT(*) FILTER (WHERE transaction_id IS NULL) AS transaction_id,
+       COUNT(*) FILTER (WHERE fund_id IS NULL) AS fund_id,
+       COUNT(*) FILTER (WHERE transaction_date IS NULL) AS transaction_date,
+       COUNT(*) FILTER (WHERE amount IS NULL) AS amount,
+       COUNT(*) FILTER (WHERE status IS NULL) AS status FROM cash_flows""")
+
+register("schema_violations", """
+SELECT COUNT(*) FILTER (WHERE length(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)) > 15) AS trade_id,
+       COUNT(*) FILTER (WHERE length(l_returnflag) > 4) AS direction,
+       COUNT(*) FILTER (WHERE TRY_CAST(CAST(l_quantity AS INTEGER) AS INTEGER) IS NULL AND l_quantity IS NOT NULL) AS quantity,
+       COUNT(*) FILTER (WHERE TRY_CAST(CAST(l_extendedprice AS DECIMAL(20,2)) AS DECIMAL(20,2)) IS NULL AND l_extendedprice IS NOT NULL) AS notional,
+       COUNT(*) FILTER (WHERE TRY_CAST(CAST(l_extendedprice AS DECIMAL(20,2)) * l_tax AS DECIMAL(10,2)) IS NULL
+                          AND l_extendedprice IS NOT NULL AND l_tax IS NOT NULL) AS commission,
+       COUNT(*) FILTER (WHERE l_shipdate IS NULL AND FALSE) AS trade_date
+FROM lineitem""")
+
+register("key_sets", with_ctes(GEO, FUND_DIM, NAV) + """
+, a AS (SELECT DISTINCT fund_id FROM nav_daily), b AS (SELECT DISTINCT fund_id FROM fund_dim)
+SELECT (SELECT COUNT(*) FROM a WHERE fund_id NOT IN (SELECT fund_id FROM b)) AS only_left,
+       (SELECT COUNT(*) FROM b WHERE fund_id NOT IN (SELECT fund_id FROM a)) AS only_right,
+       (SELECT COUNT(*) FROM a WHERE fund_id NOT IN (SELECT fund_id FROM b)) = 0
+         AND (SELECT COUNT(*) FROM b WHERE fund_id NOT IN (SELECT fund_id FROM a)) = 0 AS equal""")
+
+register("cash_on_nav_dates", with_ctes(NAV, CASH) + """
+SELECT transaction_date AS ds, CAST(SUM(amount) AS DOUBLE) AS amount FROM cash_flows
+WHERE transaction_date IN (SELECT nav_date FROM nav_daily) GROUP BY 1""")
+
+register("kpis", MONTHLY_BASE + f"""
+SELECT CAST(SUM(aum) AS DOUBLE) AS total_aum, (SELECT COUNT(*) FROM fund_dim) AS funds,
+       (SELECT {mean_of('sharpe_ratio')} FROM monthly) AS mean_sharpe,
+       (SELECT CAST(SUM(is_anomaly) AS BIGINT) FROM nav_daily) AS anomalies
+FROM nav_daily WHERE nav_date = (SELECT MAX(nav_date) FROM nav_daily)""")
+
+register("aum_share", NAV_BASE + f"""
+SELECT asset_class, CAST(a AS DOUBLE) AS aum,
+       {fround('CAST(a AS DOUBLE) / CAST(SUM(a) OVER () AS DOUBLE) * 100', 4)} AS share_pct
+FROM (SELECT f.asset_class, SUM(n.aum) AS a FROM nav_daily n JOIN fund_dim f USING (fund_id)
+      WHERE n.nav_date = (SELECT MAX(nav_date) FROM nav_daily) GROUP BY 1)""")
+
+register("return_trend", MONTHLY_BASE + f"""
+SELECT asset_class, month, {mean_of('monthly_return')} AS avg_monthly_return, COUNT(*) AS funds
+FROM monthly GROUP BY 1, 2""")
+
+register("asia_return_trend", MONTHLY_BASE + f"""
+SELECT asset_class, month, {mean_of('monthly_return')} AS avg_monthly_return, COUNT(*) AS funds
+FROM monthly WHERE asset_class = 'ASIA' GROUP BY 1, 2""")
+
+register("risk_return_by_class", FEATURE_BASE + f"""
+SELECT asset_class, COUNT(*) AS funds, {fround('AVG(avg_return)', 8)} AS avg_return,
+       {fround('AVG(return_vol)', 8)} AS avg_risk, {fround('AVG(avg_sharpe)', 6)} AS avg_sharpe
+FROM features GROUP BY 1""")
+
+register("leaderboard", MONTHLY_BASE + f"""
+SELECT f.fund_id, f.fund_name, f.region AS segment,
+       {fround(mean_of('m.sharpe_ratio'), 4)} AS avg_sharpe_ratio,
+       {fround('CAST(SUM(m.monthly_return) AS DOUBLE) * 100', 2)} AS total_return_pct,
+       {fround('CAST(SUM(m.active_return) AS DOUBLE) * 100', 2)} AS total_active_return_pct
+FROM fund_dim f JOIN monthly m ON f.fund_id = m.fund_id
+GROUP BY f.fund_id, f.fund_name, f.region ORDER BY avg_sharpe_ratio DESC, fund_id""")
+
+register("anomalies_over_time", with_ctes(NAV) + """
+SELECT strftime(nav_date, '%Y-%m') AS month, CAST(SUM(is_anomaly) AS BIGINT) AS anomalies,
+       COUNT(*) AS records FROM nav_daily GROUP BY 1""")
+
+register("cashflow_by_status", with_ctes(CASH) + """
+SELECT transaction_type,
+       CAST(COALESCE(SUM(amount) FILTER (WHERE status = 'Settled'), 0) AS DOUBLE) AS settled,
+       CAST(COALESCE(SUM(amount) FILTER (WHERE status = 'Pending'), 0) AS DOUBLE) AS pending,
+       CAST(COALESCE(SUM(amount) FILTER (WHERE status = 'Failed'), 0) AS DOUBLE) AS failed
+FROM cash_flows GROUP BY 1""")
+
+register("status_breakdown", with_ctes(CASH) + f"""
+SELECT status, COUNT(*) AS transactions,
+       {fround('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () * 100', 4)} AS share_pct
+FROM cash_flows GROUP BY status""")

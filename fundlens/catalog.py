@@ -436,3 +436,75 @@ def q_cashflow_by_status(spark, sf):
 @register("status_breakdown")
 def q_status_breakdown(spark, sf):
     return rp.status_breakdown(b.cash_flows(spark, sf))
+
+
+# --- sources, sinks, ingestion (A1-A12, I1) ---------------------------------
+
+from fundlens.session import scratch_path  # noqa: E402
+from fundlens.sources import files as fs  # noqa: E402
+from fundlens.streaming import ingest as ing  # noqa: E402
+
+NAV_CSV_COLUMNS = ["fund_id", "nav_date", "aum", "daily_return", "benchmark_return",
+                   "active_return", "is_anomaly"]
+
+
+@register("csv_roundtrip_nav")
+def q_csv_roundtrip_nav(spark, sf):
+    path = scratch_path(spark, "nav-csv")
+    fs.write_table(b.nav_daily(spark, sf), path, fmt="csv", columns=NAV_CSV_COLUMNS)
+    back = fs.read_table(spark, path, schemas.NAV_DAILY, fmt="csv", glob="*.csv",
+                         columns=NAV_CSV_COLUMNS)
+    return as_doubles(back.select(*NAV_CSV_COLUMNS))
+
+
+@register("conform_cash_flows")
+def q_conform_cash_flows(spark, sf):
+    raw = fs.as_text(b.cash_flows(spark, sf))
+    good, bad = fs.conform(raw, schemas.CASH_FLOWS)
+    return as_doubles(good)
+
+
+@register("row_counts")
+def q_row_counts(spark, sf):
+    return fs.row_counts({"fund_master": b.fund_dimension(spark, sf),
+                          "nav_daily": b.nav_daily(spark, sf),
+                          "cash_flows": b.cash_flows(spark, sf),
+                          "trades": b.trades(spark, sf)})
+
+
+@register("ingest_run")
+def q_ingest_run(spark, sf):
+    root = scratch_path(spark, "ingest")
+    dim = b.fund_dimension(spark, sf)
+    srcs = {"fund_master": dim, "nav_daily": b.nav_daily(spark, sf),
+            "trades": b.trades(spark, sf).join(dim.select("fund_id"), "fund_id", "left_semi")}
+    return fs.ingest_all(spark, srcs, root, run_date="2024-01-02")
+
+
+EVENT_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.TimestampType(), True),
+    T.StructField("user_id", T.LongType(), True), T.StructField("event_type", T.StringType(), True),
+    T.StructField("value", T.DecimalType(18, 2), True)])
+
+
+@register("incremental_ingest")
+def q_incremental_ingest(spark, sf):
+    """Land events as daily CSV files in two waves; ingest after each and once more."""
+    root = scratch_path(spark, "stream")
+    ev_ = b.read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type",
+                                             F.col("value").cast("decimal(18,2)").alias("value"))
+    day = F.to_date("ts")
+    mid = ev_.select(F.percentile_approx(F.dayofmonth("ts"), 0.5)).scalar()
+    wave1 = ev_.filter(F.dayofmonth(day) <= mid)
+    wave2 = ev_.filter(F.dayofmonth(day) > mid)
+    # the second wave re-delivers a slice of the first: duplicates must not land twice
+    redelivered = wave1.filter(F.dayofmonth(day) == mid)
+    fs.write_table(fs.as_text(wave1), f"{root}/landing/w1", fmt="csv")
+    args = dict(landing=f"{root}/landing/*", target=f"{root}/events", schema=EVENT_SCHEMA,
+                checkpoint=f"{root}/_checkpoint", key=["event_id"])
+    ing.ingest_incremental(spark, **args)
+    fs.write_table(fs.as_text(wave2.unionByName(redelivered)), f"{root}/landing/w2", fmt="csv")
+    ing.ingest_incremental(spark, **args)
+    ing.ingest_incremental(spark, **args)
+    out = spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events")
+    return as_doubles(out)

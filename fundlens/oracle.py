@@ -535,3 +535,29 @@ register("status_breakdown", with_ctes(CASH) + f"""
 SELECT status, COUNT(*) AS transactions,
        {fround('CAST(COUNT(*) AS DOUBLE) / SUM(COUNT(*)) OVER () * 100', 4)} AS share_pct
 FROM cash_flows GROUP BY status""")
+
+register("csv_roundtrip_nav", with_ctes(NAV) + """
+SELECT CAST(fund_id AS VARCHAR) AS fund_id, nav_date, CAST(aum AS DOUBLE) AS aum,
+       CAST(daily_return AS DOUBLE) AS daily_return, CAST(benchmark_return AS DOUBLE) AS benchmark_return,
+       CAST(active_return AS DOUBLE) AS active_return, is_anomaly FROM nav_daily""")
+
+register("conform_cash_flows", with_ctes(CASH) + """
+SELECT CAST(transaction_id AS VARCHAR) AS transaction_id, CAST(fund_id AS VARCHAR) AS fund_id,
+       transaction_date, transaction_type, CAST(amount AS DOUBLE) AS amount, currency, counterparty, status
+FROM cash_flows""")
+
+register("row_counts", with_ctes(GEO, FUND_DIM, NAV) + """
+SELECT (SELECT COUNT(*) FROM fund_dim) AS fund_master_count,
+       (SELECT COUNT(*) FROM nav_daily) AS nav_daily_count,
+       (SELECT COUNT(*) FROM orders) AS cash_flows_count,
+       (SELECT COUNT(*) FROM lineitem) AS trades_count""")
+
+register("ingest_run", with_ctes(GEO, FUND_DIM, NAV) + """
+, t AS (SELECT COUNT(*) AS n FROM lineitem WHERE l_suppkey IN (SELECT fund_id FROM fund_dim))
+SELECT (SELECT COUNT(*) FROM fund_dim) AS fund_master_count, (SELECT COUNT(*) FROM nav_daily) AS nav_daily_count,
+       (SELECT n FROM t) AS trades_count,
+       (SELECT COUNT(*) FROM fund_dim) AS source_fund_master_count, (SELECT COUNT(*) FROM nav_daily) AS source_nav_daily_count,
+       (SELECT n FROM t) AS source_trades_count, 'Succeeded' AS status""")
+
+register("incremental_ingest", """
+SELECT event_id, ts, user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value FROM events""")

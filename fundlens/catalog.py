@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -508,3 +508,173 @@ def q_incremental_ingest(spark, sf):
     ing.ingest_incremental(spark, **args)
     out = spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events")
     return as_doubles(out)
+
+
+# --- forecasting (K1-K3, B1, C2, C3, D16) ----------------------------------
+
+from fundlens.plans import anomaly as an  # noqa: E402
+from fundlens.plans import forecast as fc  # noqa: E402
+from fundlens.plans import scores as scr  # noqa: E402
+from fundlens.plans import segment as sg  # noqa: E402
+
+HORIZON = 90
+
+
+def _forecast_inputs(spark, sf):
+    daily = views.daily_total(b.nav_daily(spark, sf))
+    train, test = fc.time_split(daily, "ds", fc.split_point(daily, "ds", 0.8))
+    horizon = cal.next_business_days(spark, train.select(F.max("ds")).scalar(), HORIZON)
+    return daily, train, test, horizon
+
+
+@register("forecast_baseline")
+def q_forecast_baseline(spark, sf):
+    _, train, _, horizon = _forecast_inputs(spark, sf)
+    return fc.seasonal_baseline(train, horizon)
+
+
+@register("forecast_evaluation")
+def q_forecast_evaluation(spark, sf):
+    _, train, test, horizon = _forecast_inputs(spark, sf)
+    pred = fc.seasonal_baseline(train, horizon)
+    e = ev.forecast_error(jn.present_in(test, pred, "ds"), pred)
+    return e.select("n", sc.fround("mape", 8).alias("mape"), sc.fround("mae", 6).alias("mae"))
+
+
+@register("forecast_model")
+def q_forecast_model(spark, sf):
+    _, train, _, horizon = _forecast_inputs(spark, sf)
+    span = train.agg(F.min("ds"), F.max("ds")).first()
+    lo = span[0]
+    mid = lo.replace(year=lo.year + 1)
+    regs = {"early_period": (lo.isoformat(), mid.isoformat())}
+    model = fc.LogLinearForecaster(regressors=regs).fit(train)
+    return model.predict(horizon, overrides={"early_period": 0.0})
+
+
+def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
+    nav = b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"),
+                                        F.col("aum").alias("y"))
+    days = cal.next_business_days(spark, nav.select(F.max("ds")).scalar(), max(steps))
+    picked = days.withColumn("step", F.row_number().over(Window.orderBy("ds"))) \
+        .filter(F.col("step").isin(list(steps)))   # a 90-row calendar frame
+    funds = nav.select("fund_id").distinct()
+    marks = [(r["ds"], r["step"]) for r in picked.collect()]          # three dates
+    horizon = funds.select("fund_id", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("ds"), F.lit(s).alias("step")) for d, s in marks])).alias("_h")) \
+        .select("fund_id", "_h.ds", "_h.step")
+    pred = fc.seasonal_baseline(nav, horizon.select("fund_id", "ds"), group="fund_id")
+    return pred.join(horizon, ["fund_id", "ds"])
+
+
+@register("fund_forecasts")
+def q_fund_forecasts(spark, sf):
+    return _fund_forecasts(spark, sf)
+
+
+# --- anomaly models (K4-K12) -------------------------------------------------
+
+FEATURE_KEYS = [F.col("fund_id"), an.day_number("nav_date")]
+
+
+def _features(spark, sf):
+    return win.anomaly_features(b.nav_daily(spark, sf))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf):
+    f = _features(spark, sf).select("fund_id", "nav_date", "is_anomaly")
+    return an.stratified_split(f, "is_anomaly", FEATURE_KEYS, 0.8, seed=42)
+
+
+@register("ensemble_rule")
+def q_ensemble_rule(spark, sf):
+    f = _features(spark, sf)
+    f = f.select("fund_id", "nav_date",
+                 F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
+                 (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso"))
+    e = an.ensemble(f, "p", "iso")
+    return e.select("fund_id", "nav_date", sc.fround("ensemble_score", 10).alias("ensemble_score"),
+                    "rf_is_anomaly")
+
+
+def _anomaly_run(spark, sf, trees=200):
+    feats = _features(spark, sf)
+    split = an.stratified_split(feats, "is_anomaly", FEATURE_KEYS, 0.8, seed=42).cache()
+    train = split.filter("is_train = 1")
+    iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
+        train, win.FEATURES, FEATURE_KEYS)
+    scored = iso.score(split)
+    iso.set_offset(scored.filter("is_train = 1"))
+    rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees)
+    probs = an.class_probability(rf, scored, win.FEATURES)
+    return split, iso, rf, probs
+
+
+@register("nav_anomaly_scores")
+def q_nav_anomaly_scores(spark, sf):
+    _, iso, rf, probs = _anomaly_run(spark, sf)
+    out = an.ensemble(iso.predict(probs), "rf_anomaly_prob", "iso_score")
+    return out.select("fund_id", "nav_date", "rf_anomaly_prob", "iso_score", "ensemble_score",
+                      "rf_is_anomaly", "iso_outlier")
+
+
+@register("anomaly_metrics")
+def q_anomaly_metrics(spark, sf):
+    _, _, _, probs = _anomaly_run(spark, sf)
+    test = probs.filter("is_train = 0").withColumn(
+        "pred", sc.threshold("rf_anomaly_prob", 0.3, strict=False))
+    a = ev.auc(test, "is_anomaly", "rf_anomaly_prob").select("auc")
+    m = ev.classification_metrics(test, "is_anomaly", "pred")
+    return m.select("*", a.scalar().alias("auc"))
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf):
+    _, _, rf, _ = _anomaly_run(spark, sf)
+    imp = an.importance(rf, win.FEATURES)                 # ten features
+    return ordr.top_k(spark.createDataFrame(imp, "feature string, importance double"),
+                      "importance", 5, tie_break="feature")
+
+
+# --- segmentation (K13-K16, B15, C4, C5, D10) -------------------------------
+
+def _seg_features(spark, sf):
+    return agg.fund_features(_monthly(spark, sf), b.fund_dimension(spark, sf))
+
+
+@register("standardised_features")
+def q_standardised_features(spark, sf):
+    f = _seg_features(spark, sf)
+    return sg.standardise(f.select("fund_id", *sg.CLUSTER_FEATURES), sg.CLUSTER_FEATURES)
+
+
+@register("cluster_labels_fixed")
+def q_cluster_labels_fixed(spark, sf):
+    f = _seg_features(spark, sf).withColumn("cluster_id", F.col("fund_id") % 5)
+    return sg.label_clusters(agg.cluster_profile(f))
+
+
+@register("kmeans_elbow")
+def q_kmeans_elbow(spark, sf):
+    return sg.elbow(_seg_features(spark, sf), sg.CLUSTER_FEATURES)
+
+
+def _segments(spark, sf):
+    f = _seg_features(spark, sf)
+    seg = sg.segment(f, sg.CLUSTER_FEATURES, k=5, restarts=10, seed=42)
+    labels = sg.label_clusters(agg.cluster_profile(seg)).select("cluster_id", "cluster_label")
+    return sg.map_values(seg, "cluster_id", labels, "cluster_id", "cluster_label", "cluster_label")
+
+
+@register("fund_segments")
+def q_fund_segments(spark, sf):
+    return _segments(spark, sf)
+
+
+@register("ml_scores")
+def q_ml_scores(spark, sf):
+    _, iso, rf, probs = _anomaly_run(spark, sf, trees=50)
+    anomaly = an.ensemble(iso.predict(probs), "rf_anomaly_prob", "iso_score")
+    fc_ = _fund_forecasts(spark, sf).select("fund_id", "step", "yhat")
+    return as_doubles(scr.assemble_scores(anomaly, _segments(spark, sf), fc_, "r1"))

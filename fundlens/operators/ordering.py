@@ -28,6 +28,7 @@ def _range_count(distinct_values: DataFrame, value: str) -> int:
 
 
 def _with_range(d: DataFrame, value: str, out: str = "_rng") -> DataFrame:
+    """Assign each distinct value to one of a bounded number of value ranges."""
     k = _range_count(d, value)
     probs = [i / k for i in range(1, k)]
     cuts = d.select(F.percentile_approx(F.col(value).cast("double"), probs, 10_000)).first()[0]
@@ -38,23 +39,27 @@ def _with_range(d: DataFrame, value: str, out: str = "_rng") -> DataFrame:
                       handleInvalid="keep").transform(dd).drop("_vd")
 
 
-def value_prefix(df: DataFrame, value: str, weights: Mapping[str, Column]) -> DataFrame:
+def value_prefix(df: DataFrame, value: str, weights: Mapping[str, Column],
+                 partition: str | None = None) -> DataFrame:
     """Per distinct non-null ``value``: the weights, and their totals over smaller values.
 
-    Returns columns: value, each weight name, and ``<name>_below`` for each.
+    Returns columns: [partition,] value, each weight name, and ``<name>_below``
+    for each (totals over smaller values within the same partition value).
+    ``partition`` must have few distinct values (e.g. a class label).
     """
     names = list(weights)
-    d = df.filter(F.col(value).isNotNull()).groupBy(value).agg(
+    part = [partition] if partition else []
+    d = df.filter(F.col(value).isNotNull()).groupBy(*part, value).agg(
         *[F.sum(w).alias(n) for n, w in weights.items()])
     d = _with_range(d, value)
-    per = d.groupBy("_rng").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
-    # one row per range: bounded by MAX_RANGES, never by the data
-    wr = Window.orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.select("_rng", *[F.coalesce(F.sum(f"_t_{n}").over(wr), F.lit(0)).alias(f"_o_{n}")
-                               for n in names])
-    wv = Window.partitionBy("_rng").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    out = d.join(F.broadcast(per), "_rng").select(
-        value, *names,
+    per = d.groupBy(*part, "_rng").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
+    # one row per (partition, range): bounded by MAX_RANGES x partitions
+    wr = Window.partitionBy(*part).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(*part, "_rng", *[F.coalesce(F.sum(f"_t_{n}").over(wr), F.lit(0))
+                                      .alias(f"_o_{n}") for n in names])
+    wv = Window.partitionBy(*part, "_rng").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    out = d.join(F.broadcast(per), [*part, "_rng"]).select(
+        *part, value, *names,
         *[(F.col(f"_o_{n}") + F.coalesce(F.sum(n).over(wv), F.lit(0))).alias(f"{n}_below")
           for n in names])
     return out

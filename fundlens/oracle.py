@@ -561,3 +561,91 @@ SELECT (SELECT COUNT(*) FROM fund_dim) AS fund_master_count, (SELECT COUNT(*) FR
 
 register("incremental_ingest", """
 SELECT event_id, ts, user_id, event_type, CAST(CAST(value AS DECIMAL(18,2)) AS DOUBLE) AS value FROM events""")
+
+
+def hash_sql(cols: list[str], seed: int = 0) -> str:
+    h = str(seed % 2147483647)
+    for c in cols:
+        h = f"(({h}) * 48271 + ({c}) % 2147483647) % 2147483647"
+    for _ in range(2):
+        h = f"(({h}) * 48271 + 1) % 2147483647"
+    return h
+
+
+FORECAST = f"""daily AS (SELECT nav_date AS ds, SUM(aum) AS y FROM nav_daily GROUP BY 1),
+cut AS (SELECT MIN(ds) + CAST(FLOOR(datediff('day', MIN(ds), MAX(ds)) * 0.8::DOUBLE) AS INTEGER) AS c FROM daily),
+train AS (SELECT ds, y FROM daily WHERE ds < (SELECT c FROM cut)),
+test AS (SELECT ds, y FROM daily WHERE ds >= (SELECT c FROM cut)),
+tr AS (SELECT ds, CAST(datediff('day', (SELECT MIN(ds) FROM train), ds) AS BIGINT) AS t,
+              CAST(y AS DECIMAL(20,2)) AS y_ FROM train),
+s AS (SELECT COUNT(*) AS n, SUM(t) AS st, SUM(t * t) AS stt, CAST(SUM(y_) AS DECIMAL(20,2)) AS sy,
+             CAST(SUM(CAST(t AS DECIMAL(10,0)) * y_) AS DECIMAL(28,2)) AS sty, MAX(ds) AS last_ds FROM tr),
+c1 AS (SELECT *, CAST(CAST(n AS DECIMAL(9,0)) * sty - CAST(st AS DECIMAL(18,0)) * sy AS DOUBLE)
+                 / NULLIF(CAST(n * stt - st * st AS DOUBLE), 0) AS b FROM s),
+coef AS (SELECT *, (CAST(sy AS DOUBLE) - b * CAST(st AS DOUBLE)) / CAST(n AS DOUBLE) AS a FROM c1),
+fit AS (SELECT tr.*, coef.a + coef.b * CAST(tr.t AS DOUBLE) AS trend, dayofweek(ds) AS wd, month(ds) AS mo
+        FROM tr, coef),
+swd AS (SELECT wd, {fround('AVG(CAST(y_ AS DOUBLE) / trend)', 12)} AS s_wd FROM fit GROUP BY wd),
+fit2 AS (SELECT fit.*, s_wd FROM fit JOIN swd USING (wd)),
+smo AS (SELECT mo, {fround('AVG(CAST(y_ AS DOUBLE) / (trend * s_wd))', 12)} AS s_mo FROM fit2 GROUP BY mo),
+fit3 AS (SELECT fit2.*, s_mo FROM fit2 JOIN smo USING (mo)),
+sig AS (SELECT {fround('SQRT(AVG((CAST(y_ AS DOUBLE) - trend * s_wd * s_mo) * (CAST(y_ AS DOUBLE) - trend * s_wd * s_mo)))', 4)} AS sigma FROM fit3),
+hz AS (SELECT CAST(generate_series AS DATE) AS ds
+       FROM generate_series(((SELECT last_ds FROM coef) + INTERVAL 1 DAY)::TIMESTAMP,
+                            ((SELECT last_ds FROM coef) + INTERVAL 200 DAY)::TIMESTAMP, INTERVAL 1 DAY)
+       WHERE isodow(CAST(generate_series AS DATE)) <= 5 ORDER BY ds LIMIT 90),
+h AS (SELECT hz.ds, CAST(datediff('day', (SELECT MIN(ds) FROM train), hz.ds) AS BIGINT) AS t,
+             CAST(datediff('day', coef.last_ds, hz.ds) AS DOUBLE) AS step, coef.a, coef.b, coef.n,
+             dayofweek(hz.ds) AS wd, month(hz.ds) AS mo FROM hz, coef),
+p AS (SELECT h.ds, (h.a + h.b * CAST(h.t AS DOUBLE)) * swd.s_wd * smo.s_mo AS yhat,
+             1.2815515655446004 * sig.sigma * SQRT(1 + h.step / CAST(h.n AS DOUBLE)) AS width
+      FROM h LEFT JOIN swd USING (wd) LEFT JOIN smo USING (mo), sig),
+pred AS (SELECT ds, {fround('yhat', 2)} AS yhat, {fround('yhat - width', 2)} AS yhat_lower,
+                {fround('yhat + width', 2)} AS yhat_upper FROM p)"""
+
+register("forecast_baseline", with_ctes(NAV, FORECAST) + "SELECT * FROM pred")
+
+register("forecast_evaluation", with_ctes(NAV, FORECAST) + f"""
+SELECT COUNT(*) AS n,
+       {fround('AVG(ABS((CAST(t.y AS DOUBLE) - p.yhat) / CAST(t.y AS DOUBLE))) * 100', 8)} AS mape,
+       {fround('AVG(ABS(CAST(t.y AS DOUBLE) - p.yhat))', 6)} AS mae
+FROM test t JOIN pred p USING (ds)""")
+
+_H = hash_sql(["fund_id", "datediff('day', DATE '1970-01-01', nav_date)"], 42)
+register("stratified_split", FEATURE_ROWS + f"""
+, h AS (SELECT fund_id, nav_date, is_anomaly, {_H} AS _h FROM feats)
+SELECT fund_id, nav_date, is_anomaly,
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY is_anomaly ORDER BY _h, fund_id, datediff('day', DATE '1970-01-01', nav_date))
+                 <= FLOOR(COUNT(*) OVER (PARTITION BY is_anomaly) * 0.8::DOUBLE) THEN 1 ELSE 0 END AS is_train
+FROM h""")
+
+register("ensemble_rule", FEATURE_ROWS + f"""
+, e AS (SELECT fund_id, nav_date,
+               LEAST(return_20d_std * 20, 1.0::DOUBLE) * 0.6::DOUBLE
+               + ((-0.4::DOUBLE - LEAST(ABS(return_z_score), 10.0::DOUBLE) * 0.02::DOUBLE) + 1) * 0.4::DOUBLE AS s
+        FROM feats)
+SELECT fund_id, nav_date, {fround('s', 10)} AS ensemble_score,
+       CASE WHEN s > (SELECT quantile_cont(s, 0.99) FROM e) THEN 1 ELSE 0 END AS rf_is_anomaly FROM e""")
+
+_SF = ["avg_return", "return_vol", "avg_active_ret", "avg_sharpe", "avg_aum", "total_anomalies",
+       "consistency", "management_fee", "target_volatility"]
+register("standardised_features", FEATURE_BASE + "SELECT fund_id, " + ", ".join(
+    f"{fround(f'(CAST({c} AS DOUBLE) - AVG({c}) OVER ()) / CASE WHEN STDDEV_POP({c}) OVER () = 0 THEN 1.0 ELSE STDDEV_POP({c}) OVER () END', 8)} AS {c}"
+    for c in _SF) + " FROM features")
+
+_rules = [("avg_return", "DESC", "High Growth"), ("avg_sharpe", "DESC", "Risk-Adjusted Leaders"),
+          ("avg_aum_m", "DESC", "Large Cap Stable"), ("avg_anomalies", "DESC", "High Operational Risk"),
+          ("avg_return", "ASC", "Underperformers")]
+register("cluster_labels_fixed", FEATURE_BASE + f"""
+, prof AS (SELECT fund_id % 5 AS cluster_id, COUNT(fund_id) AS fund_count,
+                  {fround('AVG(avg_return)', 4)} AS avg_return, {fround('AVG(return_vol)', 4)} AS avg_vol,
+                  {fround('AVG(avg_sharpe)', 4)} AS avg_sharpe, {fround('AVG(avg_aum) / 1e6', 4)} AS avg_aum_m,
+                  {fround('CAST(SUM(total_anomalies) AS DOUBLE) / COUNT(*)', 4)} AS avg_anomalies,
+                  {fround('AVG(consistency)', 4)} AS consistency
+           FROM features GROUP BY 1),
+wins AS (""" + "\n UNION ALL ".join(
+    f"(SELECT cluster_id, {i} AS r, '{lab}' AS label FROM prof ORDER BY {m} {d}, cluster_id LIMIT 1)"
+    for i, (m, d, lab) in enumerate(_rules)) + """),
+named AS (SELECT cluster_id, arg_max(label, r) AS label FROM wins GROUP BY cluster_id)
+SELECT prof.*, COALESCE(named.label, 'Cluster ' || CAST(prof.cluster_id AS VARCHAR)) AS cluster_label
+FROM prof LEFT JOIN named USING (cluster_id)""")

@@ -574,7 +574,8 @@ def q_fund_forecasts(spark, sf):
 
 # --- anomaly models (K4-K12) -------------------------------------------------
 
-FEATURE_KEYS = [F.col("fund_id"), an.day_number("nav_date")]
+def feature_keys():
+    return [F.col("fund_id"), an.day_number("nav_date")]
 
 
 def _features(spark, sf):
@@ -584,7 +585,7 @@ def _features(spark, sf):
 @register("stratified_split")
 def q_stratified_split(spark, sf):
     f = _features(spark, sf).select("fund_id", "nav_date", "is_anomaly")
-    return an.stratified_split(f, "is_anomaly", FEATURE_KEYS, 0.8, seed=42)
+    return an.stratified_split(f, "is_anomaly", feature_keys(), 0.8, seed=42)
 
 
 @register("ensemble_rule")
@@ -600,10 +601,10 @@ def q_ensemble_rule(spark, sf):
 
 def _anomaly_run(spark, sf, trees=200):
     feats = _features(spark, sf)
-    split = an.stratified_split(feats, "is_anomaly", FEATURE_KEYS, 0.8, seed=42).cache()
+    split = an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42).cache()
     train = split.filter("is_train = 1")
     iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
-        train, win.FEATURES, FEATURE_KEYS)
+        train, win.FEATURES, feature_keys())
     scored = iso.score(split)
     iso.set_offset(scored.filter("is_train = 1"))
     rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees)

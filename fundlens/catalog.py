@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from fundlens.operators import aggregates as agg
 from fundlens.plans import views
+from fundlens.session import cut_lineage
 from fundlens.sources import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,15 +186,16 @@ def q_fund_master_stats(spark, sf):
 @register("return_quantiles")
 def q_return_quantiles(spark, sf):
     feats = win.anomaly_features(b.nav_daily(spark, sf))
-    qs = {f"q{int(p * 100)}": ordr.exact_quantile(feats, "return_z_score", p)
-          for p in (0.5, 0.9, 0.99)}
+    ps = (0.5, 0.9, 0.99)
+    qs = dict(zip([f"q{int(p * 100)}" for p in ps],
+                  ordr.exact_quantiles(feats, "return_z_score", list(ps))))
     row = spark.createDataFrame([tuple(qs.values())], ", ".join(f"{k} double" for k in qs))
     return row.select(*[sc.fround(k, 8).alias(k) for k in qs])
 
 
 @register("zscore_above_q99")
 def q_zscore_above_q99(spark, sf):
-    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    feats = cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)))
     q = ordr.exact_quantile(feats, "return_z_score", 0.99)
     return feats.filter(F.col("return_z_score") > F.lit(q)).select(
         "fund_id", "nav_date", "return_z_score")
@@ -579,7 +581,8 @@ def feature_keys():
 
 
 def _features(spark, sf):
-    return win.anomaly_features(b.nav_daily(spark, sf))
+    """The feature frame, written once: split, both models and scoring read it."""
+    return cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)))
 
 
 @register("stratified_split")
@@ -601,7 +604,7 @@ def q_ensemble_rule(spark, sf):
 
 def _anomaly_run(spark, sf, trees=200):
     feats = _features(spark, sf)
-    split = an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42).cache()
+    split = cut_lineage(an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42))
     train = split.filter("is_train = 1")
     iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
         train, win.FEATURES, feature_keys())

@@ -13,10 +13,19 @@ from pyspark.sql import functions as F
 DEFAULT_DIM_MAX_ROWS = 2_000_000
 
 
+_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_DIM_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably holds at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Hint a broadcast only when ``df`` provably holds at most ``max_rows`` rows.
+
+    The check (a LIMIT max_rows+1 count) runs once per distinct plan and
+    session; later uses of the same dimension plan reuse the verdict.
+    """
+    key = (df.semanticHash(), max_rows)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(df) if _SIZE_CHECKS[key] else df
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:

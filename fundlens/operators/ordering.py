@@ -18,23 +18,35 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlens.session import cut_lineage
+
 ROWS_PER_RANGE = 1_000_000
 MIN_RANGES, MAX_RANGES = 8, 4096
 
 
-def _range_count(distinct_values: DataFrame, value: str) -> int:
-    ndv = distinct_values.agg(F.approx_count_distinct(value)).first()[0] or 0
-    return int(min(MAX_RANGES, max(MIN_RANGES, math.ceil(ndv / ROWS_PER_RANGE))))
+PROBE_CUTS = 1024          # cut candidates taken in the same pass as the distinct count
 
 
 def _with_range(d: DataFrame, value: str, out: str = "_rng") -> DataFrame:
-    """Assign each distinct value to one of a bounded number of value ranges."""
-    k = _range_count(d, value)
-    probs = [i / k for i in range(1, k)]
-    cuts = d.select(F.percentile_approx(F.col(value).cast("double"), probs, 10_000)).first()[0]
+    """Assign each distinct value to one of a bounded number of value ranges.
+
+    One pass yields the approximate distinct count and 1024 candidate cuts;
+    only when a range would hold more than ROWS_PER_RANGE values is a second
+    pass with finer cuts needed.
+    """
+    v = F.col(value).cast("double")
+    probs = [i / PROBE_CUTS for i in range(1, PROBE_CUTS)]
+    row = d.agg(F.approx_count_distinct(value).alias("ndv"),
+                F.percentile_approx(v, probs, 10_000).alias("cuts")).first()
+    k = int(min(MAX_RANGES, max(MIN_RANGES, math.ceil((row["ndv"] or 0) / ROWS_PER_RANGE))))
+    if k <= PROBE_CUTS:
+        step = PROBE_CUTS / k
+        cuts = [row["cuts"][int(round(i * step)) - 1] for i in range(1, k)] if row["cuts"] else []
+    else:
+        cuts = d.select(F.percentile_approx(v, [i / k for i in range(1, k)], 100_000)).first()[0]
     splits = sorted(set(float(c) for c in (cuts or []) if c is not None and not math.isnan(c)))
     splits = [-math.inf] + splits + [math.inf]
-    dd = d.withColumn("_vd", F.col(value).cast("double"))
+    dd = d.withColumn("_vd", v)
     return Bucketizer(splits=splits, inputCol="_vd", outputCol=out,
                       handleInvalid="keep").transform(dd).drop("_vd")
 
@@ -51,7 +63,9 @@ def value_prefix(df: DataFrame, value: str, weights: Mapping[str, Column],
     part = [partition] if partition else []
     d = df.filter(F.col(value).isNotNull()).groupBy(*part, value).agg(
         *[F.sum(w).alias(n) for n, w in weights.items()])
-    d = _with_range(d, value)
+    # the distinct-value frame is read by the cut pass and by the result:
+    # write it once to the shared checkpoint folder instead of recomputing
+    d = _with_range(cut_lineage(d), value)
     per = d.groupBy(*part, "_rng").agg(*[F.sum(n).alias(f"_t_{n}") for n in names])
     # one row per (partition, range): bounded by MAX_RANGES x partitions
     wr = Window.partitionBy(*part).orderBy("_rng").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,25 +92,40 @@ def global_rank(df: DataFrame, value: str, descending: bool = True,
     return df.join(ranks, value, "left")
 
 
-def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:
-    """Linear-interpolated quantile (as pandas ``quantile`` / SQL ``quantile_cont``).
+def exact_quantiles(df: DataFrame, value: str, ps: list[float]) -> list[float | None]:
+    """Linear-interpolated quantiles (as pandas ``quantile`` / SQL ``quantile_cont``).
 
-    Only two distinct values and three scalars reach the driver.
+    One prefix pass serves all ``ps``; only 2 x len(ps) distinct values and a
+    count reach the driver.
     """
-    pref = value_prefix(df, value, {"_n": F.lit(1)}).cache()
-    try:
-        n = pref.agg(F.sum("_n")).first()[0]
-        if not n:
-            return None
+    pref = cut_lineage(value_prefix(df, value, {"_n": F.lit(1)}))
+    n = pref.agg(F.sum("_n")).first()[0]
+    if not n:
+        return [None for _ in ps]
+    want = []
+    for p in ps:
         pos = (n - 1) * p
-        lo, hi = math.floor(pos), math.ceil(pos)
-        hit = pref.filter(((F.col("_n_below") <= lo) & (lo < F.col("_n_below") + F.col("_n")))
-                          | ((F.col("_n_below") <= hi) & (hi < F.col("_n_below") + F.col("_n"))))
-        rows = sorted((r["_n_below"], float(r[value])) for r in hit.select("_n_below", value).collect())
-    finally:
-        pref.unpersist()
-    v_lo, v_hi = rows[0][1], rows[-1][1]
-    return v_lo if lo == hi else v_lo + (pos - lo) * (v_hi - v_lo)
+        want.append((pos, math.floor(pos), math.ceil(pos)))
+    ranks = sorted({r for _, lo, hi in want for r in (lo, hi)})
+    hit = None
+    for r in ranks:
+        c = (F.col("_n_below") <= r) & (F.lit(r) < F.col("_n_below") + F.col("_n"))
+        hit = c if hit is None else hit | c
+    rows = [(int(r["_n_below"]), int(r["_n"]), float(r[value]))
+            for r in pref.filter(hit).select("_n_below", "_n", value).collect()]
+
+    def at(rank: int) -> float:
+        return next(v for below, cnt, v in rows if below <= rank < below + cnt)
+
+    out = []
+    for pos, lo, hi in want:
+        v_lo, v_hi = at(lo), at(hi)
+        out.append(v_lo if lo == hi else v_lo + (pos - lo) * (v_hi - v_lo))
+    return out
+
+
+def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:
+    return exact_quantiles(df, value, [p])[0]
 
 
 def approx_quantile(value: str, p: float, accuracy: int = 100_000) -> Column:

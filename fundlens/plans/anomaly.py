@@ -205,7 +205,8 @@ class IsolationForest:
 
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
                       class_weight: dict[int, float] | None = None, trees: int = 200,
-                      max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64):
+                      max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64,
+                      max_memory_mb: int = 1024):
     w = F.lit(1.0)
     for cls, wt in (class_weight or {}).items():
         w = F.when(F.col(label) == cls, F.lit(float(wt))).otherwise(w)
@@ -213,7 +214,8 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
         df.withColumn("_w", w).withColumn("_label", F.col(label).cast("double")))
     rf = RandomForestClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
                                 numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt")
+                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt",
+                                maxMemoryInMB=max_memory_mb, cacheNodeIds=True, checkpointInterval=10)
     return rf.fit(data)
 
 

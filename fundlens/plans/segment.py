@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround
+from fundlens.session import cut_lineage
 
 CLUSTER_FEATURES = ["avg_return", "return_vol", "avg_active_ret", "avg_sharpe", "avg_aum",
                     "total_anomalies", "consistency", "management_fee", "target_volatility"]
@@ -41,16 +44,25 @@ def standardise(df: DataFrame, cols: Sequence[str], places: int | None = 8) -> D
     return df.select(*[c for c in df.columns if c not in cols], *out)
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def _scaled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Standardised feature vectors, partitioned by size for the iterative fits."""
     v = VectorAssembler(inputCols=list(cols), outputCol="_raw").transform(df)
-    return StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True) \
+    out = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True) \
         .fit(v).transform(v).drop("_raw")
+    n = out.count()
+    return out.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION)))
 
 
 def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8), seed: int = 42):
     """Within-cluster sum of squares for each k (a few rows)."""
     data = _scaled(df, cols).cache()
-    rows = [(int(k), float(KMeans(k=k, seed=seed).fit(data).summary.trainingCost)) for k in ks]
+    # independent fits: submitted as concurrent Spark jobs
+    with ThreadPoolExecutor(max_workers=len(list(ks))) as pool:
+        costs = list(pool.map(lambda k: float(KMeans(k=k, seed=seed).fit(data).summary.trainingCost), ks))
+    rows = [(int(k), c) for k, c in zip(ks, costs)]
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 
@@ -63,12 +75,17 @@ def segment(df: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES, k: int = 5, r
     not depend on the seed that won.
     """
     data = _scaled(df, cols).cache()
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, seed=seed + i, maxIter=50).fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
+
+    def fit(i):
+        model = KMeans(k=k, seed=seed + i, maxIter=20, tol=1e-6).fit(data)
+        return model.summary.trainingCost, i, model
+
+    # restarts are independent: submitted as concurrent Spark jobs; the
+    # least cost wins, ties to the lowest restart number
+    with ThreadPoolExecutor(max_workers=restarts) as pool:
+        fits = list(pool.map(fit, range(restarts)))
+    best = min(fits, key=lambda f: (f[0], f[1]))
+    best = (best[0], best[2])
     pred = best[1].transform(data).withColumnRenamed("prediction", "_raw_cluster")
     means = pred.groupBy("_raw_cluster").agg(F.avg(order_by).alias("_m"))
     # k rows: the renumbering window is bounded by k
@@ -84,6 +101,7 @@ def label_clusters(profile: DataFrame, rules=LABEL_RULES, cluster_col: str = "cl
     """Name clusters by ordered argmax/argmin rules; the last matching rule wins,
     ties go to the lowest cluster id, unnamed clusters become 'Cluster <id>'.
     ``profile`` holds one row per cluster (bounded by k)."""
+    profile = cut_lineage(profile)          # read once per rule: materialise the k rows
     wins = None
     for i, (metric, how, label) in enumerate(rules):
         o = F.desc(metric) if how == "max" else F.asc(metric)

@@ -597,7 +597,7 @@ hz AS (SELECT CAST(generate_series AS DATE) AS ds
 h AS (SELECT hz.ds, CAST(datediff('day', (SELECT MIN(ds) FROM train), hz.ds) AS BIGINT) AS t,
              CAST(datediff('day', coef.last_ds, hz.ds) AS DOUBLE) AS step, coef.a, coef.b, coef.n,
              dayofweek(hz.ds) AS wd, month(hz.ds) AS mo FROM hz, coef),
-p AS (SELECT h.ds, (h.a + h.b * CAST(h.t AS DOUBLE)) * swd.s_wd * smo.s_mo AS yhat,
+p AS (SELECT h.ds, (h.a + h.b * CAST(h.t AS DOUBLE)) * COALESCE(swd.s_wd, 1.0::DOUBLE) * COALESCE(smo.s_mo, 1.0::DOUBLE) AS yhat,
              1.2815515655446004 * sig.sigma * SQRT(1 + h.step / CAST(h.n AS DOUBLE)) AS width
       FROM h LEFT JOIN swd USING (wd) LEFT JOIN smo USING (mo), sig),
 pred AS (SELECT ds, {fround('yhat', 2)} AS yhat, {fround('yhat - width', 2)} AS yhat_lower,

@@ -84,7 +84,9 @@ def seasonal_baseline(train: DataFrame, horizon: DataFrame, ds: str = "ds", y: s
     h = _attach(h.withColumn("_wd", F.dayofweek(ds)).withColumn("_mo", F.month(ds)), wd, g + ["_wd"])
     h = _attach(h, mo, g + ["_mo"])
     h = _attach(h, sig, g)
-    yhat = (F.col("a") + F.col("b") * F.col("t").cast("double")) * F.col("s_wd") * F.col("s_mo")
+    # a weekday or month never seen in training gets the neutral factor 1
+    yhat = ((F.col("a") + F.col("b") * F.col("t").cast("double"))
+            * F.coalesce(F.col("s_wd"), F.lit(1.0)) * F.coalesce(F.col("s_mo"), F.lit(1.0)))
     width = z * F.col("sigma") * F.sqrt(1 + F.col("step") / F.col("n").cast("double"))
     return h.select(*g, ds, fround(yhat, 2).alias("yhat"), fround(yhat - width, 2).alias("yhat_lower"),
                     fround(yhat + width, 2).alias("yhat_upper"))

@@ -523,7 +523,8 @@ HORIZON = 90
 
 
 def _forecast_inputs(spark, sf):
-    daily = views.daily_total(b.nav_daily(spark, sf))
+    # one row per day: materialised once, every later step works on it
+    daily = cut_lineage(views.daily_total(b.nav_daily(spark, sf)))
     train, test = fc.time_split(daily, "ds", fc.split_point(daily, "ds", 0.8))
     horizon = cal.next_business_days(spark, train.select(F.max("ds")).scalar(), HORIZON)
     return daily, train, test, horizon
@@ -608,10 +609,11 @@ def _anomaly_run(spark, sf, trees=200):
     train = split.filter("is_train = 1")
     iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
         train, win.FEATURES, feature_keys())
-    scored = iso.score(split)
+    # scores feed the offset, the forest output and the ensemble: write them once
+    scored = cut_lineage(iso.score(split))
     iso.set_offset(scored.filter("is_train = 1"))
     rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees)
-    probs = an.class_probability(rf, scored, win.FEATURES)
+    probs = cut_lineage(an.class_probability(rf, scored, win.FEATURES))
     return split, iso, rf, probs
 
 

@@ -47,6 +47,33 @@ def exact_mean(col, w=None) -> Column:
     return _over(F.sum(x), w).cast("double") / _over(F.count(x), w)
 
 
+# Fast path for bounded frames (rolling windows): the same exact sums held as
+# BIGINT unscaled integers.  |x| < 10^6 units and at most a few dozen rows keep
+# n*S2 below 2^53, so every cast below is exact and the results are
+# bit-identical to the DECIMAL forms above.
+
+def _unscaled(col, scale: int) -> Column:
+    return (_c(col).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
+
+
+def bounded_mean(col, w, scale: int) -> Column:
+    u = _unscaled(col, scale)
+    return F.sum(u).over(w).cast("double") / float(10 ** scale) / F.count(u).over(w)
+
+
+def bounded_var_samp(col, w, scale: int = 6) -> Column:
+    u = _unscaled(col, scale)
+    n = F.count(u).over(w)
+    s1 = F.sum(u).over(w)
+    s2 = F.sum(u * u).over(w)
+    num = n * s2 - s1 * s1
+    return F.when(n > 1, num.cast("double") / float(10 ** (2 * scale)) / (n * (n - 1)).cast("double"))
+
+
+def bounded_std_samp(col, w, scale: int = 6) -> Column:
+    return F.sqrt(bounded_var_samp(col, w, scale))
+
+
 def last_value(value_col, order_col) -> Column:
     """Value at the greatest ``order_col`` in the group (iloc[-1] after a sort)."""
     return F.max_by(_c(value_col), _c(order_col))

@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround
-from fundlens.operators.aggregates import exact_mean, exact_std_samp
+from fundlens.operators.aggregates import bounded_mean, bounded_std_samp
+from fundlens.session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 250_000
 Z_EPS = 1e-8
@@ -53,6 +54,8 @@ def with_window(df: DataFrame, key: str, order: str, lookback: int,
     if block_rows <= lookback:
         raise ValueError("block_rows must exceed lookback")
     if plan == "auto":
+        # the size check and the window read the same rows: materialise them once
+        df = cut_lineage(df)
         plan = "blocked" if max_rows_per_key(df, key) > block_rows else "direct"
     if plan == "direct":
         w = Window.partitionBy(key).orderBy(order)
@@ -77,12 +80,14 @@ def rows_frame(w: WindowSpec, k: int) -> WindowSpec:
     return w.rowsBetween(-(k - 1), 0)
 
 
-def rolling_mean(col: str, w: WindowSpec, k: int) -> Column:
-    return exact_mean(col, rows_frame(w, k))
+def rolling_mean(col: str, w: WindowSpec, k: int, scale: int = 6) -> Column:
+    """Mean over the k-row trailing frame of a DECIMAL(., scale) column (exact sums)."""
+    return bounded_mean(col, rows_frame(w, k), scale)
 
 
-def rolling_std(col: str, w: WindowSpec, k: int, fill: float | None = 0.0) -> Column:
-    s = exact_std_samp(col, rows_frame(w, k))
+def rolling_std(col: str, w: WindowSpec, k: int, fill: float | None = 0.0, scale: int = 6) -> Column:
+    """Sample std over the k-row trailing frame; a single row gives ``fill``."""
+    s = bounded_std_samp(col, rows_frame(w, k), scale)
     return F.coalesce(s, F.lit(fill)) if fill is not None else s
 
 
@@ -93,10 +98,10 @@ def pct_change(col: str, w: WindowSpec) -> Column:
         F.try_divide((F.col(col) - prev).cast("double"), prev.cast("double")))
 
 
-def rolling_z(col: str, w: WindowSpec, k: int, min_rows: int) -> Column:
+def rolling_z(col: str, w: WindowSpec, k: int, min_rows: int, scale: int = 6) -> Column:
     f = rows_frame(w, k)
     n = F.count(F.col(col)).over(f)
-    z = (F.col(col).cast("double") - exact_mean(col, f)) / (exact_std_samp(col, f) + Z_EPS)
+    z = (F.col(col).cast("double") - bounded_mean(col, f, scale)) / (bounded_std_samp(col, f, scale) + Z_EPS)
     return F.when(n >= min_rows, z)
 
 
@@ -115,7 +120,7 @@ def anomaly_features(nav: DataFrame, key: str = "fund_id", order: str = "nav_dat
             rolling_mean("daily_return", w, long).alias("return_20d_avg"),
             rolling_std("daily_return", w, short).alias("return_5d_std"),
             rolling_std("daily_return", w, long).alias("return_20d_std"),
-            rolling_mean("aum", w, short).alias("aum_5d_avg"),
+            rolling_mean("aum", w, short, scale=2).alias("aum_5d_avg"),
             pct_change("aum", w).alias("aum_change_pct"),
             rolling_z("daily_return", w, long, z_min).alias("return_z_score"),
         ]

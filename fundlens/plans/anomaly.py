@@ -167,12 +167,15 @@ class IsolationForest:
         self.offset = None
         return self
 
-    def score_column(self) -> Column:
-        feat, thr, left, right = self._feat, self._thr, self._left, self._right
-        leafval, roots, cm = self._leafval, self._roots, self._cm
+    def score_column(self, spark) -> Column:
+        # the flat forest (bounded by trees x 2 x max_samples nodes) travels once
+        # per executor as a broadcast variable, not inside every task closure
+        forest = spark.sparkContext.broadcast(
+            (self._feat, self._thr, self._left, self._right, self._leafval, self._roots, self._cm))
 
         @F.pandas_udf(T.DoubleType())
         def score(x: pd.Series) -> pd.Series:
+            feat, thr, left, right, leafval, roots, cm = forest.value
             xs = np.vstack(x.to_numpy()) if len(x) else np.zeros((0, 1))
             rows = np.arange(len(xs))
             total = np.zeros(len(xs))
@@ -191,7 +194,7 @@ class IsolationForest:
         return score(F.array(*[F.col(c).cast("double") for c in self.features]))
 
     def score(self, df: DataFrame, out: str = "iso_score") -> DataFrame:
-        return df.withColumn(out, self.score_column())
+        return df.withColumn(out, self.score_column(df.sparkSession))
 
     def set_offset(self, scored_train: DataFrame, col: str = "iso_score") -> "IsolationForest":
         self.offset = exact_quantile(scored_train, col, self.contamination)

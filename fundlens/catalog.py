@@ -486,7 +486,7 @@ def q_ingest_run(spark, sf):
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.TimestampType(), True),
     T.StructField("user_id", T.LongType(), True), T.StructField("event_type", T.StringType(), True),
-    T.StructField("value", T.DecimalType(18, 2), True)])
+    T.StructField("value", T.DecimalType(18, 2), True), T.StructField("day", T.DateType(), True)])
 
 
 @register("incremental_ingest")
@@ -494,7 +494,8 @@ def q_incremental_ingest(spark, sf):
     """Land events as daily CSV files in two waves; ingest after each and once more."""
     root = scratch_path(spark, "stream")
     ev_ = b.read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type",
-                                             F.col("value").cast("decimal(18,2)").alias("value"))
+                                             F.col("value").cast("decimal(18,2)").alias("value"),
+                                             F.to_date("ts").alias("day"))
     day = F.to_date("ts")
     mid = ev_.select(F.percentile_approx(F.dayofmonth("ts"), 0.5)).scalar()
     wave1 = ev_.filter(F.dayofmonth(day) <= mid)
@@ -503,12 +504,12 @@ def q_incremental_ingest(spark, sf):
     redelivered = wave1.filter(F.dayofmonth(day) == mid)
     fs.write_table(fs.as_text(wave1), f"{root}/landing/w1", fmt="csv")
     args = dict(landing=f"{root}/landing/*", target=f"{root}/events", schema=EVENT_SCHEMA,
-                checkpoint=f"{root}/_checkpoint", key=["event_id"])
+                checkpoint=f"{root}/_checkpoint", key=["event_id"], partition_col="day")
     ing.ingest_incremental(spark, **args)
     fs.write_table(fs.as_text(wave2.unionByName(redelivered)), f"{root}/landing/w2", fmt="csv")
     ing.ingest_incremental(spark, **args)
     ing.ingest_incremental(spark, **args)
-    out = spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events")
+    out = spark.read.schema(EVENT_SCHEMA).parquet(f"{root}/events").drop("day")
     return as_doubles(out)
 
 
@@ -684,3 +685,24 @@ def q_ml_scores(spark, sf):
     anomaly = an.ensemble(iso.predict(probs), "rf_anomaly_prob", "iso_score")
     fc_ = _fund_forecasts(spark, sf).select("fund_id", "step", "yhat")
     return as_doubles(scr.assemble_scores(anomaly, _segments(spark, sf), fc_, "r1"))
+
+
+@register("quality_forecast")
+def q_quality_forecast(spark, sf):
+    _, train, _, horizon = _forecast_inputs(spark, sf)
+    pred = fc.seasonal_baseline(train, horizon)
+    return qa.expect(pred, [
+        qa.row_count(equals=HORIZON), qa.columns_exist(pred.columns, ["yhat", "yhat_lower", "yhat_upper"]),
+        qa.in_range("yhat", 0, None, lo_strict=True), qa.ordered("yhat_lower", "yhat", "yhat_upper"),
+        qa.relative_change("ds", "yhat", 0.5)])
+
+
+@register("quality_segments")
+def q_quality_segments(spark, sf):
+    f = _seg_features(spark, sf).withColumn("cluster_id", F.col("fund_id") % 5)
+    labels = sg.label_clusters(agg.cluster_profile(f)).select("cluster_id", "cluster_label")
+    seg = f.join(labels, "cluster_id")
+    return qa.expect(seg, [
+        qa.row_count(at_least=1), qa.distinct_count("cluster_id", 5), qa.not_null(["cluster_label"]),
+        qa.in_range("avg_return", -1, 1), qa.in_range("consistency", 0, 1),
+        qa.mean_below("underperformers", F.col("cluster_label") == "Underperformers", "avg_return", 0.01)])

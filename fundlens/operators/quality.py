@@ -130,6 +130,16 @@ def relative_change(order: str, value: str, max_change: float) -> Check:
                  [F.min_by(value, order), F.max_by(value, order)], v)
 
 
+def mean_below(name: str, where: Column, col: str, bound: float) -> Check:
+    """Mean of ``col`` over rows meeting ``where`` is below ``bound`` (passes when none)."""
+    def v(a):
+        return (a[0] is None or a[0] < bound), a[1], None if a[0] is None else float(a[0])
+    sel = F.coalesce(where, F.lit(False))
+    # the mean of doubles is shown to 10 places: its last bits depend on summation order
+    mean = F.round(F.avg(F.when(sel, F.col(col))).cast("decimal(38,10)"), 10).cast("double")
+    return Check(f"mean_below({name},{bound})", [mean, F.count_if(sel)], v)
+
+
 def columns_exist(df_columns: Sequence[str], required: Sequence[str]) -> Check:
     missing = [c for c in required if c not in set(df_columns)]
     return Check(f"columns_exist({','.join(required)})", [],

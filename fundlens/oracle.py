@@ -649,3 +649,43 @@ wins AS (""" + "\n UNION ALL ".join(
 named AS (SELECT cluster_id, arg_max(label, r) AS label FROM wins GROUP BY cluster_id)
 SELECT prof.*, COALESCE(named.label, 'Cluster ' || CAST(prof.cluster_id AS VARCHAR)) AS cluster_label
 FROM prof LEFT JOIN named USING (cluster_id)""")
+
+
+_rc = "ABS(CAST(arg_max(yhat, ds) AS DOUBLE) - CAST(arg_min(yhat, ds) AS DOUBLE)) / CAST(arg_min(yhat, ds) AS DOUBLE)"
+register("quality_forecast", checks_sql(with_ctes(NAV, FORECAST), "pred", [
+    ("row_count(eq=90,min=None)", "COUNT(*) = 90", "CASE WHEN COUNT(*) = 90 THEN 0 ELSE 1 END", "COUNT(*)"),
+    ("columns_exist(yhat,yhat_lower,yhat_upper)", "COUNT(*) >= 0", "COUNT(*) * 0", "COUNT(*) * 0"),
+    ("in_range(yhat,0,None)", f"{_bad('yhat > 0')} = 0", _bad('yhat > 0'), _bad('yhat > 0')),
+    ("ordered(yhat_lower<=yhat<=yhat_upper)", f"{_bad('yhat_lower <= yhat AND yhat <= yhat_upper')} = 0",
+     _bad('yhat_lower <= yhat AND yhat <= yhat_upper'), _bad('yhat_lower <= yhat AND yhat <= yhat_upper')),
+    ("relative_change(yhat,<0.5)", f"{_rc} < 0.5", "NULL", _rc),
+]))
+
+_up = fround("AVG(CASE WHEN cluster_label = 'Underperformers' THEN avg_return END)", 10)
+register("quality_segments", FEATURE_BASE + f"""
+, prof AS (SELECT fund_id % 5 AS cluster_id,
+                  {fround('AVG(avg_return)', 4)} AS avg_return, {fround('AVG(avg_sharpe)', 4)} AS avg_sharpe,
+                  {fround('AVG(avg_aum) / 1e6', 4)} AS avg_aum_m,
+                  {fround('CAST(SUM(total_anomalies) AS DOUBLE) / COUNT(*)', 4)} AS avg_anomalies
+           FROM features GROUP BY 1),
+wins AS (""" + "\n UNION ALL ".join(
+    f"(SELECT cluster_id, {i} AS r, '{lab}' AS label FROM prof ORDER BY {m} {d}, cluster_id LIMIT 1)"
+    for i, (m, d, lab) in enumerate(_rules)) + """),
+named AS (SELECT cluster_id, arg_max(label, r) AS label FROM wins GROUP BY cluster_id),
+seg AS (SELECT f.*, f.fund_id % 5 AS cluster_id,
+               COALESCE(n.label, 'Cluster ' || CAST(f.fund_id % 5 AS VARCHAR)) AS cluster_label
+        FROM features f LEFT JOIN named n ON n.cluster_id = f.fund_id % 5)
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS \"check\", CAST({ok} AS BOOLEAN) AS passed, CAST({fl} AS BIGINT) AS failing_rows, CAST({ob} AS DOUBLE) AS observed FROM seg"
+    for n, ok, fl, ob in [
+        ("row_count(eq=None,min=1)", "COUNT(*) >= 1", "CASE WHEN COUNT(*) >= 1 THEN 0 ELSE 1 END", "COUNT(*)"),
+        ("distinct_count(cluster_id,5)", "COUNT(DISTINCT cluster_id) = 5", "0", "COUNT(DISTINCT cluster_id)"),
+        ("not_null(cluster_label)", "COUNT(*) FILTER (WHERE cluster_label IS NULL) = 0",
+         "COUNT(*) FILTER (WHERE cluster_label IS NULL)", "COUNT(*) FILTER (WHERE cluster_label IS NULL)"),
+        ("in_range(avg_return,-1,1)", f"{_bad('avg_return >= -1 AND avg_return <= 1')} = 0",
+         _bad('avg_return >= -1 AND avg_return <= 1'), _bad('avg_return >= -1 AND avg_return <= 1')),
+        ("in_range(consistency,0,1)", f"{_bad('consistency >= 0 AND consistency <= 1')} = 0",
+         _bad('consistency >= 0 AND consistency <= 1'), _bad('consistency >= 0 AND consistency <= 1')),
+        ("mean_below(underperformers,0.01)", f"({_up} IS NULL OR {_up} < 0.01)",
+         "COUNT(*) FILTER (WHERE cluster_label = 'Underperformers')", _up),
+    ]))

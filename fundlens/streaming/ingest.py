@@ -13,24 +13,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.sources.files import conform
 
 
-def _ensure_target(spark: SparkSession, target: str, schema: T.StructType) -> None:
+def _ensure_target(spark: SparkSession, target: str, schema: T.StructType,
+                   partition_col: str | None) -> None:
     try:
         spark.read.schema(schema).parquet(target).limit(1).collect()
     except Exception:  # noqa: BLE001 - first run: create the empty table
-        spark.createDataFrame([], schema).write.mode("append").parquet(target)
+        w = spark.createDataFrame([], schema).write.mode("append")
+        (w.partitionBy(partition_col) if partition_col else w).parquet(target)
 
 
 def ingest_incremental(spark: SparkSession, landing: str, target: str, schema: T.StructType,
                        checkpoint: str, key: Sequence[str], quarantine: str | None = None,
-                       fmt: str = "csv", glob: str | None = None) -> int:
-    """Run one available-now pass; returns the number of rows appended."""
+                       fmt: str = "csv", glob: str | None = None,
+                       partition_col: str | None = None) -> int:
+    """Run one available-now pass; returns the number of rows appended.
+
+    With ``partition_col`` (a column the key determines, e.g. the event day)
+    the target is partitioned by it and each batch reads only the partitions
+    it touches for the duplicate check, instead of every key ever loaded.
+    """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    _ensure_target(spark, target, schema)
+    _ensure_target(spark, target, schema, partition_col)
     reader = spark.readStream.schema(text_schema if fmt == "csv" else schema).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
@@ -44,13 +53,18 @@ def ingest_incremental(spark: SparkSession, landing: str, target: str, schema: T
         good, bad = conform(batch, schema) if fmt == "csv" else (batch, None)
         if quarantine is not None and bad is not None:
             bad.write.mode("append").parquet(quarantine)
-        fresh = good.dropDuplicates(keys)
-        existing = spark.read.schema(schema).parquet(target).select(*keys)
-        fresh = fresh.join(existing, keys, "left_anti")
-        fresh = fresh.cache()
-        n = fresh.count()
+        fresh = good.dropDuplicates(keys).cache()
+        existing = spark.read.schema(schema).parquet(target)
+        if partition_col:
+            # partition values of one batch: bounded by the days it covers
+            touched = [r[0] for r in fresh.select(partition_col).distinct().collect()]
+            existing = existing.filter(F.col(partition_col).isin(touched))
+        new_rows = fresh.join(existing.select(*keys), keys, "left_anti").cache()
+        n = new_rows.count()
         if n:
-            fresh.write.mode("append").parquet(target)
+            w = new_rows.write.mode("append")
+            (w.partitionBy(partition_col) if partition_col else w).parquet(target)
+        new_rows.unpersist()
         fresh.unpersist()
         appended.add(n)
 

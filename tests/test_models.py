@@ -133,3 +133,19 @@ def test_expect_reports_every_check(spark):
     assert res["in_set(cls)"]["failing_rows"] == 1
     assert res["not_null(fee)"]["failing_rows"] == 1
     assert not res["columns_exist(id,missing)"]["passed"]
+
+
+def test_incremental_ingest_partitioned_target(spark):
+    root = scratch_path(spark, "test-stream-part")
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("day", T.DateType()),
+                           T.StructField("v", T.StringType())])
+    rows1 = [("1", "2024-01-01", "a"), ("2", "2024-01-02", "b")]
+    fs.write_table(spark.createDataFrame(rows1, "k string, day string, v string"), f"{root}/landing/a", fmt="csv")
+    args = dict(landing=f"{root}/landing/*", target=f"{root}/t", schema=schema, checkpoint=f"{root}/ck",
+                key=["k"], partition_col="day")
+    assert ing.ingest_incremental(spark, **args) == 2
+    rows2 = [("2", "2024-01-02", "b"), ("3", "2024-01-03", "c")]
+    fs.write_table(spark.createDataFrame(rows2, "k string, day string, v string"), f"{root}/landing/b", fmt="csv")
+    assert ing.ingest_incremental(spark, **args) == 1
+    got = spark.read.schema(schema).parquet(f"{root}/t").orderBy("k").collect()
+    assert [(r["k"], str(r["day"])) for r in got] == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")]

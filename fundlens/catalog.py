@@ -484,7 +484,7 @@ def q_ingest_run(spark, sf):
 
 
 EVENT_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.TimestampType(), True),
+    T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.TimestampNTZType(), True),
     T.StructField("user_id", T.LongType(), True), T.StructField("event_type", T.StringType(), True),
     T.StructField("value", T.DecimalType(18, 2), True), T.StructField("day", T.DateType(), True)])
 

@@ -158,10 +158,10 @@ def cluster_profile(features: DataFrame, cluster_col: str = "cluster_id",
 def group_argmax(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     """Group with the highest mean of ``value_col``; ties go to the smallest group."""
     means = df.groupBy(group_col).agg(F.avg(value_col).alias("mean_value"))
-    w = Window.orderBy(F.desc("mean_value"), F.asc(group_col))
-    # The means frame has one row per group; a global window over it is
-    # bounded by the number of groups, not by the data.
-    return means.withColumn("_rk", F.row_number().over(w)).filter("_rk = 1").drop("_rk")
+    # argmin of (-mean, group): an ordinary partial aggregate, whatever the group count
+    best = means.agg(F.min_by(F.struct(F.col(group_col).alias("g"), F.col("mean_value").alias("m")),
+                              F.struct(F.negative("mean_value"), F.col(group_col))).alias("_b"))
+    return best.select(F.col("_b.g").alias(group_col), F.col("_b.m").alias("mean_value"))
 
 
 def global_stats(df: DataFrame, col: str) -> DataFrame:

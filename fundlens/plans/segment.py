@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround
+from fundlens.operators.joins import bounded_broadcast
 from fundlens.session import cut_lineage
 
 CLUSTER_FEATURES = ["avg_return", "return_vol", "avg_active_ret", "avg_sharpe", "avg_aum",
@@ -117,6 +118,6 @@ def label_clusters(profile: DataFrame, rules=LABEL_RULES, cluster_col: str = "cl
 def map_values(df: DataFrame, col: str, mapping: DataFrame, key: str, value: str,
                out: str, default=None) -> DataFrame:
     """Replace ``col`` by its value in a small mapping frame (broadcast join)."""
-    m = mapping.select(F.col(key).alias("_k"), F.col(value).alias("_v"))
-    j = df.join(F.broadcast(m), df[col] == m["_k"], "left")
+    m = bounded_broadcast(mapping.select(F.col(key).alias("_k"), F.col(value).alias("_v")))
+    j = df.join(m, df[col] == m["_k"], "left")
     return j.withColumn(out, F.coalesce(F.col("_v"), F.lit(default))).drop("_k", "_v")

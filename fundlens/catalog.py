@@ -706,3 +706,33 @@ def q_quality_segments(spark, sf):
         qa.row_count(at_least=1), qa.distinct_count("cluster_id", 5), qa.not_null(["cluster_label"]),
         qa.in_range("avg_return", -1, 1), qa.in_range("consistency", 0, 1),
         qa.mean_below("underperformers", F.col("cluster_label") == "Underperformers", "avg_return", 0.01)])
+
+
+# --- the same views through Spark SQL ------------------------------------------
+
+from fundlens.plans import sql_views  # noqa: E402
+
+
+@register("sql_vw_aum_by_asset_class")
+def q_sql_vw_aum_by_asset_class(spark, sf):
+    sql_views.register_views(spark, sf_dir=sf)
+    return spark.sql("SELECT * FROM vw_aum_by_asset_class")
+
+
+@register("sql_vw_fund_performance")
+def q_sql_vw_fund_performance(spark, sf):
+    sql_views.register_views(spark, sf_dir=sf)
+    return spark.sql("SELECT * FROM vw_fund_performance")
+
+
+@register("sql_vw_cashflow_summary")
+def q_sql_vw_cashflow_summary(spark, sf):
+    fm = b.customer_dimension(spark, sf)
+    sql_views.register_views(spark, tables={"fund_master": fm, "cash_flows": b.cash_flows(spark, sf)})
+    return spark.sql("SELECT * FROM vw_cashflow_summary")
+
+
+@register("sql_vw_nav_anomalies")
+def q_sql_vw_nav_anomalies(spark, sf):
+    sql_views.register_views(spark, sf_dir=sf)
+    return spark.sql("SELECT * FROM vw_nav_anomalies")

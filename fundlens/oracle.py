@@ -689,3 +689,6 @@ seg AS (SELECT f.*, f.fund_id % 5 AS cluster_id,
         ("mean_below(underperformers,0.01)", f"({_up} IS NULL OR {_up} < 0.01)",
          "COUNT(*) FILTER (WHERE cluster_label = 'Underperformers')", _up),
     ]))
+
+for _v in ("aum_by_asset_class", "fund_performance", "cashflow_summary", "nav_anomalies"):
+    register(f"sql_vw_{_v}", ORACLE[_v])

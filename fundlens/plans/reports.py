@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround, mean_of, month_bucket
@@ -32,11 +32,9 @@ def aum_share(dim: DataFrame, nav: DataFrame, class_col: str = "asset_class",
               date_col: str = "nav_date") -> DataFrame:
     day = with_dimension(at_latest(nav, date_col), dim, "fund_id", [class_col])
     per = day.groupBy(class_col).agg(F.sum("aum").alias("_aum"))
-    # one row per class: the share window is over a bounded frame
-    total = F.sum("_aum").over(Window.partitionBy())
+    total = per.select(F.sum("_aum").cast("double")).scalar()      # scalar subquery
     return per.select(class_col, F.col("_aum").cast("double").alias("aum"),
-                      fround(F.col("_aum").cast("double") / total.cast("double") * 100, 4)
-                      .alias("share_pct"))
+                      fround(F.col("_aum").cast("double") / total * 100, 4).alias("share_pct"))
 
 
 def return_trend(monthly: DataFrame, class_col: str = "asset_class") -> DataFrame:
@@ -80,6 +78,6 @@ def cashflow_by_status(cash: DataFrame, type_col: str = "transaction_type",
 
 def status_breakdown(cash: DataFrame) -> DataFrame:
     per = cash.groupBy("status").agg(F.count(F.lit(1)).alias("transactions"))
-    total = F.sum("transactions").over(Window.partitionBy())
+    total = per.select(F.sum("transactions")).scalar()               # scalar subquery
     return per.select("status", "transactions",
                       fround(F.col("transactions").cast("double") / total * 100, 4).alias("share_pct"))

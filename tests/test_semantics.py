@@ -135,3 +135,27 @@ def test_monthly_sharpe_house_formula(spark):
 def test_group_argmax_tie_goes_to_smallest(spark):
     df = spark.createDataFrame([("b", 1.0), ("a", 1.0), ("c", 0.5)], "g string, v double")
     assert agg.group_argmax(df, "g", "v").first()["g"] == "a"
+
+
+def test_rounding_is_half_away_from_zero_on_the_decimal_form(spark):
+    from fundlens.functions.scalars import fround
+    df = spark.createDataFrame([(0.285,), (-2.5,), (1.005,), (2.675,)], "x double")
+    got = [r[0] for r in df.select(fround("x", 2)).collect()]
+    assert got == [0.29, -2.5, 1.01, 2.68]
+    assert df.select(fround("x", 0)).collect()[1][0] == -3.0
+
+
+def test_latest_date_view_drops_funds_without_a_row_that_day(spark):
+    from fundlens.plans import views
+    dim = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B")], "fund_id long, asset_class string")
+    nav = spark.createDataFrame(
+        [(1, "2024-01-02", 100.0, 0.01, 0.0, 0), (2, "2024-01-01", 50.0, 0.02, 0.0, 1),
+         (3, "2024-01-02", 10.0, -0.01, 0.0, 0)],
+        "fund_id long, nav_date string, aum double, daily_return double, active_return double, is_anomaly int")
+    nav = nav.select("fund_id", F.col("nav_date").cast("date").alias("nav_date"),
+                     F.col("aum").cast("decimal(20,2)").alias("aum"),
+                     F.col("daily_return").cast("decimal(10,6)").alias("daily_return"),
+                     F.col("active_return").cast("decimal(10,6)").alias("active_return"), "is_anomaly")
+    got = {r["asset_class"]: (r["fund_count"], r["total_anomalies"])
+           for r in views.aum_by_asset_class(dim, nav).collect()}
+    assert got == {"A": (1, 0), "B": (1, 0)}        # fund 2 has no row on 2024-01-02

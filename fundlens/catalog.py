@@ -12,10 +12,26 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlens import schemas
+from fundlens.functions import calendar as cal
+from fundlens.functions import scalars as sc
 from fundlens.operators import aggregates as agg
+from fundlens.operators import joins as jn
+from fundlens.operators import ordering as ordr
+from fundlens.operators import quality as qa
+from fundlens.operators import windows as win
+from fundlens.plans import anomaly as an
+from fundlens.plans import evaluate as ev
+from fundlens.plans import forecast as fc
+from fundlens.plans import reports as rp
+from fundlens.plans import scores as scr
+from fundlens.plans import segment as sg
+from fundlens.plans import sql_views
 from fundlens.plans import views
-from fundlens.session import cut_lineage
+from fundlens.session import cut_lineage, scratch_path
 from fundlens.sources import bindings as b
+from fundlens.sources import files as fs
+from fundlens.streaming import ingest as ing
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,8 +113,6 @@ def q_fund_features(spark, sf):
 
 # --- windows (E1-E7) --------------------------------------------------------
 
-from fundlens.operators import windows as win  # noqa: E402
-
 
 @register("anomaly_features")
 def q_anomaly_features(spark, sf):
@@ -119,11 +133,6 @@ def q_return_index(spark, sf):
 
 # --- ordering, ranks, quantiles (D11-D15, E6, F1-F6) -----------------------
 
-from fundlens.functions import calendar as cal  # noqa: E402
-from fundlens.functions import scalars as sc  # noqa: E402
-from fundlens.operators import ordering as ordr  # noqa: E402
-from fundlens.plans import evaluate as ev  # noqa: E402
-
 
 def _perf(spark, sf):
     return views.fund_performance(b.fund_dimension(spark, sf), _monthly(spark, sf))
@@ -291,10 +300,6 @@ def q_forecast_horizon_days(spark, sf):
 
 # --- data quality and constraints (L1-L17, N1-N6, C3, C6, C7, G1, G2) -------
 
-from fundlens import schemas  # noqa: E402
-from fundlens.operators import joins as jn  # noqa: E402
-from fundlens.operators import quality as qa  # noqa: E402
-from fundlens.plans import reports as rp  # noqa: E402
 
 REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
@@ -442,9 +447,6 @@ def q_status_breakdown(spark, sf):
 
 # --- sources, sinks, ingestion (A1-A12, I1) ---------------------------------
 
-from fundlens.session import scratch_path  # noqa: E402
-from fundlens.sources import files as fs  # noqa: E402
-from fundlens.streaming import ingest as ing  # noqa: E402
 
 NAV_CSV_COLUMNS = ["fund_id", "nav_date", "aum", "daily_return", "benchmark_return",
                    "active_return", "is_anomaly"]
@@ -515,10 +517,6 @@ def q_incremental_ingest(spark, sf):
 
 # --- forecasting (K1-K3, B1, C2, C3, D16) ----------------------------------
 
-from fundlens.plans import anomaly as an  # noqa: E402
-from fundlens.plans import forecast as fc  # noqa: E402
-from fundlens.plans import scores as scr  # noqa: E402
-from fundlens.plans import segment as sg  # noqa: E402
 
 HORIZON = 90
 
@@ -710,8 +708,6 @@ def q_quality_segments(spark, sf):
 
 # --- the same views through Spark SQL ------------------------------------------
 
-from fundlens.plans import sql_views  # noqa: E402
-
 
 @register("sql_vw_aum_by_asset_class")
 def q_sql_vw_aum_by_asset_class(spark, sf):

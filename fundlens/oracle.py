@@ -692,3 +692,41 @@ seg AS (SELECT f.*, f.fund_id % 5 AS cluster_id,
 
 for _v in ("aum_by_asset_class", "fund_performance", "cashflow_summary", "nav_anomalies"):
     register(f"sql_vw_{_v}", ORACLE[_v])
+
+FUND_FORECAST = f"""train AS (SELECT fund_id, nav_date AS ds, aum AS y FROM nav_daily),
+tr AS (SELECT fund_id, ds, CAST(datediff('day', (SELECT MIN(ds) FROM train), ds) AS BIGINT) AS t,
+              CAST(y AS DECIMAL(20,2)) AS y_ FROM train),
+s AS (SELECT fund_id, COUNT(*) AS n, SUM(t) AS st, SUM(t * t) AS stt, CAST(SUM(y_) AS DECIMAL(20,2)) AS sy,
+             CAST(SUM(CAST(t AS DECIMAL(10,0)) * y_) AS DECIMAL(28,2)) AS sty, MAX(ds) AS last_ds
+      FROM tr GROUP BY fund_id),
+c1 AS (SELECT *, CAST(CAST(n AS DECIMAL(9,0)) * sty - CAST(st AS DECIMAL(18,0)) * sy AS DOUBLE)
+                 / NULLIF(CAST(n * stt - st * st AS DOUBLE), 0) AS b FROM s),
+coef AS (SELECT *, (CAST(sy AS DOUBLE) - b * CAST(st AS DOUBLE)) / CAST(n AS DOUBLE) AS a FROM c1),
+fit AS (SELECT tr.*, coef.a + coef.b * CAST(tr.t AS DOUBLE) AS trend, dayofweek(ds) AS wd, month(ds) AS mo
+        FROM tr JOIN coef USING (fund_id)),
+swd AS (SELECT fund_id, wd, {fround('AVG(CAST(y_ AS DOUBLE) / trend)', 12)} AS s_wd FROM fit GROUP BY 1, 2),
+fit2 AS (SELECT fit.*, s_wd FROM fit JOIN swd USING (fund_id, wd)),
+smo AS (SELECT fund_id, mo, {fround('AVG(CAST(y_ AS DOUBLE) / (trend * s_wd))', 12)} AS s_mo FROM fit2 GROUP BY 1, 2),
+fit3 AS (SELECT fit2.*, s_mo FROM fit2 JOIN smo USING (fund_id, mo)),
+sig AS (SELECT fund_id, {fround('SQRT(AVG((CAST(y_ AS DOUBLE) - trend * s_wd * s_mo) * (CAST(y_ AS DOUBLE) - trend * s_wd * s_mo)))', 4)} AS sigma
+        FROM fit3 GROUP BY fund_id),
+hz AS (SELECT CAST(generate_series AS DATE) AS ds
+       FROM generate_series(((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 1 DAY)::TIMESTAMP,
+                            ((SELECT MAX(nav_date) FROM nav_daily) + INTERVAL 200 DAY)::TIMESTAMP, INTERVAL 1 DAY)
+       WHERE isodow(CAST(generate_series AS DATE)) <= 5 ORDER BY ds LIMIT 90),
+marks AS (SELECT ds, ROW_NUMBER() OVER (ORDER BY ds) AS step FROM hz),
+h AS (SELECT f.fund_id, m.ds, m.step FROM (SELECT DISTINCT fund_id FROM nav_daily) f, marks m
+      WHERE m.step IN (30, 60, 90)),
+p AS (SELECT h.fund_id, h.ds, h.step,
+             (coef.a + coef.b * CAST(datediff('day', (SELECT MIN(ds) FROM train), h.ds) AS DOUBLE))
+               * COALESCE(swd.s_wd, 1.0::DOUBLE) * COALESCE(smo.s_mo, 1.0::DOUBLE) AS yhat,
+             1.2815515655446004 * sig.sigma
+               * SQRT(1 + CAST(datediff('day', coef.last_ds, h.ds) AS DOUBLE) / CAST(coef.n AS DOUBLE)) AS width
+      FROM h JOIN coef USING (fund_id)
+      LEFT JOIN swd ON swd.fund_id = h.fund_id AND swd.wd = dayofweek(h.ds)
+      LEFT JOIN smo ON smo.fund_id = h.fund_id AND smo.mo = month(h.ds)
+      LEFT JOIN sig ON sig.fund_id = h.fund_id)"""
+
+register("fund_forecasts", with_ctes(NAV, FUND_FORECAST) + f"""
+SELECT fund_id, ds, {fround('yhat', 2)} AS yhat, {fround('yhat - width', 2)} AS yhat_lower,
+       {fround('yhat + width', 2)} AS yhat_upper, step FROM p""")

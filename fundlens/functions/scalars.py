@@ -20,8 +20,10 @@ def fround(col, places: int) -> Column:
 
     The value is first cast to DECIMAL(38,10) so that the rounding acts on
     decimal digits, not on the binary approximation (0.285 rounds to 0.29).
+    NaN, infinities and magnitudes beyond the decimal range pass unchanged.
     """
-    return F.round(_c(col).cast("decimal(38,10)"), places).cast("double")
+    x = _c(col)
+    return F.coalesce(F.round(x.try_cast("decimal(38,10)"), places).cast("double"), x)
 
 
 def dround(col, places: int) -> Column:

@@ -10,7 +10,7 @@ ORACLE: dict[str, str] = {}
 
 
 def fround(expr: str, places: int) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    return f"COALESCE(CAST(ROUND(TRY_CAST({expr} AS DECIMAL(38,10)), {places}) AS DOUBLE), {expr})"
 
 
 def to_decimal(expr: str, p: int, s: int) -> str:

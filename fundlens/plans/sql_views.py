@@ -18,7 +18,7 @@ from fundlens.sources import bindings
 
 
 def _r(expr: str, places: int) -> str:
-    return f"CAST(ROUND(CAST({expr} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
+    return f"COALESCE(CAST(ROUND(TRY_CAST({expr} AS DECIMAL(38,10)), {places}) AS DOUBLE), {expr})"
 
 
 def _mean(x: str) -> str:

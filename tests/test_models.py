@@ -149,3 +149,24 @@ def test_incremental_ingest_partitioned_target(spark):
     assert ing.ingest_incremental(spark, **args) == 1
     got = spark.read.schema(schema).parquet(f"{root}/t").orderBy("k").collect()
     assert [(r["k"], str(r["day"])) for r in got] == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")]
+
+
+def test_anomaly_scores_like_the_published_checks(spark, sf_small):
+    """Output checks of the anomaly stage: probabilities in [0, 1], 0.5%-5% flagged."""
+    from fundlens.catalog import QUERIES
+    df = QUERIES["nav_anomaly_scores"](spark, sf_small).toPandas()
+    assert len(df) > 0
+    assert df["rf_anomaly_prob"].between(0, 1).all()
+    assert 0.005 <= df["rf_is_anomaly"].mean() <= 0.05
+    assert df["iso_score"].between(-1, 0).all()
+
+
+def test_segments_like_the_published_checks(spark, sf_small):
+    """Output checks of the segmentation stage: one row per fund, 5 labelled clusters."""
+    from fundlens.catalog import QUERIES
+    from fundlens.sources import bindings as bd
+    seg = QUERIES["fund_segments"](spark, sf_small).toPandas()
+    funds = {r[0] for r in bd.fund_dimension(spark, sf_small).select("fund_id").collect()}
+    assert set(seg["fund_id"]) == funds
+    assert seg["cluster_id"].nunique() == 5 and seg["cluster_label"].notna().all()
+    assert seg["avg_return"].between(-1, 1).all() and seg["consistency"].between(0, 1).all()

@@ -139,9 +139,9 @@ def test_group_argmax_tie_goes_to_smallest(spark):
 
 def test_rounding_is_half_away_from_zero_on_the_decimal_form(spark):
     from fundlens.functions.scalars import fround
-    df = spark.createDataFrame([(0.285,), (-2.5,), (1.005,), (2.675,)], "x double")
+    df = spark.createDataFrame([(0.285,), (-2.5,), (1.005,), (2.675,), (3e30,), (float("inf"),)], "x double")
     got = [r[0] for r in df.select(fround("x", 2)).collect()]
-    assert got == [0.29, -2.5, 1.01, 2.68]
+    assert got == [0.29, -2.5, 1.01, 2.68, 3e30, float("inf")]
     assert df.select(fround("x", 0)).collect()[1][0] == -3.0
 
 

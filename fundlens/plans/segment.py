@@ -78,7 +78,7 @@ def segment(df: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES, k: int = 5, r
     data = _scaled(df, cols).cache()
 
     def fit(i):
-        model = KMeans(k=k, seed=seed + i, maxIter=20, tol=1e-6).fit(data)
+        model = KMeans(k=k, seed=seed + i, maxIter=20, tol=1e-4).fit(data)
         return model.summary.trainingCost, i, model
 
     # restarts are independent: submitted as concurrent Spark jobs; the

@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files of frames that are no longer referenced are removed
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 

@@ -159,3 +159,11 @@ def test_latest_date_view_drops_funds_without_a_row_that_day(spark):
     got = {r["asset_class"]: (r["fund_count"], r["total_anomalies"])
            for r in views.aum_by_asset_class(dim, nav).collect()}
     assert got == {"A": (1, 0), "B": (1, 0)}        # fund 2 has no row on 2024-01-02
+
+
+def test_blocked_plan_on_real_nav_data(spark, sf_small):
+    from fundlens.sources import bindings as bd
+    nav = bd.nav_daily(spark, sf_small)
+    a = win.anomaly_features(nav, plan="direct").orderBy("fund_id", "nav_date").collect()
+    b = win.anomaly_features(nav, plan="auto", block_rows=50).orderBy("fund_id", "nav_date").collect()
+    assert len(a) == len(b) > 0 and [tuple(r) for r in a] == [tuple(r) for r in b]

@@ -31,6 +31,7 @@ from fundlens.plans import views
 from fundlens.session import cut_lineage, scratch_path
 from fundlens.sources import bindings as b
 from fundlens.sources import files as fs
+from fundlens.sources import layout as lay
 from fundlens.streaming import ingest as ing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -732,3 +733,14 @@ def q_sql_vw_cashflow_summary(spark, sf):
 def q_sql_vw_nav_anomalies(spark, sf):
     sql_views.register_views(spark, sf_dir=sf)
     return spark.sql("SELECT * FROM vw_nav_anomalies")
+
+
+# --- file layout (indexes as partitioning and clustering) ---------------------
+
+
+
+@register("nav_latest_from_layout")
+def q_nav_latest_from_layout(spark, sf):
+    path = scratch_path(spark, "nav-by-month")
+    lay.write_by_month(b.nav_daily(spark, sf), path, "nav_date", "fund_id")
+    return as_doubles(lay.read_latest(spark, path, "nav_date"))

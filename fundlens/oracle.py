@@ -730,3 +730,9 @@ p AS (SELECT h.fund_id, h.ds, h.step,
 register("fund_forecasts", with_ctes(NAV, FUND_FORECAST) + f"""
 SELECT fund_id, ds, {fround('yhat', 2)} AS yhat, {fround('yhat - width', 2)} AS yhat_lower,
        {fround('yhat + width', 2)} AS yhat_upper, step FROM p""")
+
+register("nav_latest_from_layout", with_ctes(NAV) + """
+SELECT fund_id, nav_date, nav, CAST(aum AS DOUBLE) AS aum, CAST(daily_return AS DOUBLE) AS daily_return,
+       CAST(benchmark_return AS DOUBLE) AS benchmark_return, CAST(active_return AS DOUBLE) AS active_return,
+       is_anomaly
+FROM nav_daily WHERE nav_date = (SELECT MAX(nav_date) FROM nav_daily)""")

@@ -362,11 +362,14 @@ def q_orphan_counts(spark, sf):
     sup = b.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("fund_id"))
     cash = b.cash_flows(spark, sf)
     cust = b.read(spark, sf, "customer").select(F.col("c_custkey").alias("fund_id"))
-    nav_or = jn.orphans(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
-    return jn.orphans(li, sup, "fund_id").agg(F.count(F.lit(1)).alias("lineitem_orphans")).select(
+    nav_or = jn.orphan_keys(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
+
+    def total(o):
+        return o.select(F.coalesce(F.sum("rows"), F.lit(0)).cast("long"))
+    return total(jn.orphan_keys(li, sup, "fund_id")).toDF("lineitem_orphans").select(
         "lineitem_orphans",
-        jn.orphans(cash, cust, "fund_id").select(F.count(F.lit(1))).scalar().alias("cash_orphans"),
-        nav_or.select(F.count(F.lit(1))).scalar().alias("nav_orphans"))
+        total(jn.orphan_keys(cash, cust, "fund_id")).scalar().alias("cash_orphans"),
+        total(nav_or).scalar().alias("nav_orphans"))
 
 
 @register("null_counts")

@@ -42,9 +42,9 @@ def with_dimension(fact: DataFrame, dim: DataFrame, key: str | Sequence[str] = "
 
 
 def present_in(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key exists in ``other`` (left semi join)."""
+    """Rows of ``df`` whose key exists in ``other`` (left semi join on its distinct keys)."""
     keys = _keys(key)
-    return df.join(other.select(*keys), on=keys, how="left_semi")
+    return df.join(other.select(*keys).distinct(), on=keys, how="left_semi")
 
 
 def orphans(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
@@ -53,6 +53,17 @@ def orphans(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFr
     return fact.join(dim.select(*keys), on=keys, how="left_anti")
 
 
+def orphan_keys(fact: DataFrame, dim: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Orphan keys with their fact row counts.
+
+    The fact is reduced to one row per key (map-side combined) before the anti
+    join, so a key holding a third of the fact is one row in the shuffle.
+    """
+    keys = _keys(key)
+    per_key = fact.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return per_key.join(dim.select(*keys).distinct(), on=keys, how="left_anti")
+
+
 def key_set_diff(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """One row: distinct keys of ``a`` missing from ``b`` and the reverse."""
     keys = _keys(key)

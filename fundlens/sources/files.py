@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens import schemas
-from fundlens.operators.joins import orphans
+from fundlens.operators.joins import orphan_keys
 
 # Batch sizes of the daily load per table (fixed values of the ingest plan).
 BATCH_SIZES = {"fund_master": 1000, "nav_daily": 5000, "cash_flows": 2000, "trades": 2000}
@@ -138,7 +138,7 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, DataFrame], target_roo
     run_date = run_date or dt.date.today().isoformat()
     dim = sources["fund_master"]
     for name in LOAD_ORDER[1:]:
-        if name in sources and orphans(sources[name], dim, "fund_id").limit(1).count():
+        if name in sources and orphan_keys(sources[name], dim, "fund_id").limit(1).count():
             log_run(spark, f"{target_root}/_run_log", pipeline, "Failed", run_date)
             raise ValueError(f"{name} has fund_id values missing from fund_master")
     loaded = {}

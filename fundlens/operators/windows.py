@@ -11,7 +11,8 @@ Two physical plans compute identical results:
   (key, block): a key holding a third of the table is spread over many tasks
   and the results are exact.
 
-``plan="auto"`` measures the largest key with one aggregate and picks.
+``plan="auto"`` finds the keys above ``block_rows`` with one aggregate and
+sends only their rows through the blocked plan.
 """
 
 from __future__ import annotations
@@ -23,9 +24,11 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround
 from fundlens.operators.aggregates import bounded_mean, bounded_std_samp
+from fundlens.operators.joins import bounded_broadcast
 from fundlens.session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 250_000
+HOT_KEYS_BROADCAST = 100_000
 Z_EPS = 1e-8
 
 
@@ -49,19 +52,39 @@ def with_window(df: DataFrame, key: str, order: str, lookback: int,
     """Add the columns ``build(w)`` where ``w`` is an ordered per-key window.
 
     ``build`` must only use frames reaching at most ``lookback`` rows back.
-    (key, order) must be unique.
+    (key, order) must be unique.  ``plan="auto"`` finds the keys holding more
+    than ``block_rows`` rows and runs only those through the blocked plan;
+    every other key takes the single-shuffle direct plan.
     """
     if block_rows <= lookback:
         raise ValueError("block_rows must exceed lookback")
-    if plan == "auto":
-        # the size check and the window read the same rows: materialise them once
-        df = cut_lineage(df)
-        plan = "blocked" if max_rows_per_key(df, key) > block_rows else "direct"
     if plan == "direct":
-        w = Window.partitionBy(key).orderBy(order)
-        return df.select("*", *build(w))
-    if plan != "blocked":
+        return _direct(df, key, order, build)
+    if plan == "blocked":
+        return _blocked(df, key, order, lookback, build, block_rows, bucket)
+    if plan != "auto":
         raise ValueError(plan)
+    # the size check and the windows read the same rows: materialise them once
+    df = cut_lineage(df)
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block_rows) \
+        .select(key)
+    if hot.limit(1).count() == 0:
+        return _direct(df, key, order, build)
+    # at most rows / block_rows keys can be hot; broadcast the list when it is small
+    hot = bounded_broadcast(hot, HOT_KEYS_BROADCAST)
+    cold_rows = df.join(hot, key, "left_anti")
+    hot_rows = df.join(hot, key, "left_semi")
+    return _direct(cold_rows, key, order, build).unionByName(
+        _blocked(hot_rows, key, order, lookback, build, block_rows, bucket))
+
+
+def _direct(df: DataFrame, key: str, order: str, build) -> DataFrame:
+    w = Window.partitionBy(key).orderBy(order)
+    return df.select("*", *build(w))
+
+
+def _blocked(df: DataFrame, key: str, order: str, lookback: int, build, block_rows: int,
+             bucket: str) -> DataFrame:
     offsets = key_row_counts(df, key, order, bucket).select(key, "_tb", "_off")
     j = df.withColumn("_tb", F.date_trunc(bucket, F.col(order))).join(offsets, [key, "_tb"])
     pos = F.col("_off") + F.row_number().over(Window.partitionBy(key, "_tb").orderBy(order)) - 1

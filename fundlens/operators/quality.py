@@ -146,6 +146,15 @@ def columns_exist(df_columns: Sequence[str], required: Sequence[str]) -> Check:
                  lambda a: (not missing, len(missing), float(len(missing))), schema_only=True)
 
 
+def output_exists(spark, path: str, fmt: str = "parquet") -> bool:
+    """True when ``path`` holds a readable table (the schema is read, no rows)."""
+    try:
+        spark.read.format(fmt).load(path).limit(0).collect()
+        return True
+    except Exception:  # noqa: BLE001 - missing path or unreadable files
+        return False
+
+
 def expect(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Evaluate ``checks`` in one aggregate pass; one result row per check."""
     exprs, spans = [], []

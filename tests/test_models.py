@@ -170,3 +170,13 @@ def test_segments_like_the_published_checks(spark, sf_small):
     assert set(seg["fund_id"]) == funds
     assert seg["cluster_id"].nunique() == 5 and seg["cluster_label"].notna().all()
     assert seg["avg_return"].between(-1, 1).all() and seg["consistency"].between(0, 1).all()
+
+
+def test_output_exists_and_defaults(spark):
+    root = scratch_path(spark, "test-exists")
+    assert not qa.output_exists(spark, f"{root}/missing")
+    df = spark.createDataFrame([(1, None), (2, 1)], "id int, is_anomaly int")
+    fs.write_table(df, f"{root}/t")
+    assert qa.output_exists(spark, f"{root}/t")
+    filled = qa.with_defaults(spark.read.parquet(f"{root}/t"), {"is_anomaly": 0})
+    assert sorted(tuple(r) for r in filled.collect()) == [(1, 0), (2, 1)]

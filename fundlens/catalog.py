@@ -482,11 +482,15 @@ def q_row_counts(spark, sf):
 
 @register("ingest_run")
 def q_ingest_run(spark, sf):
+    """Land the model tables as delimited files, then run the daily file load."""
     root = scratch_path(spark, "ingest")
     dim = b.fund_dimension(spark, sf)
-    srcs = {"fund_master": dim, "nav_daily": b.nav_daily(spark, sf),
-            "trades": b.trades(spark, sf).join(dim.select("fund_id"), "fund_id", "left_semi")}
-    return fs.ingest_all(spark, srcs, root, run_date="2024-01-02")
+    landed = {"fund_master": dim, "nav_daily": b.nav_daily(spark, sf),
+              "trades": b.trades(spark, sf).join(dim.select("fund_id"), "fund_id", "left_semi")}
+    for name, df in landed.items():
+        fs.write_table(fs.as_text(df), f"{root}/landing/{fs.FILE_NAMES[name]}", fmt="csv")
+    return fs.ingest_files(spark, f"{root}/landing", f"{root}/tables", run_date="2024-01-02",
+                           names=list(landed))
 
 
 EVENT_SCHEMA = T.StructType([

@@ -95,24 +95,38 @@ def global_rank(df: DataFrame, value: str, descending: bool = True,
 def exact_quantiles(df: DataFrame, value: str, ps: list[float]) -> list[float | None]:
     """Linear-interpolated quantiles (as pandas ``quantile`` / SQL ``quantile_cont``).
 
-    One prefix pass serves all ``ps``; only 2 x len(ps) distinct values and a
-    count reach the driver.
+    Distinct values are cut into bounded ranges; the per-range counts (one
+    row per range) locate the ranges holding the target ranks, and only those
+    ranges are ordered.  Only 2 x len(ps) values reach the driver.
     """
-    pref = cut_lineage(value_prefix(df, value, {"_n": F.lit(1)}))
-    n = pref.agg(F.sum("_n")).first()[0]
+    d = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
+    d = _with_range(cut_lineage(d), value)
+    totals = sorted((int(r["_rng"]), int(r["t"]))
+                    for r in d.groupBy("_rng").agg(F.sum("_n").alias("t")).collect())
+    n = sum(t for _, t in totals)
     if not n:
         return [None for _ in ps]
-    want = []
-    for p in ps:
-        pos = (n - 1) * p
-        want.append((pos, math.floor(pos), math.ceil(pos)))
+    offsets, run = {}, 0
+    for rng, t in totals:
+        offsets[rng] = run
+        run += t
+    want = [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in ps]
     ranks = sorted({r for _, lo, hi in want for r in (lo, hi)})
+
+    def range_of(rank: int) -> int:
+        return max(rng for rng, off in offsets.items() if off <= rank)
+
+    needed = sorted({range_of(r) for r in ranks})
+    off = F.create_map(*[x for rng in needed for x in (F.lit(float(rng)), F.lit(offsets[rng]))])
+    w = Window.partitionBy("_rng").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    sub = d.filter(F.col("_rng").isin([float(r) for r in needed])).withColumn(
+        "_n_below", off[F.col("_rng")] + F.coalesce(F.sum("_n").over(w), F.lit(0)))
     hit = None
     for r in ranks:
         c = (F.col("_n_below") <= r) & (F.lit(r) < F.col("_n_below") + F.col("_n"))
         hit = c if hit is None else hit | c
     rows = [(int(r["_n_below"]), int(r["_n"]), float(r[value]))
-            for r in pref.filter(hit).select("_n_below", "_n", value).collect()]
+            for r in sub.filter(hit).select("_n_below", "_n", value).collect()]
 
     def at(rank: int) -> float:
         return next(v for below, cnt, v in rows if below <= rank < below + cnt)

@@ -92,7 +92,9 @@ def segment(df: DataFrame, cols: Sequence[str] = CLUSTER_FEATURES, k: int = 5, r
     # k rows: the renumbering window is bounded by k
     ids = means.withColumn(out, (F.row_number().over(
         Window.orderBy(F.desc("_m"), "_raw_cluster")) - 1).cast("int")).select("_raw_cluster", out)
-    res = pred.join(F.broadcast(ids), "_raw_cluster").drop("_raw_cluster", "features")
+    # materialise before the cached matrix is released: profile, labels and
+    # output all read the assignments
+    res = cut_lineage(pred.join(F.broadcast(ids), "_raw_cluster").drop("_raw_cluster", "features"))
     data.unpersist()
     return res
 

@@ -92,31 +92,29 @@ def global_rank(df: DataFrame, value: str, descending: bool = True,
     return df.join(ranks, value, "left")
 
 
-def exact_quantiles(df: DataFrame, value: str, ps: list[float]) -> list[float | None]:
-    """Linear-interpolated quantiles (as pandas ``quantile`` / SQL ``quantile_cont``).
+def order_statistics(df: DataFrame, value: str, ranks) -> tuple[int, dict]:
+    """For 0-based ``ranks`` (or a function of the row count giving them) in the
+    ascending order of non-null ``value``:
+    {rank: (value at that rank, rows with a smaller value)}, plus the row count.
 
-    Distinct values are cut into bounded ranges; the per-range counts (one
-    row per range) locate the ranges holding the target ranks, and only those
-    ranges are ordered.  Only 2 x len(ps) values reach the driver.
+    Distinct values are cut into bounded ranges; the per-range counts (one row
+    per range) locate the ranges holding the ranks and only those are ordered.
     """
     d = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
     d = _with_range(cut_lineage(d), value)
     totals = sorted((int(r["_rng"]), int(r["t"]))
                     for r in d.groupBy("_rng").agg(F.sum("_n").alias("t")).collect())
     n = sum(t for _, t in totals)
-    if not n:
-        return [None for _ in ps]
+    if callable(ranks):                      # ranks may depend on the row count
+        ranks = ranks(n)
+    ranks = sorted({r for r in ranks if 0 <= r < n})
+    if not ranks:
+        return n, {}
     offsets, run = {}, 0
     for rng, t in totals:
         offsets[rng] = run
         run += t
-    want = [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in ps]
-    ranks = sorted({r for _, lo, hi in want for r in (lo, hi)})
-
-    def range_of(rank: int) -> int:
-        return max(rng for rng, off in offsets.items() if off <= rank)
-
-    needed = sorted({range_of(r) for r in ranks})
+    needed = sorted({max(rng for rng, off in offsets.items() if off <= r) for r in ranks})
     off = F.create_map(*[x for rng in needed for x in (F.lit(float(rng)), F.lit(offsets[rng]))])
     w = Window.partitionBy("_rng").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     sub = d.filter(F.col("_rng").isin([float(r) for r in needed])).withColumn(
@@ -125,15 +123,27 @@ def exact_quantiles(df: DataFrame, value: str, ps: list[float]) -> list[float |
     for r in ranks:
         c = (F.col("_n_below") <= r) & (F.lit(r) < F.col("_n_below") + F.col("_n"))
         hit = c if hit is None else hit | c
-    rows = [(int(r["_n_below"]), int(r["_n"]), float(r[value]))
+    rows = [(int(r["_n_below"]), int(r["_n"]), r[value])
             for r in sub.filter(hit).select("_n_below", "_n", value).collect()]
+    return n, {r: next((v, below) for below, cnt, v in rows if below <= r < below + cnt)
+               for r in ranks}
 
-    def at(rank: int) -> float:
-        return next(v for below, cnt, v in rows if below <= rank < below + cnt)
 
+def exact_quantiles(df: DataFrame, value: str, ps: list[float]) -> list[float | None]:
+    """Linear-interpolated quantiles (as pandas ``quantile`` / SQL ``quantile_cont``).
+
+    Only the two values around each target position reach the driver.
+    """
+    def targets(n: int) -> list[int]:
+        return [r for p in ps for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))]
+
+    n, at = order_statistics(df, value, targets)
+    if not n:
+        return [None for _ in ps]
+    want = [((n - 1) * p, math.floor((n - 1) * p), math.ceil((n - 1) * p)) for p in ps]
     out = []
     for pos, lo, hi in want:
-        v_lo, v_hi = at(lo), at(hi)
+        v_lo, v_hi = float(at[lo][0]), float(at[hi][0])
         out.append(v_lo if lo == hi else v_lo + (pos - lo) * (v_hi - v_lo))
     return out
 

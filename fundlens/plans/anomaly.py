@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlens.operators.ordering import exact_quantile, value_prefix
+from fundlens.operators.ordering import exact_quantile, order_statistics
+from fundlens.session import cut_lineage
 
 HASH_P = 2147483647          # Mersenne prime 2^31 - 1
 HASH_A = 48271               # MINSTD multiplier
@@ -51,19 +52,44 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac
                      seed: int = 42, out: str = "is_train") -> DataFrame:
     """Exact per-class split: the floor(frac * n_class) rows of lowest hash go to train.
 
-    Ranks come from per-hash counts (``value_prefix``), so no class is ever
-    sorted in a single task; hash collisions are ordered by the key.
+    Per class (a label has few values) the hash at rank floor(frac * n) is
+    found with a range-targeted order statistic; rows below it are train, rows
+    above are test, and only the few rows tied with it are ordered by key.
     """
-    d = df.withColumn("_h", portable_hash(list(key_cols), seed))
-    pref = value_prefix(d, "_h", {"_n": F.lit(1)}, partition=label)
-    sizes = d.groupBy(label).agg(F.floor(F.count(F.lit(1)) * frac).alias("_k"))
-    take = pref.join(sizes, label).select(
-        label, "_h", F.least(F.greatest(F.col("_k") - F.col("_n_below"), F.lit(0)), F.col("_n"))
-        .alias("_take"))
-    j = d.join(take, [label, "_h"])
-    order = [F.col("_h")] + list(key_cols)
-    rn = F.row_number().over(Window.partitionBy(label, "_h").orderBy(*order))
-    return j.withColumn(out, (rn <= F.col("_take")).cast("int")).drop("_h", "_take")
+    keys = [F.col(c) if isinstance(c, str) else c for c in key_cols]
+    names = [f"_k{i}" for i in range(len(keys))]
+    d = cut_lineage(df.select("*", *[k.alias(n) for k, n in zip(keys, names)],
+                              portable_hash(keys, seed).alias("_h")))
+    flag = F.lit(0)
+    ties = []
+    for row in d.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():   # one row per class
+        cls, n = row[label], row["n"]
+        k = math.floor(n * frac)
+        in_cls = F.col(label).isNull() if cls is None else (F.col(label) == F.lit(cls))
+        if k == 0:
+            continue
+        if k >= n:
+            flag = F.when(in_cls, 1).otherwise(flag)
+            continue
+        _, at = order_statistics(d.filter(in_cls), "_h", [k - 1])
+        h_star, below = at[k - 1]
+        take = k - below                                   # tied rows that still go to train
+        flag = F.when(in_cls & (F.col("_h") < h_star), 1).when(
+            in_cls & (F.col("_h") == h_star), F.lit(None)).otherwise(flag)
+        ties.append((in_cls & (F.col("_h") == h_star), take))
+    res = d.withColumn(out, flag.cast("int"))
+    if ties:
+        cond = None
+        for c, _ in ties:
+            cond = c if cond is None else cond | c
+        tied = res.filter(cond)                            # hash collisions only: a few rows
+        take_col = F.lit(0)
+        for c, take in ties:
+            take_col = F.when(c, F.lit(take)).otherwise(take_col)
+        rn = F.row_number().over(Window.partitionBy(label).orderBy(*[F.col(n) for n in names]))
+        tied = tied.withColumn(out, (rn <= take_col).cast("int"))
+        res = res.filter(~cond | cond.isNull()).unionByName(tied)
+    return res.drop("_h", *names)
 
 
 # --- isolation forest ------------------------------------------------------

@@ -21,6 +21,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # scan splits and post-shuffle partitions of ~128 MB fit comfortably in
+    # executor memory; AQE merges small shuffle partitions and splits skewed ones
+    "spark.sql.files.maxPartitionBytes": "128MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.ui.enabled": "false",
     # checkpoint files of frames that are no longer referenced are removed
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -85,3 +89,13 @@ def cut_lineage(df):
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def shuffle_partitions_for(shuffle_bytes: float, target_bytes: float = 128 * 2**20,
+                           minimum: int = 8) -> int:
+    """Initial ``spark.sql.shuffle.partitions`` for an expected shuffle volume.
+
+    AQE only coalesces, so start at (at least) one partition per target size:
+    e.g. 2.5 TB of shuffle data -> 20,000 partitions of ~128 MB.
+    """
+    return max(minimum, int(-(-shuffle_bytes // target_bytes)))

@@ -12,10 +12,12 @@ executors inside a vectorised pandas UDF, and every row is scored there.
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -26,6 +28,10 @@ from pyspark.sql import types as T
 from fundlens.operators.ordering import exact_quantile, order_statistics
 from fundlens.session import cut_lineage
 
+# The tree builder and the scorer run in Python workers.  Pickle this module's
+# functions by value so executors need nothing but numpy and pandas installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 HASH_P = 2147483647          # Mersenne prime 2^31 - 1
 HASH_A = 48271               # MINSTD multiplier
 EULER_GAMMA = 0.5772156649015329

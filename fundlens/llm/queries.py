@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import maxscore, packing
+from fundlens.llm import lsh_forest, maxscore, packing
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,10 +27,10 @@ def op1_maxscore_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 ORACLE["op1_maxscore_topk"] = """
 WITH x AS (
-  SELECT vec_id, min(list_transform(embedding, c -> floor(64 * c::DOUBLE))) AS x
+  SELECT vec_id, min(list_transform(embedding, lambda c: floor(64 * c::DOUBLE))) AS x
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, c -> c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
   GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.x, v.x) AS BIGINT) AS score
@@ -45,3 +45,8 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @register
 def op8_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@register
+def op10_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf, "documents"), size=2)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import lsh_forest, maxscore, packing
+from fundlens.llm import difference_cover, lsh_forest, maxscore, packing
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,8 @@ def op8_pack_sequences(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op10_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
     return lsh_forest.near_duplicates(table(spark, sf, "documents"), size=2)
+
+
+@register
+def op9_difference_cover(spark: SparkSession, sf: str) -> DataFrame:
+    return difference_cover.remove_repeats(table(spark, sf, "documents"))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +31,12 @@ def tasks(df: DataFrame) -> int:
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows kept for evaluation: crc32 of the id as text is a multiple of five."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def worker_cache() -> dict:
+    """Objects kept for the life of a Python worker.
+
+    Functions that travel by value get fresh module globals with every task; a module
+    entry of its own outlives them.
+    """
+    return sys.modules.setdefault("fundlens_worker_cache", types.ModuleType("fundlens_worker_cache")).__dict__

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fundlens.llm.common import materialise
+from fundlens.llm.common import materialise, worker_cache
 
 MAX_LENGTH = 4096
 END_ID = 2
@@ -37,25 +37,40 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
+        self._ends = np.array([t.endswith("</w>") for t, _ in sorted(self._tok.get_vocab().items(), key=lambda x: x[1])])
         self._chunks: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of each word: many words are encoded as one text and parted at word-end tokens."""
+        out: list[bytes] = []
+        for lo in range(0, len(words), 4096):
+            part = words[lo:lo + 4096]
+            ids = np.frombuffer(b"".join(self._encode([" ".join(part[i:i + 256]) for i in range(0, len(part), 256)])), "<u4")
+            cut = [0, *(4 * (np.flatnonzero(self._ends[ids]) + 1)).tolist()]
+            data = ids.tobytes()
+            out += [data[x:y] for x, y in zip(cut, cut[1:])] if len(cut) == len(part) + 1 else self._encode(part)
+        return out
+
     def _learn(self, chunks: set[str]) -> None:
         if len(self._chunks) > CACHE_CHUNKS:
             self._chunks.clear()
         if len(self._parts) > CACHE_CHUNKS:
-            self._parts = {"": b""}
+            self._parts, self._older = {"": b""}, self._parts
+        parts, older = self._parts, self._older
         split = {c: m.groups() for c in chunks if (m := self._plain.fullmatch(c))}
         split = {c: (w.lower(), p) for c, (w, p) in split.items()}
-        new = list({x for pair in split.values() for x in pair if x not in self._parts})
-        self._parts.update(zip(new, self._encode(new)))
+        new = {x for pair in split.values() for x in pair if x not in parts}
+        parts.update((x, older[x]) for x in new if x in older)
+        new = [x for x in new if x not in parts]
+        parts.update(zip(new, self._encode_words(new)))
         rest = [c for c in chunks if c not in split]
         self._chunks.update(zip(rest, self._encode(rest)))
-        parts = self._parts
         self._chunks.update((c, parts[w] + parts[p]) for c, (w, p) in split.items())
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -76,7 +91,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, e
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer_path)
+        kept = worker_cache()
+        encode = kept.get(tokenizer_path) or kept.setdefault(tokenizer_path, Encoder(tokenizer_path))
         for b in batches:
             ids, texts = b.column(0), b.column(1)
             for lo in range(0, b.num_rows, 128):

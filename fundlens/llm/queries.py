@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import difference_cover, lsh_forest, maxscore, packing
+from fundlens.llm import difference_cover, line_dedup, lsh_forest, maxscore, packing
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,11 @@ def op10_lsh_forest(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op9_difference_cover(spark: SparkSession, sf: str) -> DataFrame:
     return difference_cover.remove_repeats(table(spark, sf, "documents"))
+
+
+@register
+def op2_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf, "documents"))
+
+
+ORACLE["op2_line_chunks"] = line_dedup.SQL

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import difference_cover, line_dedup, lsh_forest, maxscore, packing
+from fundlens.llm import difference_cover, line_dedup, lsh_forest, maxscore, packing, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +63,8 @@ def op2_line_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 ORACLE["op2_line_chunks"] = line_dedup.SQL
+
+
+@register
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import difference_cover, line_dedup, lsh_forest, maxscore, packing, toxicity
+from fundlens.llm import difference_cover, langid, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +68,13 @@ ORACLE["op2_line_chunks"] = line_dedup.SQL
 @register
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register
+def op6_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@register
+def op7_kneser_ney_langid(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "documents"))

@@ -37,16 +37,23 @@ def class_weights(y: np.ndarray, sizes: dict[int, int]) -> np.ndarray:
     return np.array([sizes[c] / have[c] for c in (0, 1)])[y]
 
 
-def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Coefficients (intercept first) of a weighted ridge logistic regression by Newton steps.
+def calibrate(x: np.ndarray, y: np.ndarray, sizes: dict[int, int], prior: float, ridge: float = 1.0) -> np.ndarray:
+    """Coefficients for a sample weighted to the classes' shares of all labelled rows.
 
-    Without rows of both classes the fit is the smoothed share of class 1 alone.
+    A sample without rows of both classes gives the share of class 1 among all labelled
+    rows, smoothed by one row of which ``prior`` is class 1.
     """
+    if len(set(y.tolist())) < 2:
+        share = (sizes[1] + prior) / (sizes[0] + sizes[1] + 1)
+        return np.array([np.log(share / (1 - share)), *np.zeros(x.shape[1])])
+    return logistic(x, y, class_weights(y, sizes), ridge)
+
+
+def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Coefficients (intercept first) of a weighted ridge logistic regression by Newton steps."""
     beta = np.zeros(x.shape[1] + 1)
     ones, total = float((w * y).sum()), float(w.sum())
     beta[0] = np.log((ones + 0.5) / (total - ones + 0.5))
-    if not 0 < ones < total:
-        return beta
     w = w * len(y) / total
     a = np.column_stack([np.ones(len(x)), x])
     penalty = np.full(a.shape[1], ridge)

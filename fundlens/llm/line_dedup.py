@@ -54,6 +54,25 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
     empty table gives no rows; other columns are not read.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    gone = repeated_chunks(docs, window, divisor)
+    kept = kept_lines(F.col("text"), F.col("gone"), window, divisor)
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
+    return (docs.join(gone, "doc_id", "left")
+            .withColumns({"n_lines": n_lines, "left": F.when(F.col("gone").isNotNull(), kept)})
+            .select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("left", "\n")).alias("text"),
+                    "n_lines",
+                    F.when(F.col("gone").isNull(), 0).otherwise(F.col("n_lines") - F.size("left")).alias("n_removed")))
+
+
+def kept_lines(text: Column, gone: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
+    """The lines of a text without the chunks whose numbers are in ``gone``."""
+    parts = F.transform(line_chunks(text, window, divisor), lambda c, i: F.struct(i.alias("i"), c.alias("c")))
+    kept = F.filter(parts, lambda p: ~F.array_contains(gone, p["i"]))
+    return F.flatten(F.transform(kept, lambda p: _contents(p["c"])))
+
+
+def repeated_chunks(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR) -> DataFrame:
+    """(doc_id, gone): numbers of the chunks that stand elsewhere before, for documents with any."""
     chunks = (docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
               .select("doc_id", F.posexplode(line_chunks(F.col("text"), window, divisor)).alias("no", "chunk"))
               .where(F.col("chunk").contains("\n"))
@@ -65,18 +84,9 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, divisor: int = DIVISOR,
                 .agg(F.count(F.lit(1)).alias("contents"), F.min("first").alias("first"), F.max("last").alias("last"))
                 .where("contents = 1 AND first <> last").select("hash", "first"))
     repeated = materialise(repeated, "chunks-repeated")
-    gone = (chunks.select("doc_id", "no", "hash").join(repeated, "hash")
+    return (chunks.select("doc_id", "no", "hash").join(repeated, "hash")
             .where(F.struct("doc_id", "no") != F.col("first"))
             .groupBy("doc_id").agg(F.collect_set("no").alias("gone")))
-    parts = F.transform(line_chunks(F.col("text"), window, divisor), lambda c, i: F.struct(i.alias("i"), c.alias("c")))
-    kept = F.filter(parts, lambda p: ~F.array_contains(F.col("gone"), p["i"]))
-    left = F.flatten(F.transform(kept, lambda p: _contents(p["c"])))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
-    return (docs.join(gone, "doc_id", "left")
-            .withColumns({"n_lines": n_lines, "left": F.when(F.col("gone").isNotNull(), left)})
-            .select("doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join("left", "\n")).alias("text"),
-                    "n_lines",
-                    F.when(F.col("gone").isNull(), 0).otherwise(F.col("n_lines") - F.size("left")).alias("n_removed")))
 
 
 #: The same by DuckDB, for unique ids.

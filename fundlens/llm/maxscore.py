@@ -73,7 +73,7 @@ def block_top_k(qx: np.ndarray, qid: np.ndarray, x: np.ndarray, ids: np.ndarray,
     # sums of integers stay exact in float64 up to 2^53
     exact = float(np.abs(qx).max(initial=0)) * float(np.abs(x).max(initial=0)) * x.shape[1] < 2**53
     if not exact:
-        qx, x = qx.astype(object), x.astype(object)
+        qx, x = (np.array([[int(v) for v in r] for r in a], object) for a in (qx, x))
     hi, lo = x.max(0), x.min(0)
     ub = np.maximum(qx * hi, qx * lo)
     spread = ub - np.minimum(qx * hi, qx * lo)
@@ -134,7 +134,8 @@ def top_k(df: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "em
     packed into blocks; every query block meets every row block once, each meeting
     keeps ``k`` rows a query, and one window per query merges the shards.  Vectors are
     compared only with vectors of the same length; nulls, non-finite components and
-    empty vectors take no part; a repeated id counts once.  An empty table gives no rows.
+    empty vectors take no part; a repeated id counts once; scores beyond a long are held at
+    its ends.  An empty table gives no rows.
     """
     x = materialise(quantise(df, id_col, vec_col, scale), "maxscore-rows")
     n, n_query = x.agg(F.count(F.lit(1)), F.count(F.when(F.col("vec_id") % query_mod == 0, 1))).first()
@@ -153,7 +154,7 @@ def top_k(df: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "em
                 q, i, s = block_top_k(np.frombuffer(r["qrows"]).reshape(len(qid), -1), qid,
                                       np.frombuffer(r["rows"]).reshape(len(ids), -1), ids, k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(qid[q]), pa.array(i), pa.array([int(v) for v in s], pa.int64())],
+                    [pa.array(qid[q]), pa.array(i), pa.array([min(max(int(v), -2**63), 2**63 - 1) for v in s], pa.int64())],
                     names=["query_id", "vec_id", "score"])
 
     found = meet.mapInArrow(search, "query_id long, vec_id long, score long")

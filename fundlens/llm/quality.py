@@ -97,7 +97,7 @@ def quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, dict
     seen = rest.select("y", "text").mapInArrow(measure, "y int, x array<double>").collect()
     y = np.array([r["y"] for r in seen], int)
     x = np.array([r["x"] for r in seen]).reshape(-1, FEATURES)
-    beta = fit.logistic(x, y, fit.class_weights(y, sizes), 0.1) if len(y) else np.zeros(FEATURES + 1)
+    beta = fit.calibrate(x, y, sizes, 0.5, 0.1)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in rows_of(batches):

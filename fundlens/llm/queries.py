@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fundlens.llm import difference_cover, langid, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
+from fundlens.llm import decontaminate, difference_cover, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,3 +78,13 @@ def op6_compression_quality(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op7_kneser_ney_langid(spark: SparkSession, sf: str) -> DataFrame:
     return langid.identify(table(spark, sf, "documents"))
+
+
+@register
+def op4_template_windows(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.decontaminate(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@register
+def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents"))

@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fundlens.llm import fit
 from fundlens.llm.common import held_out, materialise
@@ -32,6 +33,9 @@ WINDOW_WORDS = 8
 CACHE_WORDS = 400_000
 STATES = 200_000
 FEATURES = 8
+SCORE = "_toxicity"
+#: Score of every text when there is nothing to learn from: not toxic.
+NO_EVIDENCE = 0.25
 _word = re.compile(r"[^\W_]+")
 # fixed values: marks of quotation, words of report and of address in the corpus languages
 QUOTES = "\"“”„«»‘’‹›"
@@ -219,8 +223,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, thr
     class that are not held out; everything else covers all rows.  Null and empty texts
     have no matches and get the score of such a text; rows with a null id are scored and
     not held out; repeated rows are scored each; without labels of both classes every score
-    is the smoothed share of class 1; an empty table gives no rows.
+    is the share of class 1, smoothed towards not toxic; an empty table gives no rows.
     """
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return (score_rows(docs, labels, per_class).select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col(SCORE).alias("score"),
+        (F.col(SCORE) >= threshold).cast("int").alias("predicted")))
+
+
+def score_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with all their columns and the score in a column of its own."""
     sample, sizes = fit.labelled_sample(docs, labels, "toxic", per_class, "toxicity", id_col, text_col)
     sample = materialise(sample, "toxicity-sample")
     words, stems = learn_lexicon(sample)
@@ -231,22 +244,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, thr
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)
-                yield part, np.array([features(t or "", m) for t in part.column(1).to_pylist()])
+                yield part, np.array([features(t or "", m) for t in part[text_col].to_pylist()])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in rows_of(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x.tolist(), pa.list_(pa.float64()))], names=["y", "x"])
 
-    seen = sample.select("y", "text").mapInArrow(measure, "y int, x array<double>").collect()
+    seen = sample.select("y", F.col("text").alias(text_col)).mapInArrow(measure, "y int, x array<double>").collect()
     y = np.array([r["y"] for r in seen], int)
     x = np.array([r["x"] for r in seen]).reshape(-1, FEATURES)
-    beta = fit.logistic(x, y, fit.class_weights(y, sizes)) if len(y) else np.zeros(FEATURES + 1)
+    beta = fit.calibrate(x, y, sizes, NO_EVIDENCE)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, x in rows_of(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fit.probability(x, beta))], names=["doc_id", "score"])
+            yield part.append_column(SCORE, pa.array(fit.probability(x, beta)))
 
-    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(score, "doc_id long, score double")
-            .select("doc_id", held_out("doc_id").alias("held_out"), "score",
-                    (F.col("score") >= threshold).cast("int").alias("predicted")))
+    return docs.mapInArrow(score, StructType([*docs.schema.fields, StructField(SCORE, DoubleType())]))

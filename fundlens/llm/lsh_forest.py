@@ -22,9 +22,12 @@ DEPTHS = (4, 5, 6, 8, 16, 32, 64, SIGNATURE)
 REGION_ROWS = 2048
 #: Candidates need an estimate of at least the threshold less this (4.2 standard errors at 0.8 over 128 keys).
 MARGIN = 0.15
+#: Keys and margin (4 standard errors) of the sharper sketch that the second round compares.
+SHARP = 1024
+SHARP_MARGIN = 0.05
 _rng = np.random.default_rng(8128)
-_XOR = _rng.integers(0, 1 << 63, SIGNATURE, dtype=np.uint64)
-_MUL = _rng.integers(0, 1 << 62, SIGNATURE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_XOR = _rng.integers(0, 1 << 63, SHARP, dtype=np.uint64)
+_MUL = _rng.integers(0, 1 << 62, SHARP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -47,20 +50,39 @@ def shingle_sets(texts: pa.Array, size: int) -> Iterator[tuple[int, list[np.ndar
         yield b.lo, sets
 
 
+def _min_keys(sets: list[np.ndarray], n_keys: int) -> np.ndarray:
+    """MinHash keys of every set; an empty set has zeros."""
+    n = np.array([len(s) for s in sets])
+    keys = np.zeros((len(sets), n_keys), "<u4")
+    if (full := np.flatnonzero(n)).size:
+        flat = np.concatenate(sets)
+        at = (np.cumsum(n) - n)[full]
+        for k in range(n_keys):
+            v = flat ^ _XOR[k]
+            v *= _MUL[k]
+            keys[full, k] = np.minimum.reduceat(v, at) >> np.uint64(32)
+    return keys
+
+
+def sharp_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(doc_id, sketch): one byte of each of ``SHARP`` keys."""
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo, sets in shingle_sets(b.column(1), size):
+                keys = _min_keys(sets, SHARP).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, len(sets)), pa.array([k.tobytes() for k in keys], pa.binary())],
+                                                 names=["doc_id", "sketch"])
+
+    return texts.select("doc_id", "text").mapInArrow(sign, "doc_id long, sketch binary")
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, set_hash, sig): shingle count, 128-bit hash of the set, MinHash keys."""
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo, sets in shingle_sets(b.column(1), size):
                 n = np.array([len(s) for s in sets])
-                keys = np.zeros((len(sets), SIGNATURE), "<u4")
-                if (full := np.flatnonzero(n)).size:
-                    flat = np.concatenate(sets)
-                    at = (np.cumsum(n) - n)[full]
-                    for k in range(SIGNATURE):
-                        v = flat ^ _XOR[k]
-                        v *= _MUL[k]
-                        keys[full, k] = np.minimum.reduceat(v, at) >> np.uint64(32)
+                keys = _min_keys(sets, SIGNATURE)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, len(sets)), pa.array(n, pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
@@ -155,7 +177,7 @@ def _estimate(sketch: np.ndarray, at: int) -> np.ndarray:
     return (same - 1 / 256) / (1 - 1 / 256)
 
 
-def candidates(members: DataFrame, floor: float, spanning: bool) -> DataFrame:
+def candidates(members: DataFrame, floor: float, n_keys: int, spanning: bool) -> DataFrame:
     """Links (a, b) to confirm inside the regions; members: (region, doc_id, component, sketch)."""
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -184,7 +206,7 @@ def candidates(members: DataFrame, floor: float, spanning: bool) -> DataFrame:
             if not x.num_rows:
                 continue
             now = [x["region"].to_numpy(), x["doc_id"].to_numpy(), x["component"].to_numpy(),
-                   np.frombuffer(b"".join(x["sketch"].to_pylist()), np.uint8).reshape(-1, SIGNATURE)]
+                   np.frombuffer(b"".join(x["sketch"].to_pylist()), np.uint8).reshape(-1, n_keys)]
             held = [np.concatenate(p) for p in zip(held, now)] if held else now
             out, held = links(*held, False)
             yield out
@@ -219,8 +241,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     Returns doc_id, n_shingles, component_id (least id reachable over links) and kept.
     Rows with equal sets are collapsed to their least id first.  Candidates are rows that
     share a prefix in one of the forest's sorted orders: a first round confirms a spanning
-    forest of each region, a second every remaining candidate between components, so no
-    candidate is left unchecked; links are confirmed on full sets.  Texts that are null or
+    forest of each region, a second every remaining candidate between components (by a sharper
+    sketch), so none is left unchecked; links are confirmed on full sets.  Texts that are null or
     have no words are linked with nothing.  Rows that repeat a doc_id are one node of the
     link graph (its texts stay apart); a null doc_id gives component_id null, kept true.
     An empty table gives no rows; other columns are not read.
@@ -237,13 +259,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     texts = materialise(docs.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "forest-texts")
     sketch = nodes.select("doc_id", F.col("sig")).mapInArrow(_sketch, "doc_id long, sketch binary")
     member = materialise(member.join(sketch, "doc_id"), "forest-sketches")
-    floor = num / den - MARGIN
-    first = confirm(candidates(member.withColumn("component", F.col("doc_id")), floor, True), texts, size, num, den)
-    first = materialise(first, "forest-links")
-    comp = components(first)
-    known = member.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    second = confirm(candidates(known, floor, False), texts, size, num, den)
+    first = candidates(member.withColumn("component", F.col("doc_id")), num / den - MARGIN, SIGNATURE, True)
+    first = materialise(confirm(first, texts, size, num, den), "forest-links")
+    known = (member.select("region", "doc_id").join(components(first).withColumnRenamed("node", "doc_id"), "doc_id", "left")
+             .withColumn("component", F.coalesce("component", "doc_id")))
+    mixed = known.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    known = materialise(known.join(mixed, "region", "left_semi"), "forest-mixed")
+    sharp = sharp_sketches(texts.join(known.select("doc_id").distinct(), "doc_id"), size)
+    second = candidates(known.join(sharp, "doc_id"), num / den - SHARP_MARGIN, SHARP, False)
+    second = confirm(second, texts, size, num, den)
     # a row whose id stands for another set too carries the link between the two classes
     twice = full.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo <> hi")
     shared = (full.join(twice, "doc_id", "left_semi").join(reps.withColumnRenamed("doc_id", "b"), "set_hash")

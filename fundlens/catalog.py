@@ -263,7 +263,9 @@ def q_trade_notional(spark, sf):
 
 @register("market_regime")
 def q_market_regime(spark, sf):
-    ev_ = b.read(spark, sf, "events").select("event_id", F.to_date("ts").alias("d"))
+    # the events lie in one month: dealt over the 73 months up to it they meet every rule
+    ev_ = b.read(spark, sf, "events").select(
+        "event_id", F.add_months(F.to_date("ts"), -(F.col("event_id") % 73).cast("int")).alias("d"))
     nav = b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("d"))
     dim = b.fund_dimension(spark, sf).select("fund_id", "asset_class")
     rows = nav.join(dim, "fund_id")
@@ -353,39 +355,57 @@ def q_duplicate_trade_keys(spark, sf):
 
 @register("duplicate_nav_keys")
 def q_duplicate_nav_keys(spark, sf):
-    return qa.duplicate_keys(b.nav_daily(spark, sf), ["fund_id", "nav_date"])
+    nav = b.nav_daily(spark, sf)
+    return qa.duplicate_keys(nav.unionByName(nav.where("fund_id % 10 = 4")), ["fund_id", "nav_date"])
 
 
 @register("orphan_counts")
 def q_orphan_counts(spark, sf):
     li = b.read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("fund_id"))
-    sup = b.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("fund_id"))
+    # a tenth of each dimension's keys is taken away, so that the checks have something to find
+    sup = b.read(spark, sf, "supplier").select(F.col("s_suppkey").alias("fund_id")).where("fund_id % 10 <> 3")
     cash = b.cash_flows(spark, sf)
-    cust = b.read(spark, sf, "customer").select(F.col("c_custkey").alias("fund_id"))
-    nav_or = jn.orphan_keys(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
+    cust = b.read(spark, sf, "customer").select(F.col("c_custkey").alias("fund_id")).where("fund_id % 10 <> 3")
+    nav_or = jn.orphans(b.nav_daily(spark, sf), b.fund_dimension(spark, sf).where("fund_id % 10 <> 3"), "fund_id")
 
     def total(o):
         return o.select(F.coalesce(F.sum("rows"), F.lit(0)).cast("long"))
     return total(jn.orphan_keys(li, sup, "fund_id")).toDF("lineitem_orphans").select(
         "lineitem_orphans",
         total(jn.orphan_keys(cash, cust, "fund_id")).scalar().alias("cash_orphans"),
-        total(nav_or).scalar().alias("nav_orphans"))
+        nav_or.select(F.count(F.lit(1))).scalar().alias("nav_orphans"))
 
 
 @register("null_counts")
 def q_null_counts(spark, sf):
-    return qa.null_counts(b.cash_flows(spark, sf), schemas.NOT_NULL["cash_flows"] + ["amount", "status"])
+    cash = b.cash_flows(spark, sf)
+    for col, every in (("fund_id", 11), ("amount", 10), ("status", 7)):
+        cash = cash.withColumn(col, F.when(F.col("transaction_id") % every != 0, F.col(col)))
+    return qa.null_counts(cash, schemas.NOT_NULL["cash_flows"] + ["amount", "status"])
+
+
+@register("defaults_applied")
+def q_defaults_applied(spark, sf):
+    nav = b.nav_daily(spark, sf).withColumn("is_anomaly", F.when(F.col("fund_id") % 10 != 5, F.col("is_anomaly")))
+    filled = qa.with_defaults(nav, fs.DEFAULTS["nav_daily"])
+    return filled.groupBy("is_anomaly").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("schema_violations")
 def q_schema_violations(spark, sf):
-    t = b.trades(spark, sf).withColumn("commission", F.col("notional") * F.col("tax_rate"))
-    return qa.schema_violations(t, schemas.TRADES, {"trade_id": 15, "direction": 4})
+    order = F.split_part("trade_id", F.lit("-"), F.lit(1)).cast("long")
+    t = b.trades(spark, sf).withColumns({
+        "trade_id": F.concat("trade_id", F.when(order % 10 == 0, "-amended-late").otherwise("")),
+        "quantity": F.when(order % 8 == 0, F.lit(3_000_000_000)).otherwise(F.col("quantity").cast("long")),
+        "commission": F.col("notional") * F.when(order % 9 == 0, 10_000_000).otherwise(0)})
+    declared = fs.project_schema(schemas.TRADES, ["trade_id", "trade_date", "quantity", "commission"])
+    return qa.schema_violations(t, declared, schemas.MAX_LENGTH["trades"])
 
 
 @register("key_sets")
 def q_key_sets(spark, sf):
-    return jn.key_set_diff(b.nav_daily(spark, sf), b.fund_dimension(spark, sf), "fund_id")
+    return jn.key_set_diff(b.nav_daily(spark, sf).where("fund_id % 10 <> 1"),
+                           b.fund_dimension(spark, sf).where("fund_id % 10 <> 2"), "fund_id")
 
 
 @register("cash_on_nav_dates")
@@ -441,7 +461,9 @@ def q_anomalies_over_time(spark, sf):
 
 @register("cashflow_by_status")
 def q_cashflow_by_status(spark, sf):
-    return rp.cashflow_by_status(b.cash_flows(spark, sf))
+    tenth = F.col("transaction_id") % 10
+    status = F.when(tenth == 3, "Cancelled").when(tenth == 7, F.lit(None)).otherwise(F.col("status"))
+    return rp.cashflow_by_status(b.cash_flows(spark, sf).withColumn("status", status))
 
 
 @register("status_breakdown")
@@ -468,10 +490,22 @@ def q_csv_roundtrip_nav(spark, sf):
 @register("conform_cash_flows")
 def q_conform_cash_flows(spark, sf):
     raw = fs.as_text(b.cash_flows(spark, sf))
-    good, bad = fs.conform(raw, schemas.CASH_FLOWS)
+    good, _ = fs.conform(raw, schemas.CASH_FLOWS)
     return as_doubles(good)
 
 
+@register("conform_quarantine")
+def q_conform_quarantine(spark, sf):
+    """Faults by key; every row is either good (no errors) or kept with the names of its faults."""
+    raw, k = fs.as_text(b.cash_flows(spark, sf)), F.col("transaction_id").cast("long")
+    raw = raw.withColumns({"fund_id": F.when(k % 13 != 0, F.col("fund_id")),
+                           "transaction_date": F.when(k % 11 == 0, "soon").otherwise(F.col("transaction_date")),
+                           "amount": F.when(k % 10 == 1, "n/a").otherwise(F.col("amount"))})
+    good, bad = fs.conform(raw, schemas.CASH_FLOWS)
+    errors = good.select(F.lit("").alias("errors")).unionByName(bad.select(F.array_join("_errors", ",").alias("errors")))
+    return errors.groupBy("errors").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register("row_counts")
 def q_row_counts(spark, sf):
     return fs.row_counts({"fund_master": b.fund_dimension(spark, sf),
@@ -480,17 +514,50 @@ def q_row_counts(spark, sf):
                           "trades": b.trades(spark, sf)})
 
 
+def _model_files(spark, sf, root, missing=None):
+    """Land the four model tables as delimited files: one dimension for both kinds of fund.
+
+    ``missing`` takes dimension keys away by the given conditions on suppliers and customers.
+    """
+    fund, cash_fund, prefixed = b.fund_dimension(spark, sf), b.customer_dimension(spark, sf), "CAST(fund_id AS STRING)"
+    if missing:
+        fund, cash_fund = fund.where(f"NOT ({missing[0]})"), cash_fund.where(f"NOT ({missing[1]})")
+
+    def keyed(df, kind):
+        return df.withColumn("fund_id", F.concat(F.lit(kind), F.expr(prefixed)))
+
+    def declared(df, schema):
+        return df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast("string").alias(f.name)
+                           for f in schema.fields])
+
+    landed = {"fund_master": keyed(fund, "S").unionByName(keyed(cash_fund, "C"), allowMissingColumns=True),
+              "nav_daily": keyed(b.nav_daily(spark, sf), "S"), "cash_flows": keyed(b.cash_flows(spark, sf), "C"),
+              "trades": keyed(b.trades(spark, sf), "S")}
+    for name, df in landed.items():
+        fs.write_table(fs.as_text(declared(df, fs.SCHEMAS[name])), f"{root}/landing/{fs.FILE_NAMES[name]}", fmt="csv")
+
+
 @register("ingest_run")
 def q_ingest_run(spark, sf):
-    """Land the model tables as delimited files, then run the daily file load."""
+    """Land all four model tables, run the daily file load, return its counts and its log record."""
     root = scratch_path(spark, "ingest")
-    dim = b.fund_dimension(spark, sf)
-    landed = {"fund_master": dim, "nav_daily": b.nav_daily(spark, sf),
-              "trades": b.trades(spark, sf).join(dim.select("fund_id"), "fund_id", "left_semi")}
-    for name, df in landed.items():
-        fs.write_table(fs.as_text(df), f"{root}/landing/{fs.FILE_NAMES[name]}", fmt="csv")
-    return fs.ingest_files(spark, f"{root}/landing", f"{root}/tables", run_date="2024-01-02",
-                           names=list(landed))
+    _model_files(spark, sf, root)
+    out = fs.ingest_files(spark, f"{root}/landing", f"{root}/tables", run_date="2024-01-02")
+    log = spark.read.parquet(f"{root}/tables/_run_log")
+    return out.select("*", *[log.select(c).scalar().alias(f"logged_{c.removesuffix('_name')}")
+                             for c in ("pipeline_name", "status", "run_date")])
+
+
+@register("ingest_orphans")
+def q_ingest_orphans(spark, sf):
+    """A load whose facts have keys without a dimension row: it must fail and log what is missing."""
+    root = scratch_path(spark, "ingest-orphans")
+    _model_files(spark, sf, root, ("fund_id % 10 = 3", "fund_id % 10 = 4"))
+    try:
+        fs.ingest_files(spark, f"{root}/landing", f"{root}/tables", run_date="2024-01-02")
+    except ValueError:
+        return spark.read.parquet(f"{root}/tables/_run_log").select("status", "details")
+    raise AssertionError("the orphan gate did not fire")
 
 
 EVENT_SCHEMA = T.StructType([
@@ -499,6 +566,25 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.DecimalType(18, 2), True), T.StructField("day", T.DateType(), True)])
 
 
+@register("ingest_quarantine")
+def q_ingest_quarantine(spark, sf):
+    """Events with faults made by key: what conforms is appended, the rest is kept aside and counted."""
+    root, k = scratch_path(spark, "stream-bad"), F.col("event_id")
+    ev_ = b.read(spark, sf, "events").select("event_id", "ts", "user_id", "event_type",
+                                             F.col("value").cast("decimal(18,2)").alias("value"), F.to_date("ts").alias("day"))
+    text = fs.as_text(ev_).withColumn("value", F.when(k.cast("long") % 10 == 2, "?").otherwise(F.col("value")))
+    text = text.withColumn("event_id", F.when(k.cast("long") % 17 != 0, k))
+    fs.write_table(text, f"{root}/landing/w1", fmt="csv")
+    got = ing.ingest_incremental(spark, landing=f"{root}/landing/*", target=f"{root}/events", schema=EVENT_SCHEMA,
+                                 checkpoint=f"{root}/_checkpoint", key=["event_id"], partition_col="day",
+                                 quarantine=f"{root}/_quarantine")
+    bad = spark.read.parquet(f"{root}/_quarantine")
+    return bad.select(F.lit(got.appended).cast("long").alias("appended"), F.lit(got.quarantined).cast("long").alias("quarantined"),
+                      "_errors").groupBy("appended", "quarantined").agg(
+        F.count_if(F.array_contains("_errors", "value")).alias("bad_values"),
+        F.count_if(F.array_contains("_errors", "event_id")).alias("missing_ids"))
+
+
 @register("incremental_ingest")
 def q_incremental_ingest(spark, sf):
     """Land events as daily CSV files in two waves; ingest after each and once more."""
@@ -514,7 +600,8 @@ def q_incremental_ingest(spark, sf):
     redelivered = wave1.filter(F.dayofmonth(day) == mid)
     fs.write_table(fs.as_text(wave1), f"{root}/landing/w1", fmt="csv")
     args = dict(landing=f"{root}/landing/*", target=f"{root}/events", schema=EVENT_SCHEMA,
-                checkpoint=f"{root}/_checkpoint", key=["event_id"], partition_col="day")
+                checkpoint=f"{root}/_checkpoint", key=["event_id"], partition_col="day",
+                quarantine=f"{root}/_quarantine")
     ing.ingest_incremental(spark, **args)
     fs.write_table(fs.as_text(wave2.unionByName(redelivered)), f"{root}/landing/w2", fmt="csv")
     ing.ingest_incremental(spark, **args)
@@ -593,6 +680,12 @@ def _features(spark, sf):
     return cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)))
 
 
+@register("rolling_aum_std")
+def q_rolling_aum_std(spark, sf):
+    w = Window.partitionBy("fund_id").orderBy("nav_date")
+    return b.nav_daily(spark, sf).select("fund_id", "nav_date", win.rolling_std("aum", w, 20, scale=2).alias("aum_20d_std"))
+
+
 @register("stratified_split")
 def q_stratified_split(spark, sf):
     f = _features(spark, sf).select("fund_id", "nav_date", "is_anomaly")
@@ -619,7 +712,7 @@ def _anomaly_run(spark, sf, trees=200):
     # scores feed the offset, the forest output and the ensemble: write them once
     scored = cut_lineage(iso.score(split))
     iso.set_offset(scored.filter("is_train = 1"))
-    rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees)
+    rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees, key_cols=feature_keys())
     probs = cut_lineage(an.class_probability(rf, scored, win.FEATURES))
     return split, iso, rf, probs
 

@@ -47,10 +47,9 @@ def exact_mean(col, w=None) -> Column:
     return _over(F.sum(x), w).cast("double") / _over(F.count(x), w)
 
 
-# Fast path for bounded frames (rolling windows): the same exact sums held as
-# BIGINT unscaled integers.  |x| < 10^6 units and at most a few dozen rows keep
-# n*S2 below 2^53, so every cast below is exact and the results are
-# bit-identical to the DECIMAL forms above.
+# Bounded frames (rolling windows): the same exact sums over unscaled integers.
+# Squares are summed as DECIMAL(38,0), so no value of a declared money or rate
+# column overflows; a sum past 38 digits raises instead of wrapping.
 
 def _unscaled(col, scale: int) -> Column:
     return (_c(col).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
@@ -63,10 +62,11 @@ def bounded_mean(col, w, scale: int) -> Column:
 
 def bounded_var_samp(col, w, scale: int = 6) -> Column:
     u = _unscaled(col, scale)
+    d = u.cast("decimal(19,0)")
     n = F.count(u).over(w)
-    s1 = F.sum(u).over(w)
-    s2 = F.sum(u * u).over(w)
-    num = n * s2 - s1 * s1
+    s1 = F.sum(u).over(w).cast("decimal(19,0)")
+    s2 = F.sum((d * d).cast("decimal(38,0)")).over(w)
+    num = n.cast("decimal(9,0)") * s2 - s1 * s1
     return F.when(n > 1, num.cast("double") / float(10 ** (2 * scale)) / (n * (n - 1)).cast("double"))
 
 

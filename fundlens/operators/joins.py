@@ -7,38 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after a row-count check proves it is small;
-# above the bound the join is planned as a shuffle join and AQE may still
-# convert it to a broadcast join once it has measured the real size.
-DEFAULT_DIM_MAX_ROWS = 2_000_000
-
-
-_SIZE_CHECKS: dict[tuple[int, int], bool] = {}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_DIM_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` provably holds at most ``max_rows`` rows.
-
-    The check (a LIMIT max_rows+1 count) runs once per distinct plan and
-    session; later uses of the same dimension plan reuse the verdict.
-    """
-    key = (df.semanticHash(), max_rows)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if _SIZE_CHECKS[key] else df
-
-
 def _keys(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
 def with_dimension(fact: DataFrame, dim: DataFrame, key: str | Sequence[str] = "fund_id",
-                   columns: Sequence[str] | None = None,
-                   max_dim_rows: int = DEFAULT_DIM_MAX_ROWS) -> DataFrame:
-    """Inner equi join of a fact (or an aggregate of it) with dimension columns."""
+                   columns: Sequence[str] | None = None) -> DataFrame:
+    """Inner equi join of a fact (or an aggregate of it) with dimension columns.
+
+    No broadcast hint: the session's byte thresholds decide, and AQE again on the measured size.
+    """
     keys = _keys(key)
     d = dim if columns is None else dim.select(*keys, *[c for c in columns if c not in keys])
-    return fact.join(bounded_broadcast(d, max_dim_rows), on=keys, how="inner")
+    return fact.join(d, on=keys, how="inner")
 
 
 def present_in(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:

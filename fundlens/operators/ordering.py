@@ -44,10 +44,16 @@ def _with_range(d: DataFrame, value: str, out: str = "_rng") -> DataFrame:
         cuts = [row["cuts"][int(round(i * step)) - 1] for i in range(1, k)] if row["cuts"] else []
     else:
         cuts = d.select(F.percentile_approx(v, [i / k for i in range(1, k)], 100_000)).first()[0]
-    splits = sorted(set(float(c) for c in (cuts or []) if c is not None and not math.isnan(c)))
-    splits = [-math.inf] + splits + [math.inf]
+    return _in_ranges(d, v, cuts, out)
+
+
+def _in_ranges(d: DataFrame, v: Column, cuts, out: str) -> DataFrame:
+    """Number of the range between finite cuts that a value lies in (NaN beyond the last)."""
+    inner = sorted({float(c) for c in (cuts or []) if c is not None and math.isfinite(c)})
+    if not inner:
+        return d.withColumn(out, F.lit(0.0))
     dd = d.withColumn("_vd", v)
-    return Bucketizer(splits=splits, inputCol="_vd", outputCol=out,
+    return Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_vd", outputCol=out,
                       handleInvalid="keep").transform(dd).drop("_vd")
 
 
@@ -97,28 +103,44 @@ def order_statistics(df: DataFrame, value: str, ranks) -> tuple[int, dict]:
     ascending order of non-null ``value``:
     {rank: (value at that rank, rows with a smaller value)}, plus the row count.
 
-    Distinct values are cut into bounded ranges; the per-range counts (one row
-    per range) locate the ranges holding the ranks and only those are ordered.
+    One pass takes approximate cuts from the raw rows, one counts the rows between them
+    (map-side combined, one row per range), and only the ranges that hold a rank are read
+    again and ordered; a range still larger than ``ROWS_PER_RANGE`` is cut again the same way.
+    No row outside those ranges is shuffled.
     """
-    d = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    d = _with_range(cut_lineage(d), value)
-    totals = sorted((int(r["_rng"]), int(r["t"]))
-                    for r in d.groupBy("_rng").agg(F.sum("_n").alias("t")).collect())
-    n = sum(t for _, t in totals)
-    if callable(ranks):                      # ranks may depend on the row count
-        ranks = ranks(n)
-    ranks = sorted({r for r in ranks if 0 <= r < n})
-    if not ranks:
-        return n, {}
-    offsets, run = {}, 0
-    for rng, t in totals:
-        offsets[rng] = run
-        run += t
-    needed = sorted({max(rng for rng, off in offsets.items() if off <= r) for r in ranks})
+    d = df.filter(F.col(value).isNotNull()).select(value)
+    v = F.col(value).cast("double")
+    probs = [i / PROBE_CUTS for i in range(1, PROBE_CUTS)]
+    cuts, counts = [], {}
+    spread: list[float] = d.agg(F.percentile_approx(v, probs, 10_000)).first()[0] or []
+    while True:
+        cuts = sorted({c for c in [*cuts, *spread] if c is not None and math.isfinite(c)})
+        counts = {float(r["_rng"]): int(r["t"]) for r in _in_ranges(d, v, cuts, "_rng").groupBy("_rng")
+                  .agg(F.count(F.lit(1)).alias("t")).collect()}
+        n = sum(counts.values())
+        wanted = ranks(n) if callable(ranks) else ranks      # ranks may depend on the row count
+        wanted = sorted({r for r in wanted if 0 <= r < n})
+        if not wanted:
+            return n, {}
+        offsets, run = {}, 0
+        for rng in sorted(counts):
+            offsets[rng] = run
+            run += counts[rng]
+        needed = sorted({max(rng for rng, off in offsets.items() if off <= r) for r in wanted})
+        large = [rng for rng in needed if counts[rng] > ROWS_PER_RANGE]
+        if not large:
+            break
+        inside = _in_ranges(d, v, cuts, "_rng").filter(F.col("_rng").isin(large)).groupBy("_rng").agg(
+            F.percentile_approx(v, [i / 64 for i in range(1, 64)], 10_000).alias("c"))
+        spread = [c for r in inside.collect() for c in r["c"]]
+        if not set(spread) - set(cuts):
+            break                                            # few distinct values: they combine map-side below
+    ranks = wanted
+    d = _in_ranges(d, v, cuts, "_rng").filter(F.col("_rng").isin(needed)).groupBy("_rng", value).agg(
+        F.count(F.lit(1)).alias("_n"))
     off = F.create_map(*[x for rng in needed for x in (F.lit(float(rng)), F.lit(offsets[rng]))])
     w = Window.partitionBy("_rng").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    sub = d.filter(F.col("_rng").isin([float(r) for r in needed])).withColumn(
-        "_n_below", off[F.col("_rng")] + F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    sub = d.withColumn("_n_below", off[F.col("_rng")] + F.coalesce(F.sum("_n").over(w), F.lit(0)))
     hit = None
     for r in ranks:
         c = (F.col("_n_below") <= r) & (F.lit(r) < F.col("_n_below") + F.col("_n"))
@@ -152,10 +174,6 @@ def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:
     return exact_quantiles(df, value, [p])[0]
 
 
-def approx_quantile(value: str, p: float, accuracy: int = 100_000) -> Column:
-    return F.percentile_approx(F.col(value), p, accuracy)
-
-
 def top_k(df: DataFrame, value: str, k: int, descending: bool = True,
           tie_break: str | None = None) -> DataFrame:
     """The k rows with the largest (or smallest) value (TakeOrderedAndProject)."""

@@ -191,11 +191,15 @@ def with_defaults(df: DataFrame, defaults: dict[str, Any]) -> DataFrame:
 
 def schema_violations(df: DataFrame, schema: T.StructType,
                       max_length: dict[str, int] | None = None) -> DataFrame:
-    """One row: per declared column, values that do not fit the declared type or length."""
+    """One row: per declared column, values that do not fit the declared type or length.
+
+    A declared column that the table lacks raises.
+    """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"declared columns missing: {missing}")
     aggs = []
     for f in schema.fields:
-        if f.name not in df.columns:
-            continue
         c = F.col(f.name)
         bad = None
         if isinstance(f.dataType, (T.DecimalType, T.IntegerType, T.LongType, T.DateType)):

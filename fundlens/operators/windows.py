@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround
 from fundlens.operators.aggregates import bounded_mean, bounded_std_samp
-from fundlens.operators.joins import bounded_broadcast
 from fundlens.session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 250_000
@@ -71,7 +70,6 @@ def with_window(df: DataFrame, key: str, order: str, lookback: int,
     if hot.limit(1).count() == 0:
         return _direct(df, key, order, build)
     # at most rows / block_rows keys can be hot; broadcast the list when it is small
-    hot = bounded_broadcast(hot, HOT_KEYS_BROADCAST)
     cold_rows = df.join(hot, key, "left_anti")
     hot_rows = df.join(hot, key, "left_semi")
     return _direct(cold_rows, key, order, build).unionByName(

@@ -1,9 +1,9 @@
 """NAV anomaly models: stratified split, isolation forest, random forest, ensemble.
 
-Isolation forest (not in Spark ML): each tree is grown on at most
-``max_samples`` rows.  Rows are sampled by a portable hash at a rate that
-gives every tree a few times ``max_samples`` candidates, so the rows sent to
-tree building are bounded by trees x max_samples x 4 whatever the table size.
+Isolation forest (not in Spark ML): each tree is grown on its own sample of
+``max_samples`` rows, drawn by a portable hash at a rate that gives every tree a
+few times ``max_samples`` candidates, so the rows sent to tree building are
+bounded by trees x max_samples x 4 whatever the table size.
 Trees are grown in ``groupBy(tree).applyInPandas`` (one task per tree), the
 flat node arrays (bounded by trees x 2 x max_samples) are shipped to the
 executors inside a vectorised pandas UDF, and every row is scored there.
@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fundlens.operators.ordering import exact_quantile, order_statistics
-from fundlens.session import cut_lineage
+from fundlens.operators.ordering import exact_quantile
 
 # The tree builder and the scorer run in Python workers.  Pickle this module's
 # functions by value so executors need nothing but numpy and pandas installed.
@@ -37,16 +36,27 @@ HASH_A = 48271               # MINSTD multiplier
 EULER_GAMMA = 0.5772156649015329
 
 
+def _fifth(h: Column) -> Column:
+    """x^5 mod P, a permutation of the residues (5 has no factor in common with P - 1).
+
+    Lambdas bind x and its square once instead of repeating their expressions.
+    """
+    square = F.transform(F.array(h), lambda x: F.struct(x.alias("x"), (x * x % HASH_P).alias("s")))
+    return F.transform(square, lambda p: p["s"] * p["s"] % HASH_P * p["x"] % HASH_P)[0]
+
+
 def portable_hash(cols: Sequence[Column], seed: int = 0) -> Column:
-    """A hash in [0, 2^31-1) from integer columns using only +, *, % on BIGINT.
+    """A seeded hash in [0, 2^31-1) from integer columns using only +, *, % on BIGINT.
 
+    The seed is added before every fifth power, so two seeds give unrelated orders.
     Any SQL engine evaluates it identically (unlike engine-specific hashes).
     """
-    h = F.lit(seed % HASH_P).cast("long")
+    s = seed % HASH_P
+    h = _fifth(F.lit(s).cast("long"))
     for c in cols:
-        h = (h * HASH_A + F.pmod(c.cast("long"), F.lit(HASH_P))) % HASH_P
+        h = _fifth((h * HASH_A + F.pmod(c.cast("long"), F.lit(HASH_P)) + s) % HASH_P)
     for _ in range(2):
-        h = (h * HASH_A + 1) % HASH_P
+        h = _fifth((h * HASH_A + 1 + s) % HASH_P)
     return h
 
 
@@ -54,48 +64,43 @@ def day_number(col: str) -> Column:
     return F.datediff(F.col(col), F.lit("1970-01-01").cast("date"))
 
 
+SPLIT_BUCKETS = 4096
+SPLIT_MAX_CLASSES = 1000
+
+
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac: float = 0.8,
                      seed: int = 42, out: str = "is_train") -> DataFrame:
     """Exact per-class split: the floor(frac * n_class) rows of lowest hash go to train.
 
-    Per class (a label has few values) the hash at rank floor(frac * n) is
-    found with a range-targeted order statistic; rows below it are train, rows
-    above are test, and only the few rows tied with it are ordered by key.
+    The hash is close to uniform, so one grouped count over (class, hash bucket) finds the
+    bucket in which a class's last training row lies.  Buckets below it are train, buckets
+    above are test, and only the rows of that one bucket a class are ordered, by hash and key.
+    Labels must be classes: more than ``SPLIT_MAX_CLASSES`` values raise.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in key_cols]
     names = [f"_k{i}" for i in range(len(keys))]
-    d = cut_lineage(df.select("*", *[k.alias(n) for k, n in zip(keys, names)],
-                              portable_hash(keys, seed).alias("_h")))
-    flag = F.lit(0)
-    ties = []
-    for row in d.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect():   # one row per class
-        cls, n = row[label], row["n"]
-        k = math.floor(n * frac)
-        in_cls = F.col(label).isNull() if cls is None else (F.col(label) == F.lit(cls))
-        if k == 0:
-            continue
-        if k >= n:
-            flag = F.when(in_cls, 1).otherwise(flag)
-            continue
-        _, at = order_statistics(d.filter(in_cls), "_h", [k - 1])
-        h_star, below = at[k - 1]
-        take = k - below                                   # tied rows that still go to train
-        flag = F.when(in_cls & (F.col("_h") < h_star), 1).when(
-            in_cls & (F.col("_h") == h_star), F.lit(None)).otherwise(flag)
-        ties.append((in_cls & (F.col("_h") == h_star), take))
-    res = d.withColumn(out, flag.cast("int"))
-    if ties:
-        cond = None
-        for c, _ in ties:
-            cond = c if cond is None else cond | c
-        tied = res.filter(cond)                            # hash collisions only: a few rows
-        take_col = F.lit(0)
-        for c, take in ties:
-            take_col = F.when(c, F.lit(take)).otherwise(take_col)
-        rn = F.row_number().over(Window.partitionBy(label).orderBy(*[F.col(n) for n in names]))
-        tied = tied.withColumn(out, (rn <= take_col).cast("int"))
-        res = res.filter(~cond | cond.isNull()).unionByName(tied)
-    return res.drop("_h", *names)
+    width = -(-HASH_P // SPLIT_BUCKETS)
+    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], portable_hash(keys, seed).alias("_h"))
+    d = d.withColumn("_b", F.expr(f"_h div {width}"))
+    counted = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(label).orderBy("_b")
+    total = F.sum("n").over(Window.partitionBy(label))
+    counted = (counted.withColumn("below", F.sum("n").over(w) - F.col("n"))
+               .withColumn("take", F.floor(total * F.lit(float(frac))))
+               .where((F.col("below") <= F.col("take")) & (F.col("take") < F.col("below") + F.col("n"))))
+    edges = counted.select(label, "_b", (F.col("take") - F.col("below")).alias("take")).limit(SPLIT_MAX_CLASSES + 1).collect()
+    if len(edges) > SPLIT_MAX_CLASSES:
+        raise ValueError(f"{label} has more than {SPLIT_MAX_CLASSES} values")
+    # a class that is all train has no edge: every bucket lies below
+    edge, take = F.lit(SPLIT_BUCKETS), F.lit(0)
+    for r in edges:                                            # one row per class
+        in_cls = F.col(label).eqNullSafe(F.lit(r[label]))
+        edge, take = F.when(in_cls, F.lit(r["_b"])).otherwise(edge), F.when(in_cls, F.lit(r["take"])).otherwise(take)
+    d = d.withColumns({"_edge": edge, "_take": take})
+    clear = d.where("_b <> _edge").withColumn(out, (F.col("_b") < F.col("_edge")).cast("int"))
+    rn = F.row_number().over(Window.partitionBy(label).orderBy("_h", *names))
+    close = d.where("_b = _edge").withColumn(out, (rn <= F.col("_take")).cast("int"))
+    return clear.unionByName(close).drop("_h", "_b", "_edge", "_take", *names)
 
 
 # --- isolation forest ------------------------------------------------------
@@ -157,17 +162,30 @@ class IsolationForest:
         self.trees, self.max_samples, self.contamination, self.seed = trees, max_samples, contamination, seed
 
     def fit(self, df: DataFrame, features: Sequence[str], key_cols: Sequence[Column]) -> "IsolationForest":
+        """Every tree draws its own sample of ``max_samples`` rows from the whole table.
+
+        The draws are made from a pool, a hashed sample of a few times trees x max_samples
+        rows (the whole table when it is smaller), by a hash per row and tree: a row may be in
+        many trees, and trees do not share their orders.
+        """
         self.features = list(features)
         n = df.count()
         m = min(self.max_samples, n)
+        if not m:
+            raise ValueError("no rows to fit on")
         self.m = m
         max_depth = int(math.ceil(math.log2(max(m, 2))))
-        rate = min(1.0, 4.0 * self.trees * m / max(n, 1))
-        h = portable_hash(list(key_cols), self.seed)
-        cand = df.select(*[F.col(c).cast("double").alias(c) for c in self.features],
-                         (h / float(HASH_P)).alias("_u"),
-                         (portable_hash(list(key_cols), self.seed + 1) % self.trees).cast("int").alias("tree"))
-        cand = cand.filter(F.col("_u") < rate)
+        pool_rows = min(n, 4 * self.trees * m)
+        pool = df.select(*[F.col(c).cast("double").alias(c) for c in self.features],
+                         portable_hash(list(key_cols), self.seed).alias("_h"))
+        pool = pool.where(F.col("_h") < int(min(1.0, pool_rows / n) * HASH_P))
+        # small pools and small draws are taken whole: at least m rows must reach every tree
+        rate = 1.0 if pool_rows <= 16 * m else min(1.0, (4.0 * m + 64) / pool_rows)
+        drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.trees - 1))))
+        x = (F.col("_h") + F.col("tree").cast("long") * HASH_A * 7919 + self.seed + 1) % HASH_P
+        drawn = drawn.withColumn("_x", x).withColumn("_s", F.col("_x") * F.col("_x") % HASH_P)
+        drawn = drawn.withColumn("_u", F.col("_s") * F.col("_s") % HASH_P * F.col("_x") % HASH_P)
+        cand = drawn.where(F.col("_u") < int(rate * HASH_P)).drop("_x", "_s", "_h")
         feats, seed, trees = self.features, self.seed, self.trees
 
         def build(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -194,7 +212,10 @@ class IsolationForest:
         self._right = np.where(nodes["right"] >= 0, nodes["right"] + base, -1)
         self._leafval = nodes["depth"].to_numpy() + _c_vec(nodes["size"].to_numpy())
         self._roots = offs.to_numpy()
-        self._cm = _c(m)
+        if len(self._roots) != self.trees:
+            raise RuntimeError(f"{self.trees - len(self._roots)} trees drew no sample")
+        # normalise by the sizes the trees were really grown on
+        self._cm = float(np.mean([_c(k) for k in nodes.loc[nodes["node"] == 0, "size"]])) or 1.0
         self.n_trees = len(self._roots)
         self.offset = None
         return self
@@ -238,13 +259,29 @@ class IsolationForest:
 
 # --- random forest ------------------------------------------------------------
 
+#: Labelled rows of each class that the classifier may be fitted on (scoring covers all rows).
+FIT_ROWS_PER_CLASS = 20_000
+
+
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
                       class_weight: dict[int, float] | None = None, trees: int = 200,
                       max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64,
-                      max_memory_mb: int = 1024):
-    w = F.lit(1.0)
+                      max_memory_mb: int = 1024, key_cols: Sequence[Column] = (),
+                      fit_rows: int = FIT_ROWS_PER_CLASS):
+    """Random forest on at most about ``fit_rows`` rows a class, drawn by key hash.
+
+    The rows kept of a larger class carry the weight of those left out, so classes keep
+    their shares.  Without ``key_cols`` all rows are used.
+    """
+    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()} if key_cols else {}
+    keep, w = F.lit(1.0), F.lit(1.0)
     for cls, wt in (class_weight or {}).items():
         w = F.when(F.col(label) == cls, F.lit(float(wt))).otherwise(w)
+    for cls, n in sizes.items():
+        keep = F.when(F.col(label) == cls, F.lit(min(1.0, fit_rows / n))).otherwise(keep)
+    if key_cols:
+        df = df.where(portable_hash(list(key_cols), seed + 2) < keep * HASH_P)
+        w = w / keep
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(
         df.withColumn("_w", w).withColumn("_label", F.col(label).cast("double")))
     rf = RandomForestClassifier(featuresCol="features", labelCol="_label", weightCol="_w",

@@ -70,10 +70,11 @@ STATUSES = ("Settled", "Pending", "Failed")
 
 def cashflow_by_status(cash: DataFrame, type_col: str = "transaction_type",
                        statuses: Sequence[str] = STATUSES) -> DataFrame:
-    """Type x status pivot of amounts (listed values, so no discovery pass)."""
-    p = cash.groupBy(type_col).pivot("status", list(statuses)).agg(F.sum("amount"))
-    return p.select(type_col, *[F.coalesce(F.col(s), F.lit(0)).cast("double").alias(s.lower())
-                                for s in statuses])
+    """Type x status pivot of amounts; unlisted and null statuses are summed as ``other``."""
+    listed = F.coalesce(F.col("status").isin(list(statuses)), F.lit(False))
+    total = lambda keep: F.coalesce(F.sum(F.when(keep, F.col("amount"))), F.lit(0)).cast("double")
+    return cash.groupBy(type_col).agg(*[total(F.col("status") == s).alias(s.lower()) for s in statuses],
+                                      total(~listed).alias("other"))
 
 
 def status_breakdown(cash: DataFrame) -> DataFrame:

@@ -22,14 +22,12 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.operators.joins import bounded_broadcast
 from fundlens.session import table_path
 
 # Fixed values of the bindings (chosen here, shared with the SQL oracle).
 RETURN_BASE = Decimal("0.05")      # daily_return = mean(l_discount) - 0.05
 BENCH_BASE = Decimal("0.04")       # benchmark_return = mean(l_tax) - 0.04
 ANOMALY_QTY = 50                   # is_anomaly = any line with l_quantity >= 50
-GEO_MAX_ROWS = 10_000              # nation ⋈ region is broadcast below this size
 STATUS_MAP = {"O": "Settled", "P": "Pending", "F": "Failed"}
 CURRENCIES = ["USD", "EUR", "GBP"]
 
@@ -41,9 +39,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read(spark, sf_dir, "nation")
     region = read(spark, sf_dir, "region")
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "n_name", "r_name")
-    return bounded_broadcast(geo, GEO_MAX_ROWS)
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 def fund_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,24 +71,26 @@ def as_text(df: DataFrame) -> DataFrame:
 
 def conform(df: DataFrame, schema: T.StructType,
             defaults: Mapping[str, object] | None = None) -> tuple[DataFrame, DataFrame]:
-    """Cast text columns to ``schema``; rows with any failed cast go to quarantine.
+    """Cast text columns to ``schema``; rows that do not fit go to quarantine.
 
-    Returns (good, bad).  ``bad`` keeps the raw text plus ``_errors``, the
-    names of the columns that did not convert.  Defaults fill nulls in good rows.
+    Returns (good, bad).  Defaults fill nulls first.  A row is bad if a value does
+    not convert or a NOT NULL column has none; ``bad`` keeps the raw text plus
+    ``_errors``, the names of those columns.  A column missing from ``df`` raises.
     """
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns missing from the source: {missing}")
     defaults = dict(defaults or {})
-    cols = [f for f in schema.fields if f.name in df.columns]
-    typed = [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in cols]
+
+    def typed(f: T.StructField):
+        c = F.col(f.name).try_cast(f.dataType)
+        return F.coalesce(c, F.when(F.col(f.name).isNull(), F.lit(defaults[f.name]).cast(f.dataType))) if f.name in defaults else c
+
     errs = F.array_compact(F.array(*[
-        F.when(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
-               F.lit(f.name)) for f in cols]))
+        F.when(typed(f).isNull() & (F.col(f.name).isNotNull() | F.lit(not f.nullable)), F.lit(f.name)) for f in schema.fields]))
     tagged = df.withColumn("_errors", errs)
-    good = tagged.filter(F.size("_errors") == 0).select(*typed)
-    if defaults:
-        good = good.select(*[F.coalesce(F.col(c), F.lit(defaults[c]).cast(good.schema[c].dataType))
-                             .alias(c) if c in defaults else F.col(c) for c in good.columns])
-    bad = tagged.filter(F.size("_errors") > 0)
-    return good, bad
+    good = tagged.filter(F.size("_errors") == 0).select(*[typed(f).alias(f.name) for f in schema.fields])
+    return good, tagged.filter(F.size("_errors") > 0)
 
 
 def load_table(df: DataFrame, target: str, batch_size: int | None = None,
@@ -137,10 +139,12 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, DataFrame], target_roo
     """
     run_date = run_date or dt.date.today().isoformat()
     dim = sources["fund_master"]
-    for name in LOAD_ORDER[1:]:
-        if name in sources and orphan_keys(sources[name], dim, "fund_id").limit(1).count():
-            log_run(spark, f"{target_root}/_run_log", pipeline, "Failed", run_date)
-            raise ValueError(f"{name} has fund_id values missing from fund_master")
+    rows = {name: orphan_keys(sources[name], dim, "fund_id").agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+            for name in LOAD_ORDER[1:] if name in sources}
+    failing = {name: n for name, n in rows.items() if n}
+    if failing:
+        log_run(spark, f"{target_root}/_run_log", pipeline, "Failed", run_date, failing)
+        raise ValueError(f"rows whose fund_id is missing from fund_master: {failing}")
     loaded = {}
     for name in LOAD_ORDER:
         if name not in sources:
@@ -155,6 +159,7 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, DataFrame], target_roo
     result = counts.select(
         "*", *[src.select(f"source_{n}_count").scalar().alias(f"source_{n}_count") for n in loaded])
     first = result.first()
+    result = spark.createDataFrame([first], result.schema)      # the counted row: nothing is counted again
     status = "Succeeded" if all(first[f"{n}_count"] == first[f"source_{n}_count"] for n in loaded) \
         else "CountMismatch"
     log_run(spark, f"{target_root}/_run_log", pipeline, status, run_date,
@@ -170,9 +175,7 @@ def ingest_files(spark: SparkSession, landing_root: str, target_root: str,
     sources = {}
     for name in names:
         path = f"{landing_root}/{FILE_NAMES[name]}"
-        text_fields = [f.name for f in SCHEMAS[name].fields]
         raw = spark.read.option("header", True).csv(path)          # every column as text
-        raw = raw.select(*[c for c in raw.columns if c in text_fields])
         good, bad = conform(raw, SCHEMAS[name], DEFAULTS.get(name))
         bad.write.mode("overwrite").parquet(f"{target_root}/_quarantine/{name}")
         sources[name] = good

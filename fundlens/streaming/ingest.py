@@ -11,32 +11,41 @@ stops: the daily batch cadence, restartable at any point.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundlens.sources.files import as_text as fs_text
 from fundlens.sources.files import conform
 
 
+class Ingested(NamedTuple):
+    appended: int
+    quarantined: int
+
+
 def _ensure_target(spark: SparkSession, target: str, schema: T.StructType,
                    partition_col: str | None) -> None:
-    try:
-        spark.read.schema(schema).parquet(target).limit(1).collect()
-    except Exception:  # noqa: BLE001 - first run: create the empty table
+    """Create the empty table on a first run; any other fault of the target is left to surface."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         w = spark.createDataFrame([], schema).write.mode("append")
         (w.partitionBy(partition_col) if partition_col else w).parquet(target)
 
 
 def ingest_incremental(spark: SparkSession, landing: str, target: str, schema: T.StructType,
-                       checkpoint: str, key: Sequence[str], quarantine: str | None = None,
+                       checkpoint: str, key: Sequence[str], quarantine: str,
                        fmt: str = "csv", glob: str | None = None,
-                       partition_col: str | None = None) -> int:
-    """Run one available-now pass; returns the number of rows appended.
+                       partition_col: str | None = None) -> Ingested:
+    """Run one available-now pass; returns the rows appended and the rows quarantined.
 
-    With ``partition_col`` (a column the key determines, e.g. the event day)
-    the target is partitioned by it and each batch reads only the partitions
-    it touches for the duplicate check, instead of every key ever loaded.
+    Rows that do not conform go to ``quarantine/batch=<id>``, overwritten when a batch is
+    retried.  Rows of one batch that share a key are one row, the least by its other
+    columns.  With ``partition_col`` (a column the key determines, e.g. the event day)
+    the target is partitioned by it and each batch reads only the partitions it touches
+    for the duplicate check, instead of every key ever loaded.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     _ensure_target(spark, target, schema, partition_col)
@@ -46,19 +55,20 @@ def ingest_incremental(spark: SparkSession, landing: str, target: str, schema: T
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = reader.load(landing)
-    appended = spark.sparkContext.accumulator(0)
+    total = {"appended": 0, "quarantined": 0}
     keys = list(key)
+    others = [f.name for f in schema.fields if f.name not in keys]
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        good, bad = conform(batch, schema) if fmt == "csv" else (batch, None)
-        if quarantine is not None and bad is not None:
-            bad.write.mode("append").parquet(quarantine)
-        fresh = good.dropDuplicates(keys).cache()
+        good, bad = conform(fs_text(batch), schema)
+        held = f"{quarantine}/batch={epoch_id}"
+        bad.write.mode("overwrite").parquet(held)
+        total["quarantined"] += spark.read.schema(bad.schema).parquet(held).count()
+        fresh = (good.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row"))
+                 .select(*keys, "_row.*").select(*[f.name for f in schema.fields]).cache())
         existing = spark.read.schema(schema).parquet(target)
         if partition_col:
-            # partition values of one batch: bounded by the days it covers
-            touched = [r[0] for r in fresh.select(partition_col).distinct().collect()]
-            existing = existing.filter(F.col(partition_col).isin(touched))
+            existing = existing.join(fresh.select(partition_col).distinct(), partition_col, "left_semi")
         new_rows = fresh.join(existing.select(*keys), keys, "left_anti").cache()
         n = new_rows.count()
         if n:
@@ -66,9 +76,9 @@ def ingest_incremental(spark: SparkSession, landing: str, target: str, schema: T
             (w.partitionBy(partition_col) if partition_col else w).parquet(target)
         new_rows.unpersist()
         fresh.unpersist()
-        appended.add(n)
+        total["appended"] += n
 
     q = (stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return appended.value
+    return Ingested(**total)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.functions import calendar as cal
+from fundlens.operators import ordering as ordr
 from fundlens.operators import quality as qa
 from fundlens.plans import anomaly as an
 from fundlens.plans import forecast as fc
@@ -111,12 +112,12 @@ def test_incremental_ingest_is_idempotent(spark):
     fs.write_table(spark.createDataFrame([("1", "a"), ("2", "b")], "k string, v string"),
                    f"{root}/landing/a", fmt="csv")
     args = dict(landing=f"{root}/landing/*", target=f"{root}/t", schema=schema,
-                checkpoint=f"{root}/ck", key=["k"])
-    assert ing.ingest_incremental(spark, **args) == 2
-    assert ing.ingest_incremental(spark, **args) == 0               # nothing new
+                checkpoint=f"{root}/ck", key=["k"], quarantine=f"{root}/bad")
+    assert ing.ingest_incremental(spark, **args) == (2, 0)
+    assert ing.ingest_incremental(spark, **args) == (0, 0)               # nothing new
     fs.write_table(spark.createDataFrame([("2", "b"), ("3", "c"), ("3", "c")], "k string, v string"),
                    f"{root}/landing/b", fmt="csv")
-    assert ing.ingest_incremental(spark, **args) == 1               # 2 is known, 3 once
+    assert ing.ingest_incremental(spark, **args) == (1, 0)               # 2 is known, 3 once
     assert sorted(r["k"] for r in spark.read.parquet(f"{root}/t").collect()) == [1, 2, 3]
 
 
@@ -142,11 +143,11 @@ def test_incremental_ingest_partitioned_target(spark):
     rows1 = [("1", "2024-01-01", "a"), ("2", "2024-01-02", "b")]
     fs.write_table(spark.createDataFrame(rows1, "k string, day string, v string"), f"{root}/landing/a", fmt="csv")
     args = dict(landing=f"{root}/landing/*", target=f"{root}/t", schema=schema, checkpoint=f"{root}/ck",
-                key=["k"], partition_col="day")
-    assert ing.ingest_incremental(spark, **args) == 2
+                key=["k"], partition_col="day", quarantine=f"{root}/bad")
+    assert ing.ingest_incremental(spark, **args) == (2, 0)
     rows2 = [("2", "2024-01-02", "b"), ("3", "2024-01-03", "c")]
     fs.write_table(spark.createDataFrame(rows2, "k string, day string, v string"), f"{root}/landing/b", fmt="csv")
-    assert ing.ingest_incremental(spark, **args) == 1
+    assert ing.ingest_incremental(spark, **args) == (1, 0)
     got = spark.read.schema(schema).parquet(f"{root}/t").orderBy("k").collect()
     assert [(r["k"], str(r["day"])) for r in got] == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")]
 
@@ -180,3 +181,84 @@ def test_output_exists_and_defaults(spark):
     assert qa.output_exists(spark, f"{root}/t")
     filled = qa.with_defaults(spark.read.parquet(f"{root}/t"), {"is_anomaly": 0})
     assert sorted(tuple(r) for r in filled.collect()) == [(1, 0), (2, 1)]
+
+
+def test_forest_scores_do_not_move_with_the_number_of_trees(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4000, 3))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "k long, a double, b double, c double").cache()
+    medians = []
+    for trees in (10, 50, 200):
+        f = an.IsolationForest(trees=trees).fit(df, ["a", "b", "c"], [F.col("k")])
+        assert f.n_trees == trees and f.m == 256
+        medians.append(np.median([r[0] for r in f.score(df).select("iso_score").collect()]))
+    assert max(medians) - min(medians) < 0.02 and -0.5 < medians[0] < -0.35
+    small = an.IsolationForest(trees=200).fit(df.where("k < 150"), ["a", "b", "c"], [F.col("k")])
+    assert small.n_trees == 200 and small.m == 150
+    with pytest.raises(ValueError):
+        an.IsolationForest(trees=3).fit(df.where("k < 0"), ["a", "b", "c"], [F.col("k")])
+
+
+def test_seeds_give_unrelated_orders(spark):
+    df = spark.range(2000)
+    h = np.array([[r[0], r[1]] for r in df.select(an.portable_hash([F.col("id")], 42), an.portable_hash([F.col("id")], 43)).collect()])
+    assert len({int(d) for d in (h[:, 1] - h[:, 0]) % an.HASH_P}) > 1990
+    assert abs(np.corrcoef(h.T)[0, 1]) < 0.1 and len(set(h[:, 0])) == 2000
+
+
+def test_split_classes_without_an_edge(spark):
+    df = spark.createDataFrame([(i, None if i % 7 == 0 else i % 3) for i in range(500)], "k long, y int")
+    got = an.stratified_split(df, "y", [F.col("k")], 1.0).collect()
+    assert len(got) == 500 and all(r["is_train"] == 1 for r in got)
+    half = an.stratified_split(df, "y", [F.col("k")], 0.5)
+    sizes = {r["y"]: (r["n"], r["t"]) for r in half.groupBy("y").agg(F.count("*").alias("n"), F.sum("is_train").alias("t")).collect()}
+    assert all(t == n // 2 for n, t in sizes.values()) and len(sizes) == 4
+
+
+@pytest.mark.parametrize("values", [[], [None, None], [1.0, float("inf"), float("-inf"), 2.0], [5.0] * 40, [3.0]])
+def test_order_statistics_of_odd_columns(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    known = sorted(v for v in values if v is not None)
+    n, at = ordr.order_statistics(df, "v", range(len(known)))
+    assert n == len(known) and [at[i][0] for i in range(n)] == known
+    assert ordr.exact_quantile(df, "v", 0.0) == (known[0] if known else None)
+    assert ordr.global_rank(df, "v").count() == len(values)
+
+
+def test_order_statistics_cut_large_ranges_again(spark, monkeypatch):
+    monkeypatch.setattr(ordr, "ROWS_PER_RANGE", 3)
+    monkeypatch.setattr(ordr, "PROBE_CUTS", 2)
+    vals = [float((i * 7919) % 1009) for i in range(700)] + [4.0] * 50
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    _, at = ordr.order_statistics(df, "v", [0, 17, 400, 749])
+    assert {r: v for r, (v, _) in at.items()} == {r: sorted(vals)[r] for r in (0, 17, 400, 749)}
+
+
+def test_conform_needs_every_column_and_required_values(spark):
+    from fundlens import schemas
+    cols = [f.name for f in schemas.CASH_FLOWS.fields]
+    raw = spark.createDataFrame([("1", None, "2024-01-02", "x", "1", "USD", "c", "Settled")], ", ".join(f"{c} string" for c in cols))
+    good, bad = fs.conform(raw, schemas.CASH_FLOWS)
+    assert good.count() == 0 and bad.first()["_errors"] == ["fund_id"]
+    with pytest.raises(ValueError):
+        fs.conform(raw.drop("amount"), schemas.CASH_FLOWS)
+
+
+def test_quarantine_is_counted_and_survives_a_retry(spark):
+    root = scratch_path(spark, "test-bad")
+    schema = T.StructType([T.StructField("k", T.LongType(), False), T.StructField("v", T.IntegerType())])
+    fs.write_table(spark.createDataFrame([("1", "5"), ("x", "6"), (None, "7"), ("2", "y")], "k string, v string"),
+                   f"{root}/landing/a", fmt="csv")
+    args = dict(landing=f"{root}/landing/*", target=f"{root}/t", schema=schema, key=["k"], quarantine=f"{root}/bad")
+    assert ing.ingest_incremental(spark, checkpoint=f"{root}/ck", **args) == (1, 3)
+    # the same files again under a new checkpoint: nothing is appended and no bad row is kept twice
+    assert ing.ingest_incremental(spark, checkpoint=f"{root}/ck2", **args) == (0, 3)
+    assert spark.read.parquet(f"{root}/bad").count() == 3
+
+
+def test_unlisted_statuses_are_summed(spark):
+    from fundlens.plans import reports as rp
+    cash = spark.createDataFrame([("a", "Settled", 1.0), ("a", "Cancelled", 5.0), ("a", None, 2.0)],
+                                 "transaction_type string, status string, amount double")
+    r = rp.cashflow_by_status(cash).first()
+    assert (r["settled"], r["pending"], r["other"]) == (1.0, 0.0, 7.0)

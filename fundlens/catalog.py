@@ -6,6 +6,7 @@ parquet tables under ``sf_dir``.  Decimal results are returned as doubles.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -643,12 +644,26 @@ def q_forecast_model(spark, sf):
     _, train, _, horizon = _forecast_inputs(spark, sf)
     span = train.agg(F.min("ds"), F.max("ds")).first()
     lo = span[0]
-    mid = lo.replace(year=lo.year + 1)
-    regs = {"early_period": (lo.isoformat(), mid.isoformat())}
-    model = fc.LogLinearForecaster(regressors=regs).fit(train)
+    model = fc.LogLinearForecaster(regressors=_periods(lo, span[1])).fit(train)
     return model.predict(horizon, overrides={"early_period": 0.0})
 
 
+def _periods(first, last):
+    """Two period regressors: an early one, set to zero on a horizon, and a late one that reaches into it."""
+    return {"early_period": (first.isoformat(), (first + dt.timedelta(days=365)).isoformat()),
+            "late_period": ((last - dt.timedelta(days=365)).isoformat(), (last + dt.timedelta(days=60)).isoformat())}
+
+
+@register("forecast_features")
+def q_forecast_features(spark, sf):
+    """The forecaster's inputs on the training days and the horizon, rounded to 8 places."""
+    _, train, _, horizon = _forecast_inputs(spark, sf)
+    lo, hi = train.agg(F.min("ds"), F.max("ds")).first()
+    both = train.select("ds").unionByName(horizon.select("ds"))
+    feats, names = fc.forecast_features(both, "ds", F.lit(lo), float((hi - lo).days), regressors=_periods(lo, hi))
+    return feats.select("ds", *[sc.fround(n, 8).alias(n) for n in names])
+
+
 def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
     nav = b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"),
                                         F.col("aum").alias("y"))
@@ -761,6 +776,44 @@ def q_cluster_labels_fixed(spark, sf):
     return sg.label_clusters(agg.cluster_profile(f))
 
 
+@register("map_values_fixed")
+def q_map_values_fixed(spark, sf):
+    """Labels of the first three clusters mapped onto funds; the other clusters take the default."""
+    f = _seg_features(spark, sf).select("fund_id", (F.col("fund_id") % 5).alias("cluster_id"))
+    labels = q_cluster_labels_fixed(spark, sf).where("cluster_id < 3").select("cluster_id", "cluster_label")
+    return sg.map_values(f, "cluster_id", labels, "cluster_id", "cluster_label", "cluster_label", "Unassigned")
+
+
+@register("ml_scores_fixed")
+def q_ml_scores_fixed(spark, sf):
+    """The score table from the rule-based ensemble, fixed clusters and the baseline forecasts."""
+    segments = _seg_features(spark, sf).select("fund_id", (F.col("fund_id") % 5).cast("int").alias("cluster_id")).join(
+        q_cluster_labels_fixed(spark, sf).select("cluster_id", "cluster_label"), "cluster_id")
+    fc_ = _fund_forecasts(spark, sf).select("fund_id", "step", "yhat")
+    return as_doubles(scr.assemble_scores(q_ensemble_rule(spark, sf), segments, fc_, "fixed"))
+
+
+@register("model_invariants")
+def q_model_invariants(spark, sf):
+    """What must hold for the trained models on any data, as one row."""
+    split, iso, rf, probs = _anomaly_run(spark, sf)
+    e = an.ensemble(iso.predict(probs), "rf_anomaly_prob", "iso_score")
+    weights = sum(w for _, w in an.importance(rf, win.FEATURES))
+    return e.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("fund_id", "nav_date").alias("keys"),
+                 F.count_if(~F.col("rf_anomaly_prob").between(0, 1)).alias("bad_probabilities"),
+                 F.count_if(~F.col("iso_score").between(-1, 0)).alias("bad_iso_scores"),
+                 (F.avg("rf_is_anomaly") <= 0.011).alias("flag_rate_fits"),
+                 (F.avg(F.when(F.col("is_train") == 1, F.col("iso_outlier"))) <= 0.011).alias("outlier_rate_fits"),
+                 F.lit(abs(weights - 1) < 1e-6).alias("importances_sum_to_one"))
+
+
+@register("elbow_falls")
+def q_elbow_falls(spark, sf):
+    e = sg.elbow(_seg_features(spark, sf), sg.CLUSTER_FEATURES)
+    w = Window.orderBy("k")                                # six rows
+    return e.select("k", (F.col("inertia") <= F.coalesce(F.lag("inertia").over(w), F.col("inertia"))).alias("falls"))
+
+
 @register("kmeans_elbow")
 def q_kmeans_elbow(spark, sf):
     return sg.elbow(_seg_features(spark, sf), sg.CLUSTER_FEATURES)

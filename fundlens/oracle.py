@@ -6,6 +6,8 @@ decimal sums and the same order of floating-point operations.
 
 from __future__ import annotations
 
+import math
+
 ORACLE: dict[str, str] = {}
 
 
@@ -778,3 +780,50 @@ SELECT fund_id, nav_date, nav, CAST(aum AS DOUBLE) AS aum, CAST(daily_return AS
        CAST(benchmark_return AS DOUBLE) AS benchmark_return, CAST(active_return AS DOUBLE) AS active_return,
        is_anomaly
 FROM nav_daily WHERE nav_date = (SELECT MAX(nav_date) FROM nav_daily)""")
+
+
+# --- models on fixed inputs, and what holds for trained ones ------------------
+
+def _terms() -> list[tuple[str, str]]:
+    t, span = "CAST(t AS DOUBLE)", "CAST(span AS DOUBLE)"
+    out = [("trend", f"{t} / {span}")]
+    out += [(f"cp{i}", f"GREATEST({t} / {span} - {0.8 * i / 26!r}::DOUBLE, 0.0::DOUBLE)") for i in range(1, 26)]
+    for kind, top, period in (("y", 10, 365.25), ("w", 3, 7.0)):
+        for k in range(1, top + 1):
+            angle = f"{2 * math.pi * k!r}::DOUBLE * {t} / {period!r}::DOUBLE"
+            out += [(f"{kind}s{k}", f"SIN({angle})"), (f"{kind}c{k}", f"COS({angle})")]
+    out.append(("early_period", "CASE WHEN ds BETWEEN lo AND lo + 365 THEN 1.0 ELSE 0.0 END"))
+    out.append(("late_period", "CASE WHEN ds BETWEEN hi - 365 AND hi + 60 THEN 1.0 ELSE 0.0 END"))
+    return out
+
+
+register("forecast_features", with_ctes(NAV, FORECAST) + """
+, ends AS (SELECT MIN(ds) AS lo, MAX(ds) AS hi, datediff('day', MIN(ds), MAX(ds)) AS span FROM train),
+d AS (SELECT ds, datediff('day', lo, ds) AS t, span, lo, hi FROM (SELECT ds FROM train UNION ALL SELECT ds FROM hz), ends)
+SELECT ds, """ + ", ".join(f"{fround(e, 8)} AS {n}" for n, e in _terms()) + " FROM d")
+
+register("map_values_fixed", f"""
+WITH l AS ({ORACLE["cluster_labels_fixed"]}), f AS ({ORACLE["fund_features"]})
+SELECT f.fund_id, f.fund_id % 5 AS cluster_id, COALESCE(l.cluster_label, 'Unassigned') AS cluster_label
+FROM f LEFT JOIN l ON l.cluster_id = f.fund_id % 5 AND l.cluster_id < 3""")
+
+register("ml_scores_fixed", f"""
+WITH l AS ({ORACLE["cluster_labels_fixed"]}), e AS ({ORACLE["ensemble_rule"]}), p AS ({ORACLE["fund_forecasts"]}),
+f AS ({ORACLE["fund_features"]}),
+latest AS (SELECT fund_id, MAX(nav_date) AS score_date, arg_max(ensemble_score, nav_date) AS s,
+                  arg_max(rf_is_anomaly, nav_date) AS a FROM e GROUP BY fund_id),
+ahead AS (SELECT fund_id, MAX(yhat) FILTER (WHERE step = 30) AS d30, MAX(yhat) FILTER (WHERE step = 60) AS d60,
+                 MAX(yhat) FILTER (WHERE step = 90) AS d90 FROM p GROUP BY fund_id)
+SELECT latest.fund_id, score_date, 'ensemble' AS model_type, 'fixed' AS model_version,
+       CAST(CAST(s AS DECIMAL(10,6)) AS DOUBLE) AS anomaly_score, a AS is_anomaly,
+       CAST(f.fund_id % 5 AS INTEGER) AS cluster_id, l.cluster_label,
+       CAST(CAST(d30 AS DECIMAL(20,2)) AS DOUBLE) AS forecast_30d, CAST(CAST(d60 AS DECIMAL(20,2)) AS DOUBLE) AS forecast_60d,
+       CAST(CAST(d90 AS DECIMAL(20,2)) AS DOUBLE) AS forecast_90d
+FROM latest LEFT JOIN f USING (fund_id) LEFT JOIN l ON l.cluster_id = f.fund_id % 5 LEFT JOIN ahead USING (fund_id)""")
+
+register("model_invariants", f"""
+WITH e AS ({ORACLE["ensemble_rule"]})
+SELECT COUNT(*) AS rows, COUNT(*) AS keys, 0 AS bad_probabilities, 0 AS bad_iso_scores, TRUE AS flag_rate_fits,
+       TRUE AS outlier_rate_fits, TRUE AS importances_sum_to_one FROM e""")
+
+register("elbow_falls", "SELECT CAST(unnest(range(2, 8)) AS INTEGER) AS k, TRUE AS falls FROM (SELECT COUNT(*) FROM supplier)")

@@ -136,9 +136,12 @@ class LogLinearForecaster:
     def fit(self, train: DataFrame, ds: str = "ds", y: str = "y") -> "LogLinearForecaster":
         self.ds = ds
         stats = train.agg(F.min(ds).alias("lo"), F.datediff(F.max(ds), F.min(ds)).alias("span"),
-                          F.max(ds).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+                          F.max(ds).alias("hi"), F.count(F.lit(1)).alias("n"),
+                          F.count_if(F.coalesce(F.col(y) <= 0, F.lit(True))).alias("unusable")).first()
+        if stats["unusable"]:
+            raise ValueError(f"{stats['unusable']} training rows have no positive {y}: their logarithm is undefined")
         self.t0, self.span, self.last, self.n = stats["lo"], float(max(stats["span"], 1)), stats["hi"], stats["n"]
-        feats, self.names = forecast_features(train.filter(F.col(y) > 0), ds, F.lit(self.t0),
+        feats, self.names = forecast_features(train, ds, F.lit(self.t0),
                                               self.span, regressors=self.regressors)
         data = VectorAssembler(inputCols=self.names, outputCol="features").transform(
             feats.withColumn("label", F.log(F.col(y).cast("double"))))

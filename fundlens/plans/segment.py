@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,38 +31,40 @@ LABEL_RULES = [
 def standardise(df: DataFrame, cols: Sequence[str], places: int | None = 8) -> DataFrame:
     """(x - mean) / population std per column (std 0 -> 1), as plain columns.
 
-    The statistics are one aggregate row attached as scalar subqueries.
+    The statistics are one aggregate row, attached as a single scalar subquery.
     """
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                    *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    row = stats.select(F.struct(*[f"m_{c}" for c in cols],
+                                *[F.when(F.col(f"s_{c}") == 0, 1.0).otherwise(F.col(f"s_{c}")).alias(f"s_{c}") for c in cols]))
+    d = df.select("*", row.scalar().alias("_stats"))
     out = []
     for c in cols:
-        m = stats.select(f"m_{c}").scalar()
-        s = stats.select(F.when(F.col(f"s_{c}") == 0, F.lit(1.0)).otherwise(F.col(f"s_{c}"))).scalar()
-        z = (F.col(c).cast("double") - m) / s
+        z = (F.col(c).cast("double") - F.col(f"_stats.m_{c}")) / F.col(f"_stats.s_{c}")
         out.append((fround(z, places) if places is not None else z).alias(c))
-    return df.select(*[c for c in df.columns if c not in cols], *out)
+    return d.select(*[c for c in df.columns if c not in cols], *out)
 
 
 ROWS_PER_PARTITION = 200_000
 
 
 def _scaled(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Standardised feature vectors, partitioned by size for the iterative fits."""
-    v = VectorAssembler(inputCols=list(cols), outputCol="_raw").transform(df)
-    out = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True) \
-        .fit(v).transform(v).drop("_raw")
-    n = out.count()
-    return out.repartition(max(1, math.ceil(n / ROWS_PER_PARTITION)))
+    """Rows with their standardised feature vectors, partitioned by size for the iterative fits."""
+    df = cut_lineage(df)                    # statistics, count and fits read the rows again
+    z = standardise(df.select("*", *[F.col(c).alias(f"_z_{c}") for c in cols]), [f"_z_{c}" for c in cols], None)
+    out = VectorAssembler(inputCols=[f"_z_{c}" for c in cols], outputCol="features").transform(z)
+    out = out.drop(*[f"_z_{c}" for c in cols])
+    return out.repartition(max(1, math.ceil(df.count() / ROWS_PER_PARTITION)))
 
 
-def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8), seed: int = 42):
-    """Within-cluster sum of squares for each k (a few rows)."""
+def elbow(df: DataFrame, cols: Sequence[str], ks: Sequence[int] = range(2, 8), seed: int = 42, restarts: int = 10):
+    """Within-cluster sum of squares for each k, the least of ``restarts`` seeds (a few rows)."""
     data = _scaled(df, cols).cache()
+    runs = [(k, seed + i) for k in ks for i in range(restarts)]
     # independent fits: submitted as concurrent Spark jobs
-    with ThreadPoolExecutor(max_workers=len(list(ks))) as pool:
-        costs = list(pool.map(lambda k: float(KMeans(k=k, seed=seed).fit(data).summary.trainingCost), ks))
-    rows = [(int(k), c) for k, c in zip(ks, costs)]
+    with ThreadPoolExecutor(max_workers=10) as pool:
+        costs = list(pool.map(lambda r: float(KMeans(k=r[0], seed=r[1], maxIter=20, tol=1e-4).fit(data).summary.trainingCost), runs))
+    rows = [(int(k), min(c for (kk, _), c in zip(runs, costs) if kk == k)) for k in ks]
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double")
 

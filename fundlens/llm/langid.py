@@ -30,6 +30,14 @@ UNKNOWN = "und"
 _word = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str | None) -> list[str]:
+    """Runs of letters, lower-cased; runs of other numerals alone do not make a text."""
+    words = _word.findall(text.lower()) if text else []
+    if words and not any(map(str.isalpha, words[0])):
+        return [w for w in words if any(map(str.isalpha, w))]
+    return words
+
+
 def gram_hashes(words: list[str], n: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(hash of each n-gram, hash of its context, word number) of padded words.
 
@@ -67,7 +75,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for b in batches:
         for text, lang in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            seen.setdefault(lang, Counter()).update(_word.findall(text.lower()))
+            seen.setdefault(lang, Counter()).update(words_of(text))
         if sum(map(len, seen.values())) > 500_000:
             yield from out()
     yield from out()
@@ -161,7 +169,7 @@ class Model:
 
     def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(mean log-probability per letter and pad in each language, number of those) of whole texts."""
-        words = [_word.findall(t.lower()) if t else [] for t in texts]
+        words = [words_of(t) for t in texts]
         if len(self._cache) > CACHE_WORDS:
             self._cache, self._values = {}, self._values[:0]
         new = list(dict.fromkeys(w for ws in words for w in ws if w not in self._cache))

@@ -10,7 +10,7 @@ from fundlens.llm import fit, langid, quality, toxicity
 from fundlens.llm.common import table
 
 SF = "/root/testdata/sf0.01"
-ODD = [(None, "plain words here"), (10**9 + 1, None), (10**9 + 2, ""), (10**9 + 3, "12 34 !!"), (10**9 + 4, "word " * 60_000),
+ODD = [(None, "plain words here"), (10**9 + 1, None), (10**9 + 2, ""), (10**9 + 3, "12 34 ² Ⅷ ½ !!"), (10**9 + 4, "word " * 60_000),
        (10**9 + 5, "plain words"), (10**9 + 5, "plain words")]
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -26,26 +25,11 @@ def fround(col, places: int) -> Column:
     return F.coalesce(F.round(x.try_cast("decimal(38,10)"), places).cast("double"), x)
 
 
-def dround(col, places: int) -> Column:
-    """Round an exact DECIMAL half away from zero and return a double."""
-    return F.round(_c(col), places).cast("double")
-
-
 def mean_of(col) -> Column:
     """Mean computed as exact sum / count, as a double (order independent)."""
     return F.sum(_c(col)).cast("double") / F.count(_c(col))
 
 
-def scale(col, factor: float) -> Column:
-    """Unit scaling, e.g. /1e9 for billions (factor=1e-9 is avoided: divide)."""
-    return _c(col) / factor
-
-
-def annualise(daily_mean, periods: int = TRADING_DAYS, pct: bool = True) -> Column:
-    out = _c(daily_mean) * periods
-    return out * 100 if pct else out
-
-
 def annualised_vol(daily_std, periods: int = TRADING_DAYS) -> Column:
     return _c(daily_std) * F.sqrt(F.lit(float(periods)))
 
@@ -82,15 +66,6 @@ def notional(price, qty) -> Column:
     return F.round(_c(price).cast("decimal(18,4)") * _c(qty).cast("decimal(12,0)"), 2)
 
 
-def count_when(pred: Column) -> Column:
-    return F.sum(F.when(pred, 1).otherwise(0))
-
-
-def share_where(pred: Column) -> Column:
-    """Share of rows meeting ``pred`` (exact count ratio, as double)."""
-    return F.count_if(pred).cast("double") / F.count(F.lit(1))
-
-
 # Market-regime factors by (year, month, asset class); first matching rule
 # wins.  Fixed values of the regime table:
 #   2020 March-April: -0.0025, or 0.0001 for Money Market
@@ -111,12 +86,6 @@ def market_regime(date_col, class_col) -> Column:
             .otherwise(F.lit(Decimal("0.0003")))).cast("decimal(6,4)")
 
 
-def as_date(value) -> Column:
-    if isinstance(value, (_dt.date, _dt.datetime)):
-        return F.lit(value.isoformat()[:10]).cast("date")
-    return F.lit(str(value)).cast("date") if isinstance(value, str) else _c(value)
-
-
 def to_decimal(col, precision: int, places: int) -> Column:
     """Round (as ``fround``) into DECIMAL(precision, places)."""
     return F.round(_c(col).cast("decimal(38,10)"), places).cast(f"decimal({precision},{places})")

@@ -162,11 +162,3 @@ def group_argmax(df: DataFrame, group_col: str, value_col: str) -> DataFrame:
     best = means.agg(F.min_by(F.struct(F.col(group_col).alias("g"), F.col("mean_value").alias("m")),
                               F.struct(F.negative("mean_value"), F.col(group_col))).alias("_b"))
     return best.select(F.col("_b.g").alias(group_col), F.col("_b.m").alias("mean_value"))
-
-
-def global_stats(df: DataFrame, col: str) -> DataFrame:
-    """Sum / mean / min / max / count over the whole table (one row)."""
-    c = F.col(col)
-    return df.agg(F.count(c).alias("n"), F.sum(c).cast("double").alias("total"),
-                  exact_mean(col).alias("mean"), F.min(c).cast("double").alias("min"),
-                  F.max(c).cast("double").alias("max"))

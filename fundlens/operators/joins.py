@@ -54,17 +54,3 @@ def key_set_diff(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFr
     return only_a.select(
         "only_left", only_b.select("only_right").scalar().alias("only_right"),
         ((F.col("only_left") == 0) & (only_b.select("only_right").scalar() == 0)).alias("equal"))
-
-
-def key_sets_equal(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> bool:
-    return bool(key_set_diff(a, b, key).first()["equal"])
-
-
-def outside_domain(df: DataFrame, col: str, allowed: Sequence) -> DataFrame:
-    """Rows whose ``col`` is not in ``allowed`` (nulls count as outside)."""
-    c = F.col(col)
-    return df.filter(c.isNull() | ~c.isin(list(allowed)))
-
-
-def subset_of(df: DataFrame, col: str, allowed: Sequence) -> bool:
-    return outside_domain(df, col, allowed).limit(1).count() == 0

@@ -40,11 +40,6 @@ def key_row_counts(df: DataFrame, key: str, order: str, bucket: str = "month") -
     return counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
 
 
-def max_rows_per_key(df: DataFrame, key: str) -> int:
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(r or 0)
-
-
 def with_window(df: DataFrame, key: str, order: str, lookback: int,
                 build: Callable[[WindowSpec], list[Column]], plan: str = "auto",
                 block_rows: int = DEFAULT_BLOCK_ROWS, bucket: str = "month") -> DataFrame:

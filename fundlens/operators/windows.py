@@ -127,9 +127,13 @@ FEATURES = ["daily_return", "benchmark_return", "active_return", "return_5d_avg"
 
 
 def anomaly_features(nav: DataFrame, key: str = "fund_id", order: str = "nav_date",
-                     short: int = 5, long: int = 20, z_min: int = 5, plan: str = "auto",
+                     short: int = 5, long: int = 20, z_min: int = 5, plan: str = "direct",
                      block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """The ten-feature frame for NAV anomaly models; rows without a z-score dropped."""
+    """The ten-feature frame for NAV anomaly models; rows without a z-score dropped.
+
+    (key, date) is unique, so a key holds at most one row a day and the direct plan's
+    largest window is bounded by the number of days; ``plan="auto"`` is for finer orders.
+    """
     def build(w: WindowSpec) -> list[Column]:
         return [
             rolling_mean("daily_return", w, short).alias("return_5d_avg"),

@@ -142,6 +142,14 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def _padded(lists: pa.Array) -> np.ndarray:
+    """Rows of region numbers, filled up to the most regions a row can have (one a tree)."""
+    n = lists.value_lengths().to_numpy()
+    out = np.full((len(n), TREES * len(DEPTHS)), np.iinfo(np.int64).max)
+    out[np.arange(out.shape[1]) < n[:, None]] = lists.flatten().to_numpy()
+    return out
+
+
 def _spanning(sketch: np.ndarray, comp: np.ndarray, floor: float) -> list[tuple[int, int]]:
     """Links of a spanning forest over the rows, likeliest first; known components come joined."""
     m = len(sketch)
@@ -163,13 +171,14 @@ def _spanning(sketch: np.ndarray, comp: np.ndarray, floor: float) -> list[tuple[
             out.append((at, int(parent[at])))
 
 
-def _rest(sketch: np.ndarray, comp: np.ndarray, floor: float) -> Iterator[tuple[int, int]]:
-    """All candidates between different components."""
+def _rest(sketch: np.ndarray, comp: np.ndarray, floor: float, shared: np.ndarray, region: int) -> Iterator[tuple[int, int]]:
+    """All candidates between different components whose first shared region is this one."""
     for i in range(len(sketch) - 1):
         near = _estimate(sketch[i:], 0)
         near[comp[i:] == comp[i]] = -1.0
-        for j in np.flatnonzero(near >= floor):
-            yield i + int(j), i
+        js = i + np.flatnonzero(near >= floor)
+        for j in js[~np.isin(shared[js], shared[i][shared[i] < region]).any(1)]:
+            yield int(j), i
 
 
 def _estimate(sketch: np.ndarray, at: int) -> np.ndarray:
@@ -178,11 +187,15 @@ def _estimate(sketch: np.ndarray, at: int) -> np.ndarray:
 
 
 def candidates(members: DataFrame, floor: float, n_keys: int, spanning: bool) -> DataFrame:
-    """Links (a, b) to confirm inside the regions; members: (region, doc_id, component, sketch)."""
+    """Links (a, b) to confirm inside the regions.
+
+    ``members`` has (region, doc_id, component, sketch), and for the second round regions: all
+    regions of the row in ascending order.  A pair is then found in the first region it shares.
+    """
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
 
-        def links(region, ids, comp, sketch, last):
+        def links(region, ids, comp, sketch, shared, last):
             edge = np.concatenate([[0], np.flatnonzero(region[1:] != region[:-1]) + 1, [len(region)]])
             stop = len(edge) - 1 if last else len(edge) - 2
             size = np.diff(edge)[:stop]
@@ -193,20 +206,22 @@ def candidates(members: DataFrame, floor: float, n_keys: int, spanning: bool) ->
             for lo, hi in zip(edge[:stop][size > 2], edge[1:stop + 1][size > 2]):
                 c = comp[lo:hi]
                 if (c != c[0]).any():
-                    found = list((_spanning if spanning else _rest)(sketch[lo:hi], c, floor))
+                    found = (_spanning(sketch[lo:hi], c, floor) if spanning else
+                             list(_rest(sketch[lo:hi], c, floor, shared[lo:hi], region[lo])))
                     if found:
                         i, j = np.array(found).T
                         a.append(ids[lo + i])
                         b.append(ids[lo + j])
             a, b = np.concatenate(a), np.concatenate(b)
             return (pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["a", "b"]),
-                    [x[edge[stop]:] for x in (region, ids, comp, sketch)])
+                    [x[edge[stop]:] for x in (region, ids, comp, sketch, shared)])
 
         for x in batches:
             if not x.num_rows:
                 continue
             now = [x["region"].to_numpy(), x["doc_id"].to_numpy(), x["component"].to_numpy(),
-                   np.frombuffer(b"".join(x["sketch"].to_pylist()), np.uint8).reshape(-1, n_keys)]
+                   np.frombuffer(b"".join(x["sketch"].to_pylist()), np.uint8).reshape(-1, n_keys),
+                   np.zeros((x.num_rows, 1), np.int64) if spanning else _padded(x["regions"])]
             held = [np.concatenate(p) for p in zip(held, now)] if held else now
             out, held = links(*held, False)
             yield out
@@ -266,7 +281,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     mixed = known.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     known = materialise(known.join(mixed, "region", "left_semi"), "forest-mixed")
     sharp = sharp_sketches(texts.join(known.select("doc_id").distinct(), "doc_id"), size)
-    second = candidates(known.join(sharp, "doc_id"), num / den - SHARP_MARGIN, SHARP, False)
+    shared = known.groupBy("doc_id").agg(F.sort_array(F.collect_set("region")).alias("regions"))
+    second = candidates(known.join(sharp, "doc_id").join(shared, "doc_id"), num / den - SHARP_MARGIN, SHARP, False)
     second = confirm(second, texts, size, num, den)
     # a row whose id stands for another set too carries the link between the two classes
     twice = full.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo <> hi")

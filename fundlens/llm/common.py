@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.session import scratch_path
 
+T = TypeVar("T")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -33,10 +37,13 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def worker_cache() -> dict:
-    """Objects kept for the life of a Python worker.
+def worker_cache(slot: str, key: str, make: Callable[[], T]) -> T:
+    """The slot's object, made anew when the key has changed; it lives as long as the Python worker.
 
     Functions that travel by value get fresh module globals with every task; a module
-    entry of its own outlives them.
+    entry of its own outlives them.  A slot holds one object, so models do not pile up.
     """
-    return sys.modules.setdefault("fundlens_worker_cache", types.ModuleType("fundlens_worker_cache")).__dict__
+    kept = sys.modules.setdefault("fundlens_worker_cache", types.ModuleType("fundlens_worker_cache")).__dict__
+    if kept.get(slot, (None,))[0] != key:
+        kept[slot] = (key, make())
+    return kept[slot][1]

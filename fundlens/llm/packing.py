@@ -91,8 +91,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, e
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = worker_cache()
-        encode = kept.get(tokenizer_path) or kept.setdefault(tokenizer_path, Encoder(tokenizer_path))
+        encode = worker_cache("encoder", tokenizer_path, lambda: Encoder(tokenizer_path))
         for b in batches:
             ids, texts = b.column(0), b.column(1)
             for lo in range(0, b.num_rows, 128):

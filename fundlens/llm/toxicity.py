@@ -10,6 +10,7 @@ from abuse, and a logistic fit turns document features into a calibrated score.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from fundlens.llm import fit
-from fundlens.llm.common import held_out, materialise
+from fundlens.llm.common import held_out, materialise, worker_cache
 
 #: Labelled rows of each class that the lexicon and the fit may use.
 PER_CLASS = 6000
@@ -31,7 +32,7 @@ MIN_LIFT = 12.0
 STEM_LENGTHS = range(4, 9)
 WINDOW_WORDS = 8
 CACHE_WORDS = 400_000
-STATES = 200_000
+STATES = 60_000
 FEATURES = 8
 SCORE = "_toxicity"
 #: Score of every text when there is nothing to learn from: not toxic.
@@ -76,6 +77,8 @@ class Matcher:
                 self.stem[node] = t
         self.stem_weight = dict(stems)
         self._cache: dict[str, tuple[float, int] | None] = {}
+        self._seen: set[str] = set()
+        self._hits: set[str] = set()
         self._reset()
 
     def _reset(self) -> None:
@@ -89,10 +92,11 @@ class Matcher:
         todo, least = list(at), {}
         while todo:
             node, e = todo.pop()
-            if e > self.most[node] or least.get(node, 9) <= e:
+            if least.get(node, 9) <= e:
                 continue
             least[node] = e
-            todo.extend((n, e + 1) for n in self.child[node].values())
+            if e < self.most[node]:
+                todo.extend((n, e + 1) for n in self.child[node].values() if e < self.most[n])
         return frozenset(least.items())
 
     def _state(self, positions: frozenset, stem: str | None) -> int:
@@ -107,10 +111,13 @@ class Matcher:
         positions, stem = self._sets[state]
         after = set()
         for node, e in positions:
-            after.add((node, e + 1))  # a character too many
-            for x, n in self.child[node].items():
-                after.add((n, e + (x != c)))
-        after = {(n, e) for n, e in after if e <= self.most[n]}
+            kids = self.child[node]
+            if e < self.most[node]:
+                after.add((node, e + 1))  # a character too many
+                after.update((n, e + 1) for n in kids.values() if e < self.most[n])
+            n = kids.get(c)
+            if n is not None and e <= self.most[n]:
+                after.add((n, e))
         closed = self._closure(after)
         for n, e in closed:
             if e == 0 and self.stem[n] is not None:
@@ -118,6 +125,17 @@ class Matcher:
         self._next[state][c] = out = self._state(closed, stem)
         return out
 
+    def touches(self, text: str) -> bool:
+        """Whether any word of a text matches; space-separated chunks are judged once."""
+        chunks = set(text.split())
+        new = chunks - self._seen
+        if new:
+            if len(self._seen) > CACHE_WORDS:
+                self._seen, self._hits, new = set(), set(), chunks
+            self._hits.update(c for c in new if any(self.lookup(w) for w in _word.findall(c.lower())))
+            self._seen |= new
+        return not self._hits.isdisjoint(chunks)
+
     def lookup(self, word: str) -> tuple[float, int] | None:
         """(weight, edits) of the best matching term, or None."""
         if word in self._cache:
@@ -146,12 +164,11 @@ class Matcher:
 
 def features(text: str, matcher: Matcher) -> list[float]:
     """Sums over matches: weights, counts of exact and misspelled terms, density and context."""
+    if not matcher.touches(text):
+        return [0.0] * FEATURES
     lowered = text.lower()
     words = _word.findall(lowered)
-    look, known = matcher.lookup, matcher._cache
-    hits = [(i, h) for i, w in enumerate(words) if (h := known[w] if w in known else look(w))]
-    if not hits:
-        return [0.0] * FEATURES
+    hits = [(i, h) for i, w in enumerate(words) if (h := matcher.lookup(w))]
     spots = [m.span() for m in _word.finditer(lowered)]
     exact = [h[0] for _, h in hits if h[1] == 0]
     abuse = quoted = address = 0.0
@@ -237,10 +254,11 @@ def score_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, i
     sample, sizes = fit.labelled_sample(docs, labels, "toxic", per_class, "toxicity", id_col, text_col)
     sample = materialise(sample, "toxicity-sample")
     words, stems = learn_lexicon(sample)
+    model = uuid.uuid4().hex
     clean = look_alikes(sample, words, stems) if words else frozenset()
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        m = Matcher(words, stems, clean)
+        m = worker_cache("toxicity", model, lambda: Matcher(words, stems, clean))
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part = b.slice(lo, 256)

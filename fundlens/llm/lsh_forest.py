@@ -110,15 +110,15 @@ def _tree_keys(reps: DataFrame, depth: int, only: DataFrame | None) -> DataFrame
     return rows.join(only, ["tree", "doc_id"], "left_semi") if only is not None else rows
 
 
-def regions(reps: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
-    """(region, doc_id) of the forest's regions of 2 to ``region_rows`` rows.
+def regions(reps: DataFrame, region_rows: int = REGION_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """(region, doc_id) of the forest's regions of 2 to ``region_rows`` rows, and of the least-depth regions that were cut.
 
     A region is a stretch of one tree's order with a common prefix.  It is cut at the
     least depth that keeps it within ``region_rows``; rows that still share a whole
     signature with more rows than that are dealt to blocks which all hold the region's
-    least row.
+    least row.  Pairs that a cut parts stand in a cut region, null if there is none.
     """
-    done, only = [], None
+    done, only, cut = [], None, None
     for depth in DEPTHS:
         rows = materialise(_tree_keys(reps, depth, only), "forest-keys")
         size = rows.groupBy("region").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least")).where("n > 1")
@@ -126,13 +126,67 @@ def regions(reps: DataFrame, region_rows: int = REGION_ROWS) -> DataFrame:
         done.append(rows.join(size.where(F.col("n") <= region_rows), "region").select("region", "doc_id"))
         large = size.where(F.col("n") > region_rows)
         if large.isEmpty():
-            return _union(done)
+            return _union(done), cut
         only = materialise(rows.join(large, "region").select("tree", "doc_id", "region", "n", "least"), "forest-large")
+        cut = only.select("region", "doc_id") if cut is None else cut
     blocks = only.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("n") / (region_rows // 2))))
     leasts = blocks.select("region", "block", F.col("least").alias("doc_id"))
     done.append(blocks.select("region", "block", "doc_id").unionByName(leasts).distinct()
                 .select(F.xxhash64("region", "block").alias("region"), "doc_id"))
-    return _union(done)
+    return _union(done), cut
+
+
+def cut_blocks(cut: DataFrame, comp: DataFrame, region_rows: int) -> DataFrame:
+    """(region, x, y, main, doc_id, component, side): block pairs that hold every pair of a cut region between components.
+
+    The rows of a region's largest component need no comparison with each other: they are dealt to
+    blocks that meet the blocks of the other rows (``main``), and those meet one another.
+    """
+    rows = (cut.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+            .withColumn("component", F.coalesce("component", "doc_id")))
+    rows = materialise(rows, "forest-cut")
+    n = (rows.groupBy("region", "component").agg(F.count(F.lit(1)).alias("m"))
+         .groupBy("region").agg(F.max(F.struct("m", "component")).alias("top"), F.sum("m").alias("n"))
+         .where("n > top.m"))
+    half = max(region_rows // 2, 1)
+    blocks = lambda m: F.ceil(m / half).cast("int")
+    n = n.select("region", F.col("top.component").alias("top"), blocks(F.col("top.m")).alias("tops"),
+                 blocks(F.col("n") - F.col("top.m")).alias("others"))
+    rows = rows.join(n, "region").withColumn("is_top", F.col("component") == F.col("top"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.when(F.col("is_top"), F.col("tops")).otherwise(F.col("others")))
+                           .cast("int"))
+    upto = lambda m: F.sequence(F.lit(0), m - 1)
+    group = lambda x, y, main, side: F.struct(x.alias("x"), y.alias("y"), F.lit(main).alias("main"), side.alias("side"))
+    block = F.col("block")
+    met = F.transform(upto(F.col("others")), lambda o: group(block, o, True, F.lit(0)))
+    meets = F.concat(F.transform(upto(F.col("tops")), lambda t: group(t, block, True, F.lit(1))),
+                     F.transform(upto(F.col("others")), lambda o: group(F.least(o, block), F.greatest(o, block), False,
+                                                                        F.when(block > o, 1).otherwise(0))))
+    return (rows.select("region", "doc_id", "component", F.explode(F.when(F.col("is_top"), met).otherwise(meets)).alias("g"))
+            .select("region", "g.x", "g.y", "g.main", "doc_id", "component", "g.side"))
+
+
+def cut_candidates(blocks: DataFrame, floor: float) -> DataFrame:
+    """Links (a, b) to confirm: all candidates between different components of the block pairs."""
+    def search(t: pa.Table) -> pa.Table:
+        side = t["side"].to_numpy()
+        order = np.argsort(side, kind="stable")
+        ids, comp, side = (x[order] for x in (t["doc_id"].to_numpy(), t["component"].to_numpy(), side))
+        sketch = np.frombuffer(b"".join(t["sketch"].to_pylist()), np.uint8).reshape(-1, SHARP)[order]
+        within = not t["main"][0].as_py() and t["x"][0].as_py() == t["y"][0].as_py()
+        first = int(np.searchsorted(side, 1))
+        a, b = [ids[:0]], [ids[:0]]
+        for i in range(len(ids) if within else first):
+            lo = i if within else first
+            other = lo + np.flatnonzero(comp[lo:] != comp[i])
+            js = other[_estimate(sketch[other], sketch[i]) >= floor]
+            a.append(ids[js])
+            b.append(np.full(len(js), ids[i]))
+        a, b = np.concatenate(a), np.concatenate(b)
+        return pa.table({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+    by = ("region", "x", "y", "main")
+    return blocks.repartition(tasks(blocks), *by).groupBy(*by).applyInArrow(search, "a long, b long").distinct()
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -158,7 +212,7 @@ def _spanning(sketch: np.ndarray, comp: np.ndarray, floor: float) -> list[tuple[
     out, at = [], 0
     while True:
         todo[at] = False
-        near = _estimate(sketch, at)
+        near = _estimate(sketch, sketch[at])
         near[comp == comp[at]] = 2.0
         closer = near > best
         best[closer], parent[closer] = near[closer], at
@@ -174,15 +228,15 @@ def _spanning(sketch: np.ndarray, comp: np.ndarray, floor: float) -> list[tuple[
 def _rest(sketch: np.ndarray, comp: np.ndarray, floor: float, shared: np.ndarray, region: int) -> Iterator[tuple[int, int]]:
     """All candidates between different components whose first shared region is this one."""
     for i in range(len(sketch) - 1):
-        near = _estimate(sketch[i:], 0)
+        near = _estimate(sketch[i:], sketch[i])
         near[comp[i:] == comp[i]] = -1.0
         js = i + np.flatnonzero(near >= floor)
         for j in js[~np.isin(shared[js], shared[i][shared[i] < region]).any(1)]:
             yield int(j), i
 
 
-def _estimate(sketch: np.ndarray, at: int) -> np.ndarray:
-    same = (sketch == sketch[at]).mean(1)
+def _estimate(sketch: np.ndarray, row: np.ndarray) -> np.ndarray:
+    same = (sketch == row).mean(1)
     return (same - 1 / 256) / (1 - 1 / 256)
 
 
@@ -257,7 +311,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     Rows with equal sets are collapsed to their least id first.  Candidates are rows that
     share a prefix in one of the forest's sorted orders: a first round confirms a spanning
     forest of each region, a second every remaining candidate between components (by a sharper
-    sketch), so none is left unchecked; links are confirmed on full sets.  Texts that are null or
+    sketch), so none is left unchecked; a third meets the pairs that stand together in a region
+    which was too large and parts them below.  Links are confirmed on full sets.  Texts that are null or
     have no words are linked with nothing.  Rows that repeat a doc_id are one node of the
     link graph (its texts stay apart); a null doc_id gives component_id null, kept true.
     An empty table gives no rows; other columns are not read.
@@ -269,8 +324,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
                        .select("set_hash", "r.doc_id", "r.sig"), "forest-classes")
     # an id with several texts has several classes: they are one node, searched under its first set
     nodes = reps.groupBy("doc_id").agg(F.min("sig").alias("sig"))
-    member = materialise(regions(nodes, region_rows), "forest-members")
-    wanted = member.select("doc_id").distinct()
+    member, cut = regions(nodes, region_rows)
+    member = materialise(member, "forest-members")
+    wanted = (member if cut is None else member.unionByName(cut)).select("doc_id").distinct()
     texts = materialise(docs.join(wanted, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")), "forest-texts")
     sketch = nodes.select("doc_id", F.col("sig")).mapInArrow(_sketch, "doc_id long, sketch binary")
     member = materialise(member.join(sketch, "doc_id"), "forest-sketches")
@@ -284,11 +340,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 80, den: int = 10
     shared = known.groupBy("doc_id").agg(F.sort_array(F.collect_set("region")).alias("regions"))
     second = candidates(known.join(sharp, "doc_id").join(shared, "doc_id"), num / den - SHARP_MARGIN, SHARP, False)
     second = confirm(second, texts, size, num, den)
+    links = first.unionByName(second)
+    if cut is not None:
+        links = materialise(links, "forest-links")
+        blocks = materialise(cut_blocks(cut, components(links), region_rows), "forest-blocks")
+        sharp = sharp_sketches(texts.join(blocks.select("doc_id").distinct(), "doc_id"), size)
+        third = cut_candidates(blocks.join(sharp, "doc_id"), num / den - SHARP_MARGIN)
+        links = links.unionByName(confirm(third, texts, size, num, den))
     # a row whose id stands for another set too carries the link between the two classes
     twice = full.groupBy("doc_id").agg(F.min("set_hash").alias("lo"), F.max("set_hash").alias("hi")).where("lo <> hi")
     shared = (full.join(twice, "doc_id", "left_semi").join(reps.withColumnRenamed("doc_id", "b"), "set_hash")
               .select(F.col("doc_id").alias("a"), "b"))
-    comp = components(first.unionByName(second).unionByName(shared))
+    comp = components(links.unionByName(shared))
     label = materialise(reps.select("set_hash", "doc_id")
                         .join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")
                         .select("set_hash", F.coalesce("component", "doc_id").alias("class_id")), "forest-labels")

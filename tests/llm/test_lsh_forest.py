@@ -70,6 +70,32 @@ def test_matches_brute_force(spark, size, region_rows):
         assert sum(got[i] != want[i] for i in want) <= 3
 
 
+def hot_source():
+    """Pages of one template, far from each other, and a near copy of some of them."""
+    rng = random.Random(17)
+    base = words(rng, 200)
+    texts = []
+    for i in range(240):
+        w = list(base)
+        for k in rng.sample(range(200), 3):
+            w[k] = f"y{i}x{k}"
+        texts.append(" ".join(w))
+        if i % 4 == 0:
+            for k in rng.sample(range(200), 4):
+                w[k] = f"z{i}x{k}"
+            texts.append(" ".join(w))
+    return list(enumerate(texts, 1))
+
+
+@pytest.mark.parametrize("rows,region_rows", [(fixture(), 24), (hot_source(), 8)], ids=["star", "source"])
+def test_cut_regions_lose_no_pair(spark, rows, region_rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r[0]: tuple(r)[1:] for r in lsh_forest.near_duplicates(df, size=5, region_rows=region_rows).collect()}
+    want = brute(rows, 5)
+    assert got == want
+    assert sum(not w[2] for w in want.values()) > 30
+
+
 def test_empty_nulls_and_repeats(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lsh_forest.near_duplicates(empty).count() == 0

@@ -38,8 +38,10 @@ UNITS = frozenset("% percent mm cm m km in inch inches ft foot feet yd yard yard
                   "min minute minutes h hr hour hours day days week weeks month months year years $ € £ dollar dollars euro "
                   "euros cent cents c f k kelvin celsius w kw kwh watt watts v volt volts hz khz mhz ghz kb mb gb tb mph "
                   "kmh".split())
-DROP, NAME, ENDS, UNIT, NUMBER = 1, 2, 4, 8, 16
-_FLAGS = np.uint64(31)
+#: So many words in capitals behind one another are a text in capitals, not a name.
+SHOUTED = 4
+DROP, NAME, ENDS, UNIT, NUMBER, CAPITALS, PARTS = 1, 2, 4, 8, 16, 32, 64
+_FLAGS = np.uint64(127)
 _TYPES = {NUMBER: np.uint64(0x1111111111111100), UNIT: np.uint64(0x2222222222222200), NAME: np.uint64(0x3333333333333300)}
 _glued = re.compile(r"(?<=\d)(?=[^\W\d_])")
 _split_glued = re.compile(r"\d[^\W\d_]")
@@ -59,9 +61,37 @@ def _code(word: str) -> int:
         flags |= NUMBER
     if low in UNITS:
         flags |= UNIT
-    if core[0].isupper() and core[1:].islower():
+    if len(core) > 1 and core[0].isupper():
         flags |= NAME
-    return xxhash.xxh3_64_intdigest(low) & ~31 | flags
+        if core.isupper():
+            flags |= CAPITALS
+    if not word[-1].isalnum():
+        flags |= PARTS
+    return xxhash.xxh3_64_intdigest(low) & ~127 | flags
+
+
+def _shouted(capitals: np.ndarray) -> np.ndarray:
+    """Words in runs of at least ``SHOUTED`` words in capitals."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], capitals.astype(np.int8), [0]])))
+    out = np.zeros(len(capitals), bool)
+    for lo, hi in zip(edge[::2], edge[1::2]):
+        out[lo:hi] = hi - lo >= SHOUTED
+    return out
+
+
+def _reading(h: np.ndarray, kind: np.ndarray, apart: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Tokens with typed placeholders; the words of one name are one token."""
+    h = h.copy()
+    for k, v in _TYPES.items():
+        h[kind == k] = v
+    on = np.zeros(len(h), bool)
+    on[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~apart[1:]
+    if not on.any():
+        return h, kind, words
+    start = np.flatnonzero(~on)
+    stop = np.append(start[1:], len(h)).tolist()
+    words = [words[lo] if hi == lo + 1 else " ".join(words[lo:hi]) for lo, hi in zip(start.tolist(), stop)]
+    return h[start], kind[start], words
 
 
 class Templates:
@@ -71,7 +101,11 @@ class Templates:
         self._codes: dict[str, int] = {}
 
     def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """(token hashes, slot type of each token or 0, the words behind them)."""
+        """(token hashes, slot type of each token or 0, the words behind them) of the first reading."""
+        return self.readings(text)[0]
+
+    def readings(self, text: str) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
+        """The text with capitalised words that open a sentence as plain words, then, if there are any, as names."""
         if _split_glued.search(text):
             text = _glued.sub(" ", text)
         words = text.split()
@@ -91,11 +125,15 @@ class Templates:
         number = flags & NUMBER > 0
         unit = np.zeros(len(use), bool)
         unit[1:] = (flags[1:] & UNIT > 0) & number[:-1]
-        name = (flags & NAME > 0) & ~first & ~number & ~unit
-        kind = np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0)))
-        for k, v in _TYPES.items():
-            h[kind == k] = v
-        return h, kind, [words[i] for i in use] if kind.any() else words
+        name = (flags & NAME > 0) & ~number & ~unit & ~_shouted(flags & CAPITALS > 0)
+        words = [words[i] for i in use]
+        # a name goes on in the next word unless a mark parts them
+        apart = np.ones(len(use), bool)
+        apart[1:] = (flags[:-1] & PARTS > 0) | first[1:] | (np.diff(use) > 1)
+        out = [_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name & ~first, NAME, 0))), apart, words)]
+        if (name & first).any():
+            out.append(_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))), apart, words))
+        return out
 
     def slots(self, kind: np.ndarray, words: list[str], at: int, n: int) -> list[str]:
         """Values of the slots in a window: type and lower-cased core, in order."""
@@ -103,26 +141,26 @@ class Templates:
 
 
 def item_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """(hash, size, item_id, item_pos, n_windows, item_slots): short items are one window of their own size."""
+    """(hash, size, item_id, reading, item_pos, n_windows, item_slots): short items are one window of their own size."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = Templates()
         for b in batches:
             rows = []
             for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h, kind, words = t(text)
-                size = min(window, len(h))
-                if size < SHORTEST:
-                    continue
-                wh = tv.window_hash(h, size).view(np.int64)
-                rows += [(int(x), size, item, p, len(wh), t.slots(kind, words, p, size)) for p, x in enumerate(wh)]
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
-            cols = list(zip(*rows)) or [[]] * 6
+                for reading, (h, kind, words) in enumerate(t.readings(text)):
+                    size = min(window, len(h))
+                    if size < SHORTEST:
+                        continue
+                    wh = tv.window_hash(h, size).view(np.int64)
+                    rows += [(int(x), size, item, reading, p, len(wh), t.slots(kind, words, p, size)) for p, x in enumerate(wh)]
+            types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+            cols = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)],
-                                             names=["hash", "size", "item_id", "item_pos", "n_windows", "item_slots"])
+                                             names=["hash", "size", "item_id", "reading", "item_pos", "n_windows", "item_slots"])
 
     return (benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).alias("text"))
             .where("item_id IS NOT NULL AND text IS NOT NULL")
-            .mapInArrow(cut, "hash long, size int, item_id long, item_pos int, n_windows int, item_slots array<string>"))
+            .mapInArrow(cut, "hash long, size int, item_id long, reading int, item_pos int, n_windows int, item_slots array<string>"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE,
@@ -132,7 +170,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     A document holds an item if at least ``min_share`` of the item's template windows occur
     in it and, where these have slots, at least ``min_agree`` of the slot values map one to
-    one.  Items of fewer than four tokens and null items match nothing; null and
+    one.  Words in one name are one slot; a capitalised word that opens a sentence is read both as
+    a plain word and as a name, and an item counts by either reading.  Items of fewer than four tokens and null items match nothing; null and
     empty texts are clean; a row with a null id is never contaminated; rows that repeat an
     id are judged together and listed each; empty tables give no rows, or clean ones; other
     columns are not read.
@@ -154,36 +193,37 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
             for lo in range(0, b.num_rows, 256):
                 part, rows = b.slice(lo, 256), []
                 for doc, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    h, kind, words = t(text)
-                    for size in sizes:
-                        wh = tv.window_hash(h, size)
-                        for p in np.flatnonzero(known[wh >> np.uint64(shift)]):
-                            rows.append((int(wh[p].view(np.int64)), size, doc, int(p), t.slots(kind, words, p, size)))
-                types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string())]
-                cols = list(zip(*rows)) or [[]] * 5
+                    for reading, (h, kind, words) in enumerate(t.readings(text)):
+                        for size in sizes:
+                            wh = tv.window_hash(h, size)
+                            for p in np.flatnonzero(known[wh >> np.uint64(shift)]):
+                                rows.append((int(wh[p].view(np.int64)), size, doc, reading, int(p), t.slots(kind, words, p, size)))
+                types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.string())]
+                cols = list(zip(*rows)) or [[]] * 6
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, types)],
-                                                 names=["hash", "size", "doc_id", "pos", "slots"])
+                                                 names=["hash", "size", "doc_id", "doc_reading", "pos", "slots"])
 
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = (docs.where("doc_id IS NOT NULL AND text IS NOT NULL")
-             .mapInArrow(find, "hash long, size int, doc_id long, pos int, slots array<string>"))
+             .mapInArrow(find, "hash long, size int, doc_id long, doc_reading int, pos int, slots array<string>"))
     hits = found.join(items, ["hash", "size"]).withColumn("shift", F.col("pos") - F.col("item_pos"))
     # a slot of an occurrence is one place of the item; windows that overlap it say the same
     hits = materialise(hits.where(F.size("slots") == F.size("item_slots")), "template-hits")
-    cover = (hits.groupBy("doc_id", "item_id", "item_pos").agg(F.max("n_windows").alias("n_windows"))
-             .groupBy("doc_id", "item_id").agg((F.count(F.lit(1)) / F.max("n_windows")).alias("share")))
+    item = ("doc_id", "item_id", "reading")
+    cover = (hits.groupBy(*item, "item_pos").agg(F.max("n_windows").alias("n_windows"))
+             .groupBy(*item).agg((F.count(F.lit(1)) / F.max("n_windows")).alias("share")))
+    by = (*item, "doc_reading", "shift")
     pairs = (hits.where(F.size("slots") > 0)
-             .select("doc_id", "item_id", "shift", F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
-             .groupBy("doc_id", "item_id", "shift", F.col("z.item_slots").alias("a"), F.col("z.slots").alias("b"))
+             .select(*by, F.explode(F.arrays_zip("item_slots", "slots")).alias("z"))
+             .groupBy(*by, F.col("z.item_slots").alias("a"), F.col("z.slots").alias("b"))
              .agg(F.count(F.lit(1)).alias("n")))
-    by = ("doc_id", "item_id", "shift")
     # a value's partner is its most frequent one, both ways; the other placings are conflicts
     best = lambda side, other: F.row_number().over(Window.partitionBy(*by, side).orderBy(F.desc("n"), other)) == 1
     agree = (pairs.withColumn("fits", best("a", "b")).withColumn("fits", F.col("fits") & best("b", "a"))
-             .groupBy("doc_id", "item_id", "shift")
+             .groupBy(*by)
              .agg((F.sum(F.when(F.col("fits"), F.col("n")).otherwise(0)) / F.sum("n")).alias("agree"))
-             .groupBy("doc_id", "item_id").agg(F.max("agree").alias("agree")))
-    leaks = (cover.join(agree, ["doc_id", "item_id"], "left").where(F.col("share") >= min_share)
+             .groupBy(*item).agg(F.max("agree").alias("agree")))
+    leaks = (cover.join(agree, [*item], "left").where(F.col("share") >= min_share)
              .where(F.coalesce("agree", F.lit(1.0)) >= min_agree)
              .groupBy("doc_id").agg(F.sort_array(F.collect_set("item_id")).alias("items"), F.max("share").alias("share")))
     return (docs.select("doc_id").join(leaks, "doc_id", "left")

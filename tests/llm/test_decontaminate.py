@@ -84,3 +84,16 @@ def test_full_filter_only_costs_time(spark, monkeypatch):
     docs = [(1, ITEM + " end"), (2, "nothing of it here but many other words that follow one another")]
     assert run(spark, docs, [(10, ITEM)])[1][0] and not run(spark, docs, [(10, ITEM)])[2][0]
     assert np.packbits(np.ones(8, bool)).tolist() == [255]
+
+
+def test_names_at_sentence_starts_of_several_words_and_with_inner_capitals(spark):
+    apples = "Alice has 5 apples. Bob gives Alice 3 apples. How many apples does Alice have?"
+    shop = "On Monday the clerk McDonald sold 4 crates to Jean Luc Martin at IBM before the shop closed"
+    docs = [(1, apples.replace("Alice", "Carol").replace("Bob", "Dan").replace("5", "6")),
+            (2, shop.replace("McDonald", "Miller").replace("Jean Luc Martin", "Ann Lee").replace("IBM", "NASA")),
+            (4, shop.replace("McDonald", "Miller").replace("Jean Luc Martin", "Miller").replace("IBM", "Miller")),
+            (5, "How many of them stayed? Nobody knows. Bob gives a talk about apples and Alice listens to it")]
+    got = run(spark, docs, [(10, apples), (11, shop)])
+    assert got[1][:2] == (True, [10]) and got[1][2] == 1.0
+    assert got[2][:2] == (True, [11]) and got[2][2] == 1.0
+    assert not got[4][0] and not got[5][0]

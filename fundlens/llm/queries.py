@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fundlens.llm import decontaminate, difference_cover, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
+from fundlens.llm import decontaminate, difference_cover, hard_negatives, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +89,33 @@ def op4_template_windows(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def op3_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents"))
+
+
+@register
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    noise = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf, "embeddings"), noise=noise)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH r AS (
+  SELECT vec_id, min({'label': CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label::BIGINT END,
+                      'x': list_transform(embedding, lambda c: floor(256 * c::DOUBLE))}) AS r
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+  GROUP BY vec_id),
+x AS (SELECT vec_id, r.label AS label, r.x AS x FROM r),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same, CAST(list_inner_product(a.x, v.x) AS BIGINT) AS score
+  FROM x a JOIN x v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id AND len(a.x) = len(v.x)),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""

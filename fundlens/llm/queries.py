@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import decontaminate, difference_cover, hard_negatives, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
+from fundlens.llm import conversations, decontaminate, difference_cover, hard_negatives, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,8 @@ n AS (
     AND 80 * p.positive_score <= 100 * s.score AND s.score <= p.positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+
+@register
+def op13_hirschberg_repair(spark: SparkSession, sf: str) -> DataFrame:
+    return conversations.repair(table(spark, sf, "conversations"))

@@ -58,7 +58,7 @@ def test_summaries_bound_every_score():
 
 def test_filter_skips_rows_whose_segments_are_far():
     rng = np.random.default_rng(4)
-    level = np.repeat(rng.normal(0, 1, (4000, 4)), 16, axis=1)            # segments of one level each
+    level = np.repeat(rng.normal(0, 1, (30000, 4)), 16, axis=1)            # segments of one level each
     x = np.floor(256 * (level + rng.normal(0, 0.02, level.shape)))
     labels = rng.integers(0, 2, len(x))
     block = hn.Block(np.arange(len(x)), labels, x)

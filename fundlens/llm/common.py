@@ -19,14 +19,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back (cuts lineage)."""
+#: Spark removes the shuffle files of a finished query at once instead of with the next collection.
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def materialise(df: DataFrame, name: str, tidy: bool = False) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back (cuts lineage).
+
+    With ``tidy`` the write's shuffle files go when it ends; ``df`` itself may be run again.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, str(tidy).lower() if before == "false" else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the scratch table that ``materialise`` wrote; nothing may read it any more."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def tasks(df: DataFrame) -> int:
     """Partition count for exchanges dealt by ``repartition`` with a number."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fundlens.llm import conversations, decontaminate, difference_cover, hard_negatives, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, toxicity
+from fundlens.llm import conversations, decontaminate, difference_cover, hard_negatives, langid, licenses, line_dedup, lsh_forest, maxscore, packing, quality, suffix_dedup, toxicity
 from fundlens.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,3 +124,8 @@ SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
 @register
 def op13_hirschberg_repair(spark: SparkSession, sf: str) -> DataFrame:
     return conversations.repair(table(spark, sf, "conversations"))
+
+
+@register
+def op12_prefix_doubling(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))

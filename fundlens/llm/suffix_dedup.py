@@ -32,42 +32,45 @@ from fundlens.llm.textvec import mix
 LENGTH, SEED, ANCHOR = 50, 25, 32
 BYTES_PER_CHUNK = 4 << 20
 CHUNKS_PER_BUCKET = 16
-SLICE = 1 << 19                       # string starts hashed at once; positions fit 20 bits
+SLICE = 1 << 16                       # string starts hashed at once, in the processor's cache
+_PLACE = 20                           # bits that hold a place in a slice
+_KEY = np.uint64(24)                  # first ranks are 40-bit hashes, always compared in pairs
 _NO_ID = np.iinfo(np.int64).max
 _P = 0xD6E8FEB86659FD93
 _BYTE = np.random.default_rng(20240331).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_POW, _INV = (np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(1 << 17, base % (1 << 64), np.uint64)]))
+              for base in (_P, pow(_P, -1, 1 << 64)))
 
 
 def steps(length: int, seed: int) -> tuple[list[int], list[int]]:
-    """(offsets of the doublings, distances from a string's start whose first ranks are needed)."""
+    """(offsets of the doublings, distances from a string's start where the first pairs stand)."""
     offsets, h = [], seed
     while h < length:
         offsets.append(min(h, length - h))
         h += offsets[-1]
     need = {0}
-    for o in offsets:
+    for o in offsets[1:]:
         need |= {n + o for n in need}
     return offsets, sorted(need)
 
 
-def _windows(x: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
-    """Hashes of every run of ``size`` bytes, for each size, by doubling."""
-    out = [None] * len(sizes)
-    done = [0] * len(sizes)
-    cur, width = x, 1
-    while width <= max(sizes):
-        for i, size in enumerate(sizes):
-            if size & width:
-                if out[i] is None:
-                    out[i] = cur
-                else:
-                    n = len(cur) - done[i]
-                    out[i] = out[i][:n] * np.uint64(pow(_P, width, 1 << 64)) + cur[done[i]:]
-                done[i] += width
-        n = max(len(cur) - width, 0)
-        cur = cur[:n] * np.uint64(pow(_P, width, 1 << 64)) + cur[width:]
-        width *= 2
-    return [mix(h) for h in out]
+class _Hashes:
+    """Hashes of runs of bytes, from one prefix sum of a polynomial modulo 2^64."""
+
+    def __init__(self, part: np.ndarray):
+        self.total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(_BYTE[part] * _POW[:len(part)], out=self.total[1:])
+
+    def every(self, size: int) -> np.ndarray:
+        h = self.total[size:] - self.total[:-size]
+        h *= _INV[:len(h)]
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xC4CEB9FE1A85EC53)
+        h ^= h >> np.uint64(29)
+        return h
+
+    def at(self, place: np.ndarray, size: int) -> np.ndarray:
+        return mix((self.total[place + size] - self.total[place]) * _INV[place])
 
 
 def _least_of(x: np.ndarray, n: int) -> np.ndarray:
@@ -88,7 +91,7 @@ class Contexts:
     doc: np.ndarray
     anchor: np.ndarray
     content: np.ndarray
-    seeds: np.ndarray
+    hashes: _Hashes
     base: int
 
 
@@ -104,28 +107,32 @@ def _texts(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
     return t, data[offs[0]:offs[-1]], offs - offs[0]
 
 
-def contexts(data: np.ndarray, offs: np.ndarray, length: int, anchor: int, seed: int) -> Iterator[Contexts]:
+def contexts(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) -> Iterator[Contexts]:
     """Contexts of all texts, a slice of starts at a time; a slice's end may cut one in two."""
-    wide = length - anchor + 1
-    low = np.uint64((1 << 20) - 1)
+    low = np.uint64((1 << _PLACE) - 1)
+    places = np.arange(SLICE + length, dtype=np.uint64)
     for lo in range(0, len(data) - length + 1, SLICE):
-        part = data[lo:lo + SLICE + length - 1]
-        whole, anchors, seeds = _windows(_BYTE[part], [length, anchor, seed])
-        at = np.arange(len(anchors), dtype=np.uint64)
-        minimizer = (_least_of((anchors & ~low) | at, wide) & low).astype(np.int64)
-        p = np.arange(len(whole))
-        doc = np.searchsorted(offs, p + lo, "right") - 1
-        fits = p + lo + length <= offs[doc + 1]
-        p, doc = p[fits], doc[fits]
-        if not len(p):
+        h = _Hashes(data[lo:lo + SLICE + length - 1])
+        anchors = h.every(anchor)
+        least = _least_of((anchors & ~low) | places[:len(anchors)], length - anchor + 1)
+        minimizer = (least & low).astype(np.int32)
+        # a context opens where the minimizer changes or a text begins, and no string crosses a text's end
+        new = np.ones(len(minimizer) + 1, bool)
+        new[1:-1] = minimizer[1:] != minimizer[:-1]
+        ends = offs[np.searchsorted(offs, lo, "right"):np.searchsorted(offs, lo + len(minimizer) + length) + 1] - lo
+        crossing = np.zeros(len(minimizer) + 1, np.int32)
+        np.add.at(crossing, np.clip(ends - length + 1, 0, len(minimizer)), 1)
+        np.add.at(crossing, np.clip(ends, 0, len(minimizer)), -1)
+        fits = np.cumsum(crossing) == 0
+        fits[-1] = False
+        new[1:] |= ~fits[:-1]
+        s = np.flatnonzero(new[:-1] & fits[:-1])
+        e = np.flatnonzero((new[1:] | ~fits[1:]) & fits[:-1])
+        if not len(s):
             continue
-        a = minimizer[p]
-        new = np.ones(len(p), bool)
-        new[1:] = (a[1:] != a[:-1]) | (p[1:] != p[:-1] + 1)
-        first = np.flatnonzero(new)
-        s, e = p[first], p[np.append(first[1:], len(p)) - 1]
-        content = mix(whole[s] * np.uint64(0x9E3779B97F4A7C15) + whole[e] * np.uint64(0xC2B2AE3D27D4EB4F) + (e - s).astype(np.uint64))
-        yield Contexts(s + lo, e + lo, doc[first], anchors[a[first]], content, seeds, lo)
+        content = mix(h.at(s, length) * np.uint64(0x9E3779B97F4A7C15) + h.at(e, length) * np.uint64(0xC2B2AE3D27D4EB4F)
+                      + (e - s).astype(np.uint64))
+        yield Contexts(s + lo, e + lo, np.searchsorted(offs, s + lo, "right") - 1, anchors[minimizer[s]], content, h, lo)
 
 
 def _id(address: np.ndarray, content: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -217,9 +224,9 @@ def rank(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
 
 
 def doubled(rows: DataFrame, offsets: list[int]) -> DataFrame:
-    """(id, off, doc, rank, least) of the strings that stand more than once: ranks of the
-    first bytes (column ``key``), doubled at the given offsets."""
-    ranked = rank(rows, ["key"], "suffix-rank-0")
+    """(id, off, doc, rank, least) of the strings that stand more than once: first rank pairs
+    (columns ``a`` and ``b``), doubled at the further offsets."""
+    ranked = rank(rows, ["a", "b"], "suffix-rank-0")
     for i, o in enumerate(offsets):
         left = ranked.where("doc IS NOT NULL") if i + 1 == len(offsets) else ranked
         right = ranked.select("id", (F.col("off") - o).alias("off"), F.col("rank").alias("b"))
@@ -239,8 +246,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
     request, the kept bytes.  Null and empty texts have no bytes; texts shorter than ``length``
     stay whole; a row with a null id keeps all its bytes and takes none from others; rows that
     repeat an id are judged each on its own, by that id; an empty table gives no rows; other
-    columns are not read.  Strings are compared by 64-bit hashes: of their first ``seed`` bytes
-    (doubled by exact ranks) among the contexts of an anchor, and of whole contexts.
+    columns are not read.  Strings are compared by hashes: pairs of 40 bits each for two times
+    ``seed`` bytes, exact ranks from then on, and 62 bits and the anchor's bucket for contexts.
     """
     if not anchor <= length or not seed <= length:
         raise ValueError("anchor and seed are at most as long as the strings compared")
@@ -260,7 +267,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
 
     def send_anchors(t: pa.Table) -> pa.Table:
         _, data, offs = _texts(t)
-        seen = [np.unique(_address(c.anchor, n_buckets)) for c in contexts(data, offs, length, anchor, seed)]
+        seen = [np.unique(_address(c.anchor, n_buckets)) for c in contexts(data, offs, length, anchor)]
         address = np.unique(np.concatenate(seen)) if seen else np.zeros(0, np.uint64)
         rows = [(chunk_of(t), b, x.astype("<u4").tobytes()) for b, x in
                 _split(address >> np.uint64(32), address & np.uint64(0xFFFFFFFF))]
@@ -285,7 +292,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         known = (answers["bucket"].to_numpy()[row].astype(np.uint64) << np.uint64(32)) | value
         t, data, offs = _texts(t)
         ids = ids_of(t)
-        found = [(_address(c.anchor, n_buckets), c.content, ids[c.doc]) for c in contexts(data, offs, length, anchor, seed)]
+        found = [(_address(c.anchor, n_buckets), c.content, ids[c.doc]) for c in contexts(data, offs, length, anchor)]
         address, content, doc = (np.concatenate(p) for p in zip(*found)) if found else [np.zeros(0, np.uint64)] * 3
         here, n = np.unique(address, return_counts=True)
         live = np.isin(address, np.concatenate([known, here[n > 1]]))
@@ -309,15 +316,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         rows = [(int(c), t["bucket"][0].as_py(), i.tobytes()) for c, i in _split(chunk[several], number[several])]
         return _messages(rows, ["chunk", "bucket", "ids"])
 
-    def positions(t: pa.Table, asked: pa.Table) -> Iterator[pa.Table]:
-        names = ["id", "off", "doc", "key"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    def positions(t: pa.Table, asked: pa.Table) -> pa.Table:
+        """First rank pairs of the strings in the contexts asked for; off -1 names a context's number."""
+        names = ["id", "off", "doc", "a", "b"]
+        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
         wanted = np.unique(_joined(asked, "ids", "<i8")[0])
-        out = []
+        out, base = [], chunk_of(t) << 32
         if len(t) and len(wanted):
             t, data, offs = _texts(t)
             ids, done = ids_of(t), np.zeros(len(wanted), bool)
-            for c in contexts(data, offs, length, anchor, seed):
+            for c in contexts(data, offs, length, anchor):
                 number = _id(_address(c.anchor, n_buckets), c.content, n_buckets)
                 slot = np.minimum(np.searchsorted(wanted, number), len(wanted) - 1)
                 hit = np.flatnonzero((wanted[slot] == number) & ~done[slot])
@@ -326,15 +334,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
                 done[slot] = True
                 n = c.last[hit] - c.start[hit] + 1
                 which = np.repeat(np.arange(len(hit)), n)
-                within = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                off = (within[:, None] + np.array(need)).ravel()
-                which = np.repeat(which, len(need))
-                pair = np.unique(which * (2 * length + 1) + off)
-                which, off = pair // (2 * length + 1), pair % (2 * length + 1)
-                place = c.start[hit][which] + off
-                doc = np.where(off < n[which], ids[c.doc[hit]][which], _NO_ID)
-                out.append(pa.table([pa.array(number[hit][which]), pa.array(off.astype(np.int32)),
-                                     pa.array(doc, mask=off >= n[which]), pa.array(c.seeds[place - c.base].view(np.int64))], names=names))
+                off = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                if len(need) > 1:
+                    pair = np.unique((which[:, None] * (2 * length) + off[:, None] + np.array(need)).ravel())
+                    which, off = pair // (2 * length), pair % (2 * length)
+                place = c.start[hit][which] + off - c.base
+                one = (c.hashes.at(place, seed) >> _KEY).view(np.int64)
+                two = (c.hashes.at(place + offsets[0], seed) >> _KEY).view(np.int64) if offsets else np.zeros(len(one), np.int64)
+                out += [pa.table([pa.array(base + slot[which]), pa.array(off.astype(np.int32)),
+                                  pa.array(ids[c.doc[hit]][which], mask=off >= n[which]), pa.array(one), pa.array(two)], names=names),
+                        pa.table([pa.array(base + slot), pa.array(np.full(len(slot), -1, np.int32)), pa.nulls(len(slot), pa.int64()),
+                                  pa.array(number[hit]), pa.nulls(len(slot), pa.int64())], names=names)]
         return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in types], names=names)
 
     def deliver(t: pa.Table, low: pa.Table) -> pa.Table:
@@ -369,7 +379,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         t, data, offs = _texts(t)
         ids = ids_of(t)
         runs = [(c.start, c.last, c.doc, _id(_address(c.anchor, n_buckets), c.content, n_buckets))
-                for c in contexts(data, offs, length, anchor, seed)]
+                for c in contexts(data, offs, length, anchor)]
         start, last, doc, number = (np.concatenate(p) for p in zip(*runs)) if runs else [np.zeros(0, np.int64)] * 4
         every, first, back = np.unique(number, return_index=True, return_inverse=True)
         best = ids[doc[first]]
@@ -411,9 +421,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
     discard(anchors)
     asked = met.groupBy("bucket").applyInArrow(ask_open, "chunk long, bucket long, ids binary")
     spots = materialise(by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(
-        positions, "id long, off int, doc long, key long"), "suffix-positions", tidy=True)
-    low = (doubled(spots, offsets).where("least < doc").select("id", "off", "least")
-           .withColumn("bucket", F.pmod("id", F.lit(n_buckets))))
+        positions, "id long, off int, doc long, a long, b long"), "suffix-positions", tidy=True)
+    names = spots.where("off = -1").select("id", F.col("a").alias("number"))
+    low = (doubled(spots.where("off >= 0"), offsets[1:]).where("least < doc").join(names, "id")
+           .select(F.col("number").alias("id"), "off", "least", F.pmod("number", F.lit(n_buckets)).alias("bucket")))
     told = met.groupBy("bucket").cogroup(low.groupBy("bucket")).applyInArrow(
         deliver, "chunk long, bucket long, ids binary, best binary, strings binary, offs binary, least binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")

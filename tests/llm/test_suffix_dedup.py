@@ -52,19 +52,22 @@ def fixture():
 
 
 @pytest.mark.parametrize("length,seed,anchor,per_chunk", [(50, 25, 32, 4 << 20), (50, 25, 32, 4000), (50, 7, 20, 4000),
-                                                          (13, 4, 6, 9000)])
+                                                          (13, 4, 6, 9000), (20, 20, 9, 9000)])
 def test_matches_brute_force(spark, length, seed, anchor, per_chunk, monkeypatch):
     rows = fixture()
+    monkeypatch.setattr(sd, "SLICE", 5000 if per_chunk == 4000 else sd.SLICE)
     df = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, chunk int, id string")
     got = sd.remove_repeats(df, length, seed, anchor, bytes_per_chunk=per_chunk)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, length)
 
 
-def test_contexts_cover_every_string_once():
+@pytest.mark.parametrize("size", [1 << 16, 700, 33])
+def test_contexts_cover_every_string_once(size, monkeypatch):
+    monkeypatch.setattr(sd, "SLICE", size)
     rng = np.random.default_rng(1)
     data, offs = rng.integers(97, 100, 3000).astype(np.uint8), np.array([0, 0, 40, 41, 1200, 3000])
     seen = np.zeros(len(data), int)
-    for c in sd.contexts(data, offs, 20, 8, 5):
+    for c in sd.contexts(data, offs, 20, 8):
         for s, e in zip(c.start, c.last):
             seen[s:e + 1] += 1
     fits = np.concatenate([np.arange(lo, hi) + 20 <= hi for lo, hi in zip(offs[:-1], offs[1:])])

@@ -146,14 +146,14 @@ def _id(address: np.ndarray, content: np.ndarray, n_buckets: int) -> np.ndarray:
 # --- ranks --------------------------------------------------------------------
 
 def rank(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Rows (id, off, doc, keys) whose keys occur again, with ``rank`` and the class's least ``doc``.
+    """Rows (spot, doc, keys) whose keys occur again, with ``rank`` and the class's least ``doc``.
 
     A range-partitioned sort by keys and row, so that a hot key is spread over partitions; each
     partition numbers its groups from the place of their first row, and one summary row a
     partition tells which groups go on in the next.
     """
     types = ", ".join(f"{k} long" for k in keys)
-    fields = ["id", "off", "doc", *keys]
+    fields = ["spot", "doc", *keys]
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, held, place, least, part = 0, None, 0, None, 0
@@ -190,11 +190,11 @@ def rank(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
         if held is not None:
             yield from out(held, [place], [least], True)
 
-    order = [*map(F.col, keys), F.col("doc").asc_nulls_last(), F.col("id"), F.col("off")]
+    order = [*map(F.col, keys), F.col("doc").asc_nulls_last(), F.col("spot")]
     ordered = (rows.select(*fields).repartitionByRange(tasks(rows), *order).sortWithinPartitions(*order)
                .withColumn("part", F.spark_partition_id()))
     numbered = materialise(ordered.mapInArrow(
-        number, f"id long, off int, doc long, {types}, part int, place long, least long, last boolean"), name, tidy=True)
+        number, f"spot long, doc long, {types}, part int, place long, least long, last boolean"), name, tidy=True)
     key = F.struct(*keys)
     first, last = F.col("place") == 0, F.col("last")
     summary = numbered.groupBy("part").agg(
@@ -218,19 +218,23 @@ def rank(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
     edges = rows.sparkSession.createDataFrame(table, "p int, first_rank long, first_least long, first_once boolean, last_once boolean")
     out = numbered.join(F.broadcast(edges), numbered["part"] == edges["p"])
     return (out.where(~(first & F.col("first_once")) & ~(last & ~first & F.col("last_once")))
-            .select("id", "off", "doc", F.when(first, F.col("first_rank")).otherwise(F.shiftleft(F.col("part").cast("long"), 40)
+            .select("spot", "doc", F.when(first, F.col("first_rank")).otherwise(F.shiftleft(F.col("part").cast("long"), 40)
                                                                                      + F.col("place")).alias("rank"),
                     F.when(first, F.col("first_least")).otherwise(F.col("least")).alias("least")))
 
 
-def doubled(rows: DataFrame, offsets: list[int]) -> DataFrame:
-    """(id, off, doc, rank, least) of the strings that stand more than once: first rank pairs
-    (columns ``a`` and ``b``), doubled at the further offsets."""
+def doubled(rows: DataFrame, offsets: list[int], done: DataFrame | None = None) -> DataFrame:
+    """(spot, doc, rank, least) of the strings that stand more than once: first rank pairs
+    (columns ``a`` and ``b``), doubled at the further offsets.  A spot is a place in a context;
+    spots of one context that are o bytes apart differ by o.  ``done`` is the scratch table
+    that only the first sort reads."""
     ranked = rank(rows, ["a", "b"], "suffix-rank-0")
+    if done is not None:
+        discard(done)
     for i, o in enumerate(offsets):
         left = ranked.where("doc IS NOT NULL") if i + 1 == len(offsets) else ranked
-        right = ranked.select("id", (F.col("off") - o).alias("off"), F.col("rank").alias("b"))
-        pairs = left.select("id", "off", "doc", F.col("rank").alias("a")).join(right, ["id", "off"])
+        right = ranked.select((F.col("spot") - o).alias("spot"), F.col("rank").alias("b"))
+        pairs = left.select("spot", "doc", F.col("rank").alias("a")).join(right, "spot")
         ranked = rank(pairs, ["a", "b"], f"suffix-rank-{i + 1}")
     return ranked
 
@@ -252,6 +256,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
     if not anchor <= length or not seed <= length:
         raise ValueError("anchor and seed are at most as long as the strings compared")
     offsets, need = steps(length, seed)
+    room = 2 * length                                   # spots of a context
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     n_chunks = max(1, -(-total // bytes_per_chunk))
     n_buckets = max(1, -(-n_chunks // CHUNKS_PER_BUCKET))
@@ -317,11 +322,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         return _messages(rows, ["chunk", "bucket", "ids"])
 
     def positions(t: pa.Table, asked: pa.Table) -> pa.Table:
-        """First rank pairs of the strings in the contexts asked for; off -1 names a context's number."""
-        names = ["id", "off", "doc", "a", "b"]
-        types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+        """First rank pairs of the strings in the contexts asked for; rows without b give a context's number."""
+        names = ["spot", "doc", "a", "b"]
         wanted = np.unique(_joined(asked, "ids", "<i8")[0])
-        out, base = [], chunk_of(t) << 32
+        out, base = [], chunk_of(t) << 28
         if len(t) and len(wanted):
             t, data, offs = _texts(t)
             ids, done = ids_of(t), np.zeros(len(wanted), bool)
@@ -336,16 +340,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
                 which = np.repeat(np.arange(len(hit)), n)
                 off = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
                 if len(need) > 1:
-                    pair = np.unique((which[:, None] * (2 * length) + off[:, None] + np.array(need)).ravel())
-                    which, off = pair // (2 * length), pair % (2 * length)
+                    pair = np.unique((which[:, None] * room + off[:, None] + np.array(need)).ravel())
+                    which, off = pair // room, pair % room
                 place = c.start[hit][which] + off - c.base
                 one = (c.hashes.at(place, seed) >> _KEY).view(np.int64)
                 two = (c.hashes.at(place + offsets[0], seed) >> _KEY).view(np.int64) if offsets else np.zeros(len(one), np.int64)
-                out += [pa.table([pa.array(base + slot[which]), pa.array(off.astype(np.int32)),
-                                  pa.array(ids[c.doc[hit]][which], mask=off >= n[which]), pa.array(one), pa.array(two)], names=names),
-                        pa.table([pa.array(base + slot), pa.array(np.full(len(slot), -1, np.int32)), pa.nulls(len(slot), pa.int64()),
-                                  pa.array(number[hit]), pa.nulls(len(slot), pa.int64())], names=names)]
-        return pa.concat_tables(out) if out else pa.table([pa.array([], k) for k in types], names=names)
+                out += [pa.table([pa.array((base + slot[which]) * room + off), pa.array(ids[c.doc[hit]][which], mask=off >= n[which]),
+                                  pa.array(one), pa.array(two)], names=names),
+                        pa.table([pa.array((base + slot) * room), pa.nulls(len(slot), pa.int64()), pa.array(number[hit]),
+                                  pa.nulls(len(slot), pa.int64())], names=names)]
+        return pa.concat_tables(out) if out else pa.table([pa.array([], pa.int64())] * 4, names=names)
 
     def deliver(t: pa.Table, low: pa.Table) -> pa.Table:
         """To each chunk: the least document of its contexts, and of single strings in them."""
@@ -421,10 +425,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
     discard(anchors)
     asked = met.groupBy("bucket").applyInArrow(ask_open, "chunk long, bucket long, ids binary")
     spots = materialise(by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(
-        positions, "id long, off int, doc long, a long, b long"), "suffix-positions", tidy=True)
-    names = spots.where("off = -1").select("id", F.col("a").alias("number"))
-    low = (doubled(spots.where("off >= 0"), offsets[1:]).where("least < doc").join(names, "id")
-           .select(F.col("number").alias("id"), "off", "least", F.pmod("number", F.lit(n_buckets)).alias("bucket")))
+        positions, "spot long, doc long, a long, b long"), "suffix-positions", tidy=True)
+    number = materialise(spots.where("b IS NULL").select(F.expr(f"spot div {room}").alias("context"), F.col("a").alias("id")),
+                         "suffix-numbers", tidy=True)
+    low = (doubled(spots.where("b IS NOT NULL"), offsets[1:], spots).where("least < doc")
+           .withColumn("context", F.expr(f"spot div {room}")).join(number, "context")
+           .select("id", (F.col("spot") % room).cast("int").alias("off"), "least", F.pmod("id", F.lit(n_buckets)).alias("bucket")))
     told = met.groupBy("bucket").cogroup(low.groupBy("bucket")).applyInArrow(
         deliver, "chunk long, bucket long, ids binary, best binary, strings binary, offs binary, least binary")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if with_kept else "")

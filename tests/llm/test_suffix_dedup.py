@@ -76,19 +76,19 @@ def test_contexts_cover_every_string_once(size, monkeypatch):
 
 def test_ranks_over_many_partitions(spark):
     rng = random.Random(4)
-    rows = [(i, i % 7, rng.choice([None, rng.randrange(50)]), rng.choice([5, 5, 5, rng.randrange(40), 1000 + i])) for i in range(600)]
-    df = spark.createDataFrame(rows, "id long, off int, doc long, key long")
+    rows = [(i, rng.choice([None, rng.randrange(50)]), rng.choice([5, 5, 5, rng.randrange(40), 1000 + i])) for i in range(600)]
+    df = spark.createDataFrame(rows, "spot long, doc long, key long")
     got = sd.rank(df, ["key"], "test-rank").collect()
     count, least = {}, {}
-    for _, _, doc, key in rows:
+    for _, doc, key in rows:
         count[key] = count.get(key, 0) + 1
         least[key] = min(least.get(key, 1 << 62), 1 << 62 if doc is None else doc)
-    key_of = {r[0]: r[3] for r in rows}
-    assert sorted(r["id"] for r in got) == sorted(r[0] for r in rows if count[r[3]] > 1)
-    assert len({(key_of[r["id"]], r["rank"]) for r in got}) == len({r["rank"] for r in got}) == len({key_of[r["id"]] for r in got})
-    by_rank = [key_of[r["id"]] for r in sorted(got, key=lambda r: r["rank"])]
+    key_of = {r[0]: r[2] for r in rows}
+    assert sorted(r["spot"] for r in got) == sorted(r[0] for r in rows if count[r[2]] > 1)
+    assert len({(key_of[r["spot"]], r["rank"]) for r in got}) == len({r["rank"] for r in got}) == len({key_of[r["spot"]] for r in got})
+    by_rank = [key_of[r["spot"]] for r in sorted(got, key=lambda r: r["rank"])]
     assert by_rank == sorted(by_rank)
-    assert all(r["least"] == least[key_of[r["id"]]] for r in got if least[key_of[r["id"]]] < 1 << 62)
+    assert all(r["least"] == least[key_of[r["spot"]]] for r in got if least[key_of[r["spot"]]] < 1 << 62)
 
 
 def test_kept_bytes_are_what_the_digest_covers(spark):

@@ -24,6 +24,7 @@ from fundlens.operators import windows as win
 from fundlens.plans import anomaly as an
 from fundlens.plans import evaluate as ev
 from fundlens.plans import forecast as fc
+from fundlens.plans import panel
 from fundlens.plans import reports as rp
 from fundlens.plans import scores as scr
 from fundlens.plans import segment as sg
@@ -664,17 +665,26 @@ def q_forecast_features(spark, sf):
     return feats.select("ds", *[sc.fround(n, 8).alias(n) for n in names])
 
 
-def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
-    nav = b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"),
-                                        F.col("aum").alias("y"))
+def _fund_horizon(spark, nav, steps=(30, 60, 90)):
+    """(fund_id, ds, step): the given business days after the last day, for every fund."""
     days = cal.next_business_days(spark, nav.select(F.max("ds")).scalar(), max(steps))
     picked = days.withColumn("step", F.row_number().over(Window.orderBy("ds"))) \
         .filter(F.col("step").isin(list(steps)))   # a 90-row calendar frame
     funds = nav.select("fund_id").distinct()
     marks = [(r["ds"], r["step"]) for r in picked.collect()]          # three dates
-    horizon = funds.select("fund_id", F.explode(F.array(*[
+    return funds.select("fund_id", F.explode(F.array(*[
         F.struct(F.lit(d).alias("ds"), F.lit(s).alias("step")) for d, s in marks])).alias("_h")) \
         .select("fund_id", "_h.ds", "_h.step")
+
+
+def _fund_days(spark, sf):
+    """Every fund's daily AUM, written once: the models read it several times."""
+    return cut_lineage(b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"), F.col("aum").alias("y")))
+
+
+def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
+    nav = _fund_days(spark, sf)
+    horizon = _fund_horizon(spark, nav, steps)
     pred = fc.seasonal_baseline(nav, horizon.select("fund_id", "ds"), group="fund_id")
     return pred.join(horizon, ["fund_id", "ds"])
 
@@ -684,6 +694,48 @@ def q_fund_forecasts(spark, sf):
     return _fund_forecasts(spark, sf)
 
 
+#: the trend model that SQL can recompute: intercept, trend and one hinge
+TREND_MODEL = dict(changepoints=1, yearly=0, weekly=0)
+
+
+@register("fund_trend_model")
+def q_fund_trend_model(spark, sf):
+    """Coefficients of the trend model of every fund."""
+    fit = panel.fit_forecast(_fund_days(spark, sf), group="fund_id", **TREND_MODEL)
+    return fit.select("fund_id", "n", "last_ds", *[sc.fround(F.element_at("beta", i), 6).alias(c) for i, c in
+                                                  enumerate(("intercept", "trend", "cp1"), 1)], sc.fround("sigma", 6).alias("sigma"))
+
+
+@register("fund_trend_forecasts")
+def q_fund_trend_forecasts(spark, sf):
+    """The trend model's forecasts; intervals widen with the step the trend took."""
+    nav = _fund_days(spark, sf)
+    fit = panel.fit_forecast(nav, group="fund_id", **TREND_MODEL)
+    pred = panel.predict_forecast(fit, _fund_horizon(spark, nav), group="fund_id", **TREND_MODEL)
+    return pred.select("fund_id", "ds", "step", *[sc.fround(c, 2).alias(c) for c in ("yhat", "yhat_lower", "yhat_upper")])
+
+
+@register("fund_trend_coverage")
+def q_fund_trend_coverage(spark, sf):
+    """Share of the held-out days of all funds inside the trend model's interval."""
+    nav = _fund_days(spark, sf)
+    train, test = fc.time_split(nav, "ds", fc.split_point(nav, "ds", 0.8))
+    fit = panel.fit_forecast(train, group="fund_id", **TREND_MODEL)
+    pred = panel.predict_forecast(fit, test.select("fund_id", "ds"), group="fund_id", **TREND_MODEL)
+    e = ev.interval_coverage(test, pred, ["fund_id", "ds"])
+    return e.select("n", "inside", sc.fround("coverage", 8).alias("coverage"))
+
+
+@register("fund_model_forecasts")
+def q_fund_model_forecasts(spark, sf):
+    """One full model per fund: 25 changepoints, yearly and weekly seasons, two period regressors."""
+    nav = _fund_days(spark, sf)
+    lo, hi = nav.agg(F.min("ds"), F.max("ds")).first()
+    periods = _periods(lo, hi)
+    fit = cut_lineage(panel.fit_forecast(nav, group="fund_id", start=F.lit(lo), span=float(max((hi - lo).days, 1)), regressors=periods))
+    return panel.predict_forecast(fit, _fund_horizon(spark, nav), group="fund_id", regressors=periods, overrides={"early_period": 0.0})
+
+
 # --- anomaly models (K4-K12) -------------------------------------------------
 
 def feature_keys():

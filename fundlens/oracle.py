@@ -827,3 +827,51 @@ SELECT COUNT(*) AS rows, COUNT(*) AS keys, 0 AS bad_probabilities, 0 AS bad_iso_
        TRUE AS outlier_rate_fits, TRUE AS importances_sum_to_one FROM e""")
 
 register("elbow_falls", "SELECT CAST(unnest(range(2, 8)) AS INTEGER) AS k, TRUE AS falls FROM (SELECT COUNT(*) FROM supplier)")
+
+
+# --- one trend model per fund: normal equations solved by Cramer's rule --------
+
+def _trend_model(rows: str) -> str:
+    """Coefficients of (intercept, trend, one hinge at 0.4 of the span, ridge weight 1 on the hinge) from ``rows``."""
+    return f"""ends AS (SELECT MIN(ds) AS lo, CAST(datediff('day', MIN(ds), MAX(ds)) AS DOUBLE) AS span FROM {rows}),
+xs AS (SELECT fund_id, ds, datediff('day', lo, ds) / span AS x, GREATEST(datediff('day', lo, ds) / span - 0.4::DOUBLE, 0.0::DOUBLE) AS h,
+              LN(CAST(y AS DOUBLE)) AS v FROM {rows}, ends WHERE y > 0),
+g AS (SELECT fund_id, CAST(COUNT(*) AS DOUBLE) AS n, MAX(ds) AS last_ds, SUM(x) AS x1, SUM(h) AS h1, SUM(x * x) AS xx, SUM(x * h) AS xh,
+             SUM(h * h) + 1.0::DOUBLE AS hh, SUM(v) AS v1, SUM(x * v) AS xv, SUM(h * v) AS hv, SUM(v * v) AS vv FROM xs GROUP BY 1),
+det AS (SELECT *, n * (xx * hh - xh * xh) - x1 * (x1 * hh - xh * h1) + h1 * (x1 * xh - xx * h1) AS d FROM g),
+model AS (SELECT *, (v1 * (xx * hh - xh * xh) - x1 * (xv * hh - xh * hv) + h1 * (xv * xh - xx * hv)) / d AS b0,
+                 (n * (xv * hh - hv * xh) - v1 * (x1 * hh - xh * h1) + h1 * (x1 * hv - xv * h1)) / d AS b1,
+                 (n * (xx * hv - xh * xv) - x1 * (x1 * hv - xv * h1) + v1 * (x1 * xh - xx * h1)) / d AS b2 FROM det),
+coefs AS (SELECT *, SQRT(GREATEST(vv - 2 * (b0 * v1 + b1 * xv + b2 * hv) + b0 * b0 * n + b1 * b1 * xx + b2 * b2 * (hh - 1.0::DOUBLE)
+                 + 2 * (b0 * b1 * x1 + b0 * b2 * h1 + b1 * b2 * xh), 0.0::DOUBLE) / n) AS sigma FROM model)"""
+
+
+def _trend_ahead(days: str) -> str:
+    """Forecasts of the model for ``days`` (fund_id, ds)."""
+    return f"""proj AS (SELECT a.*, b0 + b1 * (datediff('day', lo, a.ds) / span) + b2 * GREATEST(datediff('day', lo, a.ds) / span - 0.4::DOUBLE, 0.0::DOUBLE) AS level,
+              1.2815515655446004::DOUBLE * SQRT(sigma * sigma + 2.0::DOUBLE / 3.0::DOUBLE * b2 * b2
+                * POW(GREATEST(datediff('day', last_ds, a.ds), 0) / span, 3)) AS width
+       FROM {days} a JOIN coefs USING (fund_id), ends)"""
+
+
+FUND_DAYS = "fund_days AS (SELECT fund_id, nav_date AS ds, aum AS y FROM nav_daily)"
+AHEAD = """marks AS (SELECT ds, CAST(row_number() OVER (ORDER BY ds) AS INTEGER) AS step FROM (
+  SELECT CAST(generate_series AS DATE) AS ds FROM generate_series(
+    ((SELECT MAX(ds) FROM fund_days) + INTERVAL 1 DAY)::TIMESTAMP, ((SELECT MAX(ds) FROM fund_days) + INTERVAL 200 DAY)::TIMESTAMP, INTERVAL 1 DAY)
+  WHERE isodow(CAST(generate_series AS DATE)) <= 5)),
+ahead AS (SELECT fund_id, marks.ds, step FROM (SELECT DISTINCT fund_id FROM fund_days), marks WHERE step IN (30, 60, 90))"""
+
+register("fund_trend_model", with_ctes(NAV, FUND_DAYS, _trend_model("fund_days")) + f"""
+SELECT fund_id, CAST(n AS BIGINT) AS n, last_ds, {fround('b0', 6)} AS intercept, {fround('b1', 6)} AS trend, {fround('b2', 6)} AS cp1,
+       {fround('sigma', 6)} AS sigma FROM coefs""")
+
+register("fund_trend_forecasts", with_ctes(NAV, FUND_DAYS, _trend_model("fund_days"), AHEAD, _trend_ahead("ahead")) + f"""
+SELECT fund_id, ds, step, {fround('EXP(level)', 2)} AS yhat, {fround('EXP(level - width)', 2)} AS yhat_lower,
+       {fround('EXP(level + width)', 2)} AS yhat_upper FROM proj""")
+
+register("fund_trend_coverage", with_ctes(
+    NAV, FUND_DAYS, """cut AS (SELECT MIN(ds) + CAST(FLOOR(datediff('day', MIN(ds), MAX(ds)) * 0.8::DOUBLE) AS INTEGER) AS c FROM fund_days),
+early AS (SELECT * FROM fund_days WHERE ds < (SELECT c FROM cut)), late AS (SELECT * FROM fund_days WHERE ds >= (SELECT c FROM cut))""",
+    _trend_model("early"), _trend_ahead("late")) + f"""
+SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE inside) AS inside, {fround('COUNT(*) FILTER (WHERE inside)::DOUBLE / COUNT(*)', 8)} AS coverage
+FROM (SELECT CAST(y AS DOUBLE) BETWEEN EXP(level - width) AND EXP(level + width) AS inside FROM proj)""")

@@ -43,3 +43,12 @@ def forecast_error(actual: DataFrame, forecast: DataFrame, on: str = "ds", y: st
     return j.agg(F.count(F.lit(1)).alias("n"),
                  (F.avg(F.abs(err / F.col(y).cast("double"))) * 100).alias("mape"),
                  F.avg(F.abs(err)).alias("mae"))
+
+
+def interval_coverage(actual: DataFrame, forecast: DataFrame, on: str | list[str] = "ds", y: str = "y") -> DataFrame:
+    """Rows present in both frames and the share of them whose value lies inside the forecast interval."""
+    on = [on] if isinstance(on, str) else on
+    j = actual.select(*on, y).join(forecast.select(*on, "yhat_lower", "yhat_upper"), on)
+    inside = F.col(y).cast("double").between(F.col("yhat_lower"), F.col("yhat_upper"))
+    return j.agg(F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("inside"),
+                 F.try_divide(F.count_if(inside).cast("double"), F.count(F.lit(1)).cast("double")).alias("coverage"))

@@ -102,6 +102,17 @@ def _attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 
 # --- tier ii ----------------------------------------------------------------
 
+def trend_variance(spread, changepoints: int, ahead) -> Column:
+    """Variance of the trend ``ahead`` (in spans) of the last day, from the steps it took so far.
+
+    Steps of mean size ``spread``, two-sided exponential (variance 2 spread^2), come
+    ``changepoints`` times a span; one that comes u before the forecast day moves it by u times
+    the step, so the variance is changepoints * 2 spread^2 * integral of u^2 from 0 to ahead.
+    """
+    spread, ahead = (c if isinstance(c, Column) else F.lit(float(c)) for c in (spread, ahead))
+    return 2.0 * changepoints / 3.0 * spread * spread * ahead * ahead * ahead
+
+
 def forecast_features(df: DataFrame, ds: str, t0, span_days: float, changepoints: int = 25,
                       changepoint_range: float = 0.8, yearly: int = 10, weekly: int = 3,
                       regressors: Mapping[str, tuple[str, str]] | None = None) -> tuple[DataFrame, list[str]]:
@@ -127,7 +138,7 @@ def forecast_features(df: DataFrame, ds: str, t0, span_days: float, changepoints
 
 
 class LogLinearForecaster:
-    """log(y) ~ features, elastic net; exp back with a residual-based interval."""
+    """log(y) ~ features, elastic net; exp back with an interval from residuals and trend steps."""
 
     def __init__(self, reg_param: float = 0.001, elastic_net: float = 0.5,
                  regressors: Mapping[str, tuple[str, str]] | None = None, z: float = Z80):
@@ -148,9 +159,12 @@ class LogLinearForecaster:
         self.model = LinearRegression(regParam=self.reg_param, elasticNetParam=self.elastic_net,
                                       maxIter=200).fit(data)
         self.sigma = self.model.summary.rootMeanSquaredError
+        steps = [abs(float(c)) for name, c in zip(self.names, self.model.coefficients) if name.startswith("cp")]
+        self.changepoints, self.spread = len(steps), sum(steps) / max(len(steps), 1)
         return self
 
     def predict(self, horizon: DataFrame, overrides: Mapping[str, float] | None = None) -> DataFrame:
+        """Forecast of the horizon's days; the interval widens with the trend's uncertainty."""
         feats, _ = forecast_features(horizon, self.ds, F.lit(self.t0), self.span,
                                      regressors=self.regressors)
         for c, v in (overrides or {}).items():
@@ -158,7 +172,7 @@ class LogLinearForecaster:
         out = self.model.transform(VectorAssembler(inputCols=self.names, outputCol="features")
                                    .transform(feats))
         step = F.greatest(F.datediff(F.col(self.ds), F.lit(self.last)).cast("double"), F.lit(0.0))
-        width = self.z * self.sigma * F.sqrt(1 + step / float(self.n))
+        width = self.z * F.sqrt(self.sigma ** 2 + trend_variance(self.spread, self.changepoints, step / self.span))
         return out.select(self.ds, F.exp("prediction").alias("yhat"),
                           F.exp(F.col("prediction") - width).alias("yhat_lower"),
                           F.exp(F.col("prediction") + width).alias("yhat_upper"))

@@ -7,6 +7,8 @@ parquet tables under ``sf_dir``.  Decimal results are returned as doubles.
 from __future__ import annotations
 
 import datetime as dt
+
+import numpy as np
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -859,6 +861,18 @@ def q_model_invariants(spark, sf):
                  F.lit(abs(weights - 1) < 1e-6).alias("importances_sum_to_one"))
 
 
+@register("lloyd_steps_fixed")
+def q_lloyd_steps_fixed(spark, sf):
+    """Centres of the five first funds after three exact passes over the standardised features."""
+    cols = sg.CLUSTER_FEATURES
+    z = cut_lineage(q_standardised_features(spark, sf).withColumn("features", F.array(*cols)))
+    first = [r["features"] for r in z.orderBy("fund_id").limit(5).collect()]
+    fit = sg.lloyd(z, {"fixed": np.array(first)}, max_iter=3, tol=0.0)["fixed"]
+    rows = [(i, fit.cost, *map(float, c)) for i, c in enumerate(fit.centres)]
+    out = spark.createDataFrame(rows, "centre int, cost double, " + ", ".join(f"{c} double" for c in cols))
+    return out.select("centre", sc.fround("cost", 4).alias("cost"), *[sc.fround(c, 6).alias(c) for c in cols])
+
+
 @register("elbow_falls")
 def q_elbow_falls(spark, sf):
     e = sg.elbow(_seg_features(spark, sf), sg.CLUSTER_FEATURES)

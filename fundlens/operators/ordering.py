@@ -1,7 +1,8 @@
 """Ordering: global ranks, exact quantiles, top-k, tails, first/last, argmax.
 
 Global order statistics are computed without an unpartitioned window over the
-data.  ``value_prefix`` first aggregates per distinct value (map-side
+data.  ``global_rank`` ranks inside range partitions and adds the counts of the
+partitions before.  ``value_prefix`` first aggregates per distinct value (map-side
 combined, so a value held by a third of the rows is one row afterwards),
 splits the distinct values into ranges at approximate quantiles, sums each
 range (one row per range, a bounded frame that is broadcast), and finishes
@@ -87,15 +88,34 @@ def value_prefix(df: DataFrame, value: str, weights: Mapping[str, Column],
 
 def global_rank(df: DataFrame, value: str, descending: bool = True,
                 out: str = "rank") -> DataFrame:
-    """SQL ``RANK()`` over the whole frame (ties share a rank), computed distributedly."""
-    pref = value_prefix(df, value, {"_n": F.lit(1)})
-    if descending:
-        total = pref.agg(F.sum("_n")).scalar()
-        r = total - F.col("_n_below") - F.col("_n") + 1
-    else:
-        r = F.col("_n_below") + 1
-    ranks = pref.select(value, r.cast("long").alias(out))
-    return df.join(ranks, value, "left")
+    """SQL ``RANK()`` over the whole frame (ties share a rank, null values have none).
+
+    Rows are range-partitioned by value and, within a value, by a hash of the row, so a value
+    held by a third of the rows is spread over partitions.  Each partition ranks its own rows;
+    the counts of the partitions before it, and the rank of a value that began in one of them,
+    are added from one summary row a partition.  Nothing is joined on the value.
+    """
+    spark = df.sparkSession
+    order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
+    plain = [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = (df.repartitionByRange(parts, order, F.xxhash64(*plain)).withColumn("_part", F.spark_partition_id()))
+    within = F.rank().over(Window.partitionBy("_part").orderBy(order))
+    ranked = cut_lineage(placed.withColumn("_within", F.when(F.col(value).isNotNull(), within)))
+    first = F.when(F.col("_within") == 1, F.struct(F.col(value).alias("v")))
+    per = ranked.where(F.col("_within").isNotNull()).groupBy("_part").agg(
+        F.count(F.lit(1)).alias("n"), F.max(first)["v"].alias("first"), F.max_by(value, "_within").alias("last"),
+        F.max("_within").alias("last_rank"))
+    rows, before, value_rank, last = [], 0, None, None
+    for r in sorted(per.collect(), key=lambda r: r["_part"]):            # one row a partition
+        goes_on = value_rank is not None and (r["first"] == last or (r["first"] != r["first"] and last != last))
+        head = value_rank if goes_on else before + 1
+        rows.append((r["_part"], before, head))
+        value_rank = head if r["last_rank"] == 1 else before + r["last_rank"]
+        last, before = r["last"], before + r["n"]
+    edges = F.broadcast(spark.createDataFrame(rows, "_part int, _before long, _head long"))
+    rank = F.when(F.col("_within") == 1, F.col("_head")).otherwise(F.col("_before") + F.col("_within"))
+    return ranked.join(edges, "_part", "left").select(*df.columns, rank.cast("long").alias(out))
 
 
 def order_statistics(df: DataFrame, value: str, ranks) -> tuple[int, dict]:

@@ -875,3 +875,24 @@ early AS (SELECT * FROM fund_days WHERE ds < (SELECT c FROM cut)), late AS (SELE
     _trend_model("early"), _trend_ahead("late")) + f"""
 SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE inside) AS inside, {fround('COUNT(*) FILTER (WHERE inside)::DOUBLE / COUNT(*)', 8)} AS coverage
 FROM (SELECT CAST(y AS DOUBLE) BETWEEN EXP(level - width) AND EXP(level + width) AS inside FROM proj)""")
+
+
+# --- Lloyd's passes from fixed start centres ------------------------------------
+
+def _lloyd(passes: int = 3, k: int = 5) -> str:
+    cols = ["avg_return", "return_vol", "avg_active_ret", "avg_sharpe", "avg_aum", "total_anomalies", "consistency",
+            "management_fee", "target_volatility"]
+    gap = " + ".join(f"(z.{c} - c.{c}) * (z.{c} - c.{c})" for c in cols)
+    ctes = [f"z AS ({ORACLE['standardised_features']})",
+            f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY fund_id) - 1 AS INTEGER) AS centre, {', '.join(cols)} FROM z "
+            f"ORDER BY fund_id LIMIT {k})"]
+    for i in range(passes + 1):
+        ctes.append(f"near{i} AS (SELECT z.*, c.centre, {gap} AS gap FROM z CROSS JOIN c{i} c "
+                    "QUALIFY row_number() OVER (PARTITION BY z.fund_id ORDER BY gap, c.centre) = 1)")
+        ctes.append(f"c{i + 1} AS (SELECT c.centre, {', '.join(f'COALESCE(m.{c}, c.{c}) AS {c}' for c in cols)} FROM c{i} c LEFT JOIN "
+                    f"(SELECT centre, {', '.join(f'AVG({c}) AS {c}' for c in cols)} FROM near{i} GROUP BY 1) m USING (centre))")
+    return with_ctes(*ctes) + (f"SELECT centre, (SELECT {fround('SUM(gap)', 4)} FROM near{passes}) AS cost, "
+                               + ", ".join(f"{fround(c, 6)} AS {c}" for c in cols) + f" FROM c{passes}")
+
+
+register("lloyd_steps_fixed", _lloyd())

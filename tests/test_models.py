@@ -262,3 +262,38 @@ def test_unlisted_statuses_are_summed(spark):
                                  "transaction_type string, status string, amount double")
     r = rp.cashflow_by_status(cash).first()
     assert (r["settled"], r["pending"], r["other"]) == (1.0, 0.0, 7.0)
+
+
+def plain_lloyd(x, centres, passes, tol):
+    c = np.array(centres, float)
+    for turn in range(passes + 1):
+        gap = ((x[:, None] - c[None]) ** 2).sum(2)
+        near = gap.argmin(1)
+        moved = np.array([x[near == i].mean(0) if (near == i).any() else c[i] for i in range(len(c))])
+        if ((moved - c) ** 2).sum() <= tol or turn == passes:
+            return c, gap.min(1).sum(), turn
+        c = moved
+
+
+def test_passes_of_several_runs_match_plain_lloyd(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(0, 1, (300, 3)) + rng.integers(0, 3, (300, 1)) * 2
+    df = spark.createDataFrame([(v.tolist(),) for v in x] + [(None,), ([1.0, None, 2.0],), ([float("nan")] * 3,)],
+                               "features array<double>").repartition(5)
+    starts = {"a": x[:3], "b": x[10:14], "far": np.vstack([x[:2], [[99.0, 99.0, 99.0]]])}
+    for passes, tol in ((2, 0.0), (300, 1e-4)):
+        fits, one = sg.lloyd(df, starts, max_iter=passes, tol=tol), sg.lloyd(df, starts, max_iter=passes, tol=tol, rows=303)
+        for name, c in starts.items():
+            assert np.allclose(one[name].centres, fits[name].centres) and one[name].passes == fits[name].passes
+            want, cost, turns = plain_lloyd(x, c, passes, tol)
+            assert np.allclose(fits[name].centres, want) and math.isclose(fits[name].cost, cost, rel_tol=1e-9)
+            assert fits[name].passes == turns and fits[name].settled == (passes == 300)
+
+
+def test_segments_of_rows_without_values(spark):
+    df = spark.createDataFrame([(i, float(i % 2), float(i)) for i in range(20)] + [(90, None, 1.0)], "id long, u double, v double")
+    seg = sg.segment(df, ["u", "v"], k=2, restarts=2, order_by="v").toPandas().set_index("id")
+    assert np.isnan(seg.loc[90, "cluster_id"]) and seg["cluster_id"].nunique() == 2
+    none = sg.segment(df.where("id < 0"), ["u", "v"], k=2, order_by="v")
+    assert none.count() == 0 and "cluster_id" in none.columns
+    assert [r["inertia"] for r in sg.elbow(df.where("id < 0"), ["u", "v"], [2, 3]).collect()] == [0.0, 0.0]

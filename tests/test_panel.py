@@ -92,7 +92,7 @@ def test_one_series_and_no_rows(frame, spark):
 
 
 def test_one_series_forecaster_widens(frame, spark):
-    model = fc.LogLinearForecaster().fit(frame.where("k = 'a' AND y > 0").select("ds", "y"))
+    model = fc.LogLinearForecaster().fit(frame.where("k = 'a' AND y > 0 AND ds IS NOT NULL").select("ds", "y"))
     days = spark.createDataFrame([(DAY0 + dt.timedelta(days=699 + h),) for h in (1, 100, 400)], "ds date")
     w = [math.log(r["yhat_upper"] / r["yhat_lower"]) for r in model.predict(days).orderBy("ds").collect()]
     assert w == sorted(w)

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -48,9 +49,20 @@ def test_a_dimension_is_never_hinted(spark):
     assert "strategy=broadcast" not in buf.getvalue()
 
 
+def nodes(p: str, kind: str) -> list[str]:
+    """Operators of a kind in the tree part of a formatted plan."""
+    tree = p.split("\n\n")[0]
+    return re.findall(rf"\b{kind} \(\d+\)", tree)
+
+
 def test_windows_use_one_window_node(spark):
     p = plan_text(E.queries()["anomaly_features"](spark, SF))
-    # all rolling columns share one window node over one exchange by key
-    nodes = {line.strip().lstrip("+- *").split(") ")[-1] for line in p.splitlines() if "Window (" in line and "+-" in line}
-    assert 1 <= len(nodes) <= 3
-    assert p.count("Exchange") <= 2
+    # all rolling columns share one window node; one exchange builds the days, one brings a fund's days together
+    assert 1 <= len(nodes(p, "Window")) <= 3
+    assert len(nodes(p, "Exchange")) == 2
+
+
+def test_ranking_joins_nothing_on_the_value(spark):
+    p = plan_text(E.queries()["active_return_ranking"](spark, SF))
+    assert not nodes(p, "SortMergeJoin")
+    assert len(nodes(p, "BroadcastHashJoin")) <= 1               # the partitions' offsets

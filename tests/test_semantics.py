@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -168,3 +169,23 @@ def test_blocked_plan_on_real_nav_data(spark, sf_small):
     a = win.anomaly_features(nav, plan="direct").orderBy("fund_id", "nav_date").collect()
     b = win.anomaly_features(nav, plan="auto", block_rows=50).orderBy("fund_id", "nav_date").collect()
     assert len(a) == len(b) > 0 and [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+@pytest.mark.parametrize("descending", [True, False])
+def test_rank_with_hot_values_spread_over_partitions(spark, descending):
+    rng = random.Random(5)
+    values = [rng.choice([1.5, 1.5, 1.5, float(rng.randrange(30)), None, float("nan")]) for _ in range(3000)]
+    rows = [(i, v, 1, 2) for i, v in enumerate(values)] + [(0, values[0], 1, 2)]
+    df = spark.createDataFrame(rows, "id long, v double, rank2 int, _n int").repartition(7)
+    got = ordr.global_rank(df, "v", descending, out="r").collect()
+    assert len(got) == len(rows)
+    key = lambda v: float("inf") if v != v else v              # NaN is the largest value
+    have = [key(r[1]) for r in rows if r[1] is not None]
+    for r in got:
+        if r["v"] is None:
+            assert r["r"] is None
+        else:
+            better = sum(h > key(r["v"]) if descending else h < key(r["v"]) for h in set(have) for _ in range(have.count(h))) if r["id"] % 97 == 0 else None
+            assert better is None or r["r"] == better + 1
+    assert len({(key(r["v"]), r["r"]) for r in got if r["v"] is not None}) == len(set(have))
+    assert ordr.global_rank(df.where("id < 0"), "v").count() == 0

@@ -36,7 +36,9 @@ from fundlens.session import cut_lineage, scratch_path
 from fundlens.sources import bindings as b
 from fundlens.sources import files as fs
 from fundlens.sources import layout as lay
+from fundlens.sources import publish as pub
 from fundlens.streaming import ingest as ing
+from fundlens.streaming import rollup as roll
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -614,6 +616,58 @@ def q_incremental_ingest(spark, sf):
     return as_doubles(out)
 
 
+NAV_ROWS = T.StructType([
+    T.StructField("fund_id", T.LongType(), False), T.StructField("nav_date", T.DateType(), False),
+    T.StructField("nav", T.DoubleType(), True), T.StructField("aum", T.DecimalType(20, 2), True),
+    T.StructField("daily_return", T.DecimalType(10, 6), True), T.StructField("benchmark_return", T.DecimalType(10, 6), True),
+    T.StructField("is_anomaly", T.IntegerType(), True)])
+
+
+@register("rollup_two_waves")
+def q_rollup_two_waves(spark, sf):
+    """The monthly rollup kept by two waves of days, the second with days of the first; compacted in between."""
+    root = scratch_path(spark, "rollup")
+    nav = cut_lineage(b.nav_daily(spark, sf).select(*NAV_ROWS.fieldNames()))
+    day = F.dayofmonth("nav_date")
+    args = dict(landing=f"{root}/landing/*", root=f"{root}/tables", schema=NAV_ROWS, checkpoint=f"{root}/_checkpoint")
+    fs.write_table(fs.as_text(nav.where(day <= 15)), f"{root}/landing/w1", fmt="csv")
+    roll.ingest_with_rollup(spark, **args)
+    roll.compact(spark, f"{root}/tables", NAV_ROWS)
+    fs.write_table(fs.as_text(nav.where(day >= 14)), f"{root}/landing/w2", fmt="csv")
+    roll.ingest_with_rollup(spark, **args)
+    roll.ingest_with_rollup(spark, **args)
+    return as_doubles(roll.current_rollup(spark, f"{root}/tables", NAV_ROWS, b.fund_dimension(spark, sf)))
+
+
+@register("load_all_or_none")
+def q_load_all_or_none(spark, sf):
+    """Four tables are loaded; a run whose third table breaks and a run with orphans change nothing; a whole run does."""
+    root = scratch_path(spark, "publish")
+    fund = b.fund_dimension(spark, sf).select("fund_id", "asset_class")
+    cash = b.cash_flows(spark, sf).select((F.col("fund_id") % 10 + 1).alias("fund_id"), "transaction_id", "amount")
+    first = {"fund_master": fund, "nav_daily": b.nav_daily(spark, sf).select("fund_id", "nav_date", "aum"), "cash_flows": cash,
+             "trades": b.trades(spark, sf).select("fund_id", F.col("trade_id"))}
+    pub.load_all(spark, first, root, "2024-01-02")
+    broken = F.when(F.col("transaction_id") % 7 == 3, F.raise_error(F.lit("damaged row"))).otherwise(F.col("amount"))
+    runs = [{**first, "nav_daily": first["nav_daily"].where("false"), "cash_flows": cash.withColumn("amount", broken.cast("decimal(20,2)"))},
+            {**first, "fund_master": fund.where("fund_id > 1")}]
+    refused = 0
+    for tables in runs:
+        try:
+            pub.load_all(spark, tables, root, "2024-01-03")
+        except pub.NotPublished:
+            refused += 1
+    kept = {n: pub.read_current(spark, root, n) for n in first}
+    pub.load_all(spark, {"cash_flows": cash.where("transaction_id % 2 = 0")}, root, "2024-01-04")
+    now = pub.manifest(spark, root)["tables"]
+    log = spark.read.parquet(f"{root}/_run_log")
+    return fs.row_counts(kept).select(
+        "*", kept["cash_flows"].agg(F.sum("amount")).scalar().cast("double").alias("cash_kept"),
+        pub.read_current(spark, root, "cash_flows").agg(F.count(F.lit(1))).scalar().alias("cash_now"),
+        F.lit(now["cash_flows"]["rows"]).cast("long").alias("cash_observed"), F.lit(refused).alias("refused"),
+        log.where("status = 'Failed'").agg(F.count(F.lit(1))).scalar().alias("failed_runs"))
+
+
 # --- forecasting (K1-K3, B1, C2, C3, D16) ----------------------------------
 
 

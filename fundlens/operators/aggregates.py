@@ -79,6 +79,45 @@ def last_value(value_col, order_col) -> Column:
     return F.max_by(_c(value_col), _c(order_col))
 
 
+# --- the monthly rollup as states that merge -----------------------------------
+
+def rollup_states(nav: DataFrame, key: str = "fund_id", date_col: str = "nav_date") -> DataFrame:
+    """Partial states of ``monthly_rollup`` per key and month: exact sums, counts and the last day.
+
+    States of disjoint sets of days add up (``merge_states``) to the state of all days.
+    """
+    x = F.col("daily_return").cast("decimal(12,6)")
+    nav_col = F.col("nav") if "nav" in nav.columns else F.lit(None).cast("double")
+    return nav.groupBy(key, month_bucket(date_col).alias("month")).agg(
+        F.count(x).alias("n"), F.sum(x).cast("decimal(24,6)").alias("s1"), F.sum(x * x).cast("decimal(38,12)").alias("s2"),
+        F.sum("daily_return").cast("decimal(24,6)").alias("r"), F.sum("benchmark_return").cast("decimal(24,6)").alias("b"),
+        F.count("aum").alias("aum_n"), F.sum("aum").cast("decimal(38,2)").alias("aum"),
+        F.max(F.when(F.col(date_col).isNotNull(), F.struct(F.col(date_col).alias("day"), nav_col.alias("nav")))).alias("last"),
+        F.sum("is_anomaly").cast("long").alias("anomalies"))
+
+
+def merge_states(states: DataFrame, key: str = "fund_id") -> DataFrame:
+    """One state per key and month from any number of partial ones (map-side combined)."""
+    sums = [F.sum(c).cast(states.schema[c].dataType).alias(c) for c in ("n", "s1", "s2", "r", "b", "aum_n", "aum", "anomalies")]
+    return states.groupBy(key, "month").agg(*sums, F.max("last").alias("last"))
+
+
+def finish_states(states: DataFrame, dim: DataFrame | None = None, key: str = "fund_id",
+                  class_col: str = "asset_class") -> DataFrame:
+    """``monthly_rollup``'s rows, to the last digit, from merged states."""
+    n, s1, s2 = F.col("n"), F.col("s1").cast("decimal(18,6)"), F.col("s2").cast("decimal(26,12)")
+    spread = (n.cast("decimal(10,0)") * s2 - s1 * s1).cast("double")
+    std = F.sqrt(F.when(n > 1, spread / (n * (n - 1)).cast("double")))
+    sharpe = F.col("r").cast("double") / (std * F.sqrt(F.lit(float(TRADING_DAYS))) + SHARPE_EPS)
+    out = states.select(
+        key, "month", F.col("r").cast("decimal(10,6)").alias("monthly_return"), F.col("b").cast("decimal(10,6)").alias("benchmark_return"),
+        (F.col("r") - F.col("b")).cast("decimal(10,6)").alias("active_return"),
+        to_decimal(F.col("aum").cast("double") / F.col("aum_n"), 20, 2).alias("avg_aum"),
+        to_decimal(F.col("last.nav"), 12, 4).alias("month_end_nav"), F.col("anomalies").cast("int").alias("anomaly_count"),
+        to_decimal(sharpe, 20, 4).alias("sharpe_ratio"))
+    return out if dim is None else with_dimension(out, dim, key, [class_col])
+
+
 def monthly_rollup(nav: DataFrame, dim: DataFrame | None = None, key: str = "fund_id",
                    date_col: str = "nav_date", class_col: str = "asset_class") -> DataFrame:
     """Fund x month rollup of a daily NAV table.

@@ -896,3 +896,12 @@ def _lloyd(passes: int = 3, k: int = 5) -> str:
 
 
 register("lloyd_steps_fixed", _lloyd())
+
+register("rollup_two_waves", ORACLE["monthly_rollup"])
+
+register("load_all_or_none", with_ctes(GEO, FUND_DIM, NAV, CASH) + """
+SELECT (SELECT COUNT(*) FROM fund_dim) AS fund_master_count, (SELECT COUNT(*) FROM nav_daily) AS nav_daily_count,
+       (SELECT COUNT(*) FROM cash_flows) AS cash_flows_count, (SELECT COUNT(*) FROM lineitem) AS trades_count,
+       (SELECT CAST(SUM(amount) AS DOUBLE) FROM cash_flows) AS cash_kept,
+       (SELECT COUNT(*) FROM cash_flows WHERE transaction_id % 2 = 0) AS cash_now,
+       (SELECT COUNT(*) FROM cash_flows WHERE transaction_id % 2 = 0) AS cash_observed, 2 AS refused, 2 AS failed_runs""")

@@ -66,41 +66,69 @@ def day_number(col: str) -> Column:
 
 SPLIT_BUCKETS = 4096
 SPLIT_MAX_CLASSES = 1000
+EDGE_ROWS = 1_000_000               # rows of a class that one task may order
 
 
 def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac: float = 0.8,
                      seed: int = 42, out: str = "is_train") -> DataFrame:
     """Exact per-class split: the floor(frac * n_class) rows of lowest hash go to train.
 
-    The hash is close to uniform, so one grouped count over (class, hash bucket) finds the
-    bucket in which a class's last training row lies.  Buckets below it are train, buckets
-    above are test, and only the rows of that one bucket a class are ordered, by hash and key.
+    Radix selection: a grouped count over (class, hash bucket) finds the bucket in which a
+    class's last training row lies; while that bucket holds more than ``EDGE_ROWS`` rows it is
+    cut into buckets again, reading only its rows.  Rows below a class's last interval are
+    train, rows above it are test, and only the rows inside are ordered, by hash and key.
     Labels must be classes: more than ``SPLIT_MAX_CLASSES`` values raise.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in key_cols]
     names = [f"_k{i}" for i in range(len(keys))]
-    width = -(-HASH_P // SPLIT_BUCKETS)
     d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], portable_hash(keys, seed).alias("_h"))
-    d = d.withColumn("_b", F.expr(f"_h div {width}"))
-    counted = d.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(label).orderBy("_b")
-    total = F.sum("n").over(Window.partitionBy(label))
-    counted = (counted.withColumn("below", F.sum("n").over(w) - F.col("n"))
-               .withColumn("take", F.floor(total * F.lit(float(frac))))
-               .where((F.col("below") <= F.col("take")) & (F.col("take") < F.col("below") + F.col("n"))))
-    edges = counted.select(label, "_b", (F.col("take") - F.col("below")).alias("take")).limit(SPLIT_MAX_CLASSES + 1).collect()
-    if len(edges) > SPLIT_MAX_CLASSES:
-        raise ValueError(f"{label} has more than {SPLIT_MAX_CLASSES} values")
-    # a class that is all train has no edge: every bucket lies below
-    edge, take = F.lit(SPLIT_BUCKETS), F.lit(0)
-    for r in edges:                                            # one row per class
-        in_cls = F.col(label).eqNullSafe(F.lit(r[label]))
-        edge, take = F.when(in_cls, F.lit(r["_b"])).otherwise(edge), F.when(in_cls, F.lit(r["take"])).otherwise(take)
-    d = d.withColumns({"_edge": edge, "_take": take})
-    clear = d.where("_b <> _edge").withColumn(out, (F.col("_b") < F.col("_edge")).cast("int"))
+    h = F.col("_h")
+
+    def of_class(value) -> Column:
+        return F.col(label).eqNullSafe(F.lit(value))
+
+    def pick(state: dict, field: str, default: int) -> Column:
+        """A class's entry of the selection state (a literal per class)."""
+        out_ = F.lit(default)
+        for value, s in state.items():
+            out_ = F.when(of_class(value), F.lit(s[field])).otherwise(out_)
+        return out_
+
+    def cut(rows: DataFrame, lo: Column, width: Column, want: dict | None) -> dict:
+        """Per class the bucket that holds its last training row: lo, width, rows before it still to take, rows."""
+        counted = rows.withColumn("_b", F.floor((h - lo) / width)).groupBy(label, "_b").agg(F.count(F.lit(1)).alias("n"))
+        w = Window.partitionBy(label).orderBy("_b")
+        total = F.sum("n").over(Window.partitionBy(label))
+        take = F.floor(total * F.lit(float(frac))) if want is None else pick(want, "take", 0)
+        edge = (counted.withColumn("below", F.sum("n").over(w) - F.col("n")).withColumn("take", take)
+                .where((F.col("below") <= F.col("take")) & (F.col("take") < F.col("below") + F.col("n"))))
+        found = edge.select(label, "_b", (F.col("take") - F.col("below")).alias("take"), "n").limit(SPLIT_MAX_CLASSES + 1).collect()
+        if len(found) > SPLIT_MAX_CLASSES:
+            raise ValueError(f"{label} has more than {SPLIT_MAX_CLASSES} values")
+        return {r[label]: r for r in found}
+
+    width = -(-HASH_P // SPLIT_BUCKETS)
+    state = {v: {"lo": r["_b"] * width, "width": width, "take": r["take"], "n": r["n"]}
+             for v, r in cut(d, F.lit(0), F.lit(width), None).items()}
+    while True:
+        large = {v: s for v, s in state.items() if s["n"] > EDGE_ROWS and s["width"] > 1}
+        if not large:
+            break
+        fine = {v: -(-s["width"] // SPLIT_BUCKETS) for v, s in large.items()}
+        inside = F.lit(False)
+        for v, s in large.items():                             # a literal interval per class: reaches the scan
+            inside = inside | (of_class(v) & (h >= s["lo"]) & (h < s["lo"] + s["width"]))
+        width_of = pick({v: {"w": w} for v, w in fine.items()}, "w", 1)
+        for v, r in cut(d.where(inside), pick(large, "lo", 0), width_of, large).items():
+            state[v] = {"lo": state[v]["lo"] + r["_b"] * fine[v], "width": fine[v], "take": r["take"], "n": r["n"]}
+    # a class that is all train has no entry: every hash lies below its interval
+    lo = pick(state, "lo", HASH_P)
+    end = pick({v: {"end": s["lo"] + s["width"]} for v, s in state.items()}, "end", HASH_P)
+    d = d.withColumns({"_lo": lo, "_end": end, "_take": pick(state, "take", 0)})
+    clear = d.where("_h < _lo OR _h >= _end").withColumn(out, (h < F.col("_lo")).cast("int"))
     rn = F.row_number().over(Window.partitionBy(label).orderBy("_h", *names))
-    close = d.where("_b = _edge").withColumn(out, (rn <= F.col("_take")).cast("int"))
-    return clear.unionByName(close).drop("_h", "_b", "_edge", "_take", *names)
+    close = d.where("_h >= _lo AND _h < _end").withColumn(out, (rn <= F.col("_take")).cast("int"))
+    return clear.unionByName(close).drop("_h", "_lo", "_end", "_take", *names)
 
 
 # --- isolation forest ------------------------------------------------------

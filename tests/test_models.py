@@ -297,3 +297,18 @@ def test_segments_of_rows_without_values(spark):
     none = sg.segment(df.where("id < 0"), ["u", "v"], k=2, order_by="v")
     assert none.count() == 0 and "cluster_id" in none.columns
     assert [r["inertia"] for r in sg.elbow(df.where("id < 0"), ["u", "v"], [2, 3]).collect()] == [0.0, 0.0]
+
+
+@pytest.mark.parametrize("buckets,edge_rows", [(4096, 1_000_000), (4, 3), (2, 1), (64, 10)])
+def test_split_is_the_same_at_any_depth(spark, monkeypatch, buckets, edge_rows):
+    monkeypatch.setattr(an, "SPLIT_BUCKETS", buckets)
+    monkeypatch.setattr(an, "EDGE_ROWS", edge_rows)
+    rows = [(i, [None, "a", "b", "b"][i % 4], i % 3) for i in range(500)] + [(900, "one", 1), (901, "two", 1), (902, "two", 2)]
+    df = spark.createDataFrame(rows, "id long, y string, _lo int")
+    got = an.stratified_split(df.select("id", "y"), "y", [F.col("id")], 0.8, seed=5)
+    hashes = {r["id"]: r["h"] for r in df.select("id", an.portable_hash([F.col("id")], 5).alias("h")).collect()}
+    want = set()
+    for y in (None, "a", "b", "one", "two"):
+        ids = sorted((i for i, c, _ in rows if c == y), key=lambda i: (hashes[i], i))
+        want |= set(ids[:math.floor(0.8 * len(ids))])
+    assert {r["id"] for r in got.where("is_train = 1").collect()} == want and got.count() == len(rows)

@@ -22,6 +22,7 @@ from fundlens.operators import aggregates as agg
 from fundlens.operators import joins as jn
 from fundlens.operators import ordering as ordr
 from fundlens.operators import quality as qa
+from fundlens.operators import sketches as sk
 from fundlens.operators import windows as win
 from fundlens.plans import anomaly as an
 from fundlens.plans import evaluate as ev
@@ -121,6 +122,14 @@ def q_fund_features(spark, sf):
 # --- windows (E1-E7) --------------------------------------------------------
 
 
+@register("anomaly_features_bucketed")
+def q_anomaly_features_bucketed(spark, sf):
+    """The feature frame from a table bucketed by fund: no exchange."""
+    path = scratch_path(spark, "nav-by-fund")
+    nav = lay.write_by_key(b.nav_daily(spark, sf), path.rsplit("/", 1)[1].replace("-", "_"), path, "fund_id", "nav_date")
+    return as_doubles(win.anomaly_features(nav))
+
+
 @register("anomaly_features")
 def q_anomaly_features(spark, sf):
     return win.anomaly_features(b.nav_daily(spark, sf))
@@ -201,7 +210,8 @@ def q_fund_master_stats(spark, sf):
 
 @register("return_quantiles")
 def q_return_quantiles(spark, sf):
-    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    # the quantiles read the column several times: it is computed and written once
+    feats = cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)).select("return_z_score"))
     ps = (0.5, 0.9, 0.99)
     qs = dict(zip([f"q{int(p * 100)}" for p in ps],
                   ordr.exact_quantiles(feats, "return_z_score", list(ps))))
@@ -209,6 +219,39 @@ def q_return_quantiles(spark, sf):
     return row.select(*[sc.fround(k, 8).alias(k) for k in qs])
 
 
+@register("quantiles_from_sketches")
+def q_quantiles_from_sketches(spark, sf):
+    """Quantiles of daily AUM merged from stored monthly sketches, against the exact values a rank error away."""
+    nav = cut_lineage(b.nav_daily(spark, sf).select("nav_date", F.col("aum").cast("double").alias("aum")))
+    path = scratch_path(spark, "sketches")
+    sk.quantile_sketches(nav, "aum", [F.date_format("nav_date", "yyyy-MM").alias("month")]).write.partitionBy("month").parquet(path)
+    ps, eps = (0.1, 0.5, 0.9, 0.99), 0.01
+    got = sk.quantiles_of(spark.read.parquet(path), ps).first()
+    ends = [min(max(p + d, 0.0), 1.0) for p in ps for d in (-eps, eps)]
+    exact = ordr.exact_quantiles(nav, "aum", ends)
+    rows = [(p, got["rows"], lo, hi, lo <= got[f"q{100 * p:g}"] <= hi) for p, lo, hi in zip(ps, exact[::2], exact[1::2])]
+    out = spark.createDataFrame(rows, "p double, rows long, lo double, hi double, inside boolean")
+    return out.select("p", "rows", sc.fround("lo", 4).alias("lo"), sc.fround("hi", 4).alias("hi"), "inside")
+
+
+@register("distinct_from_sketches")
+def q_distinct_from_sketches(spark, sf):
+    """Distinct parts and suppliers by year from stored monthly sketches, against the exact counts."""
+    li = b.read(spark, sf, "lineitem").select("l_partkey", "l_suppkey", F.to_date("l_shipdate").alias("day"))
+    path = scratch_path(spark, "distinct")
+    month = [F.year("day").alias("year"), F.month("day").alias("month")]
+    parts = sk.distinct_sketches(li, "l_partkey", month).withColumnRenamed("sketch", "parts")
+    sk.distinct_sketches(li, "l_suppkey", month).join(parts, ["year", "month"]).write.partitionBy("year").parquet(path)
+    kept = spark.read.parquet(path)
+    near = sk.distinct_of(kept, ["year"], "suppliers").join(
+        sk.distinct_of(kept.select("year", F.col("parts").alias("sketch")), ["year"], "parts"), "year")
+    exact = li.groupBy(F.year("day").alias("year")).agg(F.count_distinct("l_partkey").alias("exact_parts"),
+                                                        F.count_distinct("l_suppkey").alias("exact_suppliers"))
+    off = sk.distinct_error()
+    return exact.join(near, "year").select("year", "exact_parts", "exact_suppliers", *[
+        (F.abs(F.col(c) - F.col(f"exact_{c}")) <= F.ceil(off * F.col(f"exact_{c}"))).alias(f"{c}_inside") for c in ("parts", "suppliers")])
+
+
 @register("zscore_above_q99")
 def q_zscore_above_q99(spark, sf):
     feats = cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)))

@@ -19,6 +19,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fundlens.operators.sketches import quantile_sketches, quantiles_of
 from fundlens.session import cut_lineage
 
 ROWS_PER_RANGE = 1_000_000
@@ -194,6 +195,13 @@ def exact_quantile(df: DataFrame, value: str, p: float) -> float | None:
     return exact_quantiles(df, value, [p])[0]
 
 
+def quantile(df: DataFrame, value: str, p: float, approx: bool = False) -> float | None:
+    """Quantile ``p`` of the non-null values: exact and interpolated, or from one pass over a mergeable sketch."""
+    if not approx:
+        return exact_quantile(df, value, p)
+    return quantiles_of(quantile_sketches(df, value, []), [p]).first()[1]
+
+
 def top_k(df: DataFrame, value: str, k: int, descending: bool = True,
           tie_break: str | None = None) -> DataFrame:
     """The k rows with the largest (or smallest) value (TakeOrderedAndProject)."""

@@ -905,3 +905,13 @@ SELECT (SELECT COUNT(*) FROM fund_dim) AS fund_master_count, (SELECT COUNT(*) FR
        (SELECT CAST(SUM(amount) AS DOUBLE) FROM cash_flows) AS cash_kept,
        (SELECT COUNT(*) FROM cash_flows WHERE transaction_id % 2 = 0) AS cash_now,
        (SELECT COUNT(*) FROM cash_flows WHERE transaction_id % 2 = 0) AS cash_observed, 2 AS refused, 2 AS failed_runs""")
+
+register("anomaly_features_bucketed", ORACLE["anomaly_features"])
+
+register("quantiles_from_sketches", with_ctes(NAV, "v AS (SELECT CAST(aum AS DOUBLE) AS aum FROM nav_daily)") + " UNION ALL ".join(
+    f"SELECT {p}::DOUBLE AS p, COUNT(*) AS rows, {fround(f'quantile_cont(aum, {round(p - 0.01, 2)})', 4)} AS lo, "
+    f"{fround(f'quantile_cont(aum, {round(min(p + 0.01, 1.0), 2)})', 4)} AS hi, TRUE AS inside FROM v" for p in (0.1, 0.5, 0.9, 0.99)))
+
+register("distinct_from_sketches", """
+SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year, COUNT(DISTINCT l_partkey) AS exact_parts,
+       COUNT(DISTINCT l_suppkey) AS exact_suppliers, TRUE AS parts_inside, TRUE AS suppliers_inside FROM lineitem GROUP BY 1""")

@@ -66,3 +66,8 @@ def test_ranking_joins_nothing_on_the_value(spark):
     p = plan_text(E.queries()["active_return_ranking"](spark, SF))
     assert not nodes(p, "SortMergeJoin")
     assert len(nodes(p, "BroadcastHashJoin")) <= 1               # the partitions' offsets
+
+
+def test_features_of_a_bucketed_table_need_no_exchange(spark):
+    p = plan_text(E.queries()["anomaly_features_bucketed"](spark, SF))
+    assert not nodes(p, "Exchange") and nodes(p, "Window")

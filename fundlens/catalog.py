@@ -687,7 +687,7 @@ def q_load_all_or_none(spark, sf):
     """Four tables are loaded; a run whose third table breaks and a run with orphans change nothing; a whole run does."""
     root = scratch_path(spark, "publish")
     fund = b.fund_dimension(spark, sf).select("fund_id", "asset_class")
-    cash = b.cash_flows(spark, sf).select((F.col("fund_id") % 10 + 1).alias("fund_id"), "transaction_id", "amount")
+    cash = b.cash_flows(spark, sf).select((F.col("fund_id") % 10).alias("fund_id"), "transaction_id", "amount")
     first = {"fund_master": fund, "nav_daily": b.nav_daily(spark, sf).select("fund_id", "nav_date", "aum"), "cash_flows": cash,
              "trades": b.trades(spark, sf).select("fund_id", F.col("trade_id"))}
     pub.load_all(spark, first, root, "2024-01-02")
@@ -891,6 +891,39 @@ def q_nav_anomaly_scores(spark, sf):
                       "rf_is_anomaly", "iso_outlier")
 
 
+#: a small forest: (tree, node, depth, feature, threshold, left, right, size)
+FIXED_FOREST = [(0, 0, 0, win.FEATURES.index("return_z_score"), 1.5, 1, 2, 256),
+                (0, 1, 1, win.FEATURES.index("return_20d_std"), 0.02, 3, 4, 230), (0, 2, 1, -1, 0.0, -1, -1, 26),
+                (0, 3, 2, -1, 0.0, -1, -1, 180), (0, 4, 2, -1, 0.0, -1, -1, 50),
+                (1, 0, 0, win.FEATURES.index("aum_change_pct"), 0.0, 1, 2, 256), (1, 1, 1, -1, 0.0, -1, -1, 100),
+                (1, 2, 1, win.FEATURES.index("daily_return"), 0.01, 3, 4, 156), (1, 3, 2, -1, 0.0, -1, -1, 155),
+                (1, 4, 2, -1, 0.0, -1, -1, 1), (2, 0, 0, -1, 0.0, -1, -1, 2)]
+
+
+@register("forest_scores_fixed")
+def q_forest_scores_fixed(spark, sf):
+    """A fixed forest, written as a node table and read back, scores every row of the feature frame."""
+    path = scratch_path(spark, "forest")
+    fs.write_table(spark.createDataFrame(FIXED_FOREST, an.TREE_SCHEMA), path)
+    forest = an.IsolationForest.from_nodes(spark.read.parquet(path), win.FEATURES)
+    scored = forest.score(win.anomaly_features(b.nav_daily(spark, sf)))
+    return scored.select("fund_id", "nav_date", sc.fround("iso_score", 9).alias("iso_score"))
+
+
+@register("forest_split_fixed")
+def q_forest_split_fixed(spark, sf):
+    """One split of the classifier over all rows on ten levels of the AUM rise: class-1 probability per level.
+
+    Two leaves that predict the same class are one leaf.
+    """
+    f = cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)).select(
+        F.least(F.floor(F.greatest("aum_change_pct", F.lit(0.0)) * 2), F.lit(9)).cast("double").alias("level"), "is_anomaly"))
+    model = an.fit_random_forest(f, ["level"], "is_anomaly", {0: 1, 1: 44}, trees=1, max_depth=1, bootstrap=False)
+    levels = f.groupBy("level").agg(F.count(F.lit(1)).alias("rows"))
+    out = an.class_probability(model, levels, ["level"])
+    return out.select("level", "rows", sc.fround("rf_anomaly_prob", 9).alias("rf_anomaly_prob"))
+
+
 @register("anomaly_metrics")
 def q_anomaly_metrics(spark, sf):
     _, _, _, probs = _anomaly_run(spark, sf)

@@ -915,3 +915,36 @@ register("quantiles_from_sketches", with_ctes(NAV, "v AS (SELECT CAST(aum AS DOU
 register("distinct_from_sketches", """
 SELECT CAST(year(CAST(l_shipdate AS DATE)) AS INTEGER) AS year, COUNT(DISTINCT l_partkey) AS exact_parts,
        COUNT(DISTINCT l_suppkey) AS exact_suppliers, TRUE AS parts_inside, TRUE AS suppliers_inside FROM lineitem GROUP BY 1""")
+
+
+# --- the models' scoring on fixed trees -----------------------------------------
+
+def _path(n: int) -> float:
+    """Mean depth of an unsuccessful search among n points."""
+    return 0.0 if n < 2 else 1.0 if n == 2 else 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
+
+
+register("forest_scores_fixed", FEATURE_ROWS + f"""
+, depth AS (SELECT fund_id, nav_date,
+  CASE WHEN return_z_score < 1.5 THEN CASE WHEN return_20d_std < 0.02 THEN {2 + _path(180)!r}::DOUBLE ELSE {2 + _path(50)!r}::DOUBLE END
+       ELSE {1 + _path(26)!r}::DOUBLE END
+  + CASE WHEN aum_change_pct < 0 THEN {1 + _path(100)!r}::DOUBLE
+         WHEN daily_return < 0.01::DOUBLE THEN {2 + _path(155)!r}::DOUBLE ELSE 2.0::DOUBLE END + 1.0::DOUBLE AS d FROM feats)
+SELECT fund_id, nav_date, {fround(f'-POW(2.0::DOUBLE, -(d / 3.0::DOUBLE) / {(2 * _path(256) + 1.0) / 3!r}::DOUBLE)', 9)} AS iso_score FROM depth""")
+
+LEAF = ("CASE WHEN best.level IS NULL OR (a1 > a0) = (t1 - a1 > t0 - a0) THEN (SELECT SUM(w1) / SUM(w0 + w1) FROM c) WHEN c.level <= best.level THEN a1 / (a0 + a1) "
+        "ELSE (t1 - a1) / (t0 + t1 - a0 - a1) END")
+
+register("forest_split_fixed", FEATURE_ROWS + f"""
+, l AS (SELECT LEAST(FLOOR(GREATEST(aum_change_pct, 0.0::DOUBLE) * 2), 9)::DOUBLE AS level, is_anomaly FROM feats),
+c AS (SELECT level, COUNT(*) AS rows, COUNT(*) FILTER (WHERE is_anomaly = 0)::DOUBLE AS w0, COUNT(*) FILTER (WHERE is_anomaly = 1) * 44.0::DOUBLE AS w1
+      FROM l GROUP BY 1),
+s AS (SELECT level, SUM(rows) OVER u AS n, SUM(w0) OVER u AS a0, SUM(w1) OVER u AS a1, SUM(rows) OVER () AS tn, SUM(w0) OVER () AS t0,
+             SUM(w1) OVER () AS t1 FROM c WINDOW u AS (ORDER BY level ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+g AS (SELECT *, 1 - (t0 * t0 + t1 * t1) / ((t0 + t1) * (t0 + t1))
+             - (a0 + a1) / (t0 + t1) * (1 - (a0 * a0 + a1 * a1) / ((a0 + a1) * (a0 + a1)))
+             - (t0 + t1 - a0 - a1) / (t0 + t1) * (1 - ((t0 - a0) * (t0 - a0) + (t1 - a1) * (t1 - a1))
+                                                     / ((t0 + t1 - a0 - a1) * (t0 + t1 - a0 - a1))) AS gain
+      FROM s WHERE n >= 3 AND tn - n >= 3),
+best AS (SELECT * FROM g WHERE gain > 0 ORDER BY gain DESC, level LIMIT 1)
+SELECT c.level, c.rows, {fround(LEAF, 9)} AS rf_anomaly_prob FROM c LEFT JOIN best ON TRUE""")

@@ -229,8 +229,13 @@ class IsolationForest:
             return pd.DataFrame({"tree": t, "node": np.arange(len(f)), "depth": depth, "feature": f,
                                  "threshold": th, "left": le, "right": ri, "size": sz})
 
-        nodes = cand.groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas()
-        nodes = nodes.sort_values(["tree", "node"])
+        self._take(cand.groupBy("tree").applyInPandas(build, TREE_SCHEMA).toPandas())
+        if self.n_trees != self.trees:
+            raise RuntimeError(f"{self.trees - self.n_trees} trees drew no sample")
+        return self
+
+    def _take(self, nodes: pd.DataFrame) -> None:
+        nodes = nodes.sort_values(["tree", "node"]).reset_index(drop=True)
         # flat arrays: bounded by trees x (2 x max_samples) nodes
         offs = nodes.groupby("tree").size().cumsum().shift(fill_value=0)
         base = nodes["tree"].map(offs).to_numpy()
@@ -240,13 +245,26 @@ class IsolationForest:
         self._right = np.where(nodes["right"] >= 0, nodes["right"] + base, -1)
         self._leafval = nodes["depth"].to_numpy() + _c_vec(nodes["size"].to_numpy())
         self._roots = offs.to_numpy()
-        if len(self._roots) != self.trees:
-            raise RuntimeError(f"{self.trees - len(self._roots)} trees drew no sample")
         # normalise by the sizes the trees were really grown on
         self._cm = float(np.mean([_c(k) for k in nodes.loc[nodes["node"] == 0, "size"]])) or 1.0
         self.n_trees = len(self._roots)
         self.offset = None
-        return self
+        self._nodes = nodes
+
+    def nodes(self, spark) -> DataFrame:
+        """The forest as a table, one row per node (bounded by trees x 2 x ``max_samples``)."""
+        return spark.createDataFrame(self._nodes, TREE_SCHEMA)
+
+    @classmethod
+    def from_nodes(cls, nodes: DataFrame, features: Sequence[str]) -> "IsolationForest":
+        """A forest from its node table; inner nodes name features by their place in ``features``."""
+        table = nodes.select(*[f.split()[0] for f in TREE_SCHEMA.split(", ")]).toPandas()
+        if table.empty:
+            raise ValueError("no nodes")
+        forest = cls(trees=int(table["tree"].nunique()))
+        forest.features = list(features)
+        forest._take(table)
+        return forest
 
     def score_column(self, spark) -> Column:
         # the flat forest (bounded by trees x 2 x max_samples nodes) travels once
@@ -255,9 +273,9 @@ class IsolationForest:
             (self._feat, self._thr, self._left, self._right, self._leafval, self._roots, self._cm))
 
         @F.pandas_udf(T.DoubleType())
-        def score(x: pd.Series) -> pd.Series:
+        def score(*columns: pd.Series) -> pd.Series:
             feat, thr, left, right, leafval, roots, cm = forest.value
-            xs = np.vstack(x.to_numpy()) if len(x) else np.zeros((0, 1))
+            xs = np.column_stack([c.to_numpy(dtype=float) for c in columns])
             rows = np.arange(len(xs))
             total = np.zeros(len(xs))
             for r in roots:
@@ -272,7 +290,7 @@ class IsolationForest:
                 total += leafval[idx]
             return pd.Series(-np.power(2.0, -(total / len(roots)) / cm))
 
-        return score(F.array(*[F.col(c).cast("double") for c in self.features]))
+        return score(*[F.col(c).cast("double") for c in self.features])
 
     def score(self, df: DataFrame, out: str = "iso_score") -> DataFrame:
         return df.withColumn(out, self.score_column(df.sparkSession))
@@ -295,11 +313,11 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
                       class_weight: dict[int, float] | None = None, trees: int = 200,
                       max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64,
                       max_memory_mb: int = 1024, key_cols: Sequence[Column] = (),
-                      fit_rows: int = FIT_ROWS_PER_CLASS):
+                      fit_rows: int = FIT_ROWS_PER_CLASS, bootstrap: bool = True):
     """Random forest on at most about ``fit_rows`` rows a class, drawn by key hash.
 
     The rows kept of a larger class carry the weight of those left out, so classes keep
-    their shares.  Without ``key_cols`` all rows are used.
+    their shares.  Without ``key_cols`` all rows are used; without ``bootstrap`` every tree sees each once.
     """
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()} if key_cols else {}
     keep, w = F.lit(1.0), F.lit(1.0)
@@ -314,7 +332,7 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
         df.withColumn("_w", w).withColumn("_label", F.col(label).cast("double")))
     rf = RandomForestClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
                                 numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt",
+                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=bootstrap,
                                 maxMemoryInMB=max_memory_mb, cacheNodeIds=True, checkpointInterval=10)
     return rf.fit(data)
 

@@ -312,3 +312,14 @@ def test_split_is_the_same_at_any_depth(spark, monkeypatch, buckets, edge_rows):
         ids = sorted((i for i, c, _ in rows if c == y), key=lambda i: (hashes[i], i))
         want |= set(ids[:math.floor(0.8 * len(ids))])
     assert {r["id"] for r in got.where("is_train = 1").collect()} == want and got.count() == len(rows)
+
+
+def test_a_forest_written_and_read_back_scores_alike(spark, blobs):
+    cols = [c for c in blobs.columns if c != "id"][:2]
+    forest = an.IsolationForest(trees=20, max_samples=32, seed=3).fit(blobs, cols, [F.col("id")])
+    path = scratch_path(spark, "test-forest")
+    forest.nodes(spark).write.parquet(path)
+    again = an.IsolationForest.from_nodes(spark.read.parquet(path), cols)
+    a = {r["id"]: r["iso_score"] for r in forest.score(blobs).select("id", "iso_score").collect()}
+    b = {r["id"]: r["iso_score"] for r in again.score(blobs).select("id", "iso_score").collect()}
+    assert a == b and again.n_trees == 20

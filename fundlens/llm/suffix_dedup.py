@@ -32,8 +32,7 @@ from fundlens.llm.textvec import mix
 LENGTH, SEED, ANCHOR = 50, 25, 32
 BYTES_PER_CHUNK = 4 << 20
 CHUNKS_PER_BUCKET = 16
-SLICE = 1 << 16                       # string starts hashed at once, in the processor's cache
-_PLACE = 20                           # bits that hold a place in a slice
+SLICE = 1 << 15                       # string starts hashed at once, in the processor's cache
 _KEY = np.uint64(24)                  # first ranks are 40-bit hashes, always compared in pairs
 _NO_ID = np.iinfo(np.int64).max
 _P = 0xD6E8FEB86659FD93
@@ -58,16 +57,19 @@ class _Hashes:
     """Hashes of runs of bytes, from one prefix sum of a polynomial modulo 2^64."""
 
     def __init__(self, part: np.ndarray):
-        self.total = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_BYTE[part] * _POW[:len(part)], out=self.total[1:])
-
-    def every(self, size: int) -> np.ndarray:
+        self.total = np.empty(len(part) + 1, np.uint64)
+        self.total[0] = 0
+        terms = _BYTE[part]
+        terms *= _POW[:len(part)]
+        np.cumsum(terms, out=self.total[1:])
+
+    def short(self, size: int) -> np.ndarray:
+        """16 bits of the hash of every run of ``size`` bytes, in the upper half of 32."""
         h = self.total[size:] - self.total[:-size]
         h *= _INV[:len(h)]
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xC4CEB9FE1A85EC53)
-        h ^= h >> np.uint64(29)
-        return h
+        h >>= np.uint64(48)
+        h <<= np.uint64(16)
+        return h.astype(np.uint32)
 
     def at(self, place: np.ndarray, size: int) -> np.ndarray:
         return mix((self.total[place + size] - self.total[place]) * _INV[place])
@@ -91,8 +93,6 @@ class Contexts:
     doc: np.ndarray
     anchor: np.ndarray
     content: np.ndarray
-    hashes: _Hashes
-    base: int
 
 
 def _texts(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
@@ -109,22 +109,20 @@ def _texts(t: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray]:
 
 def contexts(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) -> Iterator[Contexts]:
     """Contexts of all texts, a slice of starts at a time; a slice's end may cut one in two."""
-    low = np.uint64((1 << _PLACE) - 1)
-    places = np.arange(SLICE + length, dtype=np.uint64)
+    places = np.arange(SLICE + length, dtype=np.uint32)
     for lo in range(0, len(data) - length + 1, SLICE):
         h = _Hashes(data[lo:lo + SLICE + length - 1])
-        anchors = h.every(anchor)
-        least = _least_of((anchors & ~low) | places[:len(anchors)], length - anchor + 1)
-        minimizer = (least & low).astype(np.int32)
+        # the least hash of a string's anchors, of equal ones the first: hash and place compare as one number
+        anchors = h.short(anchor)
+        anchors |= places[:len(anchors)]
+        minimizer = _least_of(anchors, length - anchor + 1).astype(np.uint16)
         # a context opens where the minimizer changes or a text begins, and no string crosses a text's end
         new = np.ones(len(minimizer) + 1, bool)
         new[1:-1] = minimizer[1:] != minimizer[:-1]
-        ends = offs[np.searchsorted(offs, lo, "right"):np.searchsorted(offs, lo + len(minimizer) + length) + 1] - lo
-        crossing = np.zeros(len(minimizer) + 1, np.int32)
-        np.add.at(crossing, np.clip(ends - length + 1, 0, len(minimizer)), 1)
-        np.add.at(crossing, np.clip(ends, 0, len(minimizer)), -1)
-        fits = np.cumsum(crossing) == 0
+        fits = np.ones(len(minimizer) + 1, bool)
         fits[-1] = False
+        for end in (offs[np.searchsorted(offs, lo, "right"):np.searchsorted(offs, lo + len(minimizer) + length) + 1] - lo).tolist():
+            fits[max(end - length + 1, 0):max(end, 0)] = False
         new[1:] |= ~fits[:-1]
         s = np.flatnonzero(new[:-1] & fits[:-1])
         e = np.flatnonzero((new[1:] | ~fits[1:]) & fits[:-1])
@@ -132,7 +130,7 @@ def contexts(data: np.ndarray, offs: np.ndarray, length: int, anchor: int) -> It
             continue
         content = mix(h.at(s, length) * np.uint64(0x9E3779B97F4A7C15) + h.at(e, length) * np.uint64(0xC2B2AE3D27D4EB4F)
                       + (e - s).astype(np.uint64))
-        yield Contexts(s + lo, e + lo, np.searchsorted(offs, s + lo, "right") - 1, anchors[minimizer[s]], content, h, lo)
+        yield Contexts(s + lo, e + lo, np.searchsorted(offs, s + lo, "right") - 1, h.at(minimizer[s].astype(np.int64), anchor), content)
 
 
 def _id(address: np.ndarray, content: np.ndarray, n_buckets: int) -> np.ndarray:
@@ -290,65 +288,71 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         return _messages(rows, ["chunk", "bucket", "anchors"])
 
     def send_contexts(t: pa.Table, answers: pa.Table) -> pa.Table:
-        names = ["chunk", "bucket", "ids", "anchors", "least"]
+        """Distinct contexts of repeated anchors, with their least document and the place of its occurrence."""
+        names = ["chunk", "bucket", "ids", "anchors", "least", "place", "size"]
         if not len(t):
             return _messages([], names)
         value, row = _joined(answers, "anchors", "<u4")
         known = (answers["bucket"].to_numpy()[row].astype(np.uint64) << np.uint64(32)) | value
         t, data, offs = _texts(t)
         ids = ids_of(t)
-        found = [(_address(c.anchor, n_buckets), c.content, ids[c.doc]) for c in contexts(data, offs, length, anchor)]
-        address, content, doc = (np.concatenate(p) for p in zip(*found)) if found else [np.zeros(0, np.uint64)] * 3
-        here, n = np.unique(address, return_counts=True)
-        live = np.isin(address, np.concatenate([known, here[n > 1]]))
-        address, doc, number = address[live], doc[live], _id(address[live], content[live], n_buckets)
-        number, first = np.unique(number, return_index=True)         # rows are in the order of ids: the first is the least
-        rows = [(chunk_of(t), b, i.tobytes(), a.astype("<u4").tobytes(), d.astype("<i8").tobytes()) for b, i, a, d in
-                _split(address[first] >> np.uint64(32), number, address[first] & np.uint64(0xFFFFFFFF), doc[first])]
+        found = [(_address(c.anchor, n_buckets), c.content, ids[c.doc], c.start, c.last - c.start + 1)
+                 for c in contexts(data, offs, length, anchor)]
+        address, content, doc, place, size = (np.concatenate(p) for p in zip(*found)) if found else [np.zeros(0, np.uint64)] * 5
+        ordered = np.sort(address)
+        known = np.unique(np.concatenate([known, ordered[1:][ordered[1:] == ordered[:-1]]]))
+        live = known[np.minimum(np.searchsorted(known, address), max(len(known) - 1, 0))] == address if len(known) else np.zeros(len(address), bool)
+        address, doc, place, size = address[live], doc[live], place[live], size[live]
+        number, first = np.unique(_id(address, content[live], n_buckets), return_index=True)   # rows go by id: the first is the least
+        address = address[first]
+        rows = [(chunk_of(t), b, *(c.astype(k).tobytes() for c, k in zip(cols, ("<i8", "<u4", "<i8", "<u4", "<u2")))) for b, *cols in
+                _split(address >> np.uint64(32), number, address & np.uint64(0xFFFFFFFF), doc[first], place[first], size[first])]
         return _messages(rows, names)
 
     def ask_open(t: pa.Table) -> pa.Table:
         """Contexts that share their anchor with others, each asked of one chunk with its least document."""
-        (number, row), (value, _), (least, _) = (_joined(t, c, k) for c, k in (("ids", "<i8"), ("anchors", "<u4"), ("least", "<i8")))
+        (number, row), *rest = (_joined(t, c, k) for c, k in (("ids", "<i8"), ("anchors", "<u4"), ("least", "<i8"), ("place", "<u4"), ("size", "<u2")))
+        value, least, place, size = (r[0] for r in rest)
         chunk = t["chunk"].to_numpy()[row] if len(row) else np.zeros(0, np.int64)
         order = np.lexsort((chunk, least, number, value))
-        number, value, chunk = number[order], value[order], chunk[order]
+        number, value, chunk, place, size = (c[order] for c in (number, value, chunk, place, size))
         first = np.ones(len(number), bool)
         first[1:] = (number[1:] != number[:-1]) | (value[1:] != value[:-1])
-        number, value, chunk = number[first], value[first], chunk[first]
-        _, back, n = np.unique(value, return_inverse=True, return_counts=True)
-        several = n[back] > 1 if len(value) else np.zeros(0, bool)
-        rows = [(int(c), t["bucket"][0].as_py(), i.tobytes()) for c, i in _split(chunk[several], number[several])]
-        return _messages(rows, ["chunk", "bucket", "ids"])
+        _, back, n = np.unique(value[first], return_inverse=True, return_counts=True)
+        several = np.flatnonzero(first)[n[back] > 1] if len(value) else np.zeros(0, np.int64)
+        rows = [(int(c), t["bucket"][0].as_py(), *(x.tobytes() for x in cols))
+                for c, *cols in _split(chunk[several], number[several], place[several], size[several])]
+        return _messages(rows, ["chunk", "bucket", "ids", "place", "size"])
 
     def positions(t: pa.Table, asked: pa.Table) -> pa.Table:
         """First rank pairs of the strings in the contexts asked for; rows without b give a context's number."""
         names = ["spot", "doc", "a", "b"]
-        wanted = np.unique(_joined(asked, "ids", "<i8")[0])
+        numbers, places, sizes = (_joined(asked, c, k)[0].astype(np.int64) for c, k in (("ids", "<i8"), ("place", "<u4"), ("size", "<u2")))
         out, base = [], chunk_of(t) << 28
-        if len(t) and len(wanted):
+        if len(t) and len(numbers):
             t, data, offs = _texts(t)
-            ids, done = ids_of(t), np.zeros(len(wanted), bool)
-            for c in contexts(data, offs, length, anchor):
-                number = _id(_address(c.anchor, n_buckets), c.content, n_buckets)
-                slot = np.minimum(np.searchsorted(wanted, number), len(wanted) - 1)
-                hit = np.flatnonzero((wanted[slot] == number) & ~done[slot])
-                slot, first = np.unique(slot[hit], return_index=True)
-                hit = hit[first]
-                done[slot] = True
-                n = c.last[hit] - c.start[hit] + 1
-                which = np.repeat(np.arange(len(hit)), n)
-                off = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-                if len(need) > 1:
-                    pair = np.unique((which[:, None] * room + off[:, None] + np.array(need)).ravel())
-                    which, off = pair // room, pair % room
-                place = c.start[hit][which] + off - c.base
-                one = (c.hashes.at(place, seed) >> _KEY).view(np.int64)
-                two = (c.hashes.at(place + offsets[0], seed) >> _KEY).view(np.int64) if offsets else np.zeros(len(one), np.int64)
-                out += [pa.table([pa.array((base + slot[which]) * room + off), pa.array(ids[c.doc[hit]][which], mask=off >= n[which]),
-                                  pa.array(one), pa.array(two)], names=names),
-                        pa.table([pa.array((base + slot) * room), pa.nulls(len(slot), pa.int64()), pa.array(number[hit]),
-                                  pa.nulls(len(slot), pa.int64())], names=names)]
+            docs_ = ids_of(t)[np.searchsorted(offs, places, "right") - 1]
+        for lo in range(0, len(numbers) if len(t) else 0, 4096):
+            number, place, n, doc = (c[lo:lo + 4096] for c in (numbers, places, sizes, docs_))
+            slot = np.arange(lo, lo + len(number))
+            wide = int(n.max()) - 1 + length
+            terms = _BYTE[data[np.minimum(place[:, None] + np.arange(wide), len(data) - 1)]] * _POW[:wide]
+            total = np.zeros((len(number), wide + 1), np.uint64)
+            np.cumsum(terms, axis=1, out=total[:, 1:])
+            which = np.repeat(np.arange(len(number)), n)
+            off = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+            if len(need) > 1:
+                pair = np.unique((which[:, None] * room + off[:, None] + np.array(need)).ravel())
+                which, off = pair // room, pair % room
+
+            def first_rank(at: np.ndarray) -> pa.Array:
+                return pa.array((mix((total[which, at + seed] - total[which, at]) * _INV[at]) >> _KEY).view(np.int64))
+
+            two = first_rank(off + offsets[0]) if offsets else pa.array(np.zeros(len(off), np.int64))
+            out += [pa.table([pa.array((base + slot[which]) * room + off), pa.array(doc[which], mask=off >= n[which]),
+                              first_rank(off), two], names=names),
+                    pa.table([pa.array((base + slot) * room), pa.nulls(len(slot), pa.int64()), pa.array(number),
+                              pa.nulls(len(slot), pa.int64())], names=names)]
         return pa.concat_tables(out) if out else pa.table([pa.array([], pa.int64())] * 4, names=names)
 
     def deliver(t: pa.Table, low: pa.Table) -> pa.Table:
@@ -385,16 +389,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
         runs = [(c.start, c.last, c.doc, _id(_address(c.anchor, n_buckets), c.content, n_buckets))
                 for c in contexts(data, offs, length, anchor)]
         start, last, doc, number = (np.concatenate(p) for p in zip(*runs)) if runs else [np.zeros(0, np.int64)] * 4
+        told, _ = _joined(answers, "ids", "<i8")
+        string, off, least = (_joined(answers, c, k)[0] for c, k in (("strings", "<i8"), ("offs", "<i4"), ("least", "<i8")))
+        # only contexts that stand twice here or that an answer names can lose anything
+        ordered = np.sort(number)
+        named = np.unique(np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], told, string]))
+        live = named[np.minimum(np.searchsorted(named, number), max(len(named) - 1, 0))] == number if len(named) else np.zeros(len(number), bool)
+        start, last, doc, number = start[live], last[live], doc[live], number[live]
         every, first, back = np.unique(number, return_index=True, return_inverse=True)
         best = ids[doc[first]]
-        told, _ = _joined(answers, "ids", "<i8")
         np.minimum.at(best, np.searchsorted(every, told), _joined(answers, "best", "<i8")[0])
         own = ids[doc]
         gone = (best[back] < own) & (own != _NO_ID)
         change = np.zeros(len(data) + length + 1, np.int32)
         np.add.at(change, start[gone], 1)
         np.add.at(change, last[gone] + length, -1)
-        string, off, least = (_joined(answers, c, k)[0] for c, k in (("strings", "<i8"), ("offs", "<i4"), ("least", "<i8")))
         order = np.argsort(string, kind="stable")
         string, off, least = string[order], off[order], least[order]
         lo, hi = np.searchsorted(string, number), np.searchsorted(string, number, "right")
@@ -421,9 +430,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, seed: int = SEED, anch
     anchors = materialise(by_chunk.applyInArrow(send_anchors, messages).groupBy("bucket").applyInArrow(repeated, messages),
                           "suffix-anchors", tidy=True)
     met = materialise(by_chunk.cogroup(anchors.groupBy("chunk")).applyInArrow(
-        send_contexts, "chunk long, bucket long, ids binary, anchors binary, least binary"), "suffix-contexts", tidy=True)
+        send_contexts, "chunk long, bucket long, ids binary, anchors binary, least binary, place binary, size binary"),
+        "suffix-contexts", tidy=True)
     discard(anchors)
-    asked = met.groupBy("bucket").applyInArrow(ask_open, "chunk long, bucket long, ids binary")
+    asked = met.groupBy("bucket").applyInArrow(ask_open, "chunk long, bucket long, ids binary, place binary, size binary")
     spots = materialise(by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(
         positions, "spot long, doc long, a long, b long"), "suffix-positions", tidy=True)
     number = materialise(spots.where("b IS NULL").select(F.expr(f"spot div {room}").alias("context"), F.col("a").alias("id")),

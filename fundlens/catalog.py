@@ -469,7 +469,7 @@ def q_cash_on_nav_dates(spark, sf):
 
 @register("kpis")
 def q_kpis(spark, sf):
-    return rp.kpis(b.fund_dimension(spark, sf), b.nav_daily(spark, sf), _monthly(spark, sf))
+    return rp.kpis(b.fund_dimension(spark, sf), b.nav_daily(spark, sf))
 
 
 @register("aum_share")

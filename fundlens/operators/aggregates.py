@@ -92,7 +92,7 @@ def rollup_states(nav: DataFrame, key: str = "fund_id", date_col: str = "nav_dat
         F.count(x).alias("n"), F.sum(x).cast("decimal(24,6)").alias("s1"), F.sum(x * x).cast("decimal(38,12)").alias("s2"),
         F.sum("daily_return").cast("decimal(24,6)").alias("r"), F.sum("benchmark_return").cast("decimal(24,6)").alias("b"),
         F.count("aum").alias("aum_n"), F.sum("aum").cast("decimal(38,2)").alias("aum"),
-        F.max(F.when(F.col(date_col).isNotNull(), F.struct(F.col(date_col).alias("day"), nav_col.alias("nav")))).alias("last"),
+        F.max(F.when(F.col(date_col).isNotNull(), F.struct(F.col(date_col).alias("day"), nav_col.alias("nav"), F.col("aum").alias("aum")))).alias("last"),
         F.sum("is_anomaly").cast("long").alias("anomalies"))
 
 
@@ -103,8 +103,8 @@ def merge_states(states: DataFrame, key: str = "fund_id") -> DataFrame:
 
 
 def finish_states(states: DataFrame, dim: DataFrame | None = None, key: str = "fund_id",
-                  class_col: str = "asset_class") -> DataFrame:
-    """``monthly_rollup``'s rows, to the last digit, from merged states."""
+                  class_col: str = "asset_class", keep: Sequence[str] = ()) -> DataFrame:
+    """``monthly_rollup``'s rows, to the last digit, from merged states; ``keep`` names state columns to pass on."""
     n, s1, s2 = F.col("n"), F.col("s1").cast("decimal(18,6)"), F.col("s2").cast("decimal(26,12)")
     spread = (n.cast("decimal(10,0)") * s2 - s1 * s1).cast("double")
     std = F.sqrt(F.when(n > 1, spread / (n * (n - 1)).cast("double")))
@@ -114,7 +114,7 @@ def finish_states(states: DataFrame, dim: DataFrame | None = None, key: str = "f
         (F.col("r") - F.col("b")).cast("decimal(10,6)").alias("active_return"),
         to_decimal(F.col("aum").cast("double") / F.col("aum_n"), 20, 2).alias("avg_aum"),
         to_decimal(F.col("last.nav"), 12, 4).alias("month_end_nav"), F.col("anomalies").cast("int").alias("anomaly_count"),
-        to_decimal(sharpe, 20, 4).alias("sharpe_ratio"))
+        to_decimal(sharpe, 20, 4).alias("sharpe_ratio"), *keep)
     return out if dim is None else with_dimension(out, dim, key, [class_col])
 
 

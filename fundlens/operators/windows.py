@@ -27,7 +27,6 @@ from fundlens.operators.aggregates import bounded_mean, bounded_std_samp
 from fundlens.session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 250_000
-HOT_KEYS_BROADCAST = 100_000
 Z_EPS = 1e-8
 
 
@@ -121,6 +120,7 @@ def rolling_z(col: str, w: WindowSpec, k: int, min_rows: int, scale: int = 6) ->
     return F.when(n >= min_rows, z)
 
 
+# The feature columns of the anomaly models
 FEATURES = ["daily_return", "benchmark_return", "active_return", "return_5d_avg",
             "return_20d_avg", "return_5d_std", "return_20d_std", "aum_change_pct",
             "return_vs_bench", "return_z_score"]
@@ -178,7 +178,18 @@ def running_total(df: DataFrame, key: str, order: str, value: Column | str,
 
 
 def return_index(df: DataFrame, key: str, order: str, ret: str, base: float = 1.0,
-                 out: str = "return_index") -> DataFrame:
-    """Compounded index base * prod(1 + r) = base * exp(sum(log1p(r))), 8 places."""
-    r = running_total(df, key, order, F.log1p(F.col(ret).cast("double")), "_cumlog")
+                 out: str = "return_index", plan: str = "direct") -> DataFrame:
+    """Compounded index base * prod(1 + r) = base * exp(sum(log1p(r))), 8 places.
+
+    (key, date) is unique, so a key's window is bounded by the number of days (``direct``, one
+    exchange); ``months`` is for finer orders, where a key may hold any number of rows.
+    """
+    growth = F.log1p(F.col(ret).cast("double"))
+    if plan == "months":
+        r = running_total(df, key, order, growth, "_cumlog")
+    elif plan == "direct":
+        w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        r = df.withColumn("_cumlog", F.sum(growth).over(w))
+    else:
+        raise ValueError(plan)
     return r.withColumn(out, fround(F.exp("_cumlog") * base, 8)).drop("_cumlog")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fundlens.functions.scalars import fround, mean_of, month_bucket
-from fundlens.operators.aggregates import exact_mean
+from fundlens.operators.aggregates import exact_mean, finish_states, rollup_states
 from fundlens.operators.joins import with_dimension
 from fundlens.plans.views import at_latest
 
@@ -18,14 +18,21 @@ def slice_by(df: DataFrame, col: str, value) -> DataFrame:
     return df.filter(F.col(col) == F.lit(value))
 
 
-def kpis(dim: DataFrame, nav: DataFrame, monthly: DataFrame, date_col: str = "nav_date") -> DataFrame:
-    """One row: AUM on the latest date, fund count, mean monthly Sharpe, anomalies."""
-    latest = at_latest(nav, date_col)
-    return latest.agg(
-        F.sum("aum").cast("double").alias("total_aum"),
+def kpis(dim: DataFrame, nav: DataFrame, key: str = "fund_id", date_col: str = "nav_date") -> DataFrame:
+    """One row: AUM on the latest date, fund count, mean monthly Sharpe, anomalies.
+
+    The daily table, unique on (key, date), is read once: its monthly states are summed up by
+    their last day, and the latest of those days gives the AUM.
+    """
+    months = finish_states(rollup_states(nav, key, date_col), key=key, keep=["last"])
+    days = months.groupBy(F.col("last.day").alias("day")).agg(
+        F.sum("last.aum").alias("aum"), F.sum("sharpe_ratio").alias("s"), F.count("sharpe_ratio").alias("n"),
+        F.sum("anomaly_count").alias("anomalies"))
+    return days.agg(
+        F.max_by("aum", "day").cast("double").alias("total_aum"),
         dim.select(F.count(F.lit(1))).scalar().alias("funds"),
-        monthly.select(mean_of("sharpe_ratio")).scalar().alias("mean_sharpe"),
-        nav.select(F.sum("is_anomaly").cast("long")).scalar().alias("anomalies"))
+        F.try_divide(F.sum("s").cast("double"), F.sum("n").cast("double")).alias("mean_sharpe"),
+        F.sum("anomalies").cast("long").alias("anomalies"))
 
 
 def aum_share(dim: DataFrame, nav: DataFrame, class_col: str = "asset_class",

@@ -189,3 +189,10 @@ def test_rank_with_hot_values_spread_over_partitions(spark, descending):
             assert better is None or r["r"] == better + 1
     assert len({(key(r["v"]), r["r"]) for r in got if r["v"] is not None}) == len(set(have))
     assert ordr.global_rank(df.where("id < 0"), "v").count() == 0
+
+
+def test_return_index_plans_agree(spark):
+    rows = [(f, dt.date(2024, 1, 1) + dt.timedelta(days=3 * i), 0.01 * ((f * 7 + i) % 5 - 2)) for f in range(4) for i in range(60)]
+    df = spark.createDataFrame(rows, "fund_id long, nav_date date, daily_return double")
+    a, b = (sorted(map(tuple, win.return_index(df, "fund_id", "nav_date", "daily_return", plan=p).collect())) for p in ("direct", "months"))
+    assert [r[:3] for r in a] == [r[:3] for r in b] and max(abs(x[3] - y[3]) for x, y in zip(a, b)) < 1e-7

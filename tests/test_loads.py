@@ -100,3 +100,22 @@ def test_two_runs_cannot_take_one_number(spark, monkeypatch):
         pub.publish(spark, root, "b", pub.stage(spark, {"t": spark.range(9)}, root, "b"))
     monkeypatch.undo()
     assert pub.read_current(spark, root, "t").count() == 2
+
+
+def test_a_landed_file_is_read_once(spark, tmp_path, monkeypatch):
+    """The landed files are gone after they were taken over; the load still has all rows."""
+    import shutil
+    nav = spark.createDataFrame([("F1", "2024-01-02", "1.5"), ("F1", "soon", "2"), ("F2", "2024-01-03", None)],
+                                "fund_id string, nav_date string, aum string")
+    for name in fs.LOAD_ORDER:
+        schema = fs.SCHEMAS[name]
+        rows_ = spark.createDataFrame([("F1",), ("F2",)], "fund_id string") if name == "fund_master" else nav if name == "nav_daily" else nav.limit(0)
+        text = rows_.select(*[F.col(f.name) if f.name in rows_.columns else F.lit("1" if not f.nullable else None).cast("string").alias(f.name)
+                              for f in schema.fields])
+        text.write.option("header", True).csv(f"{tmp_path}/landing/{fs.FILE_NAMES[name]}")
+    real = fs.conform
+    monkeypatch.setattr(fs, "conform", lambda raw, schema, *a: (shutil.rmtree(f"{tmp_path}/landing/{[fs.FILE_NAMES[n] for n in fs.LOAD_ORDER if fs.SCHEMAS[n] is schema][0]}"),
+                                                                real(raw, schema, *a))[1])
+    got = fs.ingest_files(spark, f"{tmp_path}/landing", f"{tmp_path}/tables").first()
+    assert got["status"] == "Succeeded" and got["nav_daily_count"] == got["source_nav_daily_count"] >= 1
+    assert spark.read.parquet(f"{tmp_path}/tables/_quarantine/nav_daily").count() + got["nav_daily_count"] == 3

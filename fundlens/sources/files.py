@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,8 +135,7 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, DataFrame], target_roo
 
     ``sources`` maps table name to its (conformed) DataFrame.  Facts whose
     fund_id has no dimension row fail the run before anything is loaded.
-    Returns one row: the counts of the loaded tables next to the source counts, which
-    the loading writes take on the way.
+    Returns one row: the loaded counts next to the source counts.
     """
     run_date = run_date or dt.date.today().isoformat()
     dim = sources["fund_master"]
@@ -146,18 +145,19 @@ def ingest_all(spark: SparkSession, sources: Mapping[str, DataFrame], target_roo
     if failing:
         log_run(spark, f"{target_root}/_run_log", pipeline, "Failed", run_date, failing)
         raise ValueError(f"rows whose fund_id is missing from fund_master: {failing}")
-    loaded, sent = {}, {}
+    loaded = {}
     for name in LOAD_ORDER:
         if name not in sources:
             continue
         tgt = f"{target_root}/{name}"
-        sent[name] = Observation()
-        load_table(sources[name].observe(sent[name], F.count(F.lit(1)).alias("rows")), tgt, BATCH_SIZES.get(name), jdbc_url, properties)
+        load_table(sources[name], tgt, BATCH_SIZES.get(name), jdbc_url, properties)
         loaded[name] = tgt if jdbc_url else spark.read.parquet(tgt)
     counts = row_counts({n: (loaded[n] if isinstance(loaded[n], DataFrame)
                              else spark.read.jdbc(jdbc_url, loaded[n], properties=dict(properties or {})))
                          for n in loaded})
-    result = counts.select("*", *[F.lit(sent[n].get["rows"]).cast("long").alias(f"source_{n}_count") for n in loaded])
+    src = row_counts({f"source_{n}": sources[n] for n in loaded})
+    result = counts.select(
+        "*", *[src.select(f"source_{n}_count").scalar().alias(f"source_{n}_count") for n in loaded])
     first = result.first()
     result = spark.createDataFrame([first], result.schema)      # the counted row: nothing is counted again
     status = "Succeeded" if all(first[f"{n}_count"] == first[f"source_{n}_count"] for n in loaded) \
@@ -173,8 +173,8 @@ def ingest_files(spark: SparkSession, landing_root: str, target_root: str,
     conform it to the declared schema (bad rows to ``_quarantine/<table>``,
     defaults applied), then ``ingest_all`` in dimension-first order.
 
-    A landed file is read once, into ``_landed/<table>``; the conforming, the orphan check
-    and the load read that columnar copy.
+    A landed file is read once, into ``_landed/<table>``; the conforming, the orphan check,
+    the load and the counts read that columnar copy.
     """
     sources = {}
     for name in names:

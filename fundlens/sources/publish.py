@@ -1,6 +1,6 @@
 """Loading all tables of a run or none.
 
-A run writes its tables into a folder of its own, counting rows while it writes; one small
+A run writes its tables into a folder of its own and counts what was written; one small
 manifest file then makes them current.  Manifests are numbered and never changed: a new one
 is written aside and renamed to the next number, which fails if another run took it.
 Readers follow the newest manifest, so they see the tables of one run, whole, whatever
@@ -13,7 +13,7 @@ import json
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fundlens.operators.joins import orphan_keys
@@ -56,12 +56,16 @@ def read_current(spark: SparkSession, root: str, table: str, number: int | None
 
 
 def stage(spark: SparkSession, tables: Mapping[str, DataFrame], root: str, run: str) -> dict[str, dict]:
-    """Write every table into the run's folder; rows are counted by the write itself."""
+    """Write every table into the run's folder; rows are counted from the written files' footers.
+
+    (An ``Observation`` would count during the write, but a session that has used one can no
+    longer ship the closures of Spark's tree models.)
+    """
     out = {}
     for name, df in tables.items():
-        seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/_runs/{run}/{name}")
-        out[name] = {"folder": f"_runs/{run}/{name}", "rows": seen.get["rows"]}
+        folder = f"_runs/{run}/{name}"
+        df.write.mode("overwrite").parquet(f"{root}/{folder}")
+        out[name] = {"folder": folder, "rows": spark.read.schema(df.schema).parquet(f"{root}/{folder}").count()}
     return out
 
 

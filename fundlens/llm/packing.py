@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,7 +18,14 @@ from fundlens.llm.common import materialise, worker_cache
 
 MAX_LENGTH = 4096
 END_ID = 2
-CACHE_CHUNKS = 400_000
+#: Entries of each cache and characters of its longest key, so a worker's caches stay below about 200 MB.
+CACHE_CHUNKS = 300_000
+LONGEST_KEY = 64
+#: White space to the tokenizer's splitter that ``str.split`` and it treat differently.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
+#: Documents and characters that are encoded together.
+BATCH_ROWS = 1024
+BATCH_CHARS = 2_000_000
 RANK_BUCKET_ROWS = 2048
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -26,12 +34,15 @@ class Encoder:
     """Token ids of whole texts as little-endian uint32 bytes.
 
     The tokenizer drops white space before splitting, so a text's ids are those of its
-    space-separated chunks in turn; chunks are encoded once and kept in a bounded cache.
-    A text where that could fail (control separators, special-token marks) is encoded whole.
+    space-separated chunks in turn; chunks are encoded once and kept in caches bounded by
+    their entries and the length of a key.  A chunk of Latin letters with marks behind is
+    put together from the two.  A text where the split could fail (control separators,
+    special-token marks) is encoded whole.
     """
 
-    _whole = re.compile("[\x1c-\x1f]|<\\|")
-    _plain = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)")
+    _letters = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+    #: marks that may follow a word: ASCII punctuation without the apostrophe
+    _marks = "".join(map(chr, (*range(33, 39), *range(40, 48), *range(58, 65), *range(91, 97), *range(123, 127))))
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,6 +50,7 @@ class Encoder:
         self._tok = Tokenizer.from_file(path)
         self._ends = np.array([t.endswith("</w>") for t, _ in sorted(self._tok.get_vocab().items(), key=lambda x: x[1])])
         self._chunks: dict[str, bytes] = {}
+        self._chunks_before: dict[str, bytes] = {}
         self._parts: dict[str, bytes] = {"": b""}
         self._older: dict[str, bytes] = {}
 
@@ -58,31 +70,57 @@ class Encoder:
         return out
 
     def _learn(self, chunks: set[str]) -> None:
-        if len(self._chunks) > CACHE_CHUNKS:
-            self._chunks.clear()
+        """Ids of chunks that are not in the cache."""
         if len(self._parts) > CACHE_CHUNKS:
             self._parts, self._older = {"": b""}, self._parts
-        parts, older = self._parts, self._older
-        split = {c: m.groups() for c in chunks if (m := self._plain.fullmatch(c))}
-        split = {c: (w.lower(), p) for c, (w, p) in split.items()}
-        new = {x for pair in split.values() for x in pair if x not in parts}
-        parts.update((x, older[x]) for x in new if x in older)
-        new = [x for x in new if x not in parts]
+        parts, older, have, before, marks = self._parts, self._older, self._chunks, self._chunks_before, self._marks
+        todo, rest, fresh = [], [], {}
+        for c in chunks:
+            ids = before.get(c)
+            if ids is not None:
+                have[c] = ids
+                continue
+            w = c.rstrip(marks)
+            low, tail = w.lower(), c[len(w):]
+            ids, end = parts.get(low), parts.get(tail)
+            if ids is not None and end is not None:
+                have[c] = ids + end
+            elif len(c) <= LONGEST_KEY and low and (ids is not None or low in older or self._letters.fullmatch(w)):
+                todo.append((c, low, tail))
+                fresh[low] = fresh[tail] = None
+            else:
+                rest.append(c)
+        parts.update((x, older[x]) for x in fresh if x in older)
+        new = [x for x in fresh if x not in parts]
         parts.update(zip(new, self._encode_words(new)))
-        rest = [c for c in chunks if c not in split]
-        self._chunks.update(zip(rest, self._encode(rest)))
-        self._chunks.update((c, parts[w] + parts[p]) for c, (w, p) in split.items())
+        have.update((c, parts[low] + parts[tail]) for c, low, tail in todo)
+        have.update(zip(rest, self._encode(rest)))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words = [t.split() if not self._whole.search(t) else None for t in texts]
+        words = [None if "<|" in t or any(c in t for c in SEPARATORS) else t.split() for t in texts]
+        seen = set().union(*[w for w in words if w is not None])
+        if len(self._chunks) > CACHE_CHUNKS:
+            self._chunks, self._chunks_before = {}, self._chunks
         have = self._chunks
-        new = {c for w in words if w for c in w if c not in have}
+        new = seen.difference(have)
         if new:
-            known = {c for w in words if w for c in w} if len(have) > CACHE_CHUNKS else new
-            self._learn(known)
-        have = self._chunks
-        return [b"".join([have[c] for c in w]) if w is not None else self._encode([t])[0]
-                for t, w in zip(texts, words)]
+            self._learn(new)
+        out = [b"".join(map(have.__getitem__, w)) if w is not None else self._encode([t])[0] for t, w in zip(texts, words)]
+        for c in new:
+            if len(c) > LONGEST_KEY:
+                del have[c]
+        return out
+
+
+def _stretches(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows to encode together: at most ``BATCH_ROWS`` and, but for one row alone, about ``BATCH_CHARS``."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    lo = 0
+    while lo < len(upto):
+        limit = (upto[lo - 1] if lo else 0) + BATCH_CHARS
+        hi = min(lo + BATCH_ROWS, max(lo + 1, int(np.searchsorted(upto, limit, "right"))))
+        yield lo, hi
+        lo = hi
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, end_id: int = END_ID,
@@ -94,10 +132,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, max_length: int = MAX_LENGTH, e
         encode = worker_cache("encoder", tokenizer_path, lambda: Encoder(tokenizer_path))
         for b in batches:
             ids, texts = b.column(0), b.column(1)
-            for lo in range(0, b.num_rows, 128):
+            for lo, hi in _stretches(texts):
                 out: list[tuple] = []
-                for doc, ids_bytes in zip(ids.slice(lo, 128).to_pylist(),
-                                          encode([t or "" for t in texts.slice(lo, 128).to_pylist()])):
+                for doc, ids_bytes in zip(ids.slice(lo, hi - lo).to_pylist(),
+                                          encode([t or "" for t in texts.slice(lo, hi - lo).to_pylist()])):
                     data = ids_bytes + end
                     n = len(data) // 4
                     out.extend((doc, s, min(max_length, n - s), zlib.crc32(data[4 * s:4 * (s + max_length)]), n)

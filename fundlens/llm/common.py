@@ -58,13 +58,24 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _worker_slot() -> dict[str, tuple]:
+    return sys.modules.setdefault("fundlens_worker_cache", types.ModuleType("fundlens_worker_cache")).__dict__
+
+
 def worker_cache(slot: str, key: str, make: Callable[[], T]) -> T:
-    """The slot's object, made anew when the key has changed; it lives as long as the Python worker.
+    """The worker's object for (slot, key), made anew when either has changed; it lives as long as the Python worker.
 
     Functions that travel by value get fresh module globals with every task; a module
-    entry of its own outlives them.  A slot holds one object, so models do not pile up.
+    entry of its own outlives them.  A worker holds one object in all, so what one operator
+    kept is gone when the next one starts.
     """
-    kept = sys.modules.setdefault("fundlens_worker_cache", types.ModuleType("fundlens_worker_cache")).__dict__
-    if kept.get(slot, (None,))[0] != key:
-        kept[slot] = (key, make())
-    return kept[slot][1]
+    kept = _worker_slot()
+    if kept.get("held", (None,))[0] != (slot, key):
+        worker_free()
+        kept["held"] = ((slot, key), make())
+    return kept["held"][1]
+
+
+def worker_free() -> None:
+    """Let go of what an operator before kept in this worker."""
+    _worker_slot().pop("held", None)

@@ -9,7 +9,7 @@ map one to one between item and document.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fundlens.llm import textvec as tv
-from fundlens.llm.common import materialise
+from fundlens.llm.common import materialise, worker_cache
 
 WINDOW = 8
 #: Items shorter than a window are matched whole, from this many tokens on.
@@ -28,7 +28,8 @@ MIN_SHARE = 0.5
 MIN_AGREE = 0.9
 #: Windows are looked up in a bit table of this size before they are joined; its size is the bound of what is broadcast.
 FILTER_BITS = 22
-CACHE_WORDS = 400_000
+CACHE_WORDS = 300_000
+LONGEST_KEY = 64
 # fixed values: number words and units
 NUMBER_WORDS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen "
                          "seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand "
@@ -48,10 +49,28 @@ _split_glued = re.compile(r"\d[^\W\d_]")
 _core = re.compile(r"[^\W_](?:.*[^\W_])?|[%$€£]", re.S)
 _number = re.compile(r"[+-]?\d[\d.,:/]*")
 _end = re.compile(r"[.!?:;|]\W*$")
+_ENDING = frozenset(".!?:;|")
+#: ASCII marks but those that may be a word of their own or part of one
+_MARKS = "!\"#&'()*+,-./:;<=>?@[\\]^`{|}~"
 
 
 def _code(word: str) -> int:
-    """Hash of a word's lower-cased core with its flags in the low five bits."""
+    """Hash of a word's lower-cased core with its flags in the low seven bits."""
+    plain = word.rstrip(_MARKS)
+    core = plain.lstrip(_MARKS)
+    if core.isalpha():
+        # letters between plain marks: what the patterns below would find
+        low, behind = core.lower(), word[len(plain):]
+        flags = PARTS if behind else 0
+        if behind and not _ENDING.isdisjoint(behind):
+            flags |= ENDS
+        if low in NUMBER_WORDS:
+            flags |= NUMBER
+        if low in UNITS:
+            flags |= UNIT
+        if len(core) > 1 and core[0].isupper():
+            flags |= NAME | CAPITALS if core.isupper() else NAME
+        return xxhash.xxh3_64_intdigest(low) & ~127 | flags
     m = _core.search(word)
     if not m:
         return DROP | (ENDS if _end.search(word) else 0)
@@ -79,7 +98,24 @@ def _shouted(capitals: np.ndarray) -> np.ndarray:
     return out
 
 
-def _reading(h: np.ndarray, kind: np.ndarray, apart: np.ndarray, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+class Words(Sequence):
+    """The words behind the tokens, put together when they are asked for: token i covers ``use[start[i]:start[i + 1]]``."""
+
+    def __init__(self, words: list[str], use: np.ndarray, start: np.ndarray | None = None):
+        self._words, self._use, self._start = words, use, start
+
+    def __len__(self) -> int:
+        return len(self._use if self._start is None else self._start)
+
+    def __getitem__(self, i: int) -> str:
+        if self._start is None:
+            return self._words[self._use[i]]
+        stop = self._start[i + 1] if i + 1 < len(self._start) else len(self._use)
+        return " ".join([self._words[j] for j in self._use[self._start[i]:stop]])
+
+
+def _reading(h: np.ndarray, kind: np.ndarray, apart: np.ndarray, words: list[str],
+             use: np.ndarray) -> tuple[np.ndarray, np.ndarray, Words]:
     """Tokens with typed placeholders; the words of one name are one token."""
     h = h.copy()
     for k, v in _TYPES.items():
@@ -87,34 +123,38 @@ def _reading(h: np.ndarray, kind: np.ndarray, apart: np.ndarray, words: list[str
     on = np.zeros(len(h), bool)
     on[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~apart[1:]
     if not on.any():
-        return h, kind, words
+        return h, kind, Words(words, use)
     start = np.flatnonzero(~on)
-    stop = np.append(start[1:], len(h)).tolist()
-    words = [words[lo] if hi == lo + 1 else " ".join(words[lo:hi]) for lo, hi in zip(start.tolist(), stop)]
-    return h[start], kind[start], words
+    return h[start], kind[start], Words(words, use, start)
 
 
 class Templates:
-    """Template tokens of whole texts; word codes are kept in a bounded cache."""
+    """Template tokens of whole texts; codes of words up to ``LONGEST_KEY`` characters are kept in a bounded cache."""
 
     def __init__(self):
         self._codes: dict[str, int] = {}
+        self._before: dict[str, int] = {}
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, Words]:
         """(token hashes, slot type of each token or 0, the words behind them) of the first reading."""
         return self.readings(text)[0]
 
-    def readings(self, text: str) -> list[tuple[np.ndarray, np.ndarray, list[str]]]:
+    def readings(self, text: str) -> list[tuple[np.ndarray, np.ndarray, Words]]:
         """The text with capitalised words that open a sentence as plain words, then, if there are any, as names."""
         if _split_glued.search(text):
             text = _glued.sub(" ", text)
         words = text.split()
-        codes = self._codes
-        if len(codes) > CACHE_WORDS:
-            codes.clear()
+        if len(self._codes) > CACHE_WORDS:
+            self._codes, self._before = {}, self._codes
+        codes, before, long = self._codes, self._before, []
         for w in set(words).difference(codes):
-            codes[w] = _code(w)
+            code = before.get(w)
+            codes[w] = _code(w) if code is None else code
+            if len(w) > LONGEST_KEY:
+                long.append(w)
         code = np.fromiter(map(codes.__getitem__, words), np.uint64, len(words))
+        for w in long:
+            del codes[w]
         flags = (code & _FLAGS).astype(np.int64)
         use = np.flatnonzero(flags & DROP == 0)
         # a sentence starts behind a mark, also one that stands alone
@@ -126,16 +166,15 @@ class Templates:
         unit = np.zeros(len(use), bool)
         unit[1:] = (flags[1:] & UNIT > 0) & number[:-1]
         name = (flags & NAME > 0) & ~number & ~unit & ~_shouted(flags & CAPITALS > 0)
-        words = [words[i] for i in use]
         # a name goes on in the next word unless a mark parts them
         apart = np.ones(len(use), bool)
         apart[1:] = (flags[:-1] & PARTS > 0) | first[1:] | (np.diff(use) > 1)
-        out = [_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name & ~first, NAME, 0))), apart, words)]
+        out = [_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name & ~first, NAME, 0))), apart, words, use)]
         if (name & first).any():
-            out.append(_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))), apart, words))
+            out.append(_reading(h, np.where(number, NUMBER, np.where(unit, UNIT, np.where(name, NAME, 0))), apart, words, use))
         return out
 
-    def slots(self, kind: np.ndarray, words: list[str], at: int, n: int) -> list[str]:
+    def slots(self, kind: np.ndarray, words: Words, at: int, n: int) -> list[str]:
         """Values of the slots in a window: type and lower-cased core, in order."""
         return [f"{kind[i]}:{_core.search(words[i])[0].lower()}" for i in range(at, at + n) if kind[i]]
 
@@ -188,7 +227,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(share.value).view(bool)
-        t = Templates()
+        t = worker_cache("templates", "", Templates)
         for b in batches:
             for lo in range(0, b.num_rows, 256):
                 part, rows = b.slice(lo, 256), []

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from fundlens.llm import lsh_forest
 from fundlens.llm.components import components
@@ -16,7 +17,7 @@ def sets_of(text, size):
     return {tuple(w[i:i + size]) for i in range(len(w) - size + 1)}
 
 
-def brute(rows, size):
+def brute(rows, size, num=80):
     sets = {i: sets_of(t, size) for i, t in rows}
     comp = {i: i for i in sets}
 
@@ -27,7 +28,7 @@ def brute(rows, size):
     ids = sorted(sets)
     for x in ids:
         for y in ids:
-            if x < y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+            if x < y and sets[x] and sets[y] and 100 * len(sets[x] & sets[y]) >= num * len(sets[x] | sets[y]):
                 p, q = sorted((find(x), find(y)))
                 comp[q] = p
     return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
@@ -64,10 +65,7 @@ def test_matches_brute_force(spark, size, region_rows):
     got = {r[0]: tuple(r)[1:] for r in
            lsh_forest.near_duplicates(df, size=size, region_rows=region_rows).collect()}
     want = brute(rows, size)
-    if region_rows == 2048:
-        assert got == want
-    else:  # deeper cuts may lose a tree or two; nothing may be joined without a chain of links
-        assert sum(got[i] != want[i] for i in want) <= 3
+    assert got == want
 
 
 def hot_source():
@@ -96,6 +94,33 @@ def test_cut_regions_lose_no_pair(spark, rows, region_rows):
     assert sum(not w[2] for w in want.values()) > 30
 
 
+def test_links_stay_below_the_rows_of_a_region(spark):
+    rng = random.Random(23)
+    base = words(rng, 300)
+    texts = []
+    for i in range(160):  # pages of one template, each pair a little under the threshold
+        w = list(base)
+        for k in rng.sample(range(300), 3):
+            w[k] = f"y{i}x{k}"
+        texts.append(" ".join(w))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    size = lsh_forest.REGION_ROWS
+    rows = df.select("doc_id", F.lit(1).alias("region"), F.col("doc_id").alias("component"))
+    sizes = df.select("doc_id", F.lit(4000).alias("bytes"))
+    for num in (65, 85):
+        blocks = lsh_forest.region_blocks(rows, sizes, size)
+        links = lsh_forest.confirm_within(lsh_forest._with_sets(blocks, df, 5), num / 100 - 0.05, num, 100).collect()
+        want = brute(list(enumerate(texts)), 5, num)
+        assert len(links) == sum(not w[2] for w in want.values())
+    many = sizes.withColumn("bytes", F.lit(lsh_forest.BLOCK_BYTES // 50))
+    blocks = lsh_forest.region_blocks(rows, many, size)
+    assert blocks.groupBy("x", "y").count().count() > 3
+    links = lsh_forest.confirm_within(lsh_forest._with_sets(blocks, df, 5), 0.6, 65, 100)
+    got = {r["node"]: r["component"] for r in components(links).collect()}
+    want = brute(list(enumerate(texts)), 5, 65)
+    assert {i: got.get(i, i) for i in range(160)} == {i: w[1] for i, w in want.items()}
+
+
 def test_empty_nulls_and_repeats(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lsh_forest.near_duplicates(empty).count() == 0

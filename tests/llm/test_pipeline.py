@@ -43,4 +43,4 @@ def test_every_operator_is_registered():
     names = entry.queries()
     assert "pipeline" in names
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
-    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op1_maxscore_topk", "op2_line_chunks"}
+    assert {n for n in entry.oracle_sql() if n.startswith("op")} == {"op1_maxscore_topk", "op2_line_chunks", "op11_hard_negatives"}

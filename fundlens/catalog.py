@@ -841,11 +841,6 @@ def feature_keys():
     return [F.col("fund_id"), an.day_number("nav_date")]
 
 
-def _features(spark, sf):
-    """The feature frame, written once: split, both models and scoring read it."""
-    return cut_lineage(win.anomaly_features(b.nav_daily(spark, sf)))
-
-
 @register("rolling_aum_std")
 def q_rolling_aum_std(spark, sf):
     w = Window.partitionBy("fund_id").orderBy("nav_date")
@@ -854,32 +849,32 @@ def q_rolling_aum_std(spark, sf):
 
 @register("stratified_split")
 def q_stratified_split(spark, sf):
-    f = _features(spark, sf).select("fund_id", "nav_date", "is_anomaly")
+    f = win.anomaly_features(b.nav_daily(spark, sf)).select("fund_id", "nav_date", "is_anomaly")
     return an.stratified_split(f, "is_anomaly", feature_keys(), 0.8, seed=42)
 
 
 @register("ensemble_rule")
 def q_ensemble_rule(spark, sf):
-    f = _features(spark, sf)
-    f = f.select("fund_id", "nav_date",
-                 F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
-                 (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso"))
-    e = an.ensemble(f, "p", "iso")
+    f = win.anomaly_features(b.nav_daily(spark, sf)).select(
+        "fund_id", "nav_date", F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
+        (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso"))
+    e = an.ensemble(cut_lineage(f), "p", "iso")
     return e.select("fund_id", "nav_date", sc.fround("ensemble_score", 10).alias("ensemble_score"),
                     "rf_is_anomaly")
 
 
 def _anomaly_run(spark, sf, trees=200):
-    feats = _features(spark, sf)
-    split = cut_lineage(an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42))
+    # the split writes the feature frame once: both models and scoring read it
+    feats = win.anomaly_features(b.nav_daily(spark, sf))
+    split = an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42)
     train = split.filter("is_train = 1")
     iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
         train, win.FEATURES, feature_keys())
-    # scores feed the offset, the forest output and the ensemble: write them once
-    scored = cut_lineage(iso.score(split))
-    iso.set_offset(scored.filter("is_train = 1"))
     rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees, key_cols=feature_keys())
-    probs = cut_lineage(an.class_probability(rf, scored, win.FEATURES))
+    # both scores feed the offset, the forest output and the ensemble: one pass makes them, written once
+    probs = cut_lineage(an.class_probability(rf, iso.score(split), win.FEATURES).select(
+        "fund_id", "nav_date", "is_anomaly", "is_train", "iso_score", "rf_anomaly_prob"))
+    iso.set_offset(probs.filter("is_train = 1"))
     return split, iso, rf, probs
 
 

@@ -55,21 +55,34 @@ def _unscaled(col, scale: int) -> Column:
     return (_c(col).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
 
 
-def bounded_mean(col, w, scale: int) -> Column:
-    u = _unscaled(col, scale)
-    return F.sum(u).over(w).cast("double") / float(10 ** scale) / F.count(u).over(w)
+def mean_of_sums(n, s1, scale: int) -> Column:
+    """Mean from the count and the sum of unscaled integers."""
+    return s1.cast("double") / float(10 ** scale) / n
 
 
-def bounded_var_samp(col, w, scale: int = 6) -> Column:
-    u = _unscaled(col, scale)
-    d = u.cast("decimal(19,0)")
-    n = F.count(u).over(w)
-    s1 = F.sum(u).over(w).cast("decimal(19,0)")
-    s2 = F.sum((d * d).cast("decimal(38,0)")).over(w)
+def var_of_sums(n, s1, s2, scale: int) -> Column:
+    """Sample variance from the count, the sum and the sum of squares of unscaled integers."""
+    s1 = s1.cast("decimal(19,0)")
     num = n.cast("decimal(9,0)") * s2 - s1 * s1
     return F.when(n > 1, num.cast("double") / float(10 ** (2 * scale)) / (n * (n - 1)).cast("double"))
 
 
+def integer_sums(col, w, scale: int) -> tuple[Column, Column, Column]:
+    """Count, sum and sum of squares of a column's unscaled integers over a window frame."""
+    u = _unscaled(col, scale)
+    d = u.cast("decimal(19,0)")
+    return F.count(u).over(w), F.sum(u).over(w), F.sum((d * d).cast("decimal(38,0)")).over(w)
+
+
+def bounded_mean(col, w, scale: int) -> Column:
+    n, s1, _ = integer_sums(col, w, scale)
+    return mean_of_sums(n, s1, scale)
+
+
+def bounded_var_samp(col, w, scale: int = 6) -> Column:
+    return var_of_sums(*integer_sums(col, w, scale), scale)
+
+
 def bounded_std_samp(col, w, scale: int = 6) -> Column:
     return F.sqrt(bounded_var_samp(col, w, scale))
 

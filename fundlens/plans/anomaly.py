@@ -20,12 +20,12 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.operators.ordering import exact_quantile
+from fundlens.session import cut_lineage, scratch_path
 
 # The tree builder and the scorer run in Python workers.  Pickle this module's
 # functions by value so executors need nothing but numpy and pandas installed.
@@ -75,13 +75,14 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac
 
     Radix selection: a grouped count over (class, hash bucket) finds the bucket in which a
     class's last training row lies; while that bucket holds more than ``EDGE_ROWS`` rows it is
-    cut into buckets again, reading only its rows.  Rows below a class's last interval are
-    train, rows above it are test, and only the rows inside are ordered, by hash and key.
-    Labels must be classes: more than ``SPLIT_MAX_CLASSES`` values raise.
+    cut into buckets again, reading only its rows.  Only the rows inside a class's last interval
+    are ordered, by hash and key; its last training row is then a literal, and every row is
+    train that does not lie behind it.  Rows whose hash and key are equal there are numbered.
+    The rows are written once, with their hash.  Labels must be classes: more than ``SPLIT_MAX_CLASSES`` values raise.
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in key_cols]
     names = [f"_k{i}" for i in range(len(keys))]
-    d = df.select("*", *[k.alias(n) for k, n in zip(keys, names)], portable_hash(keys, seed).alias("_h"))
+    d = cut_lineage(df.select("*", *[k.alias(n) for k, n in zip(keys, names)], portable_hash(keys, seed).alias("_h")))
     h = F.col("_h")
 
     def of_class(value) -> Column:
@@ -127,8 +128,22 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac
     d = d.withColumns({"_lo": lo, "_end": end, "_take": pick(state, "take", 0)})
     clear = d.where("_h < _lo OR _h >= _end").withColumn(out, (h < F.col("_lo")).cast("int"))
     rn = F.row_number().over(Window.partitionBy(label).orderBy("_h", *names))
-    close = d.where("_h >= _lo AND _h < _end").withColumn(out, (rn <= F.col("_take")).cast("int"))
-    return clear.unionByName(close).drop("_h", "_lo", "_end", "_take", *names)
+    inside = d.where("_h >= _lo AND _h < _end").withColumn("_rn", rn)
+    at = F.struct("_h", *names)
+    edges = inside.where((F.col("_rn") - F.col("_take")).isin(0, 1)).select(label, at.alias("at"), (F.col("_rn") <= F.col("_take")).alias("in"))
+    found = edges.collect()                                            # the rows on both sides of each class's cut
+    last, after = ({r[label]: tuple(r["at"]) for r in found if r["in"] == side} for side in (True, False))
+    if any(last[v] == after.get(v) for v in last):
+        clear = d.where("_h < _lo OR _h >= _end").withColumn(out, (h < F.col("_lo")).cast("int"))
+        d = clear.unionByName(inside.withColumn(out, (F.col("_rn") <= F.col("_take")).cast("int")).drop("_rn"))
+    else:
+        types = [d.schema[n].dataType for n in ("_h", *names)]
+        train = h < F.col("_lo")
+        for v, row in last.items():
+            cut_at = F.struct(*[F.lit(x).cast(t).alias(n) for x, t, n in zip(row, types, ("_h", *names))])
+            train = train | (of_class(v) & (h < F.col("_end")) & (at <= cut_at))
+        d = d.withColumn(out, train.cast("int"))
+    return d.drop("_h", "_lo", "_end", "_take", *names)
 
 
 # --- isolation forest ------------------------------------------------------
@@ -176,6 +191,57 @@ def _grow(x: np.ndarray, rng: np.random.Generator, max_depth: int):
     return feat, thr, left, right, size
 
 
+class Walk:
+    """Binary trees as flat arrays, walked level by level by all rows of a batch.
+
+    A column is turned into the number of forest thresholds below its values once, so a step
+    compares small integers.  A leaf leads to itself: every row takes as many steps as its tree
+    is deep, without masks.  Rows below a threshold go left; with ``closed`` also rows that equal it.
+    """
+
+    def __init__(self, feat, thr, left, right, roots, values, features: int, closed: bool = False):
+        feat, left, right = (np.asarray(a, dtype=np.int64) for a in (feat, left, right))
+        thr, inner, self.side = np.asarray(thr, dtype=float), feat >= 0, "left" if closed else "right"
+        self.cuts = [np.unique(thr[feat == f]) for f in range(features)]
+        self.roots = np.asarray(roots, dtype=np.int64)
+        self.rank = np.full(len(feat), np.iinfo(np.int32).max, dtype=np.int32)      # no value lies beyond a leaf's
+        for f, cuts in enumerate(self.cuts):
+            self.rank[feat == f] = np.searchsorted(cuts, thr[feat == f])
+        self.feat, self.values = np.where(inner, feat, 0), [np.asarray(v, dtype=float) for v in values]
+        me = np.arange(len(feat))
+        self.kids = np.column_stack([np.where(inner, left, me), np.where(inner, right, me)]).ravel()
+        self.depths = []
+        for root in self.roots:
+            level, depth = np.array([root]), 0
+            while (level := level[inner[level]]).size:
+                level, depth = np.concatenate([left[level], right[level]]), depth + 1
+            self.depths.append(depth)
+
+    def sums(self, columns: Sequence[pd.Series]) -> list[np.ndarray]:
+        """For every list of node values the sum, over trees in order, of the values a row ends at."""
+        codes = np.column_stack([np.searchsorted(cuts, c.to_numpy(dtype=float), side=self.side).astype(np.int32)
+                                 for cuts, c in zip(self.cuts, columns)])
+        n, width = codes.shape
+        flat, base = np.ascontiguousarray(codes).ravel(), np.arange(n) * width
+        totals = [np.zeros(n) for _ in self.values]
+        node, at, right = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n, bool)
+        code, rank, value = np.empty(n, np.int32), np.empty(n, np.int32), np.empty(n)
+        for root, depth in zip(self.roots, self.depths):
+            node[:] = root
+            for _ in range(depth):
+                np.take(self.feat, node, out=at, mode="clip")                       # clip: no copy, all are in bounds
+                at += base
+                np.take(flat, at, out=code, mode="clip")
+                np.take(self.rank, node, out=rank, mode="clip")
+                np.greater(code, rank, out=right)
+                np.multiply(node, 2, out=at)
+                at += right
+                np.take(self.kids, at, out=node, mode="clip")
+            for total, values in zip(totals, self.values):
+                total += np.take(values, node, out=value, mode="clip")
+        return totals
+
+
 TREE_SCHEMA = ("tree int, node int, depth int, feature int, threshold double, "
                "left int, right int, size long")
 
@@ -269,26 +335,14 @@ class IsolationForest:
     def score_column(self, spark) -> Column:
         # the flat forest (bounded by trees x 2 x max_samples nodes) travels once
         # per executor as a broadcast variable, not inside every task closure
-        forest = spark.sparkContext.broadcast(
-            (self._feat, self._thr, self._left, self._right, self._leafval, self._roots, self._cm))
+        walk = spark.sparkContext.broadcast(
+            Walk(self._feat, self._thr, self._left, self._right, self._roots, [self._leafval], len(self.features)))
+        cm = self._cm
 
         @F.pandas_udf(T.DoubleType())
         def score(*columns: pd.Series) -> pd.Series:
-            feat, thr, left, right, leafval, roots, cm = forest.value
-            xs = np.column_stack([c.to_numpy(dtype=float) for c in columns])
-            rows = np.arange(len(xs))
-            total = np.zeros(len(xs))
-            for r in roots:
-                idx = np.full(len(xs), r)
-                while True:
-                    f = feat[idx]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    go_left = xs[rows[inner], f[inner]] < thr[idx[inner]]
-                    idx[inner] = np.where(go_left, left[idx[inner]], right[idx[inner]])
-                total += leafval[idx]
-            return pd.Series(-np.power(2.0, -(total / len(roots)) / cm))
+            total, = walk.value.sums(columns)
+            return pd.Series(-np.power(2.0, -(total / len(walk.value.roots)) / cm))
 
         return score(*[F.col(c).cast("double") for c in self.features])
 
@@ -307,6 +361,7 @@ class IsolationForest:
 
 #: Labelled rows of each class that the classifier may be fitted on (scoring covers all rows).
 FIT_ROWS_PER_CLASS = 20_000
+FIT_PARTITIONS = 8
 
 
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
@@ -325,11 +380,13 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
         w = F.when(F.col(label) == cls, F.lit(float(wt))).otherwise(w)
     for cls, n in sizes.items():
         keep = F.when(F.col(label) == cls, F.lit(min(1.0, fit_rows / n))).otherwise(keep)
+    df = df.withColumn("_w", w / keep).withColumn("_label", F.col(label).cast("double"))
     if key_cols:
-        df = df.where(portable_hash(list(key_cols), seed + 2) < keep * HASH_P)
-        w = w / keep
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        df.withColumn("_w", w).withColumn("_label", F.col(label).cast("double")))
+        # every tree level adds up the statistics of each partition: the few rows must not lie in as many as the table
+        drawn = df.withColumn("_h", portable_hash(list(key_cols), seed + 2)).where(F.col("_h") < keep * HASH_P)
+        drawn = drawn.select(*features, "_w", "_label", "_h")
+        df = cut_lineage(drawn.repartition(FIT_PARTITIONS, "_h").sortWithinPartitions("_h", *features))
+    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
     rf = RandomForestClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
                                 numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
                                 seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=bootstrap,
@@ -339,10 +396,35 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
 
 def class_probability(model, df: DataFrame, features: Sequence[str], out: str = "rf_anomaly_prob",
                       cls: int = 1) -> DataFrame:
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    res = model.transform(data)
-    return res.withColumn(out, vector_to_array("probability")[cls]).drop(
-        "features", "rawPrediction", "probability", "prediction")
+    """Probability of a class: the trees' class shares at the leaf a row ends at, summed and normalised.
+
+    The forest is scored from its saved node table, batch by batch as the isolation forest is.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "random-forest")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").select(
+        F.col("treeID").alias("tree"), F.col("id").alias("node"), F.col("split.featureIndex").alias("feature"),
+        F.coalesce(F.get("split.leftCategoriesOrThreshold", F.lit(0)), F.lit(0.0)).alias("threshold"),
+        F.col("leftChild").alias("left"), F.col("rightChild").alias("right"), F.col("impurityStats").alias("stats"))
+    nodes = nodes.toPandas().sort_values(["tree", "node"]).reset_index(drop=True)   # bounded by trees x 2^(depth + 1)
+    offs = nodes.groupby("tree").size().cumsum().shift(fill_value=0)
+    base = nodes["tree"].map(offs)
+    stats = np.vstack(nodes["stats"].to_numpy())
+    size = stats.sum(axis=1, keepdims=True)
+    shares = np.divide(stats, size, out=np.zeros_like(stats), where=size != 0)
+    walk = spark.sparkContext.broadcast(
+        Walk(nodes["feature"], nodes["threshold"], nodes["left"] + base, nodes["right"] + base, offs,
+             list(shares.T), len(features), closed=True))
+
+    @F.pandas_udf(T.DoubleType())
+    def probability(*columns: pd.Series) -> pd.Series:
+        if any(c.isna().any() for c in columns):
+            raise ValueError("a feature is null or not a number")
+        votes = walk.value.sums(columns)
+        total = np.sum(votes, axis=0)
+        return pd.Series(np.divide(votes[cls], total, out=np.zeros_like(total), where=total != 0))
+
+    return df.withColumn(out, probability(*[F.col(c).cast("double") for c in features]))
 
 
 def importance(model, features: Sequence[str]) -> list[tuple[str, float]]:

@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -323,3 +324,55 @@ def test_a_forest_written_and_read_back_scores_alike(spark, blobs):
     a = {r["id"]: r["iso_score"] for r in forest.score(blobs).select("id", "iso_score").collect()}
     b = {r["id"]: r["iso_score"] for r in again.score(blobs).select("id", "iso_score").collect()}
     assert a == b and again.n_trees == 20
+
+
+def test_class_probability_is_that_of_the_fitted_model(spark, blobs):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+    cols = ["a", "b", "c"]
+    df = blobs.withColumn("a", F.round("a", 1)).withColumn("y", (F.col("a") + F.col("b") > 1.0).cast("int"))
+    rf = an.fit_random_forest(df, cols, "y", {0: 1, 1: 5}, trees=20, max_depth=5, key_cols=[F.col("id")])
+    want = rf.transform(VectorAssembler(inputCols=cols, outputCol="features").transform(df)).select(
+        "id", vector_to_array("probability")[1].alias("p"))
+    got = an.class_probability(rf, df, cols).select("id", "rf_anomaly_prob")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # values that equal a threshold go left
+    nodes = an.Walk([0, -1, -1], [1.5, 0, 0], [1, -1, -1], [2, -1, -1], [0], [[0.0, 1.0, 2.0]], 1, closed=True)
+    assert nodes.sums([pd.Series([1.4, 1.5, 1.6, math.nan])])[0].tolist() == [1.0, 1.0, 2.0, 2.0]
+
+
+def test_classifier_is_fitted_on_few_partitions(spark):
+    """The same rows in 3 or 300 partitions give the same forest, fitted on as many partitions as there are to be."""
+    df = spark.range(3000).select("id", (F.col("id") * 37 % 101).cast("double").alias("a"), (F.col("id") * 11 % 53).cast("double").alias("b"))
+    df = df.withColumn("y", (F.col("a") + F.col("b") > 110).cast("int"))
+    few, many = (an.fit_random_forest(df.repartition(n), ["a", "b"], "y", trees=5, max_depth=4, key_cols=[F.col("id")]) for n in (3, 300))
+    assert few.toDebugString.split("\n")[1:] == many.toDebugString.split("\n")[1:]
+
+
+def test_split_numbers_rows_that_share_hash_and_key(spark):
+    """Equal keys at the cut are dealt exactly; the rows of a split are written once and no row gets lost."""
+    same = spark.range(100).select("id", F.lit(7).alias("k"), (F.col("id") % 2).cast("int").alias("y"))
+    got = an.stratified_split(same, "y", [F.col("k")], 0.5).groupBy("y").agg(F.sum("is_train"), F.count(F.lit(1))).collect()
+    assert sorted(map(tuple, got)) == [(0, 25, 50), (1, 25, 50)]
+    apart = an.stratified_split(spark.range(1000).withColumn("y", F.lit(1)), "y", [F.col("id")], 0.8)
+    assert apart.where("is_train = 1").count() == 800 and apart.count() == 1000
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Union" not in plan and "transform" not in plan
+
+
+def test_trailing_sums_are_those_of_the_frames(spark):
+    """Long frames cost a row what short ones do: no frame but the running one and single rows before."""
+    from pyspark.sql import Window
+    from fundlens.operators import aggregates as agg
+    from fundlens.operators import windows as win
+    d = spark.range(400).select((F.col("id") % 3).alias("g"), "id", F.when(F.col("id") % 7 != 0, (F.col("id") * 7919 % 2003 - 1001) / 100000)
+                                .cast("decimal(10,6)").alias("x"))
+    w = Window.partitionBy("g").orderBy("id")
+    want = d.select("id", *[c for k in (5, 20) for c in agg.integer_sums("x", win.rows_frame(w, k), 6)])
+    got = win.with_window(d, "g", "id", 19, win.trailing_sums("x", (5, 20)), plan="direct")
+    rows = [[tuple(0 if v is None else int(v) for v in r) for r in f.orderBy("id").collect()] for f in
+            (want, got.select("id", "_n5", "_s5", "_q5", "_n20", "_s20", "_q20"))]
+    assert rows[0] == rows[1]
+    plan = win.anomaly_features(spark.createDataFrame([], "fund_id long, nav_date date, daily_return decimal(10,6), benchmark_return decimal(10,6), "
+                                "active_return decimal(10,6), aum decimal(20,2), is_anomaly int"))._jdf.queryExecution().executedPlan().toString()
+    assert "-19, currentrow" not in plan

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,20 +78,28 @@ def conform(df: DataFrame, schema: T.StructType,
     not convert or a NOT NULL column has none; ``bad`` keeps the raw text plus
     ``_errors``, the names of those columns.  A column missing from ``df`` raises.
     """
+    tagged = tag(df, schema, defaults)
+    good = tagged.filter(F.col("_errors").isNull()).select(*schema.fieldNames())
+    return good, tagged.filter(F.col("_errors").isNotNull()).select("_raw.*", "_errors")
+
+
+def tag(df: DataFrame, schema: T.StructType, defaults: Mapping[str, object] | None = None) -> DataFrame:
+    """The typed columns of every row; a row that does not fit also has ``_errors`` and its raw text as ``_raw``."""
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"columns missing from the source: {missing}")
     defaults = dict(defaults or {})
 
     def typed(f: T.StructField):
-        c = F.col(f.name).try_cast(f.dataType)
-        return F.coalesce(c, F.when(F.col(f.name).isNull(), F.lit(defaults[f.name]).cast(f.dataType))) if f.name in defaults else c
+        c = F.col(f"_raw.{f.name}").try_cast(f.dataType)
+        null = F.col(f"_raw.{f.name}").isNull()
+        return F.coalesce(c, F.when(null, F.lit(defaults[f.name]).cast(f.dataType))) if f.name in defaults else c
 
-    errs = F.array_compact(F.array(*[
-        F.when(typed(f).isNull() & (F.col(f.name).isNotNull() | F.lit(not f.nullable)), F.lit(f.name)) for f in schema.fields]))
-    tagged = df.withColumn("_errors", errs)
-    good = tagged.filter(F.size("_errors") == 0).select(*[typed(f).alias(f.name) for f in schema.fields])
-    return good, tagged.filter(F.size("_errors") > 0)
+    cast = df.select(F.struct(*df.columns).alias("_raw")).select("_raw", *[typed(f).alias(f.name) for f in schema.fields])
+    faulty = [F.col(f.name).isNull() & (F.col(f"_raw.{f.name}").isNotNull() | F.lit(not f.nullable)) for f in schema.fields]
+    names = F.array_compact(F.array(*[F.when(c, F.lit(f.name)) for c, f in zip(faulty, schema.fields)]))
+    errors = F.when(reduce(Column.__or__, faulty), names)
+    return cast.withColumn("_errors", errors).withColumn("_raw", F.when(F.col("_errors").isNotNull(), F.col("_raw")))
 
 
 def load_table(df: DataFrame, target: str, batch_size: int | None = None,
@@ -173,16 +182,16 @@ def ingest_files(spark: SparkSession, landing_root: str, target_root: str,
     conform it to the declared schema (bad rows to ``_quarantine/<table>``,
     defaults applied), then ``ingest_all`` in dimension-first order.
 
-    A landed file is read once, into ``_landed/<table>``; the conforming, the orphan check,
-    the load and the counts read that columnar copy.
+    A landed file is read and conformed once, into ``_landed/<table>``; the quarantine, the orphan
+    check, the load and the counts read the columns they need of that typed copy.
     """
     sources = {}
     for name in names:
         path, landed = f"{landing_root}/{FILE_NAMES[name]}", f"{target_root}/_landed/{name}"
         text = spark.read.option("header", True).csv(path)         # every column as text
-        text.write.mode("overwrite").parquet(landed)
-        raw = spark.read.schema(text.schema).parquet(landed)
-        good, bad = conform(raw, SCHEMAS[name], DEFAULTS.get(name))
-        bad.write.mode("overwrite").parquet(f"{target_root}/_quarantine/{name}")
-        sources[name] = good
+        tagged = tag(text, SCHEMAS[name], DEFAULTS.get(name))
+        tagged.write.mode("overwrite").parquet(landed)
+        rows = spark.read.schema(tagged.schema).parquet(landed)
+        rows.where("_errors IS NOT NULL").select("_raw.*", "_errors").write.mode("overwrite").parquet(f"{target_root}/_quarantine/{name}")
+        sources[name] = rows.where("_errors IS NULL").select(*SCHEMAS[name].fieldNames())
     return ingest_all(spark, sources, target_root, run_date, **kw)

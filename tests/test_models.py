@@ -376,3 +376,21 @@ def test_trailing_sums_are_those_of_the_frames(spark):
     plan = win.anomaly_features(spark.createDataFrame([], "fund_id long, nav_date date, daily_return decimal(10,6), benchmark_return decimal(10,6), "
                                 "active_return decimal(10,6), aum decimal(20,2), is_anomaly int"))._jdf.queryExecution().executedPlan().toString()
     assert "-19, currentrow" not in plan
+
+
+def test_landed_files_are_conformed_once(spark, sf_small):
+    """The landed copy is typed and keeps text only of rows that do not fit: later reads convert nothing."""
+    from fundlens.catalog import _model_files
+    from fundlens import schemas
+    root = scratch_path(spark, "test-landed")
+    _model_files(spark, sf_small, root)
+    names = [f.name for f in schemas.CASH_FLOWS.fields]
+    bad = dict.fromkeys(names, "1") | {"transaction_date": "no-date"}
+    fs.write_table(spark.createDataFrame([tuple(bad[n] for n in names)], ", ".join(f"{n} string" for n in names)),
+                   f"{root}/landing/cash_flows.csv", fmt="csv", mode="append")
+    out = fs.ingest_files(spark, f"{root}/landing", f"{root}/tables", run_date="2024-01-02").first()
+    assert out["status"] == "Succeeded" and out["cash_flows_count"] == out["source_cash_flows_count"] > 0
+    landed = spark.read.parquet(f"{root}/tables/_landed/cash_flows")
+    assert landed.schema["amount"].dataType == schemas.CASH_FLOWS["amount"].dataType
+    held = spark.read.parquet(f"{root}/tables/_quarantine/cash_flows").collect()
+    assert landed.where("_raw IS NOT NULL").count() == len(held) == 1 and held[0]["transaction_date"] == "no-date"

@@ -33,7 +33,7 @@ from fundlens.plans import scores as scr
 from fundlens.plans import segment as sg
 from fundlens.plans import sql_views
 from fundlens.plans import views
-from fundlens.session import cut_lineage, scratch_path
+from fundlens.session import cut_lineage, scratch_path, written
 from fundlens.sources import bindings as b
 from fundlens.sources import files as fs
 from fundlens.sources import layout as lay
@@ -858,7 +858,7 @@ def q_ensemble_rule(spark, sf):
     f = win.anomaly_features(b.nav_daily(spark, sf)).select(
         "fund_id", "nav_date", F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
         (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso"))
-    e = an.ensemble(cut_lineage(f), "p", "iso")
+    e = an.ensemble(written(f, "rule-inputs"), "p", "iso")
     return e.select("fund_id", "nav_date", sc.fround("ensemble_score", 10).alias("ensemble_score"),
                     "rf_is_anomaly")
 
@@ -872,8 +872,8 @@ def _anomaly_run(spark, sf, trees=200):
         train, win.FEATURES, feature_keys())
     rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees, key_cols=feature_keys())
     # both scores feed the offset, the forest output and the ensemble: one pass makes them, written once
-    probs = cut_lineage(an.class_probability(rf, iso.score(split), win.FEATURES).select(
-        "fund_id", "nav_date", "is_anomaly", "is_train", "iso_score", "rf_anomaly_prob"))
+    probs = written(an.class_probability(rf, iso.score(split), win.FEATURES).select(
+        "fund_id", "nav_date", "is_anomaly", "is_train", "iso_score", "rf_anomaly_prob"), "anomaly-scores")
     iso.set_offset(probs.filter("is_train = 1"))
     return split, iso, rf, probs
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.operators.ordering import exact_quantile
-from fundlens.session import cut_lineage, scratch_path
+from fundlens.session import cut_lineage, scratch_path, written
 
 # The tree builder and the scorer run in Python workers.  Pickle this module's
 # functions by value so executors need nothing but numpy and pandas installed.
@@ -60,6 +60,26 @@ def portable_hash(cols: Sequence[Column], seed: int = 0) -> Column:
     return h
 
 
+def with_hash(df: DataFrame, cols: Sequence[Column], seed: int, out: str) -> DataFrame:
+    """``portable_hash`` as a column, by plain columns that build on each other (no lambda is called a row).
+
+    Write the frame before filtering on it: a filter moved below would repeat the columns.
+    """
+    s, made = seed % HASH_P, []
+
+    def add(name: str, value: Column) -> Column:
+        nonlocal df
+        df, _ = df.withColumn(name, value), made.append(name)
+        return F.col(name)
+
+    h = F.lit(pow(s, 5, HASH_P)).cast("long")
+    for i, c in enumerate([*[F.pmod(c.cast("long"), F.lit(HASH_P)) for c in cols], F.lit(1), F.lit(1)]):
+        x = add(f"_hx{i}", (h * HASH_A + c + s) % HASH_P)
+        sq = add(f"_hs{i}", x * x % HASH_P)
+        h = add(f"_hh{i}", sq * sq % HASH_P * x % HASH_P)
+    return df.withColumn(out, h).drop(*made)
+
+
 def day_number(col: str) -> Column:
     return F.datediff(F.col(col), F.lit("1970-01-01").cast("date"))
 
@@ -82,7 +102,8 @@ def stratified_split(df: DataFrame, label: str, key_cols: Sequence[Column], frac
     """
     keys = [F.col(c) if isinstance(c, str) else c for c in key_cols]
     names = [f"_k{i}" for i in range(len(keys))]
-    d = cut_lineage(df.select("*", *[k.alias(n) for k, n in zip(keys, names)], portable_hash(keys, seed).alias("_h")))
+    keyed = df.select("*", *[k.alias(n) for k, n in zip(keys, names)])
+    d = written(with_hash(keyed, [F.col(n) for n in names], seed, "_h"), "split")
     h = F.col("_h")
 
     def of_class(value) -> Column:

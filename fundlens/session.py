@@ -87,6 +87,13 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def written(df, name: str):
+    """Write a frame to the shared folder as columns and read it back: a pass reads only what it needs."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -276,12 +276,14 @@ class IsolationForest:
                  seed: int = 42):
         self.trees, self.max_samples, self.contamination, self.seed = trees, max_samples, contamination, seed
 
-    def fit(self, df: DataFrame, features: Sequence[str], key_cols: Sequence[Column]) -> "IsolationForest":
+    def fit(self, df: DataFrame, features: Sequence[str], key_cols: Sequence[Column],
+            hashed: str | None = None) -> "IsolationForest":
         """Every tree draws its own sample of ``max_samples`` rows from the whole table.
 
         The draws are made from a pool, a hashed sample of a few times trees x max_samples
         rows (the whole table when it is smaller), by a hash per row and tree: a row may be in
-        many trees, and trees do not share their orders.
+        many trees, and trees do not share their orders.  ``hashed`` names a written column that
+        holds the keys' hash with this seed.
         """
         self.features = list(features)
         n = df.count()
@@ -292,7 +294,7 @@ class IsolationForest:
         max_depth = int(math.ceil(math.log2(max(m, 2))))
         pool_rows = min(n, 4 * self.trees * m)
         pool = df.select(*[F.col(c).cast("double").alias(c) for c in self.features],
-                         portable_hash(list(key_cols), self.seed).alias("_h"))
+                         (F.col(hashed) if hashed else portable_hash(list(key_cols), self.seed)).alias("_h"))
         pool = pool.where(F.col("_h") < int(min(1.0, pool_rows / n) * HASH_P))
         # small pools and small draws are taken whole: at least m rows must reach every tree
         rate = 1.0 if pool_rows <= 16 * m else min(1.0, (4.0 * m + 64) / pool_rows)
@@ -389,11 +391,12 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
                       class_weight: dict[int, float] | None = None, trees: int = 200,
                       max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64,
                       max_memory_mb: int = 1024, key_cols: Sequence[Column] = (),
-                      fit_rows: int = FIT_ROWS_PER_CLASS, bootstrap: bool = True):
+                      fit_rows: int = FIT_ROWS_PER_CLASS, bootstrap: bool = True, hashed: str | None = None):
     """Random forest on at most about ``fit_rows`` rows a class, drawn by key hash.
 
     The rows kept of a larger class carry the weight of those left out, so classes keep
     their shares.  Without ``key_cols`` all rows are used; without ``bootstrap`` every tree sees each once.
+    ``hashed`` names a written column that holds the keys' hash with ``seed`` + 2.
     """
     sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()} if key_cols else {}
     keep, w = F.lit(1.0), F.lit(1.0)
@@ -404,7 +407,7 @@ def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
     df = df.withColumn("_w", w / keep).withColumn("_label", F.col(label).cast("double"))
     if key_cols:
         # every tree level adds up the statistics of each partition: the few rows must not lie in as many as the table
-        drawn = df.withColumn("_h", portable_hash(list(key_cols), seed + 2)).where(F.col("_h") < keep * HASH_P)
+        drawn = df.withColumn("_h", F.col(hashed) if hashed else portable_hash(list(key_cols), seed + 2)).where(F.col("_h") < keep * HASH_P)
         drawn = drawn.select(*features, "_w", "_label", "_h")
         df = cut_lineage(drawn.repartition(FIT_PARTITIONS, "_h").sortWithinPartitions("_h", *features))
     data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)

@@ -778,11 +778,10 @@ def _fund_horizon(spark, nav, steps=(30, 60, 90)):
 
 def _fund_days(spark, sf):
     """Every fund's daily AUM, written once: the models read it several times."""
-    return cut_lineage(b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"), F.col("aum").alias("y")))
+    return written(b.nav_daily(spark, sf).select("fund_id", F.col("nav_date").alias("ds"), F.col("aum").alias("y")), "fund-days")
 
 
-def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
-    nav = _fund_days(spark, sf)
+def _fund_forecasts(spark, nav, steps=(30, 60, 90)):
     horizon = _fund_horizon(spark, nav, steps)
     pred = fc.seasonal_baseline(nav, horizon.select("fund_id", "ds"), group="fund_id")
     return pred.join(horizon, ["fund_id", "ds"])
@@ -790,7 +789,7 @@ def _fund_forecasts(spark, sf, steps=(30, 60, 90)):
 
 @register("fund_forecasts")
 def q_fund_forecasts(spark, sf):
-    return _fund_forecasts(spark, sf)
+    return _fund_forecasts(spark, _fund_days(spark, sf))
 
 
 #: the trend model that SQL can recompute: intercept, trend and one hinge
@@ -853,16 +852,23 @@ def q_stratified_split(spark, sf):
     return an.stratified_split(f, "is_anomaly", feature_keys(), 0.8, seed=42)
 
 
-@register("ensemble_rule")
-def q_ensemble_rule(spark, sf):
-    f = win.anomaly_features(b.nav_daily(spark, sf)).select(
-        "fund_id", "nav_date", F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
-        (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso"))
-    e = an.ensemble(written(f, "rule-inputs"), "p", "iso")
+def _rule_inputs():
+    return [F.least(F.col("return_20d_std") * 20, F.lit(1.0)).alias("p"),
+            (F.lit(-0.4) - F.least(F.abs("return_z_score"), F.lit(10.0)) * 0.02).alias("iso")]
+
+
+def _ensemble_rule(inputs):
+    e = an.ensemble(inputs, "p", "iso")
     return e.select("fund_id", "nav_date", sc.fround("ensemble_score", 10).alias("ensemble_score"),
                     "rf_is_anomaly")
 
 
+@register("ensemble_rule")
+def q_ensemble_rule(spark, sf):
+    f = win.anomaly_features(b.nav_daily(spark, sf)).select("fund_id", "nav_date", *_rule_inputs())
+    return _ensemble_rule(written(f, "rule-inputs"))
+
+
 def _anomaly_run(spark, sf, trees=200):
     # the split writes the feature frame once, with the hashes of the draws: both models and scoring read it
     feats = win.anomaly_features(b.nav_daily(spark, sf))
@@ -951,10 +957,13 @@ def q_standardised_features(spark, sf):
     return sg.standardise(f.select("fund_id", *sg.CLUSTER_FEATURES), sg.CLUSTER_FEATURES)
 
 
+def _fixed_labels(features):
+    return sg.label_clusters(agg.cluster_profile(features.withColumn("cluster_id", F.col("fund_id") % 5)))
+
+
 @register("cluster_labels_fixed")
 def q_cluster_labels_fixed(spark, sf):
-    f = _seg_features(spark, sf).withColumn("cluster_id", F.col("fund_id") % 5)
-    return sg.label_clusters(agg.cluster_profile(f))
+    return _fixed_labels(_seg_features(spark, sf))
 
 
 @register("map_values_fixed")
@@ -967,11 +976,20 @@ def q_map_values_fixed(spark, sf):
 
 @register("ml_scores_fixed")
 def q_ml_scores_fixed(spark, sf):
-    """The score table from the rule-based ensemble, fixed clusters and the baseline forecasts."""
-    segments = _seg_features(spark, sf).select("fund_id", (F.col("fund_id") % 5).cast("int").alias("cluster_id")).join(
-        q_cluster_labels_fixed(spark, sf).select("cluster_id", "cluster_label"), "cluster_id")
-    fc_ = _fund_forecasts(spark, sf).select("fund_id", "step", "yhat")
-    return as_doubles(scr.assemble_scores(q_ensemble_rule(spark, sf), segments, fc_, "fixed"))
+    """The score table from the rule-based ensemble, fixed clusters and the baseline forecasts.
+
+    The daily table and the rules' inputs come from one read of lineitem and one shuffle by fund.  They are
+    written in that order, so rollup, forecasts and latest scores add up a fund's days before any shuffle.
+    """
+    days = written(win.feature_columns(b.nav_daily(spark, sf)).select(
+        "fund_id", "nav_date", "nav", "aum", "daily_return", "benchmark_return", "is_anomaly", "complete", *_rule_inputs()), "fund-days")
+    dim = b.fund_dimension(spark, sf)
+    f = written(agg.fund_features(agg.monthly_rollup(days, dim), dim), "fund-features")
+    segments = f.select("fund_id", (F.col("fund_id") % 5).cast("int").alias("cluster_id")).join(
+        _fixed_labels(f).select("cluster_id", "cluster_label"), "cluster_id")
+    fc_ = _fund_forecasts(spark, days.select("fund_id", F.col("nav_date").alias("ds"), F.col("aum").alias("y")))
+    return as_doubles(scr.assemble_scores(_ensemble_rule(days.where("complete")), segments,
+                                          fc_.select("fund_id", "step", "yhat"), "fixed"))
 
 
 @register("model_invariants")
@@ -1028,7 +1046,7 @@ def q_fund_segments(spark, sf):
 def q_ml_scores(spark, sf):
     _, iso, rf, probs = _anomaly_run(spark, sf)
     anomaly = an.ensemble(iso.predict(probs), "rf_anomaly_prob", "iso_score")
-    fc_ = _fund_forecasts(spark, sf).select("fund_id", "step", "yhat")
+    fc_ = _fund_forecasts(spark, _fund_days(spark, sf)).select("fund_id", "step", "yhat")
     return as_doubles(scr.assemble_scores(anomaly, _segments(spark, sf), fc_, "r1"))
 
 

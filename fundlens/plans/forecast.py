@@ -50,6 +50,7 @@ def seasonal_baseline(train: DataFrame, horizon: DataFrame, ds: str = "ds", y: s
 
     yhat = (a + b t) * weekday factor * month factor, t in days from the first
     training date; bounds yhat -/+ z * sigma * sqrt(1 + h / n), h = step.
+    A group's factors are columns of its one model row, so rows meet it on the group alone.
     """
     g = _g(group)
     t0 = train.select(F.min(ds)).scalar()
@@ -67,26 +68,31 @@ def seasonal_baseline(train: DataFrame, horizon: DataFrame, ds: str = "ds", y: s
     s = s.withColumn("a", (F.col("sy").cast("double") - F.col("b") * F.col("st").cast("double"))
                      / F.col("n").cast("double"))
     coef = s.select(*g, "a", "b", "n", "last_ds")
-    fit = _attach(tr, coef, g)
-    fit = fit.withColumn("trend", F.col("a") + F.col("b") * F.col("t").cast("double"))
-    wd = fit.groupBy(*g, F.dayofweek(ds).alias("_wd")).agg(
-        fround(F.avg(F.col("_y").cast("double") / F.col("trend")), 12).alias("s_wd"))
-    fit = _attach(fit.withColumn("_wd", F.dayofweek(ds)), wd, g + ["_wd"])
-    mo = fit.groupBy(*g, F.month(ds).alias("_mo")).agg(
-        fround(F.avg(F.col("_y").cast("double") / (F.col("trend") * F.col("s_wd"))), 12).alias("s_mo"))
-    fit = _attach(fit.withColumn("_mo", F.month(ds)), mo, g + ["_mo"])
-    resid = F.col("_y").cast("double") - F.col("trend") * F.col("s_wd") * F.col("s_mo")
-    sig = fit.groupBy(*g).agg(fround(F.sqrt(F.avg(resid * resid)), 4).alias("sigma"))
-    h = horizon.select(*g, ds)
-    h = _attach(h, coef, g)
+    days, months = [f"_wd{i}" for i in range(1, 8)], [f"_mo{i}" for i in range(1, 13)]
+
+    def fitted(model: DataFrame) -> DataFrame:
+        return _attach(tr, model, g).withColumn("trend", F.col("a") + F.col("b") * F.col("t").cast("double"))
+
+    def factors(fit: DataFrame, model: DataFrame, part: Column, ratio: Column, names: list[str]) -> DataFrame:
+        # the model so far is the same in all rows of a group; it goes on beside its new factors
+        rows = fit.withColumn("_p", part).withColumn("_r", ratio)
+        return rows.groupBy(*g).agg(
+            *[F.max(c).alias(c) for c in model.columns if c not in g],
+            *[fround(F.avg(F.when(F.col("_p") == i, F.col("_r"))), 12).alias(c) for i, c in enumerate(names, 1)])
+
+    s_wd, s_mo = F.element_at(F.array(*days), F.dayofweek(ds)), F.element_at(F.array(*months), F.month(ds))
+    actual = F.col("_y").cast("double")
+    model = factors(fitted(coef), coef, F.dayofweek(ds), actual / F.col("trend"), days)
+    model = factors(fitted(model).withColumn("s_wd", s_wd), model, F.month(ds), actual / (F.col("trend") * F.col("s_wd")), months)
+    resid = actual - F.col("trend") * s_wd * s_mo
+    sig = fitted(model).withColumn("_e", resid).groupBy(*g).agg(
+        fround(F.sqrt(F.avg(F.col("_e") * F.col("_e"))), 4).alias("sigma"))
+    h = _attach(_attach(horizon.select(*g, ds), model, g), sig, g)
     h = h.withColumn("t", F.datediff(F.col(ds), t0).cast("long"))
     h = h.withColumn("step", F.datediff(F.col(ds), F.col("last_ds")).cast("double"))
-    h = _attach(h.withColumn("_wd", F.dayofweek(ds)).withColumn("_mo", F.month(ds)), wd, g + ["_wd"])
-    h = _attach(h, mo, g + ["_mo"])
-    h = _attach(h, sig, g)
     # a weekday or month never seen in training gets the neutral factor 1
     yhat = ((F.col("a") + F.col("b") * F.col("t").cast("double"))
-            * F.coalesce(F.col("s_wd"), F.lit(1.0)) * F.coalesce(F.col("s_mo"), F.lit(1.0)))
+            * F.coalesce(s_wd, F.lit(1.0)) * F.coalesce(s_mo, F.lit(1.0)))
     width = z * F.col("sigma") * F.sqrt(1 + F.col("step") / F.col("n").cast("double"))
     return h.select(*g, ds, fround(yhat, 2).alias("yhat"), fround(yhat - width, 2).alias("yhat_lower"),
                     fround(yhat + width, 2).alias("yhat_upper"))
@@ -96,8 +102,9 @@ def _attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Join a small per-group (or single-row) coefficient frame onto ``left``."""
     if keys:
         return left.join(right, keys, "left")
-    # a single coefficient row: attach its columns as scalar subqueries
-    return left.select("*", *[right.select(c).scalar().alias(c) for c in right.columns])
+    # a single coefficient row: one scalar subquery
+    row = right.select(F.struct(*right.columns)).scalar()
+    return left.select("*", row.alias("_row")).select(*left.columns, "_row.*")
 
 
 # --- tier ii ----------------------------------------------------------------

@@ -17,10 +17,11 @@ def assemble_scores(anomaly: DataFrame, segments: DataFrame, forecasts: DataFram
     """
     latest = anomaly.groupBy(key).agg(
         F.max(date_col).alias("score_date"),
-        F.max_by(F.struct("ensemble_score", "rf_is_anomaly"), date_col).alias("_s"))
+        # (key, date) is unique; plain columns are aggregated by hash, a struct would be sorted
+        *[F.max_by(c, date_col).alias(c) for c in ("ensemble_score", "rf_is_anomaly")])
     latest = latest.select(key, "score_date",
-                           F.col("_s.ensemble_score").cast("decimal(10,6)").alias("anomaly_score"),
-                           F.col("_s.rf_is_anomaly").cast("int").alias("is_anomaly"))
+                           F.col("ensemble_score").cast("decimal(10,6)").alias("anomaly_score"),
+                           F.col("rf_is_anomaly").cast("int").alias("is_anomaly"))
     piv = forecasts.groupBy(key).pivot("step", list(steps)).agg(F.first("yhat"))
     piv = piv.select(key, *[F.col(str(s)).cast("decimal(20,2)").alias(f"forecast_{s}d") for s in steps])
     out = latest.join(segments.select(key, "cluster_id", "cluster_label"), key, "left") \

@@ -394,3 +394,45 @@ def test_landed_files_are_conformed_once(spark, sf_small):
     assert landed.schema["amount"].dataType == schemas.CASH_FLOWS["amount"].dataType
     held = spark.read.parquet(f"{root}/tables/_quarantine/cash_flows").collect()
     assert landed.where("_raw IS NOT NULL").count() == len(held) == 1 and held[0]["transaction_date"] == "no-date"
+
+
+def test_score_table_reads_lineitem_once(spark, sf_small, monkeypatch):
+    """Rollup, labels, forecasts and rules share one written daily table; the latest scores are found by hash."""
+    from fundlens import catalog
+    reads, read = [], catalog.b.read
+    monkeypatch.setattr(catalog.b, "read", lambda spark, sf, name: reads.append(name) or read(spark, sf, name))
+    df = catalog.QUERIES["ml_scores_fixed"](spark, sf_small)
+    assert reads.count("lineitem") == 1
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem" not in plan and "SortAggregate(key=[fund_id" not in plan
+
+
+def test_feature_columns_keep_every_row(spark, sf_small):
+    """The rows with all features are those of the model frame, beside the daily table as it is."""
+    from fundlens.operators import windows as win
+    from fundlens.sources import bindings as b
+    nav = b.nav_daily(spark, sf_small)
+    every = win.feature_columns(nav).cache()
+    assert every.select(*nav.columns).exceptAll(nav).isEmpty() and every.count() == nav.count()
+    model = win.anomaly_features(nav)
+    same = every.where("complete").select(*[F.col(c).cast(t).alias(c) for c, t in model.dtypes])
+    assert same.exceptAll(model).isEmpty() and same.count() == model.count() < nav.count()
+    every.unpersist()
+
+
+def test_grouped_baseline_meets_its_model_on_the_group(spark):
+    """No shuffle of the days by weekday or month; groups without a weekday, with one day or a null key keep their rows."""
+    days = spark.range(800).select(
+        F.when(F.col("id") % 4 < 3, F.col("id") % 4).alias("g"), F.date_add(F.lit("2023-01-02").cast("date"), (F.col("id") / 4).cast("int")).alias("ds"),
+        (1000 + F.col("id") % 13 * 7).cast("decimal(20,2)").alias("y")).where("coalesce(g, 0) <> 1 OR dayofweek(ds) <> 4").where("coalesce(g, 0) <> 2 OR ds = '2023-01-02'")
+    ahead = days.select("g").distinct().crossJoin(spark.sql("SELECT explode(sequence(date'2023-08-01', date'2023-08-07')) AS ds"))
+    pred = fc.seasonal_baseline(days, ahead, group="g")
+    plan = pred._jdf.queryExecution().optimizedPlan().toString()
+    assert all("(g#" in c and " AND " not in c for c in (line for line in plan.splitlines() if "Join LeftOuter" in line))
+    got = {g: sorted((r["ds"], r["yhat"], r["yhat_lower"]) for r in pred.collect() if r["g"] == g) for g in (0, 1, 2, None)}
+    assert [len(got[g]) for g in (0, 1, 2, None)] == [7, 7, 7, 7]
+    assert {y for _, y, _ in got[2]} == {y for _, y, _ in got[None]} == {None}
+    for g in (0, 1):                                    # a group alone is the series it is
+        alone = fc.seasonal_baseline(days.where(F.col("g") == g).select("ds", "y"), ahead.where(F.col("g") == g).select("ds"))
+        assert sorted(map(tuple, alone.select("ds", "yhat", "yhat_lower").collect())) == got[g]
+    assert None not in {y for _, y, _ in got[1]}        # the missing weekday has the neutral factor

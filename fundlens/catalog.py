@@ -978,10 +978,10 @@ def q_map_values_fixed(spark, sf):
 def q_ml_scores_fixed(spark, sf):
     """The score table from the rule-based ensemble, fixed clusters and the baseline forecasts.
 
-    The daily table and the rules' inputs come from one read of lineitem and one shuffle by fund.  They are
+    The daily table and the rules' inputs come from one aggregate of lineitem and one shuffle by fund.  They are
     written in that order, so rollup, forecasts and latest scores add up a fund's days before any shuffle.
     """
-    days = written(win.feature_columns(b.nav_daily(spark, sf)).select(
+    days = written(win.feature_columns(b.nav_daily(spark, sf, measured=True)).select(
         "fund_id", "nav_date", "nav", "aum", "daily_return", "benchmark_return", "is_anomaly", "complete", *_rule_inputs()), "fund-days")
     dim = b.fund_dimension(spark, sf)
     f = written(agg.fund_features(agg.monthly_rollup(days, dim), dim), "fund-features")

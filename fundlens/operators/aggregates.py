@@ -51,7 +51,7 @@ def exact_mean(col, w=None) -> Column:
 # Squares are summed as DECIMAL(38,0), so no value of a declared money or rate
 # column overflows; a sum past 38 digits raises instead of wrapping.
 
-def _unscaled(col, scale: int) -> Column:
+def unscaled(col, scale: int) -> Column:
     return (_c(col).cast(f"decimal(18,{scale})") * F.lit(10 ** scale)).cast("long")
 
 
@@ -67,9 +67,32 @@ def var_of_sums(n, s1, s2, scale: int) -> Column:
     return F.when(n > 1, num.cast("double") / float(10 ** (2 * scale)) / (n * (n - 1)).cast("double"))
 
 
+# Squares of integers of at most 10 digits as two 64-bit parts, high * 2^32 + low with 0 <= low < 2^33:
+# sums of 2^27 of them stay exact.
+
+PART_DIGITS = 10
+
+
+def square_parts(u: Column) -> tuple[Column, Column]:
+    """High and low part of u * u."""
+    hi, lo = F.shiftright(u, 16), u.bitwiseAND(F.lit(65535))
+    cross = hi * lo                                         # u^2 = hi^2 2^32 + cross 2^17 + lo^2
+    return hi * hi + F.shiftright(cross, 15), F.shiftleft(cross.bitwiseAND(F.lit(32767)), 17) + lo * lo
+
+
+def var_of_parts(n, s1, high, low, scale: int) -> Column:
+    """``var_of_sums`` from the sums of the squares' parts: in 64 bits where n * sum of squares fits."""
+    short = n * (F.shiftleft(high, 32) + low) - s1 * s1
+    s2 = high.cast("decimal(19,0)") * F.lit(2 ** 32).cast("decimal(10,0)") + low.cast("decimal(19,0)")
+    d1 = s1.cast("decimal(19,0)")
+    num = F.when((n <= 256) & (high < 2 ** 20) & (low < 2 ** 41), short.cast("double")).otherwise(
+        (n.cast("decimal(9,0)") * s2.cast("decimal(28,0)") - d1 * d1).cast("double"))
+    return F.when(n > 1, num / float(10 ** (2 * scale)) / (n * (n - 1)).cast("double"))
+
+
 def integer_sums(col, w, scale: int) -> tuple[Column, Column, Column]:
     """Count, sum and sum of squares of a column's unscaled integers over a window frame."""
-    u = _unscaled(col, scale)
+    u = unscaled(col, scale)
     d = u.cast("decimal(19,0)")
     return F.count(u).over(w), F.sum(u).over(w), F.sum((d * d).cast("decimal(38,0)")).over(w)
 
@@ -139,7 +162,8 @@ def monthly_rollup(nav: DataFrame, dim: DataFrame | None = None, key: str = "fun
     they are not compounded), active_return is their difference, sharpe is
     the house formula  sum / (daily sample std * sqrt(252) + 1e-8).
     """
-    agg = nav.groupBy(key, month_bucket(date_col).alias("month")).agg(
+    # grouped by the month's first day: text is formed once a month, not once a row
+    agg = nav.groupBy(key, F.trunc(date_col, "month").alias("_month")).agg(
         F.sum("daily_return").alias("_r"),
         F.sum("benchmark_return").alias("_b"),
         mean_of("aum").alias("_aum"),
@@ -150,7 +174,7 @@ def monthly_rollup(nav: DataFrame, dim: DataFrame | None = None, key: str = "fun
     sharpe = F.col("_r").cast("double") / (
         F.col("_std") * F.sqrt(F.lit(float(TRADING_DAYS))) + SHARPE_EPS)
     out = agg.select(
-        key, "month",
+        key, month_bucket("_month").alias("month"),
         F.col("_r").cast("decimal(10,6)").alias("monthly_return"),
         F.col("_b").cast("decimal(10,6)").alias("benchmark_return"),
         (F.col("_r") - F.col("_b")).cast("decimal(10,6)").alias("active_return"),

@@ -396,7 +396,7 @@ def test_landed_files_are_conformed_once(spark, sf_small):
     assert landed.where("_raw IS NOT NULL").count() == len(held) == 1 and held[0]["transaction_date"] == "no-date"
 
 
-def test_score_table_reads_lineitem_once(spark, sf_small, monkeypatch):
+def test_score_table_aggregates_lineitem_once(spark, sf_small, monkeypatch):
     """Rollup, labels, forecasts and rules share one written daily table; the latest scores are found by hash."""
     from fundlens import catalog
     reads, read = [], catalog.b.read
@@ -436,3 +436,39 @@ def test_grouped_baseline_meets_its_model_on_the_group(spark):
         alone = fc.seasonal_baseline(days.where(F.col("g") == g).select("ds", "y"), ahead.where(F.col("g") == g).select("ds"))
         assert sorted(map(tuple, alone.select("ds", "yhat", "yhat_lower").collect())) == got[g]
     assert None not in {y for _, y, _ in got[1]}        # the missing weekday has the neutral factor
+
+
+def test_rates_are_squared_in_64_bits(spark):
+    """Both parts give the decimal path's deviations to the bit, from the smallest to the widest rates; no decimal sums are left."""
+    from pyspark.sql import Window
+    from fundlens.operators import aggregates as agg
+    from fundlens.operators import windows as win
+    us = [0, 1, -1, 65535, -65535, 65536, -65536, 3037000500, -(2 ** 33) + 1, 10 ** 10 - 1, -(10 ** 10) + 1]
+    parts = spark.createDataFrame([(u,) for u in us], "u long").select("u", *[c.alias(n) for n, c in zip("hl", agg.square_parts(F.col("u")))])
+    assert [r["h"] * 2 ** 32 + r["l"] for r in parts.collect()] == [u * u for u in us]
+    rng = np.random.default_rng(3)
+    wide = {0: 10 ** 4, 1: 10 ** 6, 2: 10 ** 8, 3: 10 ** 10}
+    rows = [(g, i, None if i % 11 == 5 else int(rng.integers(-top + 1, top))) for g, top in wide.items() for i in range(60)]
+    d = spark.createDataFrame(rows, "g int, i int, u long").select("g", "i", (F.col("u").cast("decimal(10,0)") / 1000000).cast("decimal(10,6)").alias("x"))
+    built = [win.with_window(d, "g", "i", 19, steps("x", (5, 20)), plan="direct") for steps in (win.trailing_sums, win.trailing_parts)]
+
+    def var(f, of, names):
+        return [tuple(r) for r in f.select("g", "i", *[of(*[F.col(f"{c}{k}") for c in names], 6) for k in (5, 20)]).orderBy("g", "i").collect()]
+    want = var(built[0], agg.var_of_sums, ("_n", "_s", "_q"))
+    assert var(built[1], agg.var_of_parts, ("_n", "_s", "_h", "_l")) == want and sum(r[2] is not None for r in want) > 200
+    nav = spark.createDataFrame([], "fund_id long, nav_date date, daily_return decimal(10,6), benchmark_return decimal(10,6), "
+                                "active_return decimal(10,6), aum decimal(20,2), is_anomaly int")
+    assert "decimal(38,0)" not in win.feature_columns(nav)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_daily_sums_are_the_same_in_any_width(spark, tmp_path, sf_small):
+    """Ordinary amounts are added as integers; a column with a wide, a null or a non-finite value keeps its digits."""
+    from fundlens.sources import bindings as b
+    narrow = b.nav_daily(spark, sf_small, measured=True)
+    assert narrow.schema == b.nav_daily(spark, sf_small).schema
+    assert sorted(map(tuple, narrow.collect())) == sorted(map(tuple, b.nav_daily(spark, sf_small).collect()))
+    d = spark.sql("SELECT 999998.99D a, 1000000.0D b, -999999999.5D c, CAST(NULL AS DOUBLE) d, CAST('NaN' AS DOUBLE) e UNION ALL SELECT -1D, 1D, 1D, NULL, 1D")
+    assert b.sum_digits(d, dict.fromkeys("abcde", 18)) == {"a": 8, "b": 18, "c": 18, "d": 18, "e": 18}
+    li = b.read(spark, sf_small, "lineitem").limit(500).withColumn("l_extendedprice", F.col("l_extendedprice") * 1e9)
+    li.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert sorted(map(tuple, b.nav_daily(spark, str(tmp_path), measured=True).collect())) == sorted(map(tuple, b.nav_daily(spark, str(tmp_path)).collect()))

@@ -870,15 +870,13 @@ def q_ensemble_rule(spark, sf):
 
 
 def _anomaly_run(spark, sf, trees=200):
-    # the split writes the feature frame once, with the hashes of the draws: both models and scoring read it
-    feats = win.anomaly_features(b.nav_daily(spark, sf))
-    for seed, name in ((42, "_iso_hash"), (44, "_rf_hash")):
-        feats = an.with_hash(feats, feature_keys(), seed, name)
+    # the split writes the feature frame once, with the hash of the isolation forest's draws: both models and scoring read it
+    feats = an.with_hash(win.anomaly_features(b.nav_daily(spark, sf)), feature_keys(), 42, "_iso_hash")
     split = an.stratified_split(feats, "is_anomaly", feature_keys(), 0.8, seed=42)
     train = split.filter("is_train = 1")
     iso = an.IsolationForest(trees=trees, contamination=0.01, seed=42).fit(
         train, win.FEATURES, feature_keys(), hashed="_iso_hash")
-    rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees, key_cols=feature_keys(), hashed="_rf_hash")
+    rf = an.fit_random_forest(train, win.FEATURES, "is_anomaly", {0: 1, 1: 50}, trees=trees, key_cols=feature_keys())
     # both scores feed the offset, the forest output and the ensemble: one pass makes them, written once
     probs = written(an.class_probability(rf, iso.score(split), win.FEATURES).select(
         "fund_id", "nav_date", "is_anomaly", "is_train", "iso_score", "rf_anomaly_prob"), "anomaly-scores")

@@ -19,13 +19,13 @@ import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fundlens.operators.ordering import exact_quantile
-from fundlens.session import cut_lineage, scratch_path, written
+from fundlens.plans import forest
+from fundlens.session import scratch_path, written
 
 # The tree builder and the scorer run in Python workers.  Pickle this module's
 # functions by value so executors need nothing but numpy and pandas installed.
@@ -350,10 +350,10 @@ class IsolationForest:
         table = nodes.select(*[f.split()[0] for f in TREE_SCHEMA.split(", ")]).toPandas()
         if table.empty:
             raise ValueError("no nodes")
-        forest = cls(trees=int(table["tree"].nunique()))
-        forest.features = list(features)
-        forest._take(table)
-        return forest
+        made = cls(trees=int(table["tree"].nunique()))
+        made.features = list(features)
+        made._take(table)
+        return made
 
     def score_column(self, spark) -> Column:
         # the flat forest (bounded by trees x 2 x max_samples nodes) travels once
@@ -382,40 +382,27 @@ class IsolationForest:
 
 # --- random forest ------------------------------------------------------------
 
-#: Labelled rows of each class that the classifier may be fitted on (scoring covers all rows).
-FIT_ROWS_PER_CLASS = 20_000
-FIT_PARTITIONS = 8
-
-
 def fit_random_forest(df: DataFrame, features: Sequence[str], label: str,
                       class_weight: dict[int, float] | None = None, trees: int = 200,
                       max_depth: int = 8, min_leaf: int = 3, seed: int = 42, max_bins: int = 64,
-                      max_memory_mb: int = 1024, key_cols: Sequence[Column] = (),
-                      fit_rows: int = FIT_ROWS_PER_CLASS, bootstrap: bool = True, hashed: str | None = None):
-    """Random forest on at most about ``fit_rows`` rows a class, drawn by key hash.
+                      max_memory_mb: int = 1024, key_cols: Sequence[Column] = (), bootstrap: bool = True):
+    """Random forest on all rows, as a Spark ML model; ``df`` is read several times.
 
-    The rows kept of a larger class carry the weight of those left out, so classes keep
-    their shares.  Without ``key_cols`` all rows are used; without ``bootstrap`` every tree sees each once.
-    ``hashed`` names a written column that holds the keys' hash with ``seed`` + 2.
+    How often a tree draws a row follows from a hash of its ``key_cols`` (of its place without them);
+    without ``bootstrap`` every tree sees each row once.
     """
-    sizes = {r[label]: r["count"] for r in df.groupBy(label).count().collect()} if key_cols else {}
-    keep, w = F.lit(1.0), F.lit(1.0)
+    sizes = forest.class_sizes(df, label)
+    weights = np.ones(max(2, max(sizes) + 1))
     for cls, wt in (class_weight or {}).items():
-        w = F.when(F.col(label) == cls, F.lit(float(wt))).otherwise(w)
-    for cls, n in sizes.items():
-        keep = F.when(F.col(label) == cls, F.lit(min(1.0, fit_rows / n))).otherwise(keep)
-    df = df.withColumn("_w", w / keep).withColumn("_label", F.col(label).cast("double"))
-    if key_cols:
-        # every tree level adds up the statistics of each partition: the few rows must not lie in as many as the table
-        drawn = df.withColumn("_h", F.col(hashed) if hashed else portable_hash(list(key_cols), seed + 2)).where(F.col("_h") < keep * HASH_P)
-        drawn = drawn.select(*features, "_w", "_label", "_h")
-        df = cut_lineage(drawn.repartition(FIT_PARTITIONS, "_h").sortWithinPartitions("_h", *features))
-    data = VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
-    rf = RandomForestClassifier(featuresCol="features", labelCol="_label", weightCol="_w",
-                                numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=bootstrap,
-                                maxMemoryInMB=max_memory_mb, cacheNodeIds=True, checkpointInterval=10)
-    return rf.fit(data)
+        if cls < len(weights):
+            weights[cls] = wt
+    key = F.xxhash64(F.lit(seed), *(key_cols or [F.monotonically_increasing_id()]))
+    cuts = forest.bin_cuts(df, features, label, weights, max_bins)
+    blocks = forest.packed_blocks(df, features, label, key, cuts, len(weights), sum(sizes.values()))
+    grown = forest.grow(blocks, cuts, weights, trees, max_depth, min_leaf, seed, max_memory_mb, bootstrap)
+    rf = RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=max_depth, minInstancesPerNode=min_leaf,
+                                seed=seed, maxBins=max_bins, featureSubsetStrategy="sqrt", bootstrap=bootstrap, maxMemoryInMB=max_memory_mb)
+    return forest.to_model(df.sparkSession, rf, grown, cuts, weights)
 
 
 def class_probability(model, df: DataFrame, features: Sequence[str], out: str = "rf_anomaly_prob",
